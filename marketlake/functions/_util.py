@@ -5,4 +5,9 @@ from pyspark.sql import functions as F
 
 
 def as_col(c) -> Column:
-    return c if isinstance(c, Column) else F.col(c)
+    """Column stays; a string names a column; any other value is a literal."""
+    if isinstance(c, Column):
+        return c
+    if isinstance(c, str):
+        return F.col(c)
+    return F.lit(c)
