@@ -149,8 +149,10 @@ def fee_estimates(responses: DataFrame, recorded_at) -> DataFrame:
     """C25 response side (A13): one row per estimate, fee types pivoted out of the
     fee list (last match wins), failures kept with their error code/message."""
     fees = F.col("FeesEstimate.FeeDetailList")
-    cols = {n: mf.last_where(fees, lambda f, t=t: f["FeeType"] == t, lambda f: f["FinalFee"]["Amount"])
-            for n, t in FEE_TYPES.items()}
+    def fee_is(t):  # one-argument lambda: a second argument would be the element index
+        return lambda f: f["FeeType"] == t
+
+    cols = {n: mf.last_where(fees, fee_is(t), lambda f: f["FinalFee"]["Amount"]) for n, t in FEE_TYPES.items()}
     ok = F.col("Status") == "Success"
     return responses.select(
         *[c for c in ("tenant_id", "marketplace") if c in responses.columns],

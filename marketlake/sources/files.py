@@ -106,9 +106,11 @@ def read_two_header_csv(spark: SparkSession, path: str, columns: Sequence[str],
     kv = F.filter(cells, lambda x: x.contains("="))
     meta = raw.where(is_meta).select("source_file", kv.alias("kv"))
     picks = {}
+    def key_is(k):  # a one-argument lambda (two arguments would receive the index)
+        return lambda x: F.split_part(x, F.lit("="), F.lit(1)).rlike(f"(?i){k}")
+
     for out, key in meta_keys.items():
-        hit = F.try_element_at(F.filter("kv", lambda x, k=key: F.split_part(x, F.lit("="), F.lit(1)).rlike(f"(?i){k}")),
-                               F.lit(1))
+        hit = F.try_element_at(F.filter("kv", key_is(key)), F.lit(1))
         picks[out] = F.nullif(strip_non_word(F.substring_index(hit, "=", -1)), F.lit(""))
     meta = meta.select("source_file", *[c.alias(n) for n, c in picks.items()])
     data = raw.where(~is_meta & ~is_header).select(
