@@ -312,3 +312,31 @@ def scale_insights_grid(rows: DataFrame, doc: str, pos: str, is_campaign: Column
     from marketlake.operators.sequence import carry_down
     out = carry_down(rows, [doc], [pos], is_campaign, carry, prefix="")
     return out
+
+
+# ---------------------------------------------------------------- C26 FX rates
+def fx_rates_batch(payloads: DataFrame) -> DataFrame:
+    """``{date: {pair: rate}}`` payloads → rate rows (S12), one row per
+    (recorded_at, base, target) keeping the last loaded value (K07/W01)."""
+    from marketlake.sources.files import explode_rates
+    rates = explode_rates(payloads)
+    return dedupe(rates, KEYS["exchangerate_host.rates"], ["rate desc"], keep="first").sortWithinPartitions(
+        "recorded_at")
+
+
+# ---------------------------------------------------------------- C29 planning / business reports
+def planning_inventory_batch(raw: DataFrame, tenant_id: int, schema: T.StructType) -> DataFrame:
+    """Typed TSV planning report: trimmed strings, '--'/'' → NULL, conformed,
+    one row per (marketplace, snapshot_date, sku, condition)."""
+    df = normalise_names(raw.drop("source_file"))
+    df = df.withColumns({f.name: F.trim(f.name) for f in df.schema.fields if isinstance(f.dataType, T.StringType)})
+    df = conform(tag(null_tokens(df, ["--", ""]), tenant_id=F.lit(tenant_id).cast("int")), schema)
+    keys = KEYS["inventory.fba_planning_inventory"]
+    return dedupe(df.dropna(subset=keys), keys, [c for c in df.columns if c not in keys][:1], keep="first")
+
+
+def business_report_batch(records: DataFrame, tenant_id: int, marketplace: str, day) -> DataFrame:
+    """``salesAndTrafficByAsin`` records (already exploded and flattened by
+    ``read_wrapped_json``) → stored names, tagged with tenant/marketplace/date."""
+    df = normalise_names(records.drop("source_file"))
+    return tag(df, tenant_id=F.lit(tenant_id).cast("int"), marketplace=marketplace, date=F.lit(day).cast("date"))

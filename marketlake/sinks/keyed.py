@@ -182,3 +182,10 @@ def fix_values(df: DataFrame, col: str, old, new, where=None) -> DataFrame:
     if where is not None:
         cond = cond & where
     return df.withColumn(col, F.when(cond, F.lit(new)).otherwise(F.col(col)))
+
+
+def insert_distinct_on(current: DataFrame, batch: DataFrame, keys: Sequence[str], order=None) -> DataFrame:
+    """``INSERT … SELECT DISTINCT ON (keys)`` without conflicts: the batch is
+    reduced to one row per key (first under ``order``), then inserted ignoring
+    keys already stored."""
+    return insert_ignore(current, dedupe(batch, keys, order or list(keys), keep="first"), keys)

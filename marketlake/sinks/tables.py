@@ -101,3 +101,44 @@ def export_daily(df: DataFrame, path: str, date_col: str = "date", fmt: str = "c
     if fmt == "csv":
         w = w.option("header", True)
     w.partitionBy(date_col).save(path)
+
+
+def infer_schema(df: DataFrame, sample_fraction: float | None = None) -> T.StructType:
+    """Type inference for text columns from the data, in one aggregate job.
+
+    A string column becomes bigint when every non-NULL value casts to an
+    integer, double when every value casts to a number, boolean for
+    true/false/0/1 spellings, date when every value is a timestamp at midnight,
+    timestamp when every value parses as one, else it stays string (64-bit
+    integers always; the source picked 32-bit types by size, E17).  Other
+    column types are kept.  ``sample_fraction`` bounds the scan on huge inputs.
+    """
+    src = df.sample(fraction=sample_fraction, seed=7) if sample_fraction else df
+    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    if not text:
+        return df.schema
+
+    def all_ok(c, parsed):
+        v = F.col(f"`{c}`")
+        return F.min(F.when(v.isNull() | (F.trim(v) == ""), F.lit(True)).otherwise(parsed.isNotNull())).alias(c)
+
+    checks = []
+    for c in text:
+        v = F.trim(F.col(f"`{c}`"))
+        ts = F.try_to_timestamp(v)
+        checks += [all_ok(c, v.try_cast("bigint")).alias(f"{c}::int"),
+                   all_ok(c, v.try_cast("double")).alias(f"{c}::dbl"),
+                   all_ok(c, F.when(F.lower(v).isin("true", "false", "0", "1"), F.lit(1))).alias(f"{c}::bool"),
+                   all_ok(c, F.when(ts == F.date_trunc("day", ts), F.lit(1))).alias(f"{c}::date"),
+                   all_ok(c, ts).alias(f"{c}::ts")]
+    flags = src.agg(*checks).first().asDict()
+    fields = []
+    for f in df.schema.fields:
+        if f.name not in text:
+            fields.append(f)
+            continue
+        g = lambda k: bool(flags.get(f"{f.name}::{k}"))
+        t = (T.LongType() if g("int") else T.DoubleType() if g("dbl") else T.BooleanType() if g("bool")
+             else T.DateType() if g("date") else T.TimestampType() if g("ts") else T.StringType())
+        fields.append(T.StructField(f.name, t, True))
+    return T.StructType(fields)

@@ -179,3 +179,11 @@ def list_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
     modification times), as a DataFrame, from one binary-file listing."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
             .load(path).select(F.col("path"), F.col("length"), F.col("modificationTime")))
+
+
+def sqp_file_tags(path: Column | None = None) -> dict[str, Column]:
+    """Marketplace and view (asin / brand) of a search-query report from its
+    file name."""
+    p = path if path is not None else source_file()
+    return {"marketplace": F.nullif(F.regexp_extract(p, SEARCH_QUERY_COUNTRY, 1), F.lit("")),
+            "view": F.lower(F.nullif(F.regexp_extract(p, SEARCH_QUERY_VIEW, 1), F.lit("")))}
