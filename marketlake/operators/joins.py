@@ -83,18 +83,40 @@ def outer_merge(left: DataFrame, right: DataFrame, left_on: Sequence[str], right
 
 def missing_children(parent: DataFrame, child: DataFrame, keys: Sequence[str],
                      child_keys: Sequence[str] | None = None) -> DataFrame:
-    """Parents without children (``NOT EXISTS`` → left anti join)."""
+    """Parents without children (``NOT EXISTS`` → left anti join).
+
+    The child side is reduced to its distinct keys first (partial distinct on the
+    map side, in the same exchange the join needs), so a parent with a third of
+    all children ships one row per map partition instead of all its children."""
     if child_keys is None or list(child_keys) == list(keys):
-        return parent.join(child.select(*keys), list(keys), "left_anti")
+        return parent.join(child.select(*keys).distinct(), list(keys), "left_anti")
+    c = child.select(*[F.col(b).alias(f"__c{i}") for i, b in enumerate(child_keys)]).distinct()
+    cond = [parent[a] == c[f"__c{i}"] for i, a in enumerate(keys)]
+    return parent.join(c, cond, "left_anti")
+
+
+def with_children(parent: DataFrame, child: DataFrame, keys: Sequence[str],
+                  child_keys: Sequence[str] | None = None) -> DataFrame:
+    """J01 for one-to-many ``parent ⟕ child`` when a parent key may be hot.
+
+    AQE can split a skewed partition only on the side that is not NULL-padded;
+    in ``parent LEFT JOIN child`` the many-rows side (child) is the padded one.
+    So this is written as ``child ⋈ parent`` (inner: both sides splittable) plus
+    the parents without children (anti join on distinct child keys), padded with
+    NULL child columns.  Same rows as the left join."""
+    child_keys = list(child_keys or keys)
     cond = [parent[a] == child[b] for a, b in zip(keys, child_keys)]
-    return parent.join(child.select(*child_keys), cond, "left_anti")
+    matched = parent.join(child, cond, "inner")
+    lonely = missing_children(parent, child, keys, child_keys)
+    pad = [F.lit(None).cast(f.dataType).alias(f.name) for f in child.schema.fields]
+    return matched.unionByName(lonely.select("*", *pad))
 
 
 def not_in(df: DataFrame, col: str, other: DataFrame, other_col: str) -> DataFrame:
     """SQL ``col NOT IN (SELECT other_col …)`` with its NULL rules: a NULL in
     ``other`` empties the result; a NULL ``col`` is never kept.  The NULL check is
     a scalar subquery; the membership test a left anti join."""
-    o = other.select(F.col(other_col).alias("__v"))
+    o = other.select(F.col(other_col).alias("__v")).distinct()
     has_null = o.select(F.max(F.col("__v").isNull())).scalar()
     kept = df.where(F.col(col).isNotNull()).join(o, F.col(col) == F.col("__v"), "left_anti")
     return kept.where(~F.coalesce(has_null, F.lit(False)))

@@ -237,7 +237,9 @@ def orders_mart(t: Tables, marketplace: str, tenant_id=None, since: str = ORDERS
 def orders_summary(t: Tables, tenant_id=None, ordered=False) -> DataFrame:
     """C10 ``Orders Summary``: units per order day × marketplace × product."""
     o = _tenant(t["orders.amazon_orders"], tenant_id)
-    items = t["orders.amazon_order_items"].drop("marketplace")
+    # pre-aggregate items per (order, product) so a hot order ships few rows
+    items = t["orders.amazon_order_items"].groupBy("tenant_id", "amazon_order_id", "asin", "seller_sku").agg(
+        F.sum("quantity_ordered").alias("quantity_ordered"))
     j = o.join(items, ["tenant_id", "amazon_order_id"], "left")
     out = (j.groupBy("tenant_id", F.to_date(F.col("purchase_date").cast("timestamp_ntz")).alias("purchase_date"),
                      "marketplace", "asin", "seller_sku")

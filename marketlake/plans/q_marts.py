@@ -9,7 +9,7 @@ from marketlake.functions.dates import local_date, within_age
 from marketlake.operators.aggregates import null_audit as _null_audit
 from marketlake.operators.aggregates import pivot, value_counts as _value_counts
 from marketlake.operators.dedupe import latest_per_key
-from marketlake.operators.joins import full_join_coalesced, left_join_aggregated
+from marketlake.operators.joins import full_join_coalesced, left_join_aggregated, with_children
 from marketlake.operators.setops import pad_to, union_distinct
 from marketlake.plans.registry import register
 from marketlake.plans.tables import Tables, ts
@@ -79,13 +79,18 @@ from orders o left join lineitem l on o.o_orderkey = l.l_orderkey
 group by cast(o.o_orderdate as date), o.o_orderstatus, l.l_partkey
 """)
 def orders_summary(spark, d):
-    """J01 + A05: orders ⟕ items, grouped by the order's date (a cast expression)."""
+    """J01 + A05: orders ⟕ items, grouped by the order's date (a cast expression).
+
+    Items are pre-aggregated per (order, product) before the join (sums and
+    counts re-aggregate exactly), so a hot order ships one row per product."""
     t = Tables(spark, d)
-    j = t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    items = t.lineitem.groupBy("l_orderkey", "l_partkey").agg(F.sum(money("l_quantity")).alias("__q"),
+                                                             F.count("l_orderkey").alias("__n"))
+    j = t.orders.join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     return (j.groupBy(F.to_date("o_orderdate").alias("order_date"), F.col("o_orderstatus").alias("order_status"),
                       F.col("l_partkey").alias("asin"))
-             .agg(F.sum(money("l_quantity")).cast("double").alias("units"),
-                  F.count("l_orderkey").cast("bigint").alias("items")))
+             .agg(F.sum("__q").cast("double").alias("units"),
+                  F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("items")))
 
 
 # ---------------------------------------------------------------- C09
@@ -118,7 +123,7 @@ def order_lines_priced(spark, d):
                                    "l_linestatus"])
     listing = listing.select(F.col("l_partkey").alias("p_key"), F.col("l_returnflag").alias("p_flag"),
                              (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"))
-    lines = (t.orders.join(li, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    lines = (with_children(t.orders, li, ["o_orderkey"], ["l_orderkey"])
              .withColumn("item_price_amount",
                          F.when(F.col("l_discount") == 0.10, F.lit(None)).otherwise(F.col("l_extendedprice"))))
     j = lines.join(listing, (F.col("l_partkey") == F.col("p_key")) & (F.col("l_returnflag") == F.col("p_flag")),
@@ -172,7 +177,7 @@ from part where not exists (select 1 from lineitem where l_partkey = p_partkey)
 def fee_preview(spark, d):
     """M05 + U01 + U02: fee ratio for listed products UNION zero-stock products padded."""
     t = Tables(spark, d)
-    sold = t.lineitem.select(F.col("l_partkey").alias("p_partkey"))
+    sold = t.lineitem.select(F.col("l_partkey").alias("p_partkey")).distinct()
     listed = t.part.join(sold, "p_partkey", "left_semi")
     fee = F.col("p_retailprice") * F.lit(0.15)
     a = listed.select(F.col("p_partkey").alias("sku"), F.col("p_brand").alias("brand"),
