@@ -342,7 +342,7 @@ def keyword_opportunity(t: Tables, country: str, min_score: float = 3.0, legacy_
                    F.col("Search Volume").alias("cerebro_search_volume"), F.col("Position (Rank)").alias("position_rank"),
                    F.col("Relative Rank").alias("relative_rank"),
                    F.col("Competitor Performance Score").alias("competitor_performance_score"),
-                   F.col("H10 PPC Sugg. Bid").alias("h10_sugg_bid"))
+                   F.col("`H10 PPC Sugg. Bid`").alias("h10_sugg_bid"))
     j = full_join_coalesced(a, b, ["category", "keyword_phrase"])
     share = (F.try_divide(F.col("impressions").cast("bigint"), F.col("search_query_volume").cast("bigint")).cast("bigint")
              if legacy_int_share else ratio("impressions", "search_query_volume"))
