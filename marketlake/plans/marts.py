@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from marketlake.functions import contains_all, local_date, product_code, ratio, within_age
 from marketlake.functions.nested import json_nonempty
 from marketlake.operators.dedupe import latest_per_key, latest_snapshot
-from marketlake.operators.joins import broadcast_if_small, full_join_coalesced
+from marketlake.operators.joins import broadcast_if_small, full_join_coalesced, with_children
 from marketlake.operators.setops import pad_to, union_distinct
 
 Tables = Mapping[str, DataFrame]
@@ -237,10 +237,11 @@ def orders_mart(t: Tables, marketplace: str, tenant_id=None, since: str = ORDERS
 def orders_summary(t: Tables, tenant_id=None, ordered=False) -> DataFrame:
     """C10 ``Orders Summary``: units per order day × marketplace × product."""
     o = _tenant(t["orders.amazon_orders"], tenant_id)
-    # pre-aggregate items per (order, product) so a hot order ships few rows
-    items = t["orders.amazon_order_items"].groupBy("tenant_id", "amazon_order_id", "asin", "seller_sku").agg(
-        F.sum("quantity_ordered").alias("quantity_ordered"))
-    j = o.join(items, ["tenant_id", "amazon_order_id"], "left")
+    items = t["orders.amazon_order_items"].select(F.col("tenant_id").alias("__t"),
+                                                  F.col("amazon_order_id").alias("__o"),
+                                                  "asin", "seller_sku", "quantity_ordered")
+    # orders ⟕ items as items ⋈ orders ∪ orders ▷ items: a hot order stays splittable
+    j = with_children(o, items, ["tenant_id", "amazon_order_id"], ["__t", "__o"])
     out = (j.groupBy("tenant_id", F.to_date(F.col("purchase_date").cast("timestamp_ntz")).alias("purchase_date"),
                      "marketplace", "asin", "seller_sku")
             .agg(F.sum("quantity_ordered").alias("quantity_ordered")))

@@ -159,3 +159,17 @@ def test_history_repair(spark):
     assert [r["targeting"] for r in out] == ["close-match", 'asin="B0ABC"']
     assert [r["match_type"] for r in out] == ["TARGETING_EXPRESSION_PREDEFINED", "TARGETING_EXPRESSION"]
     assert [r["ad_group_id"] for r in out] == [2, 2] and out[1]["cost_per_click"] == 0.0
+
+
+def test_orders_summary_mart(spark):
+    o = spark.createDataFrame([(1, "US", "o1", dt.datetime(2024, 2, 1, 5)), (1, "US", "o2", dt.datetime(2024, 2, 1, 6)),
+                               (2, "US", "o1", dt.datetime(2024, 2, 2, 5))],
+                              "tenant_id int, marketplace string, amazon_order_id string, purchase_date timestamp")
+    items = spark.createDataFrame([(1, "o1", "A", "S", 2), (1, "o1", "A", "S", 3), (2, "o1", "B", "T", 1)],
+                                  "tenant_id int, amazon_order_id string, asin string, seller_sku string, "
+                                  "quantity_ordered long")
+    got = sorted(((r["tenant_id"], str(r["purchase_date"]), r["asin"], r["quantity_ordered"])
+                  for r in marts.orders_summary({"orders.amazon_orders": o,
+                                                 "orders.amazon_order_items": items}).collect()), key=repr)
+    assert got == sorted([(1, "2024-02-01", None, None), (1, "2024-02-01", "A", 5), (2, "2024-02-02", "B", 1)],
+                         key=repr)
