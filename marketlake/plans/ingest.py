@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
+from marketlake.functions._util import ts_lit
 from pyspark.sql import types as T
 
 from marketlake import functions as mf
@@ -91,7 +93,7 @@ def finance_events(pages: DataFrame, loaded_at) -> DataFrame:
     items = ev.select("*", F.explode_outer("ShipmentItemList").alias("__item")).drop("ShipmentItemList")
     items = items.select("*", *[F.col(f"__item.{f.name}").alias(f"item_{f.name}")
                                 for f in items.schema["__item"].dataType.fields]).drop("__item")
-    return normalise_names(flatten(items)).withColumn("loaded_at", F.lit(loaded_at).cast("timestamp"))
+    return normalise_names(flatten(items)).withColumn("loaded_at", ts_lit(loaded_at))
 
 
 # ---------------------------------------------------------------- C23 snapshots
@@ -164,7 +166,7 @@ def fee_estimates(responses: DataFrame, recorded_at) -> DataFrame:
         F.when(ok, F.col("FeesEstimate.TotalFeesEstimate.Amount")).alias("est_total_fees"),
         *[F.when(ok, c).alias(n) for n, c in cols.items()],
         F.when(~ok, F.col("Error.Code")).alias("error_code"), F.when(~ok, F.col("Error.Message")).alias("error_message"),
-        F.lit(recorded_at).cast("timestamp").alias("recorded_at"))
+        ts_lit(recorded_at).alias("recorded_at"))
 
 
 # ---------------------------------------------------------------- C27 keyword ranks
@@ -217,7 +219,7 @@ def warehouse_stock(pages: DataFrame, record_path: str, warehouse: str, account:
     sorted within partitions by SKU for the append (O05)."""
     df = flatten(explode_records(pages, record_path))
     df = tag(df, warehouse_name=warehouse, account_name=account,
-             recorded_at=F.lit(recorded_at).cast("timestamp"))
+             recorded_at=ts_lit(recorded_at))
     return df.sortWithinPartitions(*[c for c in ("SKU", "sku") if c in df.columns][:1] or df.columns[:1])
 
 

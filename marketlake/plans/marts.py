@@ -15,6 +15,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.functions._util import ts_lit
+
 from marketlake.functions import contains_all, local_date, product_code, ratio, within_age
 from marketlake.functions.nested import json_nonempty
 from marketlake.operators.dedupe import latest_per_key, latest_snapshot
@@ -205,7 +207,7 @@ def orders_mart(t: Tables, marketplace: str, tenant_id=None, since: str = ORDERS
     listing price × quantity unless the order is a replacement; GMT and fixed
     PDT (−07:00) dates."""
     o = _tenant(t["orders.amazon_orders"], tenant_id).where(
-        (F.col("marketplace") == marketplace) & (F.col("purchase_date") >= F.lit(since).cast("timestamp")))
+        (F.col("marketplace") == marketplace) & (F.col("purchase_date") >= ts_lit(since)))
     items = t["orders.amazon_order_items"].drop("marketplace")
     cp = t["product_pricing.competitive_pricing"]
     cp = cp.where((F.col("customer_type") == "Business") &
@@ -216,7 +218,9 @@ def orders_mart(t: Tables, marketplace: str, tenant_id=None, since: str = ORDERS
     listing = F.get(F.col("product_competitive_pricing_competitive_prices"), 0)["Price"]["ListingPrice"]
     latest = latest.select("tenant_id", "asin", "marketplace",
                            listing["CurrencyCode"].alias("__cur"), listing["Amount"].cast("double").alias("__amt"))
-    j = (o.join(items, ["tenant_id", "amazon_order_id"], "left")
+    items = items.withColumnsRenamed({"tenant_id": "__t", "amazon_order_id": "__o"})
+    # orders ⟕ items in the skew-splittable form; the price dimension has one row per key
+    j = (with_children(o, items, ["tenant_id", "amazon_order_id"], ["__t", "__o"]).drop("__t", "__o")
           .join(latest, ["tenant_id", "asin", "marketplace"], "left"))
     not_repl = F.col("is_replacement_order") == F.lit(False)
     cur_missing = F.col("item_price_currency_code").isNull() | (F.col("item_price_currency_code") == "nan")

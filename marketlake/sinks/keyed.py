@@ -22,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlake.functions._util import ts_lit
+
 from marketlake.operators.dedupe import assert_unique, dedupe
 from marketlake.session import scratch_path
 
@@ -57,7 +59,7 @@ def merge_frames(current: DataFrame, batch: DataFrame, keys: Sequence[str], miss
         else:
             cols.append(F.lit(None).cast(current.schema[c].dataType).alias(c))
     if audit:
-        stamp = F.lit(as_of).cast("timestamp") if as_of is not None else F.current_timestamp()
+        stamp = ts_lit(as_of) if as_of is not None else F.current_timestamp()
         if "created_at" in current.columns:
             cols.append(F.coalesce(F.col("__old_created_at"), stamp).alias("created_at"))
         if "updated_at" in current.columns:
@@ -135,7 +137,7 @@ class KeyedTable:
     def _stamp(self, df: DataFrame, as_of) -> DataFrame:
         if not self.audit:
             return df
-        stamp = F.lit(as_of).cast("timestamp") if as_of is not None else F.current_timestamp()
+        stamp = ts_lit(as_of) if as_of is not None else F.current_timestamp()
         return df.withColumns({"created_at": stamp, "updated_at": stamp})
 
     def upsert(self, batch: DataFrame, as_of=None, missing: str = "null", order_by=None) -> DataFrame:

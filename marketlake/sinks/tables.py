@@ -7,6 +7,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+
+from marketlake.functions._util import ts_lit
 from pyspark.sql import types as T
 
 from marketlake.operators.dedupe import latest_per_key
@@ -42,7 +44,7 @@ def append_once(df: DataFrame, path: str, stamp_col: str, as_of: dt.datetime,
     spark = df.sparkSession
     if loaded_on(spark, path, stamp_col, as_of.date()):
         return False
-    load(df.withColumn(stamp_col, F.lit(as_of).cast("timestamp")), path, "append", partition_by)
+    load(df.withColumn(stamp_col, ts_lit(as_of)), path, "append", partition_by)
     return True
 
 
