@@ -227,3 +227,120 @@ def insert_distinct_on(spark, d):
     b = dd.dedupe(b, ["o_orderkey"], ["o_orderdate desc", "l_linenumber", "o_totalprice"], keep="first",
                   ties=[]).drop("l_linenumber")
     return _ido(cur, b, ["o_orderkey"], ["o_orderkey"])
+
+
+@register("null_safe_outer_merge", """
+with l as (select c_nationkey as nation, nullif(c_mktsegment, 'BUILDING') as segment,
+                  cast(count(*) as bigint) as customers
+           from customer group by 1, 2),
+r as (select s_nationkey as nation2, case when s_acctbal < 0 then null else 'AUTOMOBILE' end as segment2,
+             cast(count(*) as bigint) as suppliers
+      from supplier group by 1, 2)
+select * from l full join r on l.nation is not distinct from r.nation2 and l.segment is not distinct from r.segment2
+""")
+def null_safe_outer_merge(spark, d):
+    """Outer merge on differently named keys where NULL matches NULL (pandas)."""
+    from marketlake.operators.joins import outer_merge
+    t = Tables(spark, d)
+    left = t.customer.groupBy(F.col("c_nationkey").alias("nation"),
+                              F.nullif("c_mktsegment", F.lit("BUILDING")).alias("segment")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("customers"))
+    right = t.supplier.groupBy(F.col("s_nationkey").alias("nation2"),
+                               F.when(F.col("s_acctbal") >= 0, F.lit("AUTOMOBILE")).alias("segment2")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("suppliers"))
+    return outer_merge(left, right, ["nation", "segment"], ["nation2", "segment2"])
+
+
+@register("map_lookup", """
+select s.s_suppkey, m.c_name as nation_customer
+from supplier s left join (select c_nationkey, min(c_name) as c_name from customer group by c_nationkey) m
+  on s.s_nationkey = m.c_nationkey
+""")
+def map_lookup(spark, d):
+    """``series.map(mapping)`` against a mapping with many values per key
+    (made unique first, so no fan-out)."""
+    from marketlake.operators.joins import map_lookup as _ml
+    t = Tables(spark, d)
+    out = _ml(t.supplier, "s_nationkey", t.customer, "c_nationkey", "c_name", out="nation_customer")
+    return out.select("s_suppkey", "nation_customer")
+
+
+@register("array_predicates", """
+with a as (select c_custkey,
+                  case when c_acctbal < 0 then null
+                       else [c_mktsegment, case when c_acctbal > 5000 then 'RICH' else 'PLAIN' end] end as tags,
+                  case when c_acctbal > 5000 then '[{"k": 1}]' else '[]' end as payload
+           from customer)
+select c_custkey, list_has_all(tags, ['BUILDING', 'RICH']) as building_and_rich,
+       coalesce(json_array_length(payload), 0) > 0 as has_payload
+from a
+""")
+def array_predicates(spark, d):
+    """F12 array contains all (NULL array → NULL) and F13 JSON array not empty."""
+    c = Tables(spark, d).customer
+    tags = F.when(F.col("c_acctbal") >= 0, F.array(F.col("c_mktsegment"),
+                                                   F.when(F.col("c_acctbal") > 5000, "RICH").otherwise("PLAIN")))
+    payload = F.when(F.col("c_acctbal") > 5000, F.lit('[{"k": 1}]')).otherwise(F.lit("[]"))
+    x = c.select("c_custkey", tags.alias("tags"), payload.alias("payload"))
+    return x.select("c_custkey", mf.contains_all("tags", ["BUILDING", "RICH"]).alias("building_and_rich"),
+                    mf.json_nonempty("payload").alias("has_payload"))
+
+
+@register("prefixed_columns", """
+select event_id as event_id, user_id as user_id, event_type as event_type, 'US' as marketplace,
+       cast(1 as integer) as tenant_id, coalesce(nullif(event_type, 'error'), 'unknown') as event_kind
+from events
+""")
+def prefixed_columns(spark, d):
+    """P08 strip a name prefix, P09 keep columns up to a name, P11 provenance
+    literals, P15 NULL defaults."""
+    from marketlake.operators.names import select_until, strip_prefix
+    from marketlake.operators.shape import fill_defaults, tag
+    e = Tables(spark, d).events
+    raw = e.select(*[F.col(c).alias(f"inventoryDetails_{c}") for c in ("event_id", "user_id", "event_type", "ts")])
+    x = select_until(strip_prefix(raw, "inventoryDetails_"), "event_type")
+    x = x.withColumn("event_kind", F.nullif("event_type", F.lit("error")))
+    x = fill_defaults(tag(x, marketplace="US", tenant_id=F.lit(1).cast("int")), {"event_kind": "unknown"})
+    return x
+
+
+@register("long_dates", """
+select o_orderkey, cast(o_orderdate as date) as order_date from orders
+""")
+def long_dates(spark, d):
+    """D08: 'January 5, 1998' style dates parsed back."""
+    o = Tables(spark, d).orders
+    return o.select("o_orderkey", mf.long_date(F.date_format("o_orderdate", "MMMM d, yyyy")).alias("order_date"))
+
+
+@register("share_ratios", """
+with c as (select o.o_custkey, cast(count(l.l_orderkey) as bigint) as lines, cast(count(distinct o.o_orderkey) as bigint)
+                  as orders
+           from orders o join lineitem l on o.o_orderkey = l.l_orderkey group by o.o_custkey)
+select o_custkey, lines, orders, lines // nullif(orders, 0) as lines_per_order_int,
+       cast(lines as double) / nullif(cast(orders as double), 0) as lines_per_order
+from c
+""")
+def share_ratios(spark, d):
+    """M03 legacy integer division next to the true ratio."""
+    t = Tables(spark, d)
+    per_order = t.lineitem.groupBy("l_orderkey").agg(F.count("l_orderkey").alias("n"))
+    j = t.orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "inner")
+    c = j.groupBy("o_custkey").agg(F.sum("n").cast("bigint").alias("lines"),
+                                   F.count(F.lit(1)).cast("bigint").alias("orders"))
+    return c.select("o_custkey", "lines", "orders", mf.int_ratio("lines", "orders").alias("lines_per_order_int"),
+                    mf.ratio("lines", "orders").alias("lines_per_order"))
+
+
+@register("nested_lists", """
+select l_orderkey, l_linenumber, l_orderkey + l_partkey + l_suppkey as key_sum,
+       '[' || l_orderkey || ',' || l_partkey || ',' || l_suppkey || ']' as keys_json
+from lineitem
+""")
+def nested_lists(spark, d):
+    """N10 flatten a list of lists, A15 sum over it, N07 JSON dump."""
+    li = Tables(spark, d).lineitem
+    nested = F.array(F.array("l_orderkey"), F.array("l_partkey", "l_suppkey"))
+    flat = mf.flatten_lists(nested)
+    return li.select("l_orderkey", "l_linenumber", mf.sum_ints(flat).alias("key_sum"),
+                     F.to_json(flat).alias("keys_json"))
