@@ -74,10 +74,15 @@ def carry_down(df: DataFrame, group: Sequence[str], order, is_master: Column, co
     inside = Window.partitionBy(*keys).orderBy("__pos").rowsBetween(Window.unboundedPreceding, 0)
     # a struct is non-NULL even when the master's values are NULL, so NULLs carry too
     run = seg.withColumn("__run", F.last(F.when(F.col("__m"), vals), ignorenulls=True).over(inside))
-    seg_last = seg.where(F.col("__m")).groupBy(*keys).agg(F.max_by(vals, F.col("__pos")).alias("__s"))
-    all_seg = seg.select(*keys).distinct().join(seg_last, keys, "left")
+    # one row per segment: its last master's values, NULL when it has none
+    # (max_by skips NULL orderings), so segments without masters still get a row
+    seg_last = seg.groupBy(*keys).agg(F.max_by(F.when(F.col("__m"), vals),
+                                               F.when(F.col("__m"), F.col("__pos"))).alias("__s"))
     before = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    carried = all_seg.select(*keys, F.last("__s", ignorenulls=True).over(before).alias("__c"))
-    out = run.join(carried, keys, "left").withColumn("__v", F.coalesce("__run", "__c"))
+    carried = seg_last.select(*keys, F.last("__s", ignorenulls=True).over(before).alias("__c"))
+    carried = carried.toDF(*[f"__k{i}" for i in range(len(keys))], "__c")
+    cond = [run[k].eqNullSafe(carried[f"__k{i}"]) for i, k in enumerate(keys)]  # NULL groups match too
+    out = run.join(carried, cond, "left").drop(*[f"__k{i}" for i in range(len(keys))])
+    out = out.withColumn("__v", F.coalesce("__run", "__c"))
     out = out.withColumns({f"{prefix}{c}": F.col("__v")[c] for c in cols})
     return out.drop("__m", "__pid", "__pos", "__run", "__c", "__v")
