@@ -18,15 +18,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.operators.dedupe import total_order
+from marketlake.session import checkpoint_dir
 
 
-def _segments(df: DataFrame, group: Sequence[str], order, ties=None, partitions: int | None = None) -> DataFrame:
+def _segments(df: DataFrame, group: Sequence[str], order, ties=None, partitions: int | None = None,
+              materialize: bool = True) -> DataFrame:
+    """Range-partition on (group, order), sort each partition, tag rows with
+    (partition id, position in partition).
+
+    The result is read twice (segment counts, then the rows), and the two reads
+    prune different columns, so Spark would not reuse one exchange: it would scan
+    and range-shuffle the input twice.  With ``materialize`` the tagged rows are
+    written once with ``checkpoint()`` to the shared ``spark.checkpoint.dir``
+    folder.  That cuts the lineage, and the ids can no longer differ between the
+    two reads, not even after an executor is lost."""
     sort = [F.col(g).asc_nulls_first() for g in group] + total_order(df, group, order, ties)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
     # position inside the (sorted) partition: the id's low 33 bits
-    return (ranged.withColumn("__pid", F.spark_partition_id())
-                  .withColumn("__pos", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
+    tagged = (ranged.withColumn("__pid", F.spark_partition_id())
+                    .withColumn("__pos", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
+    if not materialize:
+        return tagged
+    checkpoint_dir(df.sparkSession)
+    return tagged.checkpoint(eager=True)
 
 
 def ordinal(df: DataFrame, group: Sequence[str], order, name: str = "rn", ties=None,
