@@ -2,7 +2,6 @@
 import datetime as dt
 import gzip
 import json
-import os
 
 from pyspark.sql import types as T
 
