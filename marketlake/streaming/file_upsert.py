@@ -23,7 +23,7 @@ def stream_upsert(spark: SparkSession, folder: str, glob: str, schema: T.StructT
                   checkpoint: str | None = None, order_by=None, max_files_per_trigger: int | None = None):
     """Run the stream until every file present now is processed (``availableNow``)."""
     table = KeyedTable(spark, table_path, keys, partition_cols, audit=False)
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob).option("recursiveFileLookup", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.format(fmt).load(folder)
