@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 
 from marketlake.operators.dedupe import latest_per_key
 
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+DEFAULT_BROADCAST_BYTES = 16 * 1024 * 1024  # of the optimizer estimate (compressed Parquet bytes)
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
     """Optimizer size estimate of a plan (no job is run), or None if unknown."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size if isinstance(size, int) else size.toString())  # py4j may hand back a Python int
     except Exception:  # Spark Connect or an unexpected plan: no estimate
         return None
 

@@ -97,3 +97,11 @@ def test_union_ops(spark):
     cal = spark.createDataFrame([(dt.date(2024, 1, d),) for d in (1, 2, 3)], "d date")
     have = spark.createDataFrame([(dt.datetime(2024, 1, 2, 5),)], "t timestamp_ntz")
     assert rows(so.missing_dates(cal, have, "d", "t"), "d") == [(dt.date(2024, 1, 1),), (dt.date(2024, 1, 3),)]
+
+
+def test_broadcast_guard_uses_estimate(spark):
+    small = spark.read.parquet("/root/testdata/sf0.001/supplier.parquet")
+    big = spark.read.parquet("/root/testdata/sf0.1/lineitem.parquet")
+    assert 0 < jn.estimated_bytes(small) < 10 ** 6 < jn.estimated_bytes(big)
+    assert "ResolvedHint" in jn.broadcast_if_small(small, 10 ** 6)._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in jn.broadcast_if_small(big, 10 ** 6)._jdf.queryExecution().analyzed().toString()
