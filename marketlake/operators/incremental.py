@@ -40,10 +40,14 @@ def newer_than_max(batch: DataFrame, current: DataFrame, ts: str, current_ts: st
     return batch.where(mx.isNull() | (F.col(ts) > mx))
 
 
-def read_newer_files(spark: SparkSession, fmt: str, path: str, modified_after: str, **options) -> DataFrame:
+def read_newer_files(spark: SparkSession, fmt: str, path: str, modified_after: str, schema=None,
+                     **options) -> DataFrame:
     """Read only files modified after a timestamp (``modifiedAfter``), e.g.
-    ``MAX(updated_at)`` of the target table."""
+    ``MAX(updated_at)`` of the target table.  Give the schema: when no file is
+    newer there is nothing to infer it from."""
     r = spark.read.format(fmt).option("modifiedAfter", modified_after)
+    if schema is not None:
+        r = r.schema(schema)
     for k, v in options.items():
         r = r.option(k, v)
     return r.load(path)

@@ -2,6 +2,7 @@
 import datetime as dt
 import gzip
 import json
+import os
 
 from pyspark.sql import types as T
 
@@ -84,3 +85,35 @@ def test_catalog_types_and_dimensions(spark):
     assert s.names == ["date", "campaignId", "cost"]
     assert stored_schema("date, campaignId", "DAILY").names == ["tenant_id", "marketplace", "date", "campaign_id"]
     assert marketplaces(spark).count() == 22
+
+
+def test_read_any_wrapped_listing_and_newer(spark, tmp_path):
+    import time
+    d = tmp_path / "biz"
+    d.mkdir()
+    doc = {"reportSpecification": {"reportType": "X"},
+           "salesAndTrafficByAsin": [{"parentAsin": "P1", "trafficByAsin": {"sessions": 3}},
+                                     {"parentAsin": "P2", "trafficByAsin": {"sessions": 5}}]}
+    with gzip.open(d / "report.json.gz", "wt") as f:
+        json.dump(doc, f)
+    schema = T.StructType.fromDDL("salesAndTrafficByAsin ARRAY<STRUCT<parentAsin: STRING, "
+                                  "trafficByAsin: STRUCT<sessions: BIGINT>>>")
+    df = fs.read_wrapped_json(spark, str(d), schema, "salesAndTrafficByAsin")
+    assert sorted((r["parentAsin"], r["trafficByAsin_sessions"]) for r in df.collect()) == [("P1", 3), ("P2", 5)]
+    assert fs.read_any(spark, str(d / "report.json.gz"), schema).count() == 1
+    csv = tmp_path / "x.csv"
+    csv.write_text("a,b\n1,2\n")
+    assert fs.read_any(spark, str(csv)).first()["b"] == "2"
+    files = fs.list_files(spark, str(tmp_path), "*.gz").collect()
+    assert [os.path.basename(r["path"]) for r in files] == ["report.json.gz"]
+    cutoff = time.strftime("%Y-%m-%dT%H:%M:%S", time.gmtime(time.time() + 3600))
+    from marketlake.operators.incremental import read_newer_files
+    assert read_newer_files(spark, "csv", str(tmp_path), cutoff, "a string, b string", header=True,
+                            pathGlobFilter="*.csv").count() == 0
+
+
+def test_sqp_file_tags(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([("/x/US_Search_Query_Performance_Brand_View_Week.csv",)], "p string")
+    r = df.select(*[c.alias(n) for n, c in fs.sqp_file_tags(F.col("p")).items()]).first()
+    assert (r["marketplace"], r["view"]) == ("US", "brand")
