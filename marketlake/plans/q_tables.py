@@ -91,7 +91,7 @@ AS_OF = dt.datetime(2024, 2, 1, 6, 0, 0)
 
 
 @register("append_once", """
-select *, timestamp '2024-02-01 06:00:00' as loaded_at from events
+select *, timestamp '2024-02-01 06:00:00' as loaded_at, date '2024-02-01' as load_date from events
 """)
 def append_once(spark, d):
     """A daily snapshot appended twice on one day is stored once."""

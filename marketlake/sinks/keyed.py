@@ -113,6 +113,13 @@ class KeyedTable:
         vals = [r.asDict() for r in batch.select(*self.partition_cols).distinct().collect()]
         if not vals:
             return current.limit(0)
+        if len(self.partition_cols) == 1:  # one IN list: static partition pruning
+            k = self.partition_cols[0]
+            present = [v[k] for v in vals if v[k] is not None]
+            cond = F.col(k).isin(present) if present else F.lit(False)
+            if len(present) < len(vals):
+                cond = cond | F.col(k).isNull()
+            return current.where(cond)
         cond = None
         for v in vals:
             c = None

@@ -29,22 +29,34 @@ def load(df: DataFrame, path: str, mode: str = "append", partition_by: Sequence[
     w.parquet(path)
 
 
-def loaded_on(spark: SparkSession, path: str, stamp_col: str, day: dt.date) -> bool:
-    """K06 guard: ``MAX(DATE(stamp_col)) = day``.  Reads one column only."""
+def loaded_on(spark: SparkSession, path: str, stamp_col: str, day: dt.date, date_partition: str | None = None) -> bool:
+    """K06 guard: ``MAX(DATE(stamp_col)) = day``.
+
+    With ``date_partition`` (the table is partitioned by load day) the answer is
+    whether that partition folder exists: a metadata call, no scan, whatever the
+    table's size.  Otherwise one column is scanned."""
     if not _exists(spark, path):
         return False
+    if date_partition:
+        return _exists(spark, f"{path.rstrip('/')}/{date_partition}={day.isoformat()}")
     mx = spark.read.parquet(path).agg(F.max(F.to_date(stamp_col)).alias("d")).first()["d"]
     return mx == day
 
 
 def append_once(df: DataFrame, path: str, stamp_col: str, as_of: dt.datetime,
-                partition_by: Sequence[str] = ()) -> bool:
+                partition_by: Sequence[str] = (), date_partition: str | None = "load_date") -> bool:
     """Append ``df`` stamped with ``as_of`` unless a load already happened that
-    day (UTC).  Returns whether it wrote."""
+    day (UTC).  Returns whether it wrote.  By default the append log is
+    partitioned by ``load_date`` so the guard is a folder lookup."""
     spark = df.sparkSession
-    if loaded_on(spark, path, stamp_col, as_of.date()):
+    if loaded_on(spark, path, stamp_col, as_of.date(), date_partition):
         return False
-    load(df.withColumn(stamp_col, ts_lit(as_of)), path, "append", partition_by)
+    out = df.withColumn(stamp_col, ts_lit(as_of))
+    parts = list(partition_by)
+    if date_partition:
+        out = out.withColumn(date_partition, F.lit(as_of.date().isoformat()).cast("date"))
+        parts = [date_partition, *parts]
+    load(out, path, "append", parts)
     return True
 
 

@@ -17,6 +17,8 @@ def test_append_once_and_rewrite(spark):
     assert tb.append_once(df, path, "loaded_at", dt.datetime(2024, 1, 1, 23)) is False
     assert tb.append_once(df, path, "loaded_at", dt.datetime(2024, 1, 2, 1)) is True
     assert spark.read.parquet(path).count() == 6
+    assert sorted(x for x in os.listdir(path) if x.startswith("load_date=")) == ["load_date=2024-01-01",
+                                                                                 "load_date=2024-01-02"]
     tb.rewrite_deduped(spark, path, ["k"], ["loaded_at desc"])
     got = sorted((r["k"], r["loaded_at"]) for r in spark.read.parquet(path).collect())
     assert got == [(1, dt.datetime(2024, 1, 2, 1)), (2, dt.datetime(2024, 1, 2, 1))]
