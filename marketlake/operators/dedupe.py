@@ -70,15 +70,22 @@ def total_order(df: DataFrame, keys: Sequence[str], order=None, ties: Sequence[s
     the default tie-break.  ``reverse`` flips every direction and NULL placement.
     """
     spec = parse_order(order)
+    nested: list[str] = []
     if ties is None:
-        simple = {"array", "map", "struct", "variant"}
+        complex_types = {"array", "map", "struct"}
         used = set(keys) | {s[0] for s in spec}
-        ties = [f.name for f in df.schema.fields
-                if f.name not in used and f.dataType.typeName() not in simple]
+        rest = [f for f in df.schema.fields if f.name not in used and f.dataType.typeName() != "variant"]
+        ties = [f.name for f in rest if f.dataType.typeName() not in complex_types]
+        # nested values are compared through their JSON text (maps are not orderable)
+        nested = [f.name for f in rest if f.dataType.typeName() in complex_types]
     spec += [(t, False, True) for t in ties]
     if reverse:
         spec = [(n, not d, not nf) for n, d, nf in spec]
-    return sort_exprs(spec)
+    out = sort_exprs(spec)
+    for n in nested:
+        j = F.to_json(F.col(n))
+        out.append(j.desc_nulls_last() if reverse else j.asc_nulls_first())
+    return out
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order, ties: Sequence[str] | None = None) -> DataFrame:

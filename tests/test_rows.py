@@ -105,3 +105,9 @@ def test_broadcast_guard_uses_estimate(spark):
     assert 0 < jn.estimated_bytes(small) < 10 ** 6 < jn.estimated_bytes(big)
     assert "ResolvedHint" in jn.broadcast_if_small(small, 10 ** 6)._jdf.queryExecution().analyzed().toString()
     assert "ResolvedHint" not in jn.broadcast_if_small(big, 10 ** 6)._jdf.queryExecution().analyzed().toString()
+
+
+def test_ties_on_nested_columns_are_deterministic(spark):
+    df = spark.createDataFrame([(1, {"b": 2}, [2]), (1, {"a": 1}, [1])], "k int, m map<string,int>, a array<int>")
+    assert dd.latest_per_key(df, ["k"], None).first()["a"] == [1]
+    assert dd.dedupe(df, ["k"], None, keep="last").first()["a"] == [2]
