@@ -342,3 +342,25 @@ def business_report_batch(records: DataFrame, tenant_id: int, marketplace: str,
     ``read_wrapped_json``) → stored names, tagged with tenant/marketplace/date."""
     df = normalise_names(records.drop("source_file"))
     return tag(df, tenant_id=F.lit(tenant_id).cast("int"), marketplace=marketplace, date=F.lit(day).cast("date"))
+
+
+# ---------------------------------------------------------------- C28 SP-API form
+def active_asins(summaries: DataFrame, tenant_id: int, marketplace: str, start, end) -> DataFrame:
+    """C28 work list: distinct ASINs listed as DISCOVERABLE and BUYABLE between
+    ``start − 6 days`` and ``end`` (F12, F04, F14, A08)."""
+    s = F.date_sub(F.lit(start).cast("date"), 6)
+    e = F.lit(end).cast("date")
+    return (summaries.where((F.col("marketplace") == marketplace) & (F.col("tenant_id") == tenant_id)
+                            & (F.col("date") >= s) & (F.col("date") <= e)
+                            & mf.contains_all("status", ["DISCOVERABLE", "BUYABLE"])
+                            & F.col("asin").isNotNull() & (F.col("asin") != ""))
+            .select("asin").distinct())
+
+
+def sqp_api_batch(records: DataFrame, tenant_id: int, marketplace: str) -> DataFrame:
+    """C28 SP-API form: ``dataByAsin`` records (``read_wrapped_json``) flattened,
+    the first ``_`` segment of each nested name dropped (P08), tagged."""
+    df = strip_prefix(flatten(records.drop("source_file") if "source_file" in records.columns else records),
+                      first_segment=True)
+    df = normalise_names(df)
+    return tag(df, tenant_id=F.lit(tenant_id).cast("int"), marketplace=marketplace)

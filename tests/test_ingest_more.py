@@ -229,3 +229,17 @@ def test_inventory_marts_and_keywords(spark):
         "search_query string, reporting_date date, search_query_volume long, search_query_score double, "
         "country string")}).collect()
     assert len(trend) == 1 and len(trend[0]) == 3
+
+
+def test_sqp_api_and_active_asins(spark):
+    rec = spark.createDataFrame([("B0A", ("shoes", 10), (5,))],
+                                "asin string, searchQueryData struct<searchQuery: string, searchQueryScore: long>, "
+                                "impressionData struct<totalQueryImpressionCount: long>")
+    out = ingest.sqp_api_batch(rec, 1, "US").first().asDict()
+    assert out["search_query"] == "shoes" and out["total_query_impression_count"] == 5 and out["asin"] == "B0A"
+    summ = spark.createDataFrame([
+        (1, "US", D(2024, 1, 1), "B0A", ["DISCOVERABLE", "BUYABLE"]), (1, "US", D(2024, 1, 2), "B0A", ["BUYABLE"]),
+        (1, "US", D(2023, 12, 20), "B0B", ["DISCOVERABLE", "BUYABLE"]), (1, "US", D(2024, 1, 3), "", ["DISCOVERABLE", "BUYABLE"]),
+        (2, "US", D(2024, 1, 3), "B0C", ["DISCOVERABLE", "BUYABLE"])],
+        "tenant_id int, marketplace string, date date, asin string, status array<string>")
+    assert [r[0] for r in ingest.active_asins(summ, 1, "US", "2024-01-06", "2024-01-13").collect()] == ["B0A"]
