@@ -87,3 +87,15 @@ def month_bounds(d) -> tuple[Column, Column]:
     """First and last day of the month of ``d``."""
     d = F.to_date(as_col(d))
     return F.trunc(d, "month"), F.last_day(d)
+
+
+def finance_windows(targets: DataFrame, as_of: dt.datetime) -> DataFrame:
+    """G08 finances: every (tenant, marketplace) row of ``targets`` gets its
+    posted-after / posted-before window: 730 days on Sundays at 05h (weekly
+    catch-up), otherwise 180 days, both ending today."""
+    weekly = as_of.weekday() == 6 and as_of.hour == 5
+    days = FINANCE_LOOKBACK_DAYS["weekly" if weekly else "daily"]
+    today = as_of.date()
+    return targets.withColumns({"posted_after": F.lit(today - dt.timedelta(days=days)).cast("date"),
+                                "posted_before": F.lit(today).cast("date"),
+                                "lookback": F.lit("weekly" if weekly else "daily")})

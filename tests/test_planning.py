@@ -39,3 +39,12 @@ def test_weekly_windows(spark):
     df = spark.createDataFrame([(dt.date(2024, 1, 1), dt.date(2024, 1, 31))], "s date, e date")
     w = [(r["week_start"], r["week_end"]) for r in weekly_windows(df, "s", "e").orderBy("week_end").collect()]
     assert w[0] == (dt.date(2023, 12, 31), dt.date(2024, 1, 6)) and w[-1][1] == dt.date(2024, 1, 27)
+
+
+def test_finance_windows(spark):
+    from marketlake.operators.planning import finance_windows
+    t = spark.createDataFrame([(1, "US"), (1, "CA")], "tenant_id int, marketplace string")
+    sunday = finance_windows(t, dt.datetime(2024, 3, 10, 5)).first()
+    assert sunday["lookback"] == "weekly" and (sunday["posted_before"] - sunday["posted_after"]).days == 730
+    other = finance_windows(t, dt.datetime(2024, 3, 11, 3)).first()
+    assert other["lookback"] == "daily" and (other["posted_before"] - other["posted_after"]).days == 180
