@@ -150,3 +150,24 @@ def schema_diff(expected: T.StructType, df: DataFrame) -> dict:
         "extra": [c for c in have if c not in want],
         "type_mismatch": {c: (str(want[c]), str(have[c])) for c in want if c in have and want[c] != have[c]},
     }
+
+
+def percent_text_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """K01 step 4: a text column bound for a float column is read as a number; when
+    *any* of its values carries ``%`` (decided per column over the whole batch by a
+    scalar subquery, not on the driver), every value is divided by 100."""
+    out = df
+    for c in cols:
+        has_pct = df.select(F.max(F.col(_q(c)).contains("%"))).scalar()
+        num = F.replace(F.col(_q(c)).cast("string"), F.lit("%"), F.lit("")).try_cast("double")
+        out = out.withColumn(c, F.when(F.coalesce(has_pct, F.lit(False)), num / F.lit(100.0)).otherwise(num))
+    return out
+
+
+def text_to_bool(c) -> Column:
+    """K01 step 5 without its defect: 'False'/'false'/'0' → false, other non-empty
+    text → true, NULL stays NULL (the source turned NULL into true, E8)."""
+    c = F.col(_q(c)) if isinstance(c, str) else c
+    s = F.trim(c.cast("string"))
+    return F.when(s.isNull() | (s == ""), F.lit(None).cast("boolean")) \
+            .when(s.isin("False", "false", "0"), F.lit(False)).otherwise(F.lit(True))

@@ -111,3 +111,11 @@ def test_ties_on_nested_columns_are_deterministic(spark):
     df = spark.createDataFrame([(1, {"b": 2}, [2]), (1, {"a": 1}, [1])], "k int, m map<string,int>, a array<int>")
     assert dd.latest_per_key(df, ["k"], None).first()["a"] == [1]
     assert dd.dedupe(df, ["k"], None, keep="last").first()["a"] == [2]
+
+
+def test_percent_text_and_bool(spark):
+    from marketlake.operators.shape import percent_text_columns, text_to_bool
+    df = spark.createDataFrame([("12.5%", "10", "false"), ("50", "20", None), (None, "x", "yes")],
+                               "a string, b string, c string")
+    out = percent_text_columns(df, ["a", "b"]).select("a", "b", text_to_bool("c").alias("c")).collect()
+    assert [tuple(r) for r in out] == [(0.125, 10.0, False), (0.5, 20.0, None), (None, None, True)]
