@@ -14,7 +14,8 @@ def as_col(c) -> Column:
 
 
 def ts_lit(value, ntz: bool = False) -> Column:
-    """A timestamp literal read as wall-clock text in the session time zone.
+    """A timestamp literal (an explicit ``as_of`` instead of "now"), read as
+    wall-clock text in the session time zone.
 
     ``F.lit(naive_datetime)`` converts through the *Python process's* local zone;
     going through text keeps a stamp identical whatever the machine's zone is."""

@@ -15,6 +15,7 @@ DAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sun
 
 
 def ntz(c) -> Column:
+    """D02 ``::TIMESTAMP`` cast (wall clock, no zone)."""
     return as_col(c).cast("timestamp_ntz")
 
 
@@ -76,6 +77,6 @@ def date_series(start, end, step_days: int = 1) -> Column:
 
 
 def within_age(later, earlier, days: int) -> Column:
-    """``later − earlier < days`` (day-time interval), NULL ages drop."""
+    """``later − earlier < days`` (date − timestamp day-time interval), NULL ages drop."""
     diff = ntz(later) - ntz(earlier)
     return as_col(earlier).isNotNull() & (diff < F.expr(f"INTERVAL {int(days)} DAYS"))

@@ -14,7 +14,7 @@ def json_path(c, path: str) -> Column:
 
 
 def contains_all(arr, values) -> Column:
-    """PostgreSQL ``arr @> ARRAY[values]``; NULL array → NULL (dropped by filters)."""
+    """PostgreSQL ``arr @> ARRAY[values]``; NULL array → NULL (dropped by filters)."""
     arr = as_col(arr)
     return F.forall(F.array(*[F.lit(v) for v in values]), lambda x: F.array_contains(arr, x))
 

@@ -31,7 +31,7 @@ AU_SEGMENT = "| AU |"
 
 
 def product_code(c, sep: str = "-", all_code: str | None = None) -> Column:
-    """First ``sep``-separated segment when the text contains ``sep``, else NULL.
+    """X01 (X18 CASE): first ``sep``-separated segment when the text contains ``sep``, else NULL.
 
     With ``all_code`` set, the literal value ``all_code`` maps to itself
     (the 'ALL' portfolio of the brand marts).
@@ -63,7 +63,7 @@ def canonical_targeting(c) -> Column:
 
 
 def match_type(targeting, current) -> Column:
-    """``asin…`` → TARGETING_EXPRESSION; predefined names →
+    """X07 (X16 upper): ``asin…`` → TARGETING_EXPRESSION; predefined names →
     TARGETING_EXPRESSION_PREDEFINED; otherwise the current match type upper-cased."""
     t, cur = as_col(targeting), as_col(current)
     return (F.when(t.startswith("asin"), F.lit("TARGETING_EXPRESSION"))

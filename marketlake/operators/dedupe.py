@@ -23,7 +23,7 @@ _RN = "__ml_rn"
 
 
 def parse_order(order) -> list[tuple[str, bool, bool]]:
-    """Order spec → ``[(column, descending, nulls_first)]``.
+    """O01 order spec → ``[(column, descending, nulls_first)]``.
 
     Items are strings ``"c"``, ``"c desc"``, ``"c asc nulls first"`` … with
     PostgreSQL defaults (ASC → NULLS LAST, DESC → NULLS FIRST), or tuples.

@@ -22,7 +22,7 @@ def _q(name: str) -> str:
 
 def flatten(df: DataFrame, sep: str = "_", keep_arrays: bool = True) -> DataFrame:
     """``json_normalize(sep='_')``: nested struct fields become ``parent_child``
-    columns, recursively; arrays stay as array columns."""
+    columns, recursively; arrays stay typed array columns (N06: no ``{a, b}`` text form)."""
     cols: list[Column] = []
 
     def walk(path: list[str], dtype: T.DataType, expr: Column):

@@ -148,7 +148,7 @@ def fee_request_batches(offers: DataFrame, size: int = 20) -> DataFrame:
 
 
 def fee_estimates(responses: DataFrame, recorded_at) -> DataFrame:
-    """C25 response side (A13): one row per estimate, fee types pivoted out of the
+    """C25 response side (A13, N08 null-safe nested gets): one row per estimate, fee types pivoted out of the
     fee list (last match wins), failures kept with their error code/message."""
     fees = F.col("FeesEstimate.FeeDetailList")
     def fee_is(t):  # one-argument lambda: a second argument would be the element index

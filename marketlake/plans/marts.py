@@ -52,7 +52,7 @@ def _sorted(df: DataFrame, ordered: bool, *cols: Column) -> DataFrame:
 
 # ---------------------------------------------------------------- inventory
 def fba_planning_inventory(t: Tables, tenant_id=None, ordered=False) -> DataFrame:
-    """C01 ``FBA-Inv+``."""
+    """C01 ``FBA-Inv+``: F01 tenant equality filter, O01 sort (PostgreSQL NULL order)."""
     df = _tenant(t["inventory.fba_planning_inventory"], tenant_id)
     return _sorted(df, ordered, F.col("snapshot_date").desc_nulls_first(), "marketplace", "sku")
 
@@ -260,7 +260,7 @@ SHIPMENT_COLS = ["tenant_id", "origin country", "destination country", "shipment
 
 
 def shipments(t: Tables, tenant_id=None, ordered=False) -> DataFrame:
-    """C11 ``Shipments``: FBA shipments ⟕ items pre-aggregated per shipment
+    """C11 ``Shipments`` (ordered O02 ``created DESC NULLS LAST``): FBA shipments ⟕ items pre-aggregated per shipment
     ⟕ plan shipments ⟕ plans exploded to shipment ids (J05), UNION the latest AWD
     snapshot with its SKU list exploded and summed (J08, F06), NULL-padded (U02)."""
     s = _tenant(t["fulfillment_inbound.shipments"], tenant_id)
@@ -314,7 +314,7 @@ FEE_COLS = ["date", "sku", "fnsku", "asin", "amazon_store", "product_name", "pro
 
 def fee_preview(t: Tables, tenant_id=None, ordered=False) -> DataFrame:
     """C14 ``FBA Fee Preview``: fee rows with the referral-fee ratio (M05) UNION
-    zero-stock planning rows padded with NULLs.  Both fee columns are emitted
+    zero-stock (F16 ``available = 0``) planning rows padded with NULLs.  Both fee columns are emitted
     (the source's missing comma dropped one, E9)."""
     fee = _tenant(t["business_reports.fba_fee_preview"], tenant_id).withColumn(
         "referral_fee_%", ratio("estimated_referral_fee_per_unit", "your_price"))
@@ -376,3 +376,18 @@ def active_listings(t: Tables) -> DataFrame:
 def non_empty_prices(t: Tables) -> DataFrame:
     """F13 on a JSON-text price column."""
     return t["product_pricing.competitive_pricing"].where(json_nonempty("prices_json"))
+
+
+# --- fixed values that must equal the reference's: bulk-sheet columns kept ------
+BULK_COLUMNS = ["Portfolio Name (Informational only)", "Keyword Text", "Match Type", "Bid", "CPC", "Impressions",
+                "Clicks", "Orders", "Spend", "Sales", "Conversion Rate", "Acos"]
+
+
+def keyword_opportunity_with_bulk(opportunity: DataFrame, bulk: DataFrame) -> DataFrame:
+    """C15 second step: keyword rows of a bulk-operations sheet (F15
+    ``Entity = 'Keyword'``) outer-merged on (category, keyword) =
+    (portfolio name, keyword text), NULL keys matching like pandas (J07)."""
+    from marketlake.operators.joins import outer_merge
+    kw = bulk.where(F.col("Entity") == "Keyword").select(*[F.col(f"`{c}`") for c in BULK_COLUMNS if c in bulk.columns])
+    return outer_merge(opportunity, kw, ["category", "keyword_phrase"],
+                       ["Portfolio Name (Informational only)", "Keyword Text"])

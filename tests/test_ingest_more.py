@@ -243,3 +243,13 @@ def test_sqp_api_and_active_asins(spark):
         (2, "US", D(2024, 1, 3), "B0C", ["DISCOVERABLE", "BUYABLE"])],
         "tenant_id int, marketplace string, date date, asin string, status array<string>")
     assert [r[0] for r in ingest.active_asins(summ, 1, "US", "2024-01-06", "2024-01-13").collect()] == ["B0A"]
+
+
+def test_bulk_merge(spark):
+    opp = spark.createDataFrame([("Bar", "shoes", 1.0), (None, "hats", 2.0)], "category string, keyword_phrase string, x double")
+    bulk = spark.createDataFrame([("Keyword", "Bar", "shoes", 0.5), ("Campaign", "Bar", "shoes", 9.9),
+                                  ("Keyword", None, "hats", 0.7), ("Keyword", "Other", "boots", 0.1)],
+                                 "Entity string, `Portfolio Name (Informational only)` string, `Keyword Text` string, Bid double")
+    got = sorted(((r["keyword_phrase"], r["Keyword Text"], r["Bid"]) for r in
+                  marts.keyword_opportunity_with_bulk(opp, bulk).collect()), key=repr)
+    assert got == sorted([("shoes", "shoes", 0.5), ("hats", "hats", 0.7), (None, "boots", 0.1)], key=repr)
