@@ -28,6 +28,7 @@ def test_expected_physical_operators(spark):
     assert "LeftAnti" in plan("missing_children")
     assert "TakeOrderedAndProject" in plan("missing_children_topk")
     p = plan("latest_per_key")
-    assert "WindowGroupLimit" in p
+    assert "partial_max_by" in p
+    assert "WindowGroupLimit" in plan("order_lines_priced")
     scan = plan("json_path")
     assert "ReadSchema: struct<event_id:bigint,props:string>" in scan

@@ -15,15 +15,28 @@ def rows(df, *cols):
 def test_latest_per_key_nulls_first_and_ties(spark):
     df = spark.createDataFrame([(1, None, "a"), (1, dt.date(2024, 1, 2), "b"), (2, dt.date(2024, 1, 1), "c"),
                                 (2, dt.date(2024, 1, 1), "a"), (3, dt.date(2024, 1, 5), "z")], "k int, d date, v string")
-    # PostgreSQL "d DESC" puts NULLs first; exact ties go to the smallest other value
-    assert rows(dd.latest_per_key(df, ["k"], ["d desc"]), "k", "v") == [(1, "a"), (2, "a"), (3, "z")]
-    assert rows(dd.latest_per_key(df, ["k"], ["d desc nulls last"]), "k", "v") == [(1, "b"), (2, "a"), (3, "z")]
-
-
-def test_latest_per_key_plans_partial_group_limit(spark):
-    df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
-    plan = dd.latest_per_key(df, ["k"], ["v desc"])._jdf.queryExecution().executedPlan().toString()
+    # PostgreSQL "d DESC" puts NULLs first; default ties run in the order's direction (largest v)
+    assert rows(dd.latest_per_key(df, ["k"], ["d desc"]), "k", "v") == [(1, "a"), (2, "c"), (3, "z")]
+    assert rows(dd.latest_per_key(df, ["k"], ["d desc nulls last"]), "k", "v") == [(1, "b"), (2, "c"), (3, "z")]
+    # explicit ascending ties (mixed directions: window path) give the smallest v
+    assert rows(dd.latest_per_key(df, ["k"], ["d desc"], ties=["v"]), "k", "v") == [(1, "a"), (2, "a"), (3, "z")]
+    # both paths agree on the same spec
+    for order in (["d"], ["d desc"], ["d asc nulls first"], ["d desc nulls last"]):
+        agg = dd._pick_by_aggregate(df, ["k"], order, None, reverse=False)
+        from pyspark.sql import Window
+        w = Window.partitionBy("k").orderBy(*dd.total_order(df, ["k"], order))
+        win = df.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
+        assert rows(agg, "k", "d", "v") == rows(win, "k", "d", "v"), order
+
+
+def test_latest_per_key_plans(spark):
+    df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"), F.lit("x").alias("s"))
+    # mixed directions: row_number() = 1 with a partial WindowGroupLimit before the shuffle
+    plan = dd.latest_per_key(df, ["k"], ["v desc"], ties=["s"])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+    # one direction: a max_by aggregate with a partial (map-side) step
+    plan = dd.latest_per_key(df, ["k"], ["v desc"])._jdf.queryExecution().executedPlan().toString()
+    assert "max_by" in plan and "partial_max_by" in plan
 
 
 def test_dedupe_first_last(spark):
