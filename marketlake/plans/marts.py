@@ -19,7 +19,7 @@ from marketlake.functions._util import ts_lit
 
 from marketlake.functions import contains_all, local_date, product_code, ratio, within_age
 from marketlake.functions.nested import json_nonempty
-from marketlake.operators.dedupe import latest_per_key, latest_snapshot
+from marketlake.operators.dedupe import latest_per_key, latest_snapshot, latest_values
 from marketlake.operators.joins import broadcast_if_small, full_join_coalesced, with_children
 from marketlake.operators.setops import pad_to, union_distinct
 
@@ -113,8 +113,7 @@ def sp_spend(t: Tables, marketplace: str, tenant_id=None, with_console: bool | N
     camp = _tenant(t["sponsored_products.campaign"], tenant_id).where(F.col("marketplace") == marketplace)
     targ = _tenant(t["sponsored_products.targeting"], tenant_id).select("tenant_id", "campaign_id", "portfolio_id",
                                                                          "date")
-    latest = latest_per_key(targ, ["tenant_id", "campaign_id"], ["date desc"], ties=["portfolio_id"]) \
-        .select("tenant_id", "campaign_id", "portfolio_id")
+    latest = latest_values(targ, ["tenant_id", "campaign_id"], ["date desc"], ["portfolio_id"], ties=["portfolio_id"])
     j = (camp.join(latest, ["tenant_id", "campaign_id"], "left")
              .join(broadcast_if_small(_portfolios(t)), ["tenant_id", "portfolio_id"], "left"))
     api = (j.groupBy("tenant_id", "marketplace", "portfolio_name", "date",

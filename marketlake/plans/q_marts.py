@@ -8,7 +8,7 @@ from marketlake.functions import allocate, money, product_code, ratio
 from marketlake.functions.dates import local_date, within_age
 from marketlake.operators.aggregates import null_audit as _null_audit
 from marketlake.operators.aggregates import pivot, value_counts as _value_counts
-from marketlake.operators.dedupe import latest_per_key
+from marketlake.operators.dedupe import latest_per_key, latest_values
 from marketlake.operators.joins import full_join_coalesced, left_join_aggregated, with_children
 from marketlake.operators.setops import pad_to, union_all, union_distinct
 from marketlake.plans.registry import register
@@ -42,9 +42,8 @@ def ads_daily_spend_frame(lineitem, supplier, orders, cutoff: str = "1998-01-01
     """W02 + J02 + X01 + A01 + A02 + U01: daily spend per portfolio from the API
     facts (latest supplier per part as the portfolio dimension) UNION the console
     history before the cut-over date."""
-    latest = latest_per_key(lineitem.select("l_partkey", "l_suppkey", "l_shipdate", "l_orderkey", "l_linenumber"),
-                            ["l_partkey"], ["l_shipdate desc nulls first", "l_orderkey desc",
-                                            "l_linenumber desc", "l_suppkey desc"], ties=[])
+    latest = latest_values(lineitem, ["l_partkey"], ["l_shipdate desc nulls first", "l_orderkey desc",
+                                                     "l_linenumber desc", "l_suppkey desc"], ["l_suppkey"], ties=[])
     dim = latest.select("l_partkey", F.col("l_suppkey").alias("d_suppkey"))
     facts = lineitem.where((F.col("l_returnflag") == "R") & (F.col("l_shipdate") >= ts(cutoff)))
     j = (facts.join(dim, "l_partkey", "left")

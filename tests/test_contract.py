@@ -27,8 +27,7 @@ def test_expected_physical_operators(spark):
     plan = lambda n: qs[n](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "LeftAnti" in plan("missing_children")
     assert "TakeOrderedAndProject" in plan("missing_children_topk")
-    p = plan("latest_per_key")
-    assert "partial_max_by" in p
-    assert "WindowGroupLimit" in plan("order_lines_priced")
+    assert "WindowGroupLimit" in plan("latest_per_key")
+    assert "partial_max_by" in plan("ads_daily_spend")
     scan = plan("json_path")
     assert "ReadSchema: struct<event_id:bigint,props:string>" in scan

@@ -34,9 +34,9 @@ def test_latest_per_key_plans(spark):
     # mixed directions: row_number() = 1 with a partial WindowGroupLimit before the shuffle
     plan = dd.latest_per_key(df, ["k"], ["v desc"], ties=["s"])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
-    # one direction: a max_by aggregate with a partial (map-side) step
-    plan = dd.latest_per_key(df, ["k"], ["v desc"])._jdf.queryExecution().executedPlan().toString()
-    assert "max_by" in plan and "partial_max_by" in plan
+    # one direction, narrow payload: a max_by aggregate with a partial (map-side) step
+    plan = dd.latest_values(df, ["k"], ["v desc"], ["s"])._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" in plan
 
 
 def test_dedupe_first_last(spark):
