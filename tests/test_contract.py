@@ -31,3 +31,16 @@ def test_expected_physical_operators(spark):
     assert "partial_max_by" in plan("ads_daily_spend")
     scan = plan("json_path")
     assert "ReadSchema: struct<event_id:bigint,props:string>" in scan
+
+
+def test_every_query_has_an_oracle_and_no_pairwise_joins(spark):
+    """Each registered query has DuckDB SQL; no plan emits all pairs (nested-loop
+    or cartesian joins) or a window over one unpartitioned task."""
+    qs, sql = E.queries(), E.oracle_sql()
+    assert set(qs) == set(sql)
+    for name, fn in qs.items():
+        if name in ("append_once", "stream_upsert"):
+            continue
+        plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
+        for bad in ("BroadcastNestedLoopJoin", "CartesianProduct"):
+            assert bad not in plan, (name, bad)
