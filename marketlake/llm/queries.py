@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import exact_dedup, mixing, url_filters, warc
+from marketlake.llm import exact_dedup, mixing, sentencepiece_bpe, url_filters, warc
+from marketlake.llm._util import pick
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -117,3 +118,18 @@ k AS (SELECT *, CAST(whole AS BIGINT) + CASE WHEN size > 0 AND before + size / 2
                                              THEN 1 ELSE 0 END AS copies FROM c)
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, copies, CAST(size * copies AS BIGINT) AS taken FROM k
 """
+
+
+PIECE_MODEL = "piece_bpe_32k.model"
+
+
+def piece_model_path() -> str:
+    """The public model that the registered query and the pipeline use."""
+    import public_tokenizers
+    return public_tokenizers.path(PIECE_MODEL)
+
+
+@register
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = pick(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text")
+    return sentencepiece_bpe.digests(sentencepiece_bpe.encode_decode(docs, piece_model_path()))
