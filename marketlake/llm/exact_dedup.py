@@ -4,13 +4,14 @@ Texts are equal when identical after every character of ``[\\x20\\x09-\\x0D]`` i
 deleted; null counts as empty.
 
 1. ``repartitionByRange`` samples splitters and range-partitions the normalised
-   bytes.  The key's second part is a salt of the id, so copies of one text may
-   span several partitions and a text that makes up a third of all rows never
-   meets in one task.
-2. Within a range the rows are sorted externally by their bytes and neighbours
-   are compared in full.  This is what Spark's sort-based aggregation on
-   (bytes, salt) does, and the range partitioning already satisfies it, so there
-   is no second shuffle of texts.  Each run leaves one row.
+   bytes: by their first ``HEAD`` characters, then by a hash of all of them (so a
+   splitter stays short and a common opening line is no hot spot), then by a salt
+   of the id (so copies of one text may span several partitions, and a text that
+   makes up a third of all rows never meets in one task).
+2. Within a range the rows are sorted externally and neighbours are compared in
+   full.  This is what Spark's sort-based aggregation on (head, hash, salt, bytes)
+   does, and the range partitioning already satisfies it, so there is no second
+   shuffle of texts.  Each run leaves one row.
 3. The runs of one text meet by SHA-256 (one short row per run; summed map-side
    first).  Only texts with several copies are joined back to the rows, again
    salted, so the hot text spreads.
@@ -31,6 +32,7 @@ from marketlake.llm._util import ROW, pick
 
 # White space that normalisation deletes: space and U+0009 .. U+000D.
 WHITE_SPACE = " \t\n\x0b\x0c\r"
+HEAD = 32           # characters of the text in a splitter
 RUN_SALTS = 64      # pieces a text's copies are sorted in
 JOIN_SALTS = 16     # pieces a text's copies are joined in
 
@@ -43,6 +45,11 @@ def normalised(text: Column) -> Column:
     return out
 
 
+def digest(normal: Column) -> Column:
+    """SHA-256 in hex (never null, which spares the join a filter that would hash every text twice)."""
+    return F.coalesce(F.sha2(normal, 256), F.lit(""))
+
+
 def _salt(salts: int) -> Column:
     return F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int")
 
@@ -53,9 +60,11 @@ def runs(src: DataFrame) -> DataFrame:
         normalised(F.col("text")).alias("bytes"), _salt(RUN_SALTS).alias("salt"),
         F.struct((-F.length(F.coalesce("text", F.lit("")))).alias("neg_len"),
                  F.col("doc_id").isNull().alias("no_id"), F.col("doc_id")).alias("best"))
-    return (keyed.repartitionByRange("bytes", "salt")
-            .groupBy("bytes", "salt").agg(F.count(F.lit(1)).alias("copies"), F.min("best").alias("best"))
-            .select(F.sha2("bytes", 256).alias("text_sha256"), "copies", "best"))
+    key = ["head", "hash", "salt"]
+    keyed = keyed.select("*", F.substring("bytes", 1, HEAD).alias("head"), F.xxhash64("bytes").alias("hash"))
+    return (keyed.repartitionByRange(*key)
+            .groupBy(*key, "bytes").agg(F.count(F.lit(1)).alias("copies"), F.min("best").alias("best"))
+            .select(digest(F.col("bytes")).alias("text_sha256"), "copies", "best"))
 
 
 def groups(src: DataFrame) -> DataFrame:
@@ -72,7 +81,7 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     src = pick(df, carry=carry, doc_id=id_col, text=text_col)
     copies = (groups(src.select("doc_id", "text"))
               .select("*", F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1))).alias("salt")))
-    rows = src.select("doc_id", F.sha2(normalised(F.col("text")), 256).alias("text_sha256"),
+    rows = src.select("doc_id", digest(normalised(F.col("text"))).alias("text_sha256"),
                       _salt(JOIN_SALTS).alias("salt"), *([ROW] if carry else []))
     grouped = F.col("group_size").isNotNull()
     keep = F.when(grouped, F.col("keep_id")).otherwise(F.col("doc_id"))
