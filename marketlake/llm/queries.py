@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import exact_dedup, mixing, sentencepiece_bpe, url_filters, warc
+from marketlake.llm import exact_dedup, langid, mixing, sentencepiece_bpe, toxicity, url_filters, warc
 from marketlake.llm._util import pick
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,23 @@ FROM f
 """
 
 
+@register
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs, where=langid.learnable(F.col("doc_id")))
+    held_out = F.coalesce(~langid.learnable(F.col("doc_id")), F.lit(False))
+    return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score",
+                                              "cross_entropy", "rejected")
+
+
+@register
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), where=toxicity.learnable(F.col("doc_id")))
+    held_out = F.coalesce(~toxicity.learnable(F.col("doc_id")), F.lit(False))
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @register
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = url_filters.BASE_RULES + url_filters.default_patterns()
