@@ -50,3 +50,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 def hash_order(col: Column, seed: int) -> Column:
     """Seeded pseudo-random order key (32 hex digits) of an id; null has a place of its own."""
     return F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(col.cast("string"), F.lit("null"))))
+
+
+JOIN_SALTS = 16
+
+
+def salted_lookup(rows: DataFrame, lookup: DataFrame, key: list[str], spread: Column, how: str = "inner",
+                  salts: int = JOIN_SALTS) -> DataFrame:
+    """Join ``rows`` to ``lookup`` (one short row per key) when one key may hold a third of the rows.
+
+    The rows of a key are dealt to ``salts`` pieces by the hash of ``spread``, and the lookup rows are
+    repeated once per piece.
+    """
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return dealt.join(repeated, [*key, "_salt"], how).drop("_salt")

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import (exact_dedup, langid, license_scan, mixing, sentencepiece_bpe, toxicity, url_filters,
-                            warc)
+from marketlake.llm import (exact_dedup, langid, license_scan, minhash_dedup, mixing, sentencepiece_bpe, toxicity,
+                            url_filters, warc)
 from marketlake.llm._util import pick
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,6 +143,11 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, copies, CAST(s
 """
 
 
+@register
+def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
 PIECE_MODEL = "piece_bpe_32k.model"
 
 
