@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import (exact_dedup, langid, license_scan, minhash_dedup, mixing, sentencepiece_bpe, toxicity,
-                            url_filters, warc)
+from marketlake.llm import (embedding_dedup, exact_dedup, langid, license_scan, minhash_dedup, mixing,
+                            sentencepiece_bpe, toxicity, url_filters, warc)
 from marketlake.llm._util import pick
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+@register
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @register
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = url_filters.BASE_RULES + url_filters.default_patterns()
