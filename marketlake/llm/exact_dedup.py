@@ -75,9 +75,7 @@ def groups(src: DataFrame) -> DataFrame:
             .select("text_sha256", "group_size", F.col("best.doc_id").alias("keep_id")))
 
 
-def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     carry: bool = False) -> DataFrame:
-    """Every row with keep_id, group_size, kept and text_sha256 (and ``row`` if ``carry``)."""
+def _grouped(df: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFrame:
     src = pick(df, carry=carry, doc_id=id_col, text=text_col)
     copies = (groups(src.select("doc_id", "text"))
               .select("*", F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1))).alias("salt")))
@@ -88,4 +86,20 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return (rows.join(copies, ["text_sha256", "salt"], "left")
             .select("doc_id", keep.alias("keep_id"),
                     F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-                    F.col("doc_id").eqNullSafe(keep).alias("kept"), "text_sha256", *([ROW] if carry else [])))
+                    F.col("doc_id").eqNullSafe(keep).alias("kept"), "text_sha256", "salt",
+                    *([ROW] if carry else [])))
+
+
+def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                     carry: bool = False) -> DataFrame:
+    """Every row with keep_id, group_size, kept and text_sha256 (and ``row`` if ``carry``)."""
+    return _grouped(df, id_col, text_col, carry).drop("salt")
+
+
+def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows that stay, as ``row``; of rows that repeat id and text one.
+
+    Such rows already lie together after the join, so dropping them needs no further shuffle.
+    """
+    return (_grouped(df, id_col, text_col, carry=True).filter("kept")
+            .dropDuplicates(["text_sha256", "salt", "doc_id"]).select(ROW))

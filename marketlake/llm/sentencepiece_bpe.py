@@ -366,9 +366,10 @@ def encode_decode(df: DataFrame, path: str, text_col: str | Column = "text") ->
     return df.withColumn("piece", tokenizer.round_trip(text_col))
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of an encoded table."""
+def digests(encoded: DataFrame, with_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of an encoded table (and ids)."""
     ids = F.col("piece.ids")
-    return encoded.select("doc_id", F.size(ids).cast("long").alias("n_tokens"),
+    return encoded.select("doc_id", *([ids.alias("ids")] if with_ids else []),
+                          F.size(ids).cast("long").alias("n_tokens"),
                           F.sha2(F.array_join(ids.cast("array<string>"), ","), 256).alias("ids_sha256"),
                           F.sha2(F.col("piece.decoded"), 256).alias("decoded_sha256"))
