@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,3 +68,25 @@ def salted_lookup(rows: DataFrame, lookup: DataFrame, key: list[str], spread: Co
     dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return dealt.join(repeated, [*key, "_salt"], how).drop("_salt")
+
+
+def by_size(texts: list[str | None], limit: int) -> Iterator[list[str | None]]:
+    """Runs of texts of about ``limit`` characters (a longer text is a run of its own), so what a
+    worker holds at once is bounded by the longest text, not by the number of long ones."""
+    run: list[str | None] = []
+    held = 0
+    for text in texts:
+        size = len(text) if text else 0
+        if run and held + size > limit:
+            yield run
+            run, held = [], 0
+        run.append(text)
+        held += size
+    if run:
+        yield run
+
+
+def runs_of(texts: pa.Array, limit: int, rows: int = 1000) -> Iterator[list[str | None]]:
+    """``by_size`` over an Arrow array, turned into Python values a slice at a time."""
+    for at in range(0, len(texts), rows):
+        yield from by_size(texts.slice(at, rows).to_pylist(), limit)

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from marketlake.llm._util import ROW, hash_order, pick
+from marketlake.llm._util import ROW, by_size, hash_order, pick
 from marketlake.llm._words import WordSums, flat, gram_hashes
 
 ORDER = 4
@@ -50,7 +50,7 @@ CALIBRATION = 5             # one in so many sampled documents calibrates
 REJECT_QUANTILE = 0.995
 MAX_LANGUAGES = 500
 EVIDENCE = 40
-SUB_BATCH = 500
+RUN_CHARS = 2_000_000       # characters of texts that are in work at once
 UNDETERMINED = "und"
 HEAD, TAIL = "\x02", "\x03"
 
@@ -243,8 +243,8 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         sums = WordSums(own.costs, len(own.languages) + 1)
         for texts in batches:
             parts = []
-            for at in range(0, len(texts), SUB_BATCH):
-                names, score, entropy, rejected = own.predict(sums(texts.iloc[at:at + SUB_BATCH].tolist()))
+            for run in by_size(texts.tolist(), RUN_CHARS):
+                names, score, entropy, rejected = own.predict(sums(run))
                 if reject:
                     names = [UNDETERMINED if r else n for n, r in zip(names, rejected, strict=True)]
                 parts.append(pd.DataFrame({"lang_pred": names, "score": score, "cross_entropy": entropy,

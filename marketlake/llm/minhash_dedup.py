@@ -33,6 +33,7 @@ name.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,14 +44,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm._components import connected
-from marketlake.llm._util import ROW, materialise, pick, salted_lookup
+from marketlake.llm._util import ROW, materialise, pick, runs_of, salted_lookup
 
 WIDTH = 5               # words in a shingle, unless the caller says otherwise
 PERCENT = 80
 ROWS, BANDS = 5, 25
 BIN_BITS = 7
 BINS = 1 << BIN_BITS
-SUB_BATCH = 200         # texts that are in work at once
+RUN_CHARS = 1_000_000   # characters of texts that are in work at once
+PIECE_BYTES = 1 << 20   # a longer text is cut into words in pieces
 STAR_CHUNK = 500        # members of a star that one task confirms
 BLOCK = 1000            # members of a bucket in one side of a block
 SEED = 23
@@ -76,42 +78,48 @@ def _powers(base: np.uint64, count: int) -> np.ndarray:
 
 _WHITE = np.zeros(256, dtype=bool)
 _WHITE[[0x20, 9, 10, 11, 12, 13]] = True
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def shingle_sets(texts: list[str | None], width: int = WIDTH) -> list[np.ndarray]:
-    """Sorted distinct shingle hashes of each text.
-
-    Words are hashed from prefix sums of a polynomial over the bytes of all texts at once.
-    """
-    raw = [(t or "").encode() for t in texts]
-    joined = _LOWER[np.frombuffer(b"\n".join(raw) + b"\n", dtype=np.uint8)]
-    white = _WHITE[joined]
-    edge = np.flatnonzero(white[1:] != white[:-1]) + 1
-    if not white[0]:
-        edge = np.r_[0, edge]
+def _word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, first byte) of every word, from prefix sums of a polynomial over the bytes."""
+    joined = _LOWER[np.frombuffer(text, dtype=np.uint8)]
+    inner = np.r_[False, ~_WHITE[joined], False]
+    edge = np.flatnonzero(inner[1:] != inner[:-1])
     start, end = edge[0::2], edge[1::2]
     n = len(joined) + 1
     prefix = np.zeros(n, dtype=np.uint64)
     np.cumsum((joined.astype(np.uint64) + np.uint64(1)) * _powers(_ODD, n - 1), out=prefix[1:])
-    word = _mix((prefix[end] - prefix[start]) * _powers(_INVERSE, n)[start]
-                + (end - start).astype(np.uint64))
-    text_end = np.cumsum([len(r) + 1 for r in raw])
-    bounds = np.r_[0, np.searchsorted(start, text_end)]
-    out = []
-    run = word.copy()
+    return _mix((prefix[end] - prefix[start]) * _powers(_INVERSE, n)[start] + (end - start).astype(np.uint64)), start
+
+
+def _shingles(word: np.ndarray, width: int) -> np.ndarray:
+    if not len(word):
+        return np.zeros(0, dtype=np.uint64)
+    if len(word) < width:
+        return np.array([xxhash.xxh3_64_intdigest(word.tobytes())], dtype=np.uint64)
+    run = word[:len(word) - width + 1].copy()
     for k in range(1, width):
-        run[:-k] = run[:-k] * _ODD + word[k:]
-    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-        if b - a >= width:
-            out.append(np.unique(_mix(run[a:b - width + 1])))
-        elif b > a:
-            whole = np.uint64(xxhash.xxh3_64_intdigest(word[a:b].tobytes()))
-            out.append(np.array([whole], dtype=np.uint64))
-        else:
-            out.append(np.zeros(0, dtype=np.uint64))
-    return out
+        run = run * _ODD + word[k:len(word) - width + 1 + k]
+    return np.unique(_mix(run))
+
+
+def shingle_sets(texts: list[str | None], width: int = WIDTH) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of each text."""
+    raw = [(t or "").encode() for t in texts]
+    if len(raw) == 1 and len(raw[0]) > PIECE_BYTES:
+        whole, at, parts = raw[0], 0, []
+        while at < len(whole):
+            cut = _GAP.search(whole, at + PIECE_BYTES)
+            end = cut.end() if cut else len(whole)
+            parts.append(_word_hashes(whole[at:end])[0])
+            at = end
+        return [_shingles(np.concatenate(parts), width)]
+    word, start = _word_hashes(b"\n".join(raw))
+    bounds = np.r_[0, np.searchsorted(start, np.cumsum([len(r) + 1 for r in raw]))]
+    return [_shingles(word[a:b], width) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
 def donor_order() -> np.ndarray:
@@ -217,8 +225,8 @@ def _signature_column(width: int):
         donors = donor_order()
         for texts in batches:
             counts, nodes, bands, sizes = [], [], [], [0]
-            for at in range(0, len(texts), SUB_BATCH):
-                sets = shingle_sets(texts.slice(at, SUB_BATCH).to_pylist(), width)
+            for run in runs_of(texts, RUN_CHARS):
+                sets = shingle_sets(run, width)
                 counts += [len(s) for s in sets]
                 nodes += [_digest(s) for s in sets]
                 some = [s for s in sets if len(s)]
@@ -234,13 +242,17 @@ def _signature_column(width: int):
 
 
 def _elements_column(width: int):
-    @F.arrow_udf("binary")
+    @F.arrow_udf("struct<node:binary,elements:binary>")
     def elements(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
+            nodes: list[bytes | None] = []
             out: list[bytes] = []
-            for at in range(0, len(texts), SUB_BATCH):
-                out += [s.tobytes() for s in shingle_sets(texts.slice(at, SUB_BATCH).to_pylist(), width)]
-            yield pa.array(out, pa.binary())
+            for run in runs_of(texts, RUN_CHARS):
+                sets = shingle_sets(run, width)
+                nodes += [_digest(s) for s in sets]
+                out += [s.tobytes() for s in sets]
+            yield pa.StructArray.from_arrays([pa.array(nodes, pa.binary()), pa.array(out, pa.binary())],
+                                             ["node", "elements"])
 
     return elements
 
@@ -299,7 +311,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     stars = shared.filter(F.col("node") != F.col("hub")).select("hub", "node").distinct()
     # full sets of the classes that share a bucket, read from one document of each
     wanted = shared.select("node").distinct().join(classes.select("node", "low_id"), "node")
-    sets = materialise(_full_sets(src, signed, wanted, width), "minhash-sets")
+    sets = materialise(_full_sets(src, wanted, width), "minhash-sets")
     links = materialise(_confirm_stars(stars, sets, percent), "minhash-links")
     first = connected(links)
     more = materialise(_search_buckets(shared.filter("size > 2").select("bucket", "node"), first, sets, percent),
@@ -321,24 +333,15 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                       F.col("doc_id").eqNullSafe(name).alias("kept"), *([ROW] if carry else []))
 
 
-def _full_sets(src: DataFrame, signed: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(node, elements) of the wanted classes (node, low_id).
+def _full_sets(src: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(node, elements) of the wanted classes (node, low_id), each from one of its rows.
 
     Classes whose rows all have null ids are found by their node instead of the id.
     """
-    elements = _elements_column(width)(F.col("text"))
-    by_id = (src.join(wanted.filter("low_id is not null").select(F.col("low_id").alias("doc_id")).distinct(), "doc_id")
-             .select(elements.alias("elements")))
-    no_id = src.filter("doc_id is null").select(elements.alias("elements"))
-    found = by_id.union(no_id).filter(F.octet_length("elements") > 0)
-    found = found.select(_node_column()(F.col("elements")).alias("node"), "elements")
+    ids = wanted.filter("low_id is not null").select(F.col("low_id").alias("doc_id")).distinct()
+    # written first: a filter on the sets must not move below the join and run over all texts
+    texts = materialise(src.join(ids, "doc_id").select("text").union(src.filter("doc_id is null").select("text")),
+                        "minhash-texts")
+    found = texts.select(_elements_column(width)(F.col("text")).alias("s")).select("s.node", "s.elements")
     return (found.join(wanted.select("node"), "node", "left_semi").groupBy("node")
             .agg(F.first("elements").alias("elements")))
-
-
-def _node_column():
-    @F.arrow_udf("binary")
-    def node(elements: pa.Array) -> pa.Array:
-        return pa.array([xxhash.xxh3_128_digest(e) for e in elements.to_pylist()], pa.binary())
-
-    return node

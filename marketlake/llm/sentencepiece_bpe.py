@@ -36,11 +36,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.llm._util import runs_of
+
 SPACE = "▁"             # stands for U+0020 in pieces
 MAX_PIECES = 1_000_000      # bound of the vocabulary that is sent to every worker
 CACHE_WORDS = 200_000       # words a worker remembers
 CACHE_CHARS = 64            # longer words are not remembered
-SUB_BATCH = 500             # texts that are in work at once
+RUN_CHARS = 2_000_000       # characters of texts that are in work at once
 NONE = np.iinfo(np.int64).max
 ID_SHIFT = 2_200_000        # above every symbol number
 
@@ -319,8 +321,8 @@ def _codec(shared) -> Codec:
 def _encode_array(codec: Codec, texts: pa.Array) -> pa.ListArray:
     parts: list[bytes] = []
     sizes = [0]
-    for at in range(0, len(texts), SUB_BATCH):
-        got = codec.encode(texts.slice(at, SUB_BATCH).to_pylist())
+    for run in runs_of(texts, RUN_CHARS):
+        got = codec.encode(run)
         sizes += [len(x) // 4 for x in got]
         parts.append(b"".join(got))
     values = pa.Array.from_buffers(pa.int32(), sum(sizes), [None, pa.py_buffer(b"".join(parts))])
@@ -328,10 +330,10 @@ def _encode_array(codec: Codec, texts: pa.Array) -> pa.ListArray:
 
 
 def _decode_array(codec: Codec, ids: pa.ListArray) -> pa.Array:
-    out: list[str] = []
-    for at in range(0, len(ids), SUB_BATCH):
-        out += [codec.decode(x or []) for x in ids.slice(at, SUB_BATCH).to_pylist()]
-    return pa.array(out, pa.string())
+    values, ends = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
+    null = ids.is_null().to_numpy(zero_copy_only=False)
+    return pa.array(["" if n else codec.decode(values[a:b].tolist())
+                     for a, b, n in zip(ends[:-1], ends[1:], null, strict=True)], pa.string())
 
 
 class Tokenizer:

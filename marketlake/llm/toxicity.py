@@ -46,7 +46,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm._util import ROW, hash_order, pick
+from marketlake.llm._util import ROW, by_size, hash_order, pick
 from marketlake.llm._words import WordSums, flat, gram_hashes, word_hash, words
 
 BITS = 18
@@ -66,7 +66,7 @@ SPREAD = 10.0               # softens the steps of rare features
 FLOOR = 1e-3                # added to raw scores before the logarithm
 CALIBRATION = 5
 THRESHOLD = 0.7
-SUB_BATCH = 500
+RUN_CHARS = 2_000_000       # characters of texts that are in work at once
 TOXIC, UNLABELLED, CLEAN = 1, 0, -1
 
 
@@ -247,8 +247,7 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
             if sums is None:
                 yield pd.Series(np.full(len(texts), own.prior))
                 continue
-            parts = [own.scores(sums(texts.iloc[at:at + SUB_BATCH].tolist()))
-                     for at in range(0, len(texts), SUB_BATCH)]
+            parts = [own.scores(sums(run)) for run in by_size(texts.tolist(), RUN_CHARS)]
             yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
 
     out = src.select("doc_id", rate(F.col("text")).alias("score"), *([ROW] if carry else []))
