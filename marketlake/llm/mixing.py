@@ -56,7 +56,8 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, max_epochs: fl
     s = s.withColumn("level", (F.sum("source_size").over(every) - full_cap)
                      / (F.sum("weight").over(every) - full_weight))
     # the sources before the first one that can hold the level are full
-    level = F.min(F.when(F.col("level") <= F.col("fill"), F.struct("fill", "level"))).over(every)["level"]
+    s = s.withColumn("rank", F.row_number().over(order))
+    level = F.min(F.when(F.col("level") <= F.col("fill"), F.struct("rank", "level"))).over(every)["level"]
     return (s.withColumn("water", F.coalesce(level, F.lit(0.0)))
             .select("source", "source_size",
                     F.least(F.col("cap").cast("double"), F.col("water") * F.col("weight")).alias("target")))
@@ -65,7 +66,7 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, max_epochs: fl
 def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: Sequence[float] = WEIGHTS, max_epochs: float = MAX_EPOCHS, seed: int = SEED,
         carry: bool = False) -> DataFrame:
-    """Every row with doc_id, size, source_size, target, copies and taken (words, repeats counted).
+    """Every row with doc_id, source, size, source_size, target, copies and taken (words, repeats counted).
 
     ``copies`` says how often the mix repeats the row (0: left out).
     """
@@ -90,5 +91,5 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     extra = (F.col("size") > 0) & (F.col("ahead") + before + F.col("size") / 2 < F.col("part"))
     out = (rows if carry else narrow).join(plan, ["key", "bucket"]).withColumn(
         "copies", (F.col("whole") + F.when(extra, 1).otherwise(0)).cast("long"))
-    return out.select("doc_id", "size", "source_size", "target", "copies",
+    return out.select("doc_id", "source", "size", "source_size", "target", "copies",
                       (F.col("size") * F.col("copies")).alias("taken"), *([ROW] if carry else []))

@@ -122,7 +122,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, s AS text_sha256 F
 
 @register
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"))
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
 
 ORACLES["op8_mixing"] = rf"""
@@ -132,11 +132,11 @@ s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY s
 s1 AS (SELECT *, (ARRAY[5, 2, 1])[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3) + 1] AS w,
               3 * source_size AS cap FROM s0),
 s2 AS (SELECT *, cap / w AS fill FROM s1),
-s3 AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER q, 0))
+s3 AS (SELECT *, row_number() OVER (ORDER BY fill, source NULLS LAST) AS rank, (sum(source_size) OVER () - coalesce(sum(cap) OVER q, 0))
                  / (sum(w) OVER () - coalesce(sum(w) OVER q, 0)) AS level
        FROM s2 WINDOW q AS (ORDER BY fill, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 s4 AS (SELECT source, source_size, least(CAST(cap AS DOUBLE), w * (
-         SELECT coalesce(arg_min(level, fill), 0) FROM s3 WHERE level <= fill)) AS target FROM s3),
+         SELECT coalesce(arg_min(level, rank), 0) FROM s3 WHERE level <= fill)) AS target FROM s3),
 s5 AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM s4),
 c AS (SELECT d.*, s5.source_size, s5.target, s5.whole,
              coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id, size
