@@ -58,6 +58,7 @@ SAMPLE_CHARS = 20_000
 STEPS = 120
 RATE = 300.0                # step size; with the momentum, and the decay of weights
 MOMENTUM = 0.9
+LIMIT = 0.1                 # most that one step adds to a feature's part of a word's degree
 DECAY = 1e-6
 GAIN = 200.0                # raw scores are shares of words, a few hundredths at most
 START = -4.0                # degree (before the logistic function) of a word without weights
@@ -172,7 +173,7 @@ def fit(texts: list[str], roles: np.ndarray, prior: float, steps: int = STEPS) -
         d_word = (GAIN * degree * (1 - degree)
                   * np.bincount(number, weights=share * d_g[doc], minlength=len(vocabulary)))
         d_w = np.bincount(cell, weights=d_word[owner], minlength=len(weights)) * pace + DECAY * weights
-        speed = MOMENTUM * speed - RATE * d_w
+        speed = np.clip(MOMENTUM * speed - RATE * d_w, -LIMIT / np.maximum(pace, 1e-9), LIMIT / np.maximum(pace, 1e-9))
         bias_speed = MOMENTUM * bias_speed - 0.2 * d_g.sum()
         weights, bias = weights + speed, bias + bias_speed
     model = Model((weights * pace).astype(np.float32), prior=prior)
