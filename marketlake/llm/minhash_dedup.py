@@ -54,7 +54,7 @@ BINS = 1 << BIN_BITS
 RUN_CHARS = 1_000_000   # characters of texts that are in work at once
 PIECE_BYTES = 1 << 20   # a longer text is cut into words in pieces
 STAR_CHUNK = 500        # members of a star that one task confirms
-BLOCK = 1000            # members of a bucket in one side of a block
+BLOCK = 400             # members of a bucket in one side of a block
 SEED = 23
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
