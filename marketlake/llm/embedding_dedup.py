@@ -64,15 +64,20 @@ def window(cosine: float, directions: int) -> tuple[float, int]:
 
 
 def count_collisions(queries: np.ndarray, rows: np.ndarray, half: float) -> np.ndarray:
-    """(queries, rows): number of directions in which the row lies in the query's window."""
-    counts = np.zeros((len(queries), len(rows)), dtype=np.int16)
+    """(queries, rows): number of directions in which the row lies in the query's window.
+
+    Along a direction a window is a range of places in the sorted rows; whether a row's place lies
+    in it takes one subtraction and one comparison (places wrap around below the range's start).
+    """
+    counts = np.zeros((len(queries), len(rows)), dtype=np.uint8)
+    place = np.empty(len(rows), dtype=np.uint32)
     for d in range(queries.shape[1]):
         order = np.argsort(rows[:, d], kind="stable")
+        place[order] = np.arange(len(rows), dtype=np.uint32)
         line = rows[order, d]
-        low = np.searchsorted(line, queries[:, d] - half, "left")
-        high = np.searchsorted(line, queries[:, d] + half, "right")
-        for q in range(len(queries)):
-            counts[q, order[low[q]:high[q]]] += 1
+        low = np.searchsorted(line, queries[:, d] - half, "left").astype(np.uint32)
+        width = np.searchsorted(line, queries[:, d] + half, "right").astype(np.uint32) - low
+        counts += (place[None, :] - low[:, None]) < width[:, None]
     return counts
 
 
