@@ -12,6 +12,7 @@ are split by ``spark.sql.files.maxPartitionBytes``.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -59,12 +60,47 @@ def _reader(spark: SparkSession, schema: T.StructType | None, glob: str | None,
     return r
 
 
+# What a reader does with text it cannot read: "fail" raises; "keep" returns every row, those that
+# could not be read with ``_corrupt_record`` (JSON) or the names of the cells in ``_rejected``
+# (delimited text), and ``rejects`` / ``accepted`` take them apart.  Nothing is dropped in silence.
+CORRUPT, REJECTED = "_corrupt_record", "_rejected"
+
+
+def _json(spark: SparkSession, path: str, schema: T.StructType, glob: str | None, bad: str, multi_line: bool,
+          **options) -> DataFrame:
+    if bad == "fail":
+        return _reader(spark, schema, glob, multiLine=multi_line, mode="FAILFAST", **options).json(path)
+    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    df = _reader(spark, with_corrupt, glob, multiLine=multi_line, columnNameOfCorruptRecord=CORRUPT,
+                 **options).json(path)
+    # a file whose compressed stream breaks off has no text to show: a row without any value is one too
+    lost = F.lit(True)
+    for f in schema.fields:
+        lost = lost & F.col(f"`{f.name}`").isNull()
+    return df.withColumn(CORRUPT, F.when(lost, F.coalesce(F.col(CORRUPT), F.lit("")))
+                         .otherwise(F.col(CORRUPT)))
+
+
+def rejects(df: DataFrame) -> DataFrame:
+    """Rows of a reader with ``bad="keep"`` that could not be read, with their ``source_file``."""
+    return df.where(_bad(df))
+
+
+def accepted(df: DataFrame) -> DataFrame:
+    return df.where(~_bad(df)).drop(CORRUPT, REJECTED)
+
+
+def _bad(df: DataFrame) -> Column:
+    return F.col(CORRUPT).isNotNull() if CORRUPT in df.columns else F.size(REJECTED) > 0
+
+
 def read_json_reports(spark: SparkSession, path: str, schema: T.StructType, glob: str = "*.json.gz",
-                      tag_from_name: bool = True) -> DataFrame:
+                      tag_from_name: bool = True, bad: str = "fail") -> DataFrame:
     """S01 + S10 + S16: every matching file is a JSON array of records (gzip is
     decompressed by the codec); union of all files, tagged with ``account,
-    marketplace, report_date`` from the file name (the *last* date in the name)."""
-    df = _reader(spark, schema, glob, multiLine=True).json(path)
+    marketplace, report_date`` from the file name (the *last* date in the name).
+    A file that cannot be parsed raises, or comes back as a reject (``bad="keep"``)."""
+    df = _json(spark, path, schema, glob, bad, True)
     df = df.withColumn("source_file", source_file())
     if tag_from_name:
         parts = name_parts(F.col("source_file"), ACCOUNT_MARKET_DATE, ["account", "marketplace", "report_date"])
@@ -74,11 +110,76 @@ def read_json_reports(spark: SparkSession, path: str, schema: T.StructType, glob
     return df
 
 
-def read_dated_csv(spark: SparkSession, path: str, schema: T.StructType, glob: str = "*.csv",
-                   date_col: str = "date") -> DataFrame:
+# ---------------------------------------------------------------- delimited text, by header
+def _cells(line: Column, sep: str) -> Column:
+    """The fields of a line, however many: quoted fields may hold separators and doubled quotes."""
+    s = re.escape(sep)
+    raw = F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(rf'{s}("(?:[^"]|"")*"|[^{s}]*)'), 1)
+    return F.transform(raw, lambda x: F.when(
+        (F.length(x) >= 2) & x.startswith('"') & x.endswith('"'),
+        F.replace(F.substr(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))).otherwise(x))
+
+
+def _lines(spark: SparkSession, path: str, glob: str | None, encoding: str, recursive: bool = True) -> DataFrame:
+    """source_file, line, place: the place orders the lines of a file's first split, so a file's
+    first line is told by its position and not by what it says."""
+    text = F.decode(F.col("value").cast("binary"), encoding) if encoding.upper() != "UTF-8" else F.col("value")
+    first_split = F.col("_metadata.file_block_start") == 0
+    return (_reader(spark, None, glob, recursive).text(path)
+            .select(source_file().alias("source_file"), F.regexp_replace(text, "^\ufeff", "").alias("line"),
+                    F.when(first_split, F.monotonically_increasing_id()).alias("place"))
+            .where(F.trim("line") != ""))
+
+
+def _heads(lines: DataFrame) -> DataFrame:
+    """source_file, first (place), line of each file's first line: one row per file."""
+    return (lines.where("place is not null").groupBy("source_file")
+            .agg(F.min(F.struct("place", "line")).alias("h"))
+            .select("source_file", F.col("h.place").alias("first"), F.col("h.line").alias("head")))
+
+
+def read_delimited(spark: SparkSession, path: str, schema: T.StructType | None = None, glob: str | None = None,
+                   sep: str = ",", encoding: str = "UTF-8", bad: str = "fail", recursive: bool = True) -> DataFrame:
+    """Text with one header line per file; columns are matched by the names in each file's own header,
+    so files may order them differently, have more, or lack some (NULL).
+
+    Without a schema the columns are those of all headers (distinct names reach the driver), as
+    strings.  With one, values are cast; empty text is NULL; a value that does not cast raises, or
+    is NULL with its column named in ``_rejected`` (``bad="keep"``).  A name that a header repeats
+    means its first column.
+    """
+    lines = _lines(spark, path, glob, encoding, recursive)
+    heads = _heads(lines).select("source_file", "first", F.transform(
+        _cells(F.col("head"), sep), lambda x: F.trim(x)).alias("header"))
+    if schema is None:
+        names = heads.select(F.posexplode("header").alias("at", "name")).where("name != ''") \
+            .groupBy("name").agg(F.min("at").alias("at")).orderBy("at", "name").collect()
+        schema = T.StructType([T.StructField(r["name"], T.StringType()) for r in names])
+    rows = (lines.join(broadcast_if_small(heads), "source_file")
+            .where(F.col("place").isNull() | (F.col("place") != F.col("first")))
+            .select("source_file", "header", _cells(F.col("line"), sep).alias("cells")))
+
+    def text_of(name: str) -> Column:
+        at = F.array_position("header", F.lit(name)).cast("int")
+        return F.nullif(F.when(at > 0, F.try_element_at("cells", at)), F.lit(""))
+
+    out, failed = [], []
+    for f in schema.fields:
+        text, plain = text_of(f.name), isinstance(f.dataType, T.StringType)
+        value = text if plain else F.trim(text).cast(f.dataType) if bad == "fail" else F.trim(text).try_cast(f.dataType)
+        out.append(value.alias(f.name))
+        if not plain:
+            failed.append(F.when(text.isNotNull() & value.isNull(), F.lit(f.name)))
+    more = [F.array_compact(F.array(*failed)).alias(REJECTED) if failed
+            else F.array().cast("array<string>").alias(REJECTED)] if bad == "keep" else []
+    return rows.select(*out, "source_file", *more)
+
+
+def read_dated_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, glob: str = "*.csv",
+                   date_col: str = "date", bad: str = "fail") -> DataFrame:
     """Daily CSV exports; the date comes from ``… s - January 5, 2024.csv``
     unless the file already carries a ``date`` column.  Empty files add no rows."""
-    df = _reader(spark, schema, glob, header=True).csv(path).withColumn("source_file", source_file())
+    df = read_delimited(spark, path, schema, glob, bad=bad)
     from_name = F.try_to_date(F.regexp_extract(F.col("source_file"), DAILY_CSV_DATE, 1), "MMMM d, yyyy")
     if date_col in df.columns:
         return df.withColumn(date_col, F.coalesce(F.to_date(F.col(date_col)), from_name))
@@ -89,41 +190,30 @@ def read_two_header_csv(spark: SparkSession, path: str, columns: Sequence[str],
                         meta_keys: Mapping[str, str] | None = None) -> DataFrame:
     """CSV whose line 1 is ``key=["value"],…`` metadata and line 2 the header.
 
-    One scan reads every line as strings with the file path; metadata lines and
-    header lines are told apart by content, the metadata is reduced to one row
-    per file (values stripped of non-word characters, X13) and joined back on the
-    file path (broadcast only when the estimate proves it small).
-    ``meta_keys`` maps an output column to a case-insensitive key regex.
+    Both lines are known by their position in the file, whatever they or the data
+    say.  The metadata is one row per file (values stripped of non-word
+    characters, X13), joined back on the file path (broadcast only when the
+    estimate proves it small).  ``meta_keys`` maps an output column to a
+    case-insensitive key regex; ``columns`` names the cells in order.
     """
     meta_keys = dict(meta_keys or {"asin": "ASIN", "reporting_range": "Reporting Range"})
-    width = max(len(columns), 8)
-    raw_schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
-    raw = _reader(spark, raw_schema, glob, header=False, mode="PERMISSIVE").csv(path) \
-        .withColumn("source_file", source_file())
-    is_meta = F.col("_c0").rlike(r'^[^=]+=\[')
-    is_header = F.col("_c0") == F.lit(columns[0])
-    cells = F.array(*[F.col(f"_c{i}") for i in range(width)])
-    kv = F.filter(cells, lambda x: x.contains("="))
-    meta = raw.where(is_meta).select("source_file", kv.alias("kv"))
-    picks = {}
-    def key_is(k):  # a one-argument lambda (two arguments would receive the index)
-        return lambda x: F.split_part(x, F.lit("="), F.lit(1)).rlike(f"(?i){k}")
-
-    for out, key in meta_keys.items():
-        hit = F.try_element_at(F.filter("kv", key_is(key)), F.lit(1))
-        picks[out] = F.nullif(strip_non_word(F.substring_index(hit, "=", -1)), F.lit(""))
-    meta = meta.select("source_file", *[c.alias(n) for n, c in picks.items()])
-    data = raw.where(~is_meta & ~is_header).select(
-        "source_file", *[F.col(f"_c{i}").alias(c) for i, c in enumerate(columns)])
-    return data.join(broadcast_if_small(meta), "source_file", "left")
+    lines = _lines(spark, path, glob, "UTF-8")
+    # metadata values hold quotes inside a cell, so its keys are found in the whole line
+    meta = _heads(lines).select("source_file", "first", *[
+        F.nullif(strip_non_word(F.regexp_extract("head", rf"(?i){key}[^=,]*=\[([^\]]*)\]", 1)), F.lit("")).alias(n)
+        for n, key in meta_keys.items()])
+    data = lines.join(broadcast_if_small(meta), "source_file").where(
+        F.col("place").isNull() | (F.col("place") > F.col("first") + 1))
+    cells = data.select("source_file", *meta_keys, _cells(F.col("line"), ",").alias("cells"))
+    return cells.select("source_file", *[F.nullif(F.try_element_at("cells", F.lit(i + 1)), F.lit("")).alias(c)
+                                         for i, c in enumerate(columns)], *meta_keys)
 
 
 def read_tsv(spark: SparkSession, path: str, schema: T.StructType | None = None, glob: str = "*.txt",
-             encoding: str = "UTF-8") -> DataFrame:
-    """Tab-separated reports.  Without a schema every column is a string
-    (no inference pass over 100 TB); with one, values are typed on read."""
-    return _reader(spark, schema, glob, sep="\t", header=True, encoding=encoding).csv(path) \
-        .withColumn("source_file", source_file())
+             encoding: str = "UTF-8", bad: str = "fail") -> DataFrame:
+    """Tab-separated reports, columns matched by header.  Without a schema
+    every column is a string; with one, values are typed on read."""
+    return read_delimited(spark, path, schema, glob, "\t", encoding, bad)
 
 
 def read_latin1_tsv(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
@@ -134,29 +224,33 @@ def read_latin1_tsv(spark: SparkSession, path: str, glob: str = "*.txt") -> Data
 def read_wrapped_json(spark: SparkSession, path: str, schema: T.StructType, record_path: str,
                       glob: str = "*.json*", keep: Sequence[str] = ("source_file",)) -> DataFrame:
     """One JSON document per file wrapping a record array
-    (``salesAndTrafficByAsin`` …): explode the array, flatten the records."""
-    df = _reader(spark, schema, glob, multiLine=True).json(path).withColumn("source_file", source_file())
+    (``salesAndTrafficByAsin`` …): explode the array, flatten the records.  A
+    document that cannot be parsed raises."""
+    df = _json(spark, path, schema, glob, "fail", True).withColumn("source_file", source_file())
     return flatten(explode_records(df, record_path, keep=list(keep)))
 
 
 def read_pages(spark: SparkSession, path: str, schema: T.StructType, record_path: str, glob: str = "*.json*",
                outer: bool = False) -> DataFrame:
     """Landed API pages as JSON lines, one page per line; the record list
-    at ``record_path`` is exploded and flattened (``json_normalize(sep='_')``)."""
-    df = _reader(spark, schema, glob).json(path).withColumn("source_file", source_file())
+    at ``record_path`` is exploded and flattened (``json_normalize(sep='_')``).  A
+    page that cannot be parsed raises."""
+    df = _json(spark, path, schema, glob, "fail", False).withColumn("source_file", source_file())
     return flatten(explode_records(df, record_path, keep=["source_file"], outer=outer))
 
 
 def read_any(spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str | None = None,
              **options) -> DataFrame:
-    """Choose the reader from the extension (csv / tsv / json / parquet)."""
-    ext = fmt or path.rstrip("/").rsplit(".", 1)[-1].lower()
-    if ext in ("gz", "json"):
-        return _reader(spark, schema, None, recursive=False, multiLine=True, **options).json(path)
+    """Choose the reader from the extension (csv / tsv / txt / json / parquet); a ``.gz`` at the
+    end only says that the file is compressed, the extension before it counts."""
+    name = path.rstrip("/").rsplit("/", 1)[-1].lower().removesuffix(".gz")
+    ext = fmt or name.rsplit(".", 1)[-1]
+    if ext == "json":
+        return _reader(spark, schema, None, recursive=False, multiLine=True, mode="FAILFAST", **options).json(path)
     if ext in ("tsv", "txt"):
-        return _reader(spark, schema, None, recursive=False, sep="\t", header=True, **options).csv(path)
+        return read_delimited(spark, path, schema, None, "\t", recursive=False, **options).drop("source_file")
     if ext == "csv":
-        return _reader(spark, schema, None, recursive=False, header=True, **options).csv(path)
+        return read_delimited(spark, path, schema, None, recursive=False, **options).drop("source_file")
     if ext == "parquet":
         return spark.read.parquet(path)
     raise ValueError(f"unsupported format {ext!r} (xls/xlsx are not read; convert to CSV)")
@@ -165,13 +259,14 @@ def read_any(spark: SparkSession, path: str, schema: T.StructType | None = None,
 def explode_rates(df: DataFrame, base_col: str = "source", quotes_col: str = "quotes") -> DataFrame:
     """``{date: {pair: rate}}`` → ``(recorded_at, base, target, rate)``;
     ``target`` = last three characters of the pair, rate parsed from its text
-    as ``decimal(18,6)`` (no binary float on the way)."""
+    as ``decimal(38,18)``, so every digit that the payload gives is kept (no binary
+    float on the way)."""
     days = df.select(F.coalesce(F.col(base_col), F.lit("USD")).alias("base"),
                      F.explode(F.col(quotes_col)).alias("day", "pairs"))
     pairs = days.select("base", "day", F.explode("pairs").alias("pair", "rate"))
     return pairs.select(F.to_timestamp("day").alias("recorded_at"), "base",
                         F.right("pair", F.lit(3)).alias("target"),
-                        F.col("rate").cast("string").try_cast("decimal(18,6)").alias("rate"))
+                        F.col("rate").cast("string").cast("decimal(38,18)").alias("rate"))
 
 
 def list_files(spark: SparkSession, path: str, glob: str) -> DataFrame:

@@ -72,7 +72,7 @@ def test_pages_and_rates(spark, tmp_path):
     fx = spark.createDataFrame([("USD", {"2024-01-01": {"USDEUR": "0.912345", "USDGBP": "0.79"}})],
                                "source string, quotes map<string, map<string, string>>")
     r = sorted(tuple(x) for x in fs.explode_rates(fx).collect())
-    assert [(x[2], str(x[3])) for x in r] == [("EUR", "0.912345"), ("GBP", "0.790000")]
+    assert [(x[2], str(x[3])) for x in r] == [("EUR", "0.912345000000000000"), ("GBP", "0.790000000000000000")]
 
 
 def test_catalog_types_and_dimensions(spark):
@@ -117,3 +117,66 @@ def test_sqp_file_tags(spark):
     df = spark.createDataFrame([("/x/US_Search_Query_Performance_Brand_View_Week.csv",)], "p string")
     r = df.select(*[c.alias(n) for n, c in fs.sqp_file_tags(F.col("p")).items()]).first()
     assert (r["marketplace"], r["view"]) == ("US", "brand")
+
+
+def test_corrupt_files_are_not_lost(spark, tmp_path):
+    import pytest
+    d = tmp_path / "ads"
+    d.mkdir()
+    whole = gzip.compress(json.dumps([{"date": "2024-01-01", "cost": 1.0}] * 5000).encode())
+    (d / "good.json.gz").write_bytes(whole)
+    (d / "cut.json.gz").write_bytes(gzip.compress(b'[{"date": "2024-01-01", "cost"'))
+    schema = T.StructType.fromDDL("date DATE, cost DOUBLE")
+    with pytest.raises(Exception, match="(?i)malformed|corrupt|EOF"):
+        fs.read_json_reports(spark, str(d), schema).collect()
+    both = fs.read_json_reports(spark, str(d), schema, bad="keep")
+    assert fs.accepted(both).count() == 5000
+    bad = fs.rejects(both).collect()
+    assert len(bad) == 1 and "cut.json.gz" in bad[0]["source_file"]
+
+
+def test_columns_by_header(spark, tmp_path):
+    (tmp_path / "1.txt").write_text("a\tb\n1\tx\n2\t\n")
+    (tmp_path / "2.txt").write_text("\ufeffb\textra\ta\n\"y \"\"q\"\"\"\tz\t3\n")
+    (tmp_path / "3.txt").write_text("b\nonly\n")
+    got = fs.read_tsv(spark, str(tmp_path), T.StructType.fromDDL("a INT, b STRING"))
+    assert sorted(((r.a, r.b) for r in got.collect()), key=str) == [(1, "x"), (2, None), (3, 'y "q"'), (None, "only")]
+    assert sorted(fs.read_tsv(spark, str(tmp_path)).columns) == ["a", "b", "extra", "source_file"]
+    (tmp_path / "4.txt").write_text("a\tb\n=[\tx\n")
+    kept = fs.read_tsv(spark, str(tmp_path), T.StructType.fromDDL("a INT, b STRING"), bad="keep")
+    assert [(r.b, r._rejected) for r in fs.rejects(kept).collect()] == [("x", ["a"])]
+    assert fs.accepted(kept).count() == 4
+    wide = tmp_path / "wide.csv"
+    wide.write_text(",".join(f"c{i}" for i in range(700)) + "\n" + ",".join(str(i) for i in range(700)) + "\n")
+    assert fs.read_any(spark, str(wide)).first()["c699"] == "699"
+    packed = tmp_path / "z.csv.gz"
+    packed.write_bytes(gzip.compress(b"a,b\n1,2\n"))
+    assert fs.read_any(spark, str(packed)).collect() == fs.read_any(spark, str(packed), fmt="csv").collect()
+
+
+def test_two_header_lines_go_by_position(spark, tmp_path):
+    text = 'ASIN or Product=["B0AAA"],Reporting Range=["Weekly"]\nReporting Date,Search Query\n'
+    rows = ["2024-01-06,a=[b", "a=[b,x", "Reporting Date,Search Query", '2024-01-06,"x, y"']
+    (tmp_path / "US_Search_Query_1.csv").write_text(text + "\n".join(rows) + "\n")
+    got = fs.read_two_header_csv(spark, str(tmp_path), ["Reporting Date", "Search Query"]).collect()
+    assert sorted((r["Reporting Date"], r["Search Query"]) for r in got) == [
+        ("2024-01-06", "a=[b"), ("2024-01-06", "x, y"), ("Reporting Date", "Search Query"), ("a=[b", "x")]
+    assert {(r["asin"], r["reporting_range"]) for r in got} == {("B0AAA", "Weekly")}
+
+
+def test_every_report_has_declared_types(spark):
+    from marketlake.sources import catalog as c
+    reports = [m for rs in c.CATALOG.values() for gs in rs.values() for _, m in gs.values()]
+    reports += [m for rs in c.CATALOG_V2.values() for _, m in rs.values()]
+    assert len(reports) == 37
+    for metrics in reports:
+        names = c.expand(metrics)
+        assert len(names) == len(set(names)) and report_schema(names, "DAILY").names
+    for name in ("costType", "bidOptimization", "campaignApplicableBudgetRuleId"):
+        assert column_type(name) == T.StringType()
+    for name in ("viewableImpressions", "grossImpressions", "addToCartClicks", "cumulativeReach",
+                 "kindleEditionNormalizedPagesRead14d"):
+        assert column_type(name) == T.LongType()
+    table, metrics = c.lookup("SPONSORED_PRODUCTS", "spSearchTerm", "['searchTerm']")
+    assert table == "search_term" and "searchTerm" in c.expand(metrics) and "sales30d" in c.expand(metrics)
+    assert c.lookup_v2("SPONSORED_BRANDS", "campaigns")[0] == "campaign_v2"
