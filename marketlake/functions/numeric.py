@@ -12,16 +12,17 @@ from pyspark.sql import functions as F
 from marketlake.functions._util import as_col
 
 
-def clean_money(c, signed: bool = False, default=0.0) -> Column:
-    """Money text → double.  NULL → ``default``; ``$`` stripped; parentheses
-    stripped.  ``signed=False`` drops the sign of ``(3.00)`` like the source does;
-    ``signed=True`` reads it as -3.00."""
+def clean_money(c, signed: bool = False, default=0.0, strict: bool = True) -> Column:
+    """Money text → double.  NULL → ``default`` and nothing else: text that is
+    no amount raises, or with ``strict=False`` becomes NULL (never 0).  ``$``, commas
+    and parentheses are stripped; ``signed=False`` drops the sign of ``(3.00)`` like
+    the source does, ``signed=True`` reads it as -3.00."""
     c = as_col(c).cast("string")
-    body = F.regexp_replace(c, r"[$(),]", "")
-    num = body.try_cast("double")
+    body = F.trim(F.regexp_replace(c, r"[$(),]", ""))
+    num = body.cast("double") if strict else body.try_cast("double")
     if signed:
         num = F.when(F.trim(c).startswith("(") & F.trim(c).endswith(")"), -num).otherwise(num)
-    return F.coalesce(num, F.lit(default)) if default is not None else num
+    return F.when(c.isNull(), F.lit(default)).otherwise(num) if default is not None else num
 
 
 def clean_number(c, percent: bool = False) -> Column:

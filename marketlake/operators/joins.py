@@ -147,11 +147,12 @@ def map_lookup(df: DataFrame, col: str, mapping: DataFrame, key: str, value: str
 def cleaned_key_join(left: DataFrame, right: DataFrame, cols: Sequence[str], cleaner,
                      right_cols: Sequence[str] | None = None) -> DataFrame:
     """Clean text keys on both sides with ``cleaner`` (a Column function),
-    join on the cleaned values, drop the helper columns."""
+    join on the cleaned values, drop the helper columns.  The right side is made
+    distinct after cleaning, so spellings that clean to one key match once (J12)."""
     right_cols = list(right_cols or cols)
     lk = [f"__lk{i}" for i in range(len(cols))]
     rk = [f"__rk{i}" for i in range(len(cols))]
     l2 = left.withColumns({n: cleaner(F.col(c)) for n, c in zip(lk, cols)})
-    r2 = right.withColumns({n: cleaner(F.col(c)) for n, c in zip(rk, right_cols)}).drop(*right_cols)
+    r2 = right.withColumns({n: cleaner(F.col(c)) for n, c in zip(rk, right_cols)}).drop(*right_cols).distinct()
     cond = [l2[a] == r2[b] for a, b in zip(lk, rk)]
     return l2.join(r2, cond, "left").drop(*lk, *rk)

@@ -11,32 +11,53 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
-# A name is split into words; each alternative below is one kind of word, tried
-# in this order.  Upper-case runs are taken greedily, which is what gives
-# "eCPAddToCart" → "e_cpa_dd_to_cart", the spelling stored tables already use.
+# A name is split into words at separators and, inside a chunk, where the kind of character
+# changes; each alternative is one kind of word, tried in this order.  Letters outside ASCII
+# (``ö``, ``É``) never start a word, they belong to the one before them.  Upper-case runs are
+# taken greedily, which gives "eCPAddToCart" → "e_cpa_dd_to_cart", the spelling that stored
+# tables already use.
+_O = r"[^\W\dA-Za-z_]"                      # a letter outside ASCII
+_LOWER = rf"(?:[a-z]|{_O})"
 _WORD = re.compile(
-    r"[A-Z][0-9][A-Z]"          # B2B
-    r"|[0-9]+[A-Z](?![A-Za-z])" # "2D" as a word of its own → "2d"
-    r"|[A-Z]{2,}"               # SKU, ASIN, CPA (greedy)
-    r"|[A-Z][a-z]*"             # Sold, Views, D
-    r"|[a-z]+"                  # units
-    r"|[0-9]+[a-z]*"            # 7d, 14d, 5
+    rf"(?P<run>[A-Z][0-9][A-Z]|[A-Z]{{2,}})"   # B2B, SKU, ASIN, CPA
+    rf"|[A-Z]{_LOWER}*"                         # Sold, Views, D
+    rf"|{_LOWER}+"                              # units
+    rf"|[0-9]+{_LOWER}*"                        # 7d, 14d, 5
 )
+_SPACED = re.compile(r"(?<= )[0-9]+[A-Z](?= )")  # "2D" between spaces is one word
+
+
+def _words(chunk: str, after_underscore: bool) -> list[str]:
+    """Words of a run of word characters; ``after_underscore``: the run follows one."""
+    words, at, glued = [], 0, after_underscore
+    while at < len(chunk):
+        one = re.match(rf"[a-z][0-9]+{_LOWER}*", chunk[at:]) if glued else None
+        m = one or _WORD.match(chunk, at)
+        if m is None:
+            at += 1
+            continue
+        at += len(m.group())
+        words.append(m.group().lower())
+        # after a run of capitals, too, a single letter with digits stays whole
+        glued = one is None and m.lastgroup == "run"
+    return words
 
 
 def normalise_name(name: str, drop_parens: bool = True, drop_extension: bool = False) -> str:
-    """Report header / camelCase → snake_case SQL name.
+    """Report header / camelCase → snake_case SQL name; normalising twice changes nothing
+    (names that start with a digit excepted).
 
-    >>> normalise_name("unitsSoldClicks7d"), normalise_name("SellerSKU")
-    ('units_sold_clicks_7d', 'seller_sku')
+    >>> normalise_name("unitsSoldClicks7d"), normalise_name("amount_b2b"), normalise_name("Größe")
+    ('units_sold_clicks_7d', 'amount_b2b', 'größe')
     """
     if drop_extension:
         name = re.sub(r"\..+", "", name)
     if drop_parens:
         name = re.sub(r"\(.+\)", "", name)
+    name = _SPACED.sub(lambda m: m.group().lower(), name)
     words = []
-    for chunk in re.split(r"[^A-Za-z0-9]+", name):
-        words += [w.lower() for w in _WORD.findall(chunk)]
+    for m in re.finditer(r"[^\W_]+", name):
+        words += _words(m.group(), name[m.start() - 1:m.start()] == "_")
     return "_".join(w for w in words if w)
 
 

@@ -175,6 +175,12 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | None =
     return rows.select(*out, "source_file", *more)
 
 
+def with_line_numbers(lines: DataFrame) -> DataFrame:
+    """``line_no`` of delimited text that was read whole (one split per file): the order of a file's
+    lines, for rules that keep a first or last line.  Increasing inside a file, not dense."""
+    return lines.withColumn("line_no", F.monotonically_increasing_id())
+
+
 def read_dated_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, glob: str = "*.csv",
                    date_col: str = "date", bad: str = "fail") -> DataFrame:
     """Daily CSV exports; the date comes from ``… s - January 5, 2024.csv``
@@ -261,10 +267,11 @@ def explode_rates(df: DataFrame, base_col: str = "source", quotes_col: str = "qu
     ``target`` = last three characters of the pair, rate parsed from its text
     as ``decimal(38,18)``, so every digit that the payload gives is kept (no binary
     float on the way)."""
-    days = df.select(F.coalesce(F.col(base_col), F.lit("USD")).alias("base"),
+    kept = [c for c in ("loaded_at",) if c in df.columns]
+    days = df.select(F.coalesce(F.col(base_col), F.lit("USD")).alias("base"), *kept,
                      F.explode(F.col(quotes_col)).alias("day", "pairs"))
-    pairs = days.select("base", "day", F.explode("pairs").alias("pair", "rate"))
-    return pairs.select(F.to_timestamp("day").alias("recorded_at"), "base",
+    pairs = days.select("base", "day", *kept, F.explode("pairs").alias("pair", "rate"))
+    return pairs.select(F.to_timestamp("day").alias("recorded_at"), "base", *kept,
                         F.right("pair", F.lit(3)).alias("target"),
                         F.col("rate").cast("string").cast("decimal(38,18)").alias("rate"))
 

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from marketlake import functions as mf
@@ -43,8 +44,10 @@ def test_placement_and_tokens(spark):
 
 
 def test_money_numbers(spark):
-    got = col(spark, mf.clean_money(F.col("v")), ["$1,234.50", "(3.00)", None, "junk"])
-    assert got == [1234.5, 3.0, 0.0, 0.0]
+    got = col(spark, mf.clean_money(F.col("v"), strict=False), ["$1,234.50", "(3.00)", None, "junk", "$1.5k"])
+    assert got == [1234.5, 3.0, 0.0, None, None]    # only NULL is 0
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        col(spark, mf.clean_money(F.col("v")), ["n/a"])
     assert col(spark, mf.clean_money(F.col("v"), signed=True), ["($3.00)"]) == [-3.0]
     assert col(spark, mf.clean_number(F.col("v"), percent=True), ["12.5%", "(50)"]) == [0.125, 0.5]
     assert col(spark, mf.percent_ratio(F.col("v")), ["12.5%"]) == [0.125]

@@ -41,7 +41,8 @@ def test_finance_events_keep_events_without_items(spark):
         [("o1", "2024-01-01", [("S1", "i1", 2), ("S2", "i2", 1)]), ("o2", "2024-01-02", [])],),)],
         "FinancialEvents struct<ShipmentEventList: array<struct<AmazonOrderId: string, PostedDate: string, "
         "ShipmentItemList: array<struct<SellerSKU: string, OrderItemId: string, QuantityShipped: long>>>>>")
-    out = ingest.finance_events(pages, TS(2024, 1, 3)).collect()
+    out = ingest.finance_events(pages, TS(2024, 1, 3), 1, "US").collect()
+    assert {(r["tenant_id"], r["marketplace"]) for r in out} == {(1, "US")}
     assert sorted((r["amazon_order_id"], r["item_seller_sku"]) for r in out) == \
         [("o1", "S1"), ("o1", "S2"), ("o2", None)]
 
@@ -67,7 +68,7 @@ def test_fx_and_tsv_batches(spark):
                                 ("USD", {"2024-01-01": {"USDEUR": "0.8"}})],
                                "source string, quotes map<string, map<string, string>>")
     out = sorted((r["recorded_at"], str(r["rate"])) for r in ingest.fx_rates_batch(fx).collect())
-    assert out == [(TS(2024, 1, 1), "0.800000"), (TS(2024, 1, 2), "0.900000")]
+    assert out == [(TS(2024, 1, 1), "0.800000000000000000"), (TS(2024, 1, 2), "0.900000000000000000")]
     raw = spark.createDataFrame([("S1", "F1", "A1", "US", "--", "x"), ("S1", "F1", "A1", "US", "3.5", "x")],
                                 "sku string, fnsku string, asin string, `amazon-store` string, `your-price` string, "
                                 "source_file string")
@@ -95,26 +96,129 @@ def test_keyword_tool_and_legacy(spark):
     assert leg["date"] == D(2024, 1, 1) and leg["clicks"] == 7 and leg["spend"] is None
 
 
-def test_placement_and_targeting_history(spark):
+BULK = ("portfolio_name string, campaign_name string, ad_group_name string, portfolio_id long, campaign_id long, "
+        "ad_group_id long")
+
+
+def test_search_term_history(spark):
+    export = spark.createDataFrame([
+        ("Products", D(2022, 9, 20), "SP | A | B | c", "AG", "kw", "st", "enabled", "exact", 10, 100, "$1.00", "$2.00", "$3", "7"),
+        ("Products", D(2021, 1, 1), "SP | A | B | c", "AG", "kw", "old", "enabled", "exact", 1, 0, None, "$9.00", "$3", "8"),
+        ("Brands", D(2022, 9, 20), "SP | A | B | c", "AG", "kw", "brand", "enabled", "exact", 1, 1, None, "$9.00", "$3", "8")],
+        "Sponsored string, Date date, Campaign string, AdGroup string, Keyword string, `Search Terms` string, State string, "
+        "Match string, Clicks long, Impressions long, CPC string, Cost string, Sales string, `Total Cost` string") \
+        .withColumn("Current Bid", F.lit(0.5))
+    console = spark.createDataFrame([(D(2022, 9, 20), "SP | A | B | c", "AG", "kw", "console", "enabled", "exact", "P"),
+                                     (D(2020, 1, 1), "SP | A | B | c", "AG", "kw", "console", "enabled", "exact", "P")],
+                                    "date date, campaign_name string, ad_group_name string, targeting string, "
+                                    "search_term string, ad_keyword_status string, match_type string, portfolio_name string")
+    # two spellings of one campaign: rows must not double
+    bulk = spark.createDataFrame([("P", "SP | A | B | x", "AG", 9, 1, 2), ("P", "SP | A | B | y [old]", "AG", 9, 1, 2)], BULK)
+    got = ingest.search_term_history([export], bulk, console, windows=[("2022-09-15", "2022-10-07")]).collect()
+    rows = sorted((r["search_term"], r["date"], r["ad_group_id"], r["portfolio_id"], r["keyword_bid"]) for r in got
+                  if r["date"] > D(2021, 1, 1))
+    assert rows == [("console", D(2022, 9, 20), 2, 9, 0.5), ("st", D(2022, 9, 20), 2, 9, 0.5)]
+    assert len(got) == 3 and not [c for c in got[0].asDict() if "Total" in c or c in ("Sponsored", "Actions")]
+    st = next(r for r in got if r["search_term"] == "st")
+    assert (st["cost"], st["click_through_rate"], st["keyword_type"], st["campaign_budget_currency_code"]) == (
+        2.0, 0.1, "EXACT", "USD")
+
+
+def test_targeting_history(spark):
+    export = spark.createDataFrame([
+        ("SP", D(2022, 12, 20), "SP | A | B | c", "AG", "[Close Match]", "enabled", "exact", "$1", "$2.00", "$3", 0.4),
+        ("SP", D(2022, 12, 20), "SP | Z | B | c", "AG", "kw", "enabled", "exact", "$1", "$5.00", "$3", 0.4),
+        ("SP", D(2022, 12, 12), "SP | A | B | c", "AG", "edge", "enabled", "exact", "$1", "$5.00", "$3", 0.4),
+        ("SB", D(2022, 12, 20), "SP | A | B | c", "AG", "brand", "enabled", "exact", "$1", "$5.00", "$3", 0.4)],
+        "Type string, Date date, Campaign string, AdGroup string, Keyword string, State string, Match string, "
+        "`Cost Per Click` string, Spent string, Sales string, `Current Bid` double")
+    console = spark.createDataFrame([
+        (D(2022, 12, 20), "SP | A | B | c", "AG", "close-match", "enabled", "exact", 1.0, "P"),
+        (D(2020, 5, 5), "SP | A | B | c", "AG", 'asin="B0X"', "enabled", "exact", 7.0, "P")],
+        "date date, campaign_name string, ad_group_name string, targeting string, ad_keyword_status string, "
+        "match_type string, cost double, portfolio_name string")
+    share = spark.createDataFrame([(D(2020, 5, 5), "b0x", 0.25)],
+                                  "date date, search_term string, top_of_search_impression_share double")
+    bulk = spark.createDataFrame([("P", "SP | A | B | q", "AG", 9, 1, 2)], BULK)
+    kept, unmatched = ingest.targeting_history([export], bulk, console, share, [("2022-12-12", "2022-12-26")])
+    rows = {r["targeting"]: r for r in kept.collect()}
+    # the console report is whole, outside the windows too, and goes first on equal keys
+    assert set(rows) == {"close-match", 'asin="B0X"'} and rows["close-match"]["cost"] == 1.0
+    assert rows["close-match"]["keyword_bid"] == 0.4 and rows['asin="B0X"']["top_of_search_impression_share"] == 0.25
+    assert rows['asin="B0X"']["match_type"] == "TARGETING_EXPRESSION"
+    assert [(r["targeting"], r["cost"]) for r in unmatched.collect()] == [("kw", 5.0)]
+
+
+def test_placement_history(spark):
     hist = spark.createDataFrame([
-        (D(2022, 9, 1), "enabled", "SP | A | B | c", "Top of Search", 100, 5, "$10.00"),
-        (D(2022, 9, 1), "enabled", "SP | A | B | c", "Top of Search", 100, 5, "$9.00"),
-        (None, "enabled", "SP | A | B | c", "Product Pages", 0, 0, "$1.00")],
+        (D(2022, 12, 13), "enabled", "SP | A | B | c", "Top of Search", 100, 5, "$10.00"),
+        (D(2022, 12, 13), "enabled", "SP | A | B | c", None, 0, 0, "$1.00"),
+        (D(2022, 12, 12), "enabled", "SP | A | B | c", "Product Pages", 0, 0, "$1.00")],
         "Date date, State string, Campaign string, Placement string, Impressions long, Clicks long, Spent string")
-    bulk = spark.createDataFrame([("SP | A | B | x", 42)], "campaign_name string, campaign_id long")
-    out = ingest.placement_history([hist], bulk).collect()
-    assert len(out) == 1 and out[0]["campaign_id"] == 42 and out[0]["cost"] == 10.0
-    assert out[0]["placement_classification"] == "Top of Search on-Amazon" and out[0]["click_through_rate"] == 0.05
-    st = spark.createDataFrame([
-        (D(2022, 9, 20), "SP | A | B | c", "AG", "kw", "enabled", "exact", "$1", "$2", "$3"),
-        (D(2022, 9, 21), "SP | Z | B | c", "AG", "kw", "enabled", "exact", "$1", "$5", "$3")],
-        "date date, Campaign string, AdGroup string, Keyword string, State string, Match string, CPC string, "
-        "Cost string, Sales string")
-    bulk2 = spark.createDataFrame([("P", "SP | A | B | q", "AG", 9, 1, 2)],
-                                  "portfolio_name string, campaign_name string, ad_group_name string, "
-                                  "portfolio_id long, campaign_id long, ad_group_id long")
-    kept, unmatched = ingest.targeting_history([st], bulk2, windows=[("2022-09-01", "2022-10-01")])
-    assert kept.count() == 1 and unmatched.count() == 1
+    console = spark.createDataFrame([(D(2022, 12, 13), "enabled", "SP | A | B | c", "Top of Search", 9, 1, "$(9.00)"),
+                                     (D(2020, 1, 1), "enabled", "SP | A | B | c", "Rest of Search", 9, 1, "$9.00"),
+                                     (D(2020, 1, 1), "enabled", "unknown", "Rest of Search", 9, 1, "$9.00")],
+                                    "date date, campaign_status string, campaign_name string, placement_classification "
+                                    "string, impressions long, clicks long, cost string")
+    bulk = spark.createDataFrame([("SP | A | B | x", 42), ("SP | A | B | y", 42)], "campaign_name string, campaign_id long")
+    out = {r["date"]: r for r in ingest.placement_history(
+        [hist], bulk, console, [("2022-12-12", "2022-12-26")]).collect()}
+    assert set(out) == {D(2022, 12, 13), D(2020, 1, 1)}
+    r = out[D(2022, 12, 13)]
+    assert (r["cost"], r["click_through_rate"], r["placement_classification"], r["campaign_id"]) == (
+        10.0, 0.05, "Top of Search on-Amazon", 42)
+
+
+def test_keyword_ranks_and_search_query_files(spark):
+    raw = spark.createDataFrame([("k", "A", "2024-01-01 10:00:00", "US", ">306"), ("k2", "A", "2024-01-01 10:00:00", "US", "-")],
+                                "Keyword string, ASIN string, `Date Added` string, Marketplace string, `Organic Rank` string")
+    batch, _ = ingest.keyword_rank_batch(raw)
+    assert [(r["Keyword"], r["Organic Rank"]) for r in batch.collect()] == [("k", 306)]
+    sqp = spark.createDataFrame([
+        ("2024-01-06", "weekly", "us", "A", "Shoes ", 1, None, "f1", 1), ("2024-01-06", "weekly", "us", "A", "shoes", 2, None, "f1", 2),
+        ("2024-01-06", "weekly", "us", "A", "shoes", 9, 5, "f2", 1), (None, "weekly", "us", "A", "x", 1, 1, "f2", 2)],
+        "reporting_date string, reporting_range string, marketplace string, asin string, search_query string, "
+        "volume int, clicks int, source_file string, line_no int")
+    r = ingest.sqp_batch(sqp).collect()
+    # the file read first wins, its last line inside; a value it lacks comes from the next file
+    assert [(x["search_query"], x["marketplace"], x["volume"], x["clicks"]) for x in r] == [("shoes", "US", 2, 5)]
+
+
+def test_snapshot_batches_feed_the_shipment_marts(spark):
+    awd = spark.createDataFrame([([("s1", "2024-01-01T00:00:00Z", "2024-01-02T00:00:00Z")],)],
+                                "shipments array<struct<shipmentId: string, createdAt: string, updatedAt: string>>")
+    r = ingest.awd_shipments(awd, 1, D(2024, 1, 3)).first()
+    assert r["shipment_create_date_utc"] == TS(2024, 1, 1) and "created_at" not in r.asDict()
+    plans = spark.createDataFrame([([("p1", "2024-01-01T00:00:00Z", ["ATVPDKIKX0DER"])],)],
+                                  "inboundPlans array<struct<inboundPlanId: string, createdAt: string, "
+                                  "marketplaceIds: array<string>>>")
+    p = ingest.inbound_records(plans, "inboundPlans", 1)
+    assert p.columns == ["inbound_plan_id", "date_created_at", "marketplace_ids", "tenant_id"]
+    work = p.withColumn("last_updated_at", F.lit("2024-02-01").cast("timestamp"))
+    assert ingest.plan_worklist(work, "ATVPDKIKX0DER", TS(2024, 1, 1), 1).count() == 1
+    assert ingest.plan_worklist(work, "A2EUQ1WTGCTBG2", TS(2024, 1, 1), 1).count() == 0
+    price = spark.createDataFrame([("A", "Success", (("USD",),))],
+                                  "ASIN string, status string, Product struct<price: struct<code: string>>")
+    c = ingest.competitive_pricing(price, "Consumer", 1, "US", D(2024, 1, 1)).first()
+    assert (c["asin"], c["customer_type"], c["product_price_code"]) == ("A", "Consumer", "USD")
+    inv = spark.createDataFrame([([("S1", (3,))],)], "inventory array<struct<sku: string, totals: struct<onHand: long>>>")
+    i = ingest.awd_inventory_batch(inv, 1, D(2024, 1, 1), TS(2024, 1, 1)).first()
+    assert (i["sku"], i["totals_on_hand"], i["loaded_at"]) == ("S1", 3, TS(2024, 1, 1))
+    listing = spark.createDataFrame([("S1", [("A1", "x"), ("A2", "y")])],
+                                    "sku string, summaries array<struct<asin: string, itemName: string>>")
+    got = ingest.listing_snapshot(listing, "summaries", 1, "US", D(2024, 1, 1)).collect()
+    assert sorted((x["sku"], x["asin"]) for x in got) == [("S1", "A1"), ("S1", "A2")]
+
+
+def test_ads_grid(spark):
+    rows = spark.createDataFrame([
+        ("d", 1, "C1", None, None, "$10.00", "1,000", None), ("d", 2, None, "kw1", "$4.00", None, None, "5%"),
+        ("d", 3, None, "kw2", "$6.00", None, None, "10%")],
+        "doc string, pos int, Campaign string, Keyword string, Cost string, `Total Spend` string, "
+        "`Total Impressions` string, CTR string")
+    out = {r["Keyword"]: r for r in ingest.scale_insights_grid(
+        rows, "doc", "pos", F.col("Campaign").isNotNull(), ["Campaign", "Total Spend", "Total Impressions"]).collect()}
+    assert (out["kw1"]["Impressions"], out["kw2"]["Impressions"], out["kw1"]["CTR"]) == (400.0, 600.0, 0.05)
 
 
 def test_warehouse_stock_and_scale_grid(spark):
