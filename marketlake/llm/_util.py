@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -90,3 +92,17 @@ def runs_of(texts: pa.Array, limit: int, rows: int = 1000) -> Iterator[list[str
     """``by_size`` over an Arrow array, turned into Python values a slice at a time."""
     for at in range(0, len(texts), rows):
         yield from by_size(texts.slice(at, rows).to_pylist(), limit)
+
+
+def release_memory() -> None:
+    """Give a worker's freed memory back to the system at the end of a task.
+
+    Spark keeps idle Python workers for reuse; what their allocators hold back would otherwise
+    add to the executor's memory while the JVM runs the next stage.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):   # another C library: it has its own ways
+        pass

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from marketlake.llm._util import ROW, by_size, hash_order, pick
+from marketlake.llm._util import ROW, by_size, hash_order, pick, release_memory
 from marketlake.llm._words import WordSums, flat, gram_hashes
 
 ORDER = 4
@@ -251,6 +251,8 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                                            "rejected": rejected}))
             yield pd.concat(parts) if parts else pd.DataFrame(
                 {"lang_pred": [], "score": [], "cross_entropy": [], "rejected": []})
+        del sums
+        release_memory()
 
     out = src.select("doc_id", label(F.col("text")).alias("p"), *([ROW] if carry else []))
     return out.select("doc_id", "p.*", *([ROW] if carry else []))

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm._components import connected
-from marketlake.llm._util import ROW, materialise, pick, runs_of, salted_lookup
+from marketlake.llm._util import ROW, materialise, pick, release_memory, runs_of, salted_lookup
 
 WIDTH = 5               # words in a shingle, unless the caller says otherwise
 PERCENT = 80
@@ -237,6 +237,7 @@ def _signature_column(width: int):
             yield pa.StructArray.from_arrays(
                 [pa.array(counts, pa.int64()), pa.array(nodes, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), keys)], ["n", "node", "bands"])
+        release_memory()
 
     return sign
 
@@ -253,6 +254,7 @@ def _elements_column(width: int):
                 out += [s.tobytes() for s in sets]
             yield pa.StructArray.from_arrays([pa.array(nodes, pa.binary()), pa.array(out, pa.binary())],
                                              ["node", "elements"])
+        release_memory()
 
     return elements
 

@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import codecs
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -36,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm._util import runs_of
+from marketlake.llm._util import release_memory, runs_of
 
 SPACE = "▁"             # stands for U+0020 in pieces
 MAX_PIECES = 1_000_000      # bound of the vocabulary that is sent to every worker
@@ -343,18 +344,24 @@ class Tokenizer:
         shared = spark.sparkContext.broadcast(Vocabulary.load(path))
 
         @F.arrow_udf("array<int>")
-        def encode(texts: pa.Array) -> pa.Array:
-            return _encode_array(_codec(shared), texts)
+        def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for texts in batches:
+                yield _encode_array(_codec(shared), texts)
+            release_memory()
 
         @F.arrow_udf("string")
-        def decode(ids: pa.Array) -> pa.Array:
-            return _decode_array(_codec(shared), ids)
+        def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for ids in batches:
+                yield _decode_array(_codec(shared), ids)
+            release_memory()
 
         @F.arrow_udf("struct<ids:array<int>,decoded:string>")
-        def round_trip(texts: pa.Array) -> pa.Array:
+        def round_trip(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             codec = _codec(shared)
-            ids = _encode_array(codec, texts)
-            return pa.StructArray.from_arrays([ids, _decode_array(codec, ids)], ["ids", "decoded"])
+            for texts in batches:
+                ids = _encode_array(codec, texts)
+                yield pa.StructArray.from_arrays([ids, _decode_array(codec, ids)], ["ids", "decoded"])
+            release_memory()
 
         self.encode, self.decode, self.round_trip = encode, decode, round_trip
 

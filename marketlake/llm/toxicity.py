@@ -46,7 +46,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm._util import ROW, by_size, hash_order, pick
+from marketlake.llm._util import ROW, by_size, hash_order, pick, release_memory
 from marketlake.llm._words import WordSums, flat, gram_hashes, word_hash, words
 
 BITS = 18
@@ -54,7 +54,7 @@ GRAMS = (3, 4, 5)
 SAMPLE_TOXIC = 1500
 SAMPLE_UNLABELLED = 2500
 SAMPLE_CLEAN = 1200
-SAMPLE_CHARS = 20_000
+SAMPLE_CHARS = 8_000
 STEPS = 120
 RATE = 300.0                # step size; with the momentum, and the decay of weights
 MOMENTUM = 0.9
@@ -224,6 +224,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         if not {TOXIC, CLEAN, UNLABELLED} <= set(roles.tolist()):
             return pd.DataFrame(columns=["weights", "slope", "shift"])
         m = fit(pdf["text"].tolist(), roles, prior)
+        release_memory()
         return pd.DataFrame({"weights": [m.weights.tobytes()], "slope": [m.slope], "shift": [m.shift]})
 
     got = (sample.groupBy().applyInPandas(
@@ -250,6 +251,8 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
                 continue
             parts = [own.scores(sums(run)) for run in by_size(texts.tolist(), RUN_CHARS)]
             yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+        del sums
+        release_memory()
 
     out = src.select("doc_id", rate(F.col("text")).alias("score"), *([ROW] if carry else []))
     return out.select("doc_id", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
