@@ -152,16 +152,22 @@ def schema_diff(expected: T.StructType, df: DataFrame) -> dict:
     }
 
 
-def percent_text_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def percent_text_columns(df: DataFrame, cols: Sequence[str], strict: bool = False) -> DataFrame:
     """K01 step 4: a text column bound for a float column is read as a number; when
-    *any* of its values carries ``%`` (decided per column over the whole batch by a
-    scalar subquery, not on the driver), every value is divided by 100."""
-    out = df
-    for c in cols:
-        has_pct = df.select(F.max(F.col(_q(c)).contains("%"))).scalar()
-        num = F.replace(F.col(_q(c)).cast("string"), F.lit("%"), F.lit("")).try_cast("double")
-        out = out.withColumn(c, F.when(F.coalesce(has_pct, F.lit(False)), num / F.lit(100.0)).otherwise(num))
-    return out
+    *any* of its values carries ``%`` (decided per column over the whole batch by one
+    scalar subquery for all columns, not on the driver), every value is divided by
+    100.  Text that is no number is NULL, or raises with ``strict``."""
+    if not cols:
+        return df
+    has_pct = df.select(F.struct(*[F.max(F.col(_q(c)).contains("%")).alias(f"p{i}")
+                                   for i, c in enumerate(cols)])).scalar()
+
+    def number(i: int, c: str) -> Column:
+        text = F.replace(F.col(_q(c)).cast("string"), F.lit("%"), F.lit(""))
+        num = text.cast("double") if strict else text.try_cast("double")
+        return F.when(F.coalesce(has_pct[f"p{i}"], F.lit(False)), num / F.lit(100.0)).otherwise(num)
+
+    return df.withColumns({c: number(i, c) for i, c in enumerate(cols)})
 
 
 def text_to_bool(c) -> Column:

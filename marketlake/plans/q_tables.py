@@ -15,7 +15,7 @@ from marketlake.functions import money
 from marketlake.operators.incremental import after_watermark
 from marketlake.plans.registry import register
 from marketlake.plans.tables import Tables, ts
-from marketlake.sinks.keyed import fix_values, insert_ignore as _insert_ignore, merge_frames
+from marketlake.sinks.keyed import KeyedTable, fix_values, insert_ignore as _insert_ignore, merge_frames
 from marketlake.sinks.tables import append_once as _append_once
 from marketlake.session import scratch_path
 from marketlake.streaming.file_upsert import stream_upsert as _stream_upsert
@@ -103,6 +103,31 @@ def append_once(spark, d):
     return out.withColumn("loaded_at", F.col("loaded_at").cast("timestamp_ntz"))
 
 
+@register("keyed_upsert", """
+with first as (select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority from orders
+               where o_orderdate < timestamp '1997-01-01 00:00:00'),
+     second as (select o_orderkey, o_custkey, 'U' as o_orderstatus, -o_totalprice as o_totalprice, o_orderdate,
+                       cast(null as varchar) as o_orderpriority
+                from orders where o_orderdate >= timestamp '1996-01-01 00:00:00')
+select *, true as untouched from first
+where o_orderkey not in (select o_orderkey from second)
+union all select *, false from second
+""")
+def keyed_upsert(spark, d):
+    """K01 on a stored table: two upserts, the second over a part of the first's keys and without
+    one column (which becomes NULL); the table is read back in its stored types."""
+    o = Tables(spark, d).orders
+    table = KeyedTable(spark, scratch_path(spark, "keyed-orders"), ["o_orderkey"])
+    table.upsert(o.where(F.col("o_orderdate") < ts("1997-01-01 00:00:00")), as_of=dt.datetime(2024, 1, 1))
+    second = o.where(F.col("o_orderdate") >= ts("1996-01-01 00:00:00")).select(
+        F.col("o_orderkey").alias("OOrderkey"), F.col("o_custkey").alias("oCustkey"), F.lit("U").alias("o_orderstatus"),
+        (-F.col("o_totalprice")).alias("oTotalprice"), F.col("o_orderdate"))
+    table.upsert(second.withColumnRenamed("OOrderkey", "o_orderkey"), as_of=dt.datetime(2024, 1, 2))
+    out = table.read()
+    return out.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
+                      (F.col("updated_at") < F.lit("2024-01-02").cast("timestamp")).alias("untouched"))
+
+
 @register("in_place_fix", """
 select o_orderkey, o_orderstatus,
        case when o_orderpriority = '5-LOW' and o_orderstatus = 'F' then '5-LOWEST' else o_orderpriority end

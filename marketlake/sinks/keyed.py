@@ -2,30 +2,44 @@
 
 There is no MERGE-capable catalog in a plain Spark session, so a merge is:
 
-1. the distinct partition values the batch touches (the one small ``collect`` in
+1. the batch is cleaned, checked and written once beside the table; everything
+   below reads that copy;
+2. the distinct partition values the batch touches (the one small ``collect`` in
    operator code: one row per touched partition, e.g. per day);
-2. ``kept = current ⋉̸ batch`` on the key (left anti join) over those partitions only;
-3. ``new = batch`` with ``created_at`` carried over from the stored row;
-4. ``kept ∪ new`` is written to a fresh staging folder under the shared
-   checkpoint folder, then swapped in with dynamic partition overwrite.  A job
-   never reads and overwrites one path in one plan, and a lost executor only
-   re-runs tasks: the staging copy is complete before the swap starts.
-
-Partition columns must be part of the key, so a row never moves partitions.
-Single writer per table is assumed.
+3. ``kept = current ⋉̸ batch`` on the key (left anti join) over those partitions only;
+4. ``new = batch`` with ``created_at`` carried over from the stored row;
+5. ``kept ∪ new`` is written to a stage inside the table's folder (hidden from
+   readers), and a marker that names the stage and the files it replaces is put
+   down.  Only then the replaced files are deleted and the staged ones moved in,
+   by renames.
+
+A write that dies before the marker leaves the old table untouched.  One that dies
+after it is finished by the next ``read`` or write, which finds the marker;
+repeating the swap does no harm.  Stage and batch copy are removed at the end.
+
+The stored schema is kept with the table, so partition values come back in their
+own type (``007`` stays text).  Partition columns must be part of the key, so a row
+never moves partitions.  A table that is not partitioned is rewritten by every
+upsert.  Single writer per table is assumed.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketlake.functions._util import ts_lit
 
 from marketlake.operators.dedupe import assert_unique, dedupe
-from marketlake.session import scratch_path
+from marketlake.operators.names import normalise_names
+from marketlake.operators.shape import percent_text_columns, text_to_bool
+from marketlake.sinks._files import Folder
+from marketlake.sinks.tables import PENDING, finish_swap
+from marketlake.sources.files import source_file
 
 AUDIT = ("created_at", "updated_at")
 
@@ -73,73 +87,116 @@ def insert_ignore(current: DataFrame, batch: DataFrame, keys: Sequence[str]) ->
     return current.unionByName(fresh.select(*current.columns))
 
 
+def clean_batch(batch: DataFrame, schema: T.StructType | None = None) -> DataFrame:
+    """K01 steps 2-5: names normalised; empty text → NULL; with the stored schema, text bound for
+    numbers loses ``%`` (and is then divided by 100, per column), text becomes boolean, and every
+    column gets its stored type.  Text that does not cast raises."""
+    df = normalise_names(batch)
+    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    df = df.withColumns({c: F.nullif(F.col(f"`{c}`"), F.lit("")) for c in text})
+    stored = {f.name: f.dataType for f in schema.fields} if schema else {}
+    numeric = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+    df = percent_text_columns(df, [c for c in text if isinstance(stored.get(c), numeric)], strict=True)
+    df = df.withColumns({c: text_to_bool(c) for c in text if isinstance(stored.get(c), T.BooleanType)})
+    return df.withColumns({c: F.col(f"`{c}`").cast(stored[c]) for c in df.columns if c in stored})
+
+
 class KeyedTable:
     """A Parquet table with a primary key, optionally partitioned (by a key column)."""
 
+    SCHEMA = "_schema.json"
+
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str],
                  partition_cols: Sequence[str] = (), audit: bool = True):
-        self.spark, self.path = spark, path
+        self.spark, self.path = spark, path.rstrip("/")
         self.keys, self.partition_cols, self.audit = list(keys), list(partition_cols), audit
         if not set(self.partition_cols) <= set(self.keys):
             raise ValueError("partition columns must be part of the key")
+        self._folder = Folder(spark, self.path)
 
     # -- reading -----------------------------------------------------------
     def exists(self) -> bool:
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return fs.exists(p)
+        return self._folder.exists(self.SCHEMA)
+
+    def schema(self) -> T.StructType:
+        return T.StructType.fromJson(self._folder.read_json(self.SCHEMA))
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+        """The table in its stored types; finishes a swap that was cut short."""
+        self._finish()
+        return self.spark.read.schema(self.schema()).parquet(self.path)
 
     # -- writing -----------------------------------------------------------
-    def _prepare(self, batch: DataFrame, order_by=None):
-        bad = batch.where(F.greatest(*[F.col(k).isNull() for k in self.keys])) if len(self.keys) > 1 \
-            else batch.where(F.col(self.keys[0]).isNull())
-        good = batch.where(~F.greatest(*[F.col(k).isNull() for k in self.keys])) if len(self.keys) > 1 \
-            else batch.where(F.col(self.keys[0]).isNotNull())
-        good = good.distinct()  # full-row duplicates are harmless (step 6 of the source)
+    def _finish(self) -> None:
+        finish_swap(self.spark, self.path)
+
+    def _write(self, df: DataFrame, name: str) -> None:
+        w = df.write
+        if self.partition_cols:
+            w = w.partitionBy(*self.partition_cols)
+        w.parquet(f"{self.path}/{name}")
+
+    def _swap(self, rows: DataFrame, replaced: Sequence[str]) -> None:
+        """Stage ``rows``, then put them in place of the ``replaced`` files."""
+        stage = f"_stage-{uuid.uuid4().hex}"
+        self._write(rows, stage)
+        staged = [n.removeprefix(f"{stage}/") for n in self._folder.data_files(stage)]
+        self._folder.write_json(PENDING, {"stage": stage, "staged": staged, "replaced": list(replaced)})
+        self._finish()
+
+    def _create(self, rows: DataFrame) -> None:
+        self._folder.write_json(self.SCHEMA, rows.schema.jsonValue())
+        self._swap(rows, [])
+
+    def _written_batch(self, batch: DataFrame, order_by) -> tuple[DataFrame, DataFrame, str]:
+        """(rows, rejected rows with a NULL key, name of the copy): cleaned, distinct, one per key."""
+        stored = self.schema() if self.exists() else None
+        name = f"_batch-{uuid.uuid4().hex}"
+        clean_batch(batch, stored).distinct().write.parquet(f"{self.path}/{name}")
+        copy = self.spark.read.parquet(f"{self.path}/{name}")
+        no_key = F.lit(False)
+        for k in self.keys:
+            no_key = no_key | F.col(k).isNull()
+        good, bad = copy.where(~no_key), copy.where(no_key)
         if order_by is not None:
             good = dedupe(good, self.keys, order_by, keep="first")
         else:
-            assert_unique(good, self.keys)
-        return good, bad
+            try:
+                assert_unique(good, self.keys)
+            except ValueError:
+                self._folder.delete(name)
+                raise
+        # rejects outlive the copy, as a bounded-by-the-batch table of their own only if there are any
+        if bad.isEmpty():
+            return good, self.spark.createDataFrame([], copy.schema), name
+        kept = f"_rejects-{uuid.uuid4().hex}"
+        bad.write.parquet(f"{self.path}/{kept}")
+        return good, self.spark.read.schema(copy.schema).parquet(f"{self.path}/{kept}"), name
 
-    def _touched(self, batch: DataFrame) -> DataFrame:
+    def _touched(self, batch: DataFrame) -> tuple[DataFrame, list[str]]:
+        """Stored rows of the partitions that the batch touches, and their files."""
         current = self.read()
         if not self.partition_cols:
-            return current
-        vals = [r.asDict() for r in batch.select(*self.partition_cols).distinct().collect()]
-        if not vals:
-            return current.limit(0)
+            return current, self._folder.data_files()
+        hit = batch.select(*self.partition_cols).distinct()
+        vals = [r.asDict() for r in hit.collect()]
+        cond = F.lit(False)
         if len(self.partition_cols) == 1:  # one IN list: static partition pruning
             k = self.partition_cols[0]
-            present = [v[k] for v in vals if v[k] is not None]
-            cond = F.col(k).isin(present) if present else F.lit(False)
-            if len(present) < len(vals):
-                cond = cond | F.col(k).isNull()
-            return current.where(cond)
-        cond = None
-        for v in vals:
-            c = None
-            for k, x in v.items():
-                e = F.col(k).isNull() if x is None else (F.col(k) == F.lit(x))
-                c = e if c is None else (c & e)
-            cond = c if cond is None else (cond | c)
-        return current.where(cond)
-
-    def _swap(self, merged: DataFrame) -> None:
-        stage = scratch_path(self.spark, "keyed-stage")
-        w = merged.write.mode("overwrite")
-        if self.partition_cols:
-            w = w.partitionBy(*self.partition_cols)
-        w.parquet(stage)
-        staged = self.spark.read.parquet(stage)
-        out = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        if self.partition_cols:
-            out = out.partitionBy(*self.partition_cols)
-        out.parquet(self.path)
+            cond = F.col(k).isin([v[k] for v in vals]) if vals else cond
+        else:
+            for v in vals:
+                c = F.lit(True)
+                for k, x in v.items():
+                    c = c & (F.col(k) == F.lit(x))
+                cond = cond | c
+        touched = current.where(cond)
+        return touched, sorted(self._files_of(touched))
+
+    def _files_of(self, rows: DataFrame) -> dict[str, str]:
+        """The table's files that hold any of the rows: name inside the table -> full path."""
+        paths = [r[0] for r in rows.select(source_file().alias("f")).distinct().collect()]
+        return {p.split(self._folder.inner_path + "/", 1)[1]: p for p in paths}
 
     def _stamp(self, df: DataFrame, as_of) -> DataFrame:
         if not self.audit:
@@ -149,40 +206,49 @@ class KeyedTable:
 
     def upsert(self, batch: DataFrame, as_of=None, missing: str = "null", order_by=None) -> DataFrame:
         """K01 (+K10).  Returns the rejected rows (NULL key) as a DataFrame."""
-        good, bad = self._prepare(batch, order_by)
+        self._finish()
+        good, bad, copy = self._written_batch(batch, order_by)
         if not self.exists():
-            first = self._stamp(good, as_of)
-            w = first.write.mode("overwrite")
-            if self.partition_cols:
-                w = w.partitionBy(*self.partition_cols)
-            w.parquet(self.path)
-            return bad
-        current = self._touched(good)
-        merged = merge_frames(current, good, self.keys, missing=missing, as_of=as_of, audit=self.audit)
-        self._swap(merged.select(*self.read().columns))
+            self._create(self._stamp(good, as_of))
+        else:
+            current, files = self._touched(good)
+            merged = merge_frames(current, good, self.keys, missing=missing, as_of=as_of, audit=self.audit)
+            self._swap(merged.select(*self.schema().names), files)
+        self._folder.delete(copy)
         return bad
 
     def insert_ignore(self, batch: DataFrame, as_of=None) -> DataFrame:
         """K03; K04 is ``insert_ignore(dedupe(batch, keys, order))``."""
-        good, bad = self._prepare(batch, order_by=[f"{k}" for k in self.keys])
+        self._finish()
         if not self.exists():
-            return self.upsert(good, as_of)
-        current = self._touched(good)
-        fresh = good.join(current.select(*self.keys), self.keys, "left_anti")
-        fresh = self._stamp(fresh, as_of)
-        cols = self.read().columns
-        w = fresh.select(*cols).write.mode("append")
-        if self.partition_cols:
-            w = w.partitionBy(*self.partition_cols)
-        w.parquet(self.path)
+            return self.upsert(batch, as_of, order_by=self.keys)
+        good, bad, copy = self._written_batch(batch, self.keys)
+        current, _ = self._touched(good)
+        fresh = self._stamp(good.join(current.select(*self.keys), self.keys, "left_anti"), as_of)
+        self._swap(fresh.select(*self.schema().names), [])
+        self._folder.delete(copy)
         return bad
 
     def append(self, batch: DataFrame) -> None:
         """Plain insert when the table has no key conflicts to resolve."""
-        w = batch.write.mode("append")
-        if self.partition_cols:
-            w = w.partitionBy(*self.partition_cols)
-        w.parquet(self.path)
+        self._finish()
+        rows = clean_batch(batch, self.schema() if self.exists() else None)
+        if self.exists():
+            self._swap(rows.select(*self.schema().names), [])
+        else:
+            self._create(rows)
+
+    def fix_values(self, col: str, old, new, where=None) -> None:
+        """K14 on the stored table: only files that hold a row to change are rewritten."""
+        current = self.read()
+        hit = F.col(col) == F.lit(old)
+        if where is not None:
+            hit = hit & where
+        files = self._files_of(current.where(hit))
+        if not files:
+            return
+        rows = current.where(source_file().isin(sorted(files.values())))
+        self._swap(fix_values(rows, col, old, new, where).select(*self.schema().names), sorted(files))
 
 
 def fix_values(df: DataFrame, col: str, old, new, where=None) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,9 @@ from pyspark.sql import types as T
 
 from marketlake.functions._util import ts_lit
 from marketlake.operators.dedupe import latest_per_key
-from marketlake.session import scratch_path
+from marketlake.sinks._files import Folder
+
+PENDING = "_pending.json"
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -32,12 +35,14 @@ def loaded_on(spark: SparkSession, path: str, stamp_col: str, day: dt.date, date
     """K06 guard: ``MAX(DATE(stamp_col)) = day``.
 
     With ``date_partition`` (the table is partitioned by load day) the answer is
-    whether that partition folder exists: a metadata call, no scan, whatever the
-    table's size.  Otherwise one column is scanned."""
+    whether the load of that day was committed: ``append_once`` puts down a marker
+    after its write, so a folder left by a write that failed does not count.  A
+    metadata call, no scan, whatever the table's size.  Otherwise one column is
+    scanned."""
     if not _exists(spark, path):
         return False
     if date_partition:
-        return _exists(spark, f"{path.rstrip('/')}/{date_partition}={day.isoformat()}")
+        return Folder(spark, path).exists(f"_loaded/{date_partition}={day.isoformat()}")
     mx = spark.read.parquet(path).agg(F.max(F.to_date(stamp_col)).alias("d")).first()["d"]
     return mx == day
 
@@ -55,17 +60,42 @@ def append_once(df: DataFrame, path: str, stamp_col: str, as_of: dt.datetime,
     if date_partition:
         out = out.withColumn(date_partition, F.lit(as_of.date().isoformat()).cast("date"))
         parts = [date_partition, *parts]
-    load(out, path, "append", parts)
+        # what a failed write of this day may have left is replaced, not added to
+        w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
+        w.parquet(path)
+        Folder(spark, path).write_json(f"_loaded/{date_partition}={as_of.date().isoformat()}", {"at": as_of.isoformat()})
+    else:
+        load(out, path, "append", parts)
     return True
 
 
 def rewrite_deduped(spark: SparkSession, path: str, keys: Sequence[str], order,
                     partition_by: Sequence[str] = ()) -> None:
     """``CREATE OR REPLACE TABLE AS … row_number() = 1`` on a Parquet path.
-    The de-duplicated copy is written to staging first, then swapped in."""
-    stage = scratch_path(spark, "dedupe-stage")
-    load(latest_per_key(spark.read.parquet(path), keys, order), stage, "overwrite", partition_by)
-    load(spark.read.parquet(stage), path, "overwrite", partition_by)
+    The de-duplicated copy is staged inside the table's folder and swapped in by
+    renames behind a marker; a swap that is cut short is finished by the next call
+    (``finish_swap``)."""
+    finish_swap(spark, path)
+    folder, stage = Folder(spark, path), f"_stage-{uuid.uuid4().hex}"
+    old = folder.data_files()
+    load(latest_per_key(spark.read.parquet(path), keys, order), f"{path.rstrip('/')}/{stage}", "overwrite", partition_by)
+    staged = [n.removeprefix(f"{stage}/") for n in folder.data_files(stage)]
+    folder.write_json(PENDING, {"stage": stage, "staged": staged, "replaced": old})
+    finish_swap(spark, path)
+
+
+def finish_swap(spark: SparkSession, path: str) -> None:
+    """Finish a swap whose marker is there (deleting and moving again does no harm)."""
+    folder = Folder(spark, path)
+    if not folder.exists(PENDING):
+        return
+    todo = folder.read_json(PENDING)
+    for name in todo["replaced"]:
+        folder.delete(name)
+    for name in todo["staged"]:
+        folder.move(f"{todo['stage']}/{name}", name)
+    folder.delete(PENDING)
+    folder.delete(todo["stage"])
 
 
 def create_empty(spark: SparkSession, schema: T.StructType, path: str | None = None,
@@ -107,16 +137,21 @@ def export_mart(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Se
 
 
 def export_daily(df: DataFrame, path: str, date_col: str = "date", fmt: str = "csv") -> None:
-    """One folder per day; days already written are skipped (dynamic
-    overwrite touches only the days present in ``df``; pre-filter with
-    ``missing_dates`` to skip existing ones entirely)."""
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").format(fmt)
+    """One folder per day; days that already have one are skipped (their rows
+    are anti-joined away; the list of days is the folder's listing)."""
+    folder = Folder(df.sparkSession, path)
+    done = {p.split("/", 1)[0].split("=", 1)[1] for p in folder.data_files() if p.startswith(f"{date_col}=")} \
+        if folder.exists() else set()
+    if done:
+        days = df.sparkSession.createDataFrame([(d,) for d in sorted(done)], "__day string")
+        df = df.join(days, F.col(date_col).cast("string") == F.col("__day"), "left_anti")
+    w = df.write.mode("append").format(fmt)
     if fmt == "csv":
         w = w.option("header", True)
     w.partitionBy(date_col).save(path)
 
 
-def infer_schema(df: DataFrame, sample_fraction: float | None = None) -> T.StructType:
+def infer_schema(df: DataFrame) -> T.StructType:
     """Type inference for text columns from the data, in one aggregate job.
 
     A string column becomes bigint when every non-NULL value casts to an
@@ -124,9 +159,9 @@ def infer_schema(df: DataFrame, sample_fraction: float | None = None) -> T.Struc
     true/false/0/1 spellings, date when every value is a timestamp at midnight,
     timestamp when every value parses as one, else it stays string (64-bit
     integers always; the source picked 32-bit types by size, E17).  Other
-    column types are kept.  ``sample_fraction`` bounds the scan on huge inputs.
+    column types are kept.  All rows are read: types from a sample could be too
+    narrow for the rest.
     """
-    src = df.sample(fraction=sample_fraction, seed=7) if sample_fraction else df
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     if not text:
         return df.schema
@@ -148,7 +183,7 @@ def infer_schema(df: DataFrame, sample_fraction: float | None = None) -> T.Struc
         return F.when(v.isNull() | (v == ""), F.lit(31)).otherwise(bits)
 
     # one bit_and per column: a type survives only if every value parses as it
-    flags = src.agg(*[F.bit_and(mask(c)).alias(f"m{i}") for i, c in enumerate(text)]).first()
+    flags = df.agg(*[F.bit_and(mask(c)).alias(f"m{i}") for i, c in enumerate(text)]).first()
     fields = []
     for f in df.schema.fields:
         if f.name not in text:

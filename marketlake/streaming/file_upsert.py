@@ -2,9 +2,10 @@
 
 New report files landing in a folder are read as a file stream; every
 micro-batch is upserted into a keyed table with ``foreachBatch``.  The stream's
-checkpoint lives in the shared checkpoint folder, so a restarted job (or one that
-lost executors) resumes exactly where it stopped: files already committed are
-not read again, and re-running a batch is idempotent because the upsert is.
+checkpoint belongs to the table (``<table>/_stream``, unless the caller names
+another shared folder), so a restarted job (or one that lost executors) resumes
+where it stopped: files already committed are not read again, and re-running a
+batch is idempotent because the upsert is.
 """
 
 from __future__ import annotations
@@ -14,7 +15,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from marketlake.session import scratch_path
 from marketlake.sinks.keyed import KeyedTable
 
 
@@ -32,7 +32,7 @@ def stream_upsert(spark: SparkSession, folder: str, glob: str, schema: T.StructT
         table.upsert(batch, order_by=order_by)
 
     q = (stream.writeStream.foreachBatch(upsert_batch)
-         .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt"))
+         .option("checkpointLocation", checkpoint or f"{table_path.rstrip('/')}/_stream")
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return q

@@ -2,6 +2,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from marketlake.session import scratch_path
 from marketlake.sinks.keyed import KeyedTable, insert_ignore, merge_frames
@@ -72,3 +73,48 @@ def test_insert_ignore(spark):
     t.upsert(cur)
     t.insert_ignore(b)
     assert snap(spark, path) == [(D1, "a", 1, "old"), (D1, "b", 2, "new")]
+
+
+def test_text_keys_keep_their_type_and_cleaning(spark):
+    t = KeyedTable(spark, scratch_path(spark, "t-types"), ["code"], ["code"], audit=False)
+    t.upsert(spark.createDataFrame([("007", 1.0, "x"), ("1E2", 2.0, "")], "code string, rate double, note string"))
+    t.upsert(spark.createDataFrame([("007", "12.5%", "y")], "Code string, Rate string, Note string"))
+    got = sorted(tuple(r) for r in t.read().select("code", "rate", "note").collect())
+    assert got == [("007", 0.125, "y"), ("1E2", 2.0, None)]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        t.upsert(spark.createDataFrame([("8", "junk")], "code string, rate string"))
+
+
+def test_cut_swap_is_finished_or_never_begun(spark, monkeypatch):
+    from marketlake.sinks import tables
+    path = scratch_path(spark, "t-cut")
+    t = KeyedTable(spark, path, ["d", "k"], ["d"], audit=False)
+    t.upsert(batch(spark, [(D1, "a", 1, "x"), (D2, "b", 2, "y")]))
+    old = snap(spark, path)
+    # dies before the marker: the old table stays
+    with monkeypatch.context() as m:
+        m.setattr(type(t._folder), "write_json", lambda *a: (_ for _ in ()).throw(OSError("killed")))
+        with pytest.raises(OSError):
+            t.upsert(batch(spark, [(D1, "a", 9, "new")]))
+    assert snap(spark, path) == old == sorted(tuple(r) for r in t.read().select("d", "k", "v", "note").collect())
+    # dies between delete and move: the next read finishes it
+    with monkeypatch.context() as m:
+        m.setattr(type(t._folder), "move", lambda *a: (_ for _ in ()).throw(OSError("killed")))
+        with pytest.raises(OSError):
+            t.upsert(batch(spark, [(D1, "a", 9, "new")]))
+    got = sorted(tuple(r) for r in t.read().select("d", "k", "v", "note").collect())
+    assert got == [(D1, "a", 9, "new"), (D2, "b", 2, "y")]
+    assert not t._folder.exists(tables.PENDING)
+
+
+def test_untouched_partitions_and_stages(spark):
+    import os
+    path = scratch_path(spark, "t-part")
+    t = KeyedTable(spark, path, ["d", "k"], ["d"], audit=False)
+    t.upsert(batch(spark, [(D1, "a", 1, "x"), (D2, "b", 2, "y")]))
+    before = sorted(os.listdir(f"{path}/d=2024-01-02"))
+    t.upsert(batch(spark, [(D1, "c", 1, "x")]))
+    t.fix_values("v", 1, 100, F.col("k") == "c")
+    assert sorted(os.listdir(f"{path}/d=2024-01-02")) == before
+    assert {x for x in os.listdir(path) if x.startswith("_")} == {"_schema.json"}
+    assert snap(spark, path) == [(D1, "a", 1, "x"), (D1, "c", 100, "x"), (D2, "b", 2, "y")]

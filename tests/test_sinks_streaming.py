@@ -36,9 +36,9 @@ def test_create_defaults_exports(spark, tmp_path):
     daily = str(tmp_path / "daily")
     d1 = spark.createDataFrame([(dt.date(2024, 1, 1), 1), (dt.date(2024, 1, 2), 2)], "date date, x int")
     tb.export_daily(d1, daily, fmt="parquet")
-    tb.export_daily(spark.createDataFrame([(dt.date(2024, 1, 2), 9)], "date date, x int"), daily, fmt="parquet")
+    tb.export_daily(spark.createDataFrame([(dt.date(2024, 1, 2), 9), (dt.date(2024, 1, 3), 3)], "date date, x int"), daily, fmt="parquet")
     got = sorted((str(r["date"]), r["x"]) for r in spark.read.parquet(daily).collect())
-    assert got == [("2024-01-01", 1), ("2024-01-02", 9)]   # only the rewritten day changed
+    assert got == [("2024-01-01", 1), ("2024-01-02", 2), ("2024-01-03", 3)]   # days that exist are skipped
 
 
 def test_infer_schema(spark):
