@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 
 from marketlake.functions._util import ts_lit
 
-from marketlake.functions import contains_all, local_date, product_code, ratio, within_age
+from marketlake.functions import contains_all, local_date, money, product_code, ratio, within_age
 from marketlake.functions.nested import json_nonempty
 from marketlake.operators.dedupe import latest_per_key, latest_snapshot, latest_values
-from marketlake.operators.joins import broadcast_if_small, full_join_coalesced, with_children
+from marketlake.operators.joins import broadcast_if_small, with_children
 from marketlake.operators.setops import pad_to, union_distinct
 
 Tables = Mapping[str, DataFrame]
@@ -39,6 +39,42 @@ BUSINESS_PERCENT_COLUMNS = [
     "traffic_by_asin_buy_box_percentage", "traffic_by_asin_buy_box_percentage_b2b",
     "traffic_by_asin_unit_session_percentage", "traffic_by_asin_unit_session_percentage_b2b",
 ]
+BUSINESS_COLUMNS = [
+    "date", "parent_asin", "marketplace", "traffic_by_asin_mobile_app_sessions", "traffic_by_asin_mobile_app_sessions_b2b",
+    "traffic_by_asin_browser_sessions", "traffic_by_asin_browser_sessions_b2b", "traffic_by_asin_sessions",
+    "traffic_by_asin_sessions_b2b", *BUSINESS_PERCENT_COLUMNS[:6], "traffic_by_asin_mobile_app_page_views",
+    "traffic_by_asin_mobile_app_page_views_b2b", "traffic_by_asin_browser_page_views",
+    "traffic_by_asin_browser_page_views_b2b", "traffic_by_asin_page_views", "traffic_by_asin_page_views_b2b",
+    *BUSINESS_PERCENT_COLUMNS[6:14], "sales_by_asin_units_ordered", "sales_by_asin_units_ordered_b2b",
+    *BUSINESS_PERCENT_COLUMNS[14:], "sales_by_asin_ordered_product_sales_amount",
+    "sales_by_asin_ordered_product_sales_b2b_amount", "sales_by_asin_total_order_items",
+    "sales_by_asin_total_order_items_b2b",
+]
+FBA_COLUMNS = ["asin", "fn_sku", "seller_sku", "marketplace", "date", "last_updated_time", "total_quantity",
+               "fulfillable_quantity", "inbound_working_quantity", "inbound_shipped_quantity",
+               "inbound_receiving_quantity", "reserved_quantity_total_reserved_quantity",
+               "unfulfillable_quantity_total_unfulfillable_quantity",
+               "reserved_quantity_pending_transshipment_quantity", "reserved_quantity_fc_processing_quantity"]
+SP_COLS = ["date", "marketplace", "portfolio_name", "product_code", "currency", "total_cost",
+           "total_units_sold_clicks_7d", "total_clicks", "total_impressions", "sales_7d"]
+SB_COLS = ["date", "marketplace", "portfolio_name", "product_code", "currency", "total_cost",
+           "attributed_units_ordered_new_to_brand_14d", "total_clicks", "total_impressions", "attributed_sales_14d"]
+SD_COLS = ["date", "marketplace", "portfolio_name", "product_code", "currency", "total_cost",
+           "attributed_units_ordered_7d", "total_clicks", "total_impressions"]
+SHIPMENT_COLS = ["tenant_id", "origin country", "destination country", "shipment name", "shipment id", "created",
+                 "last updated", "fulfillment center", "skus", "quantity shipped", "quantity received",
+                 "shipment status", "ship from", "reference id", "inbound plan id"]
+FEE_COLS = ["date", "sku", "fnsku", "asin", "amazon_store", "product_name", "product_group", "brand", "fulfilled_by",
+            "your_price", "sales_price", "longest_side", "median_side", "shortest_side", "length_and_girth",
+            "unit_of_dimension", "item_package_weight", "unit_of_weight", "product_size_tier", "currency",
+            "estimated_fee_total", "estimated_referral_fee_per_unit", "estimated_variable_closing_fee",
+            "estimated_order_handling_fee_per_order", "estimated_pick_pack_fee_per_unit",
+            "estimated_weight_handling_fee_per_unit", "expected_fulfillment_fee_per_unit", "referral_fee_%"]
+CEREBRO_COLUMNS = {"Search Volume": "cerebro_search_volume", "Position (Rank)": "position_rank",
+                   "Relative Rank": "relative_rank", "Competitor Rank (avg)": "competitor_rank_avg",
+                   "Ranking Competitors (count)": "ranking_competitors_count",
+                   "Competitor Performance Score": "competitor_performance_score", "H10 PPC Sugg. Bid": "h10_sugg_bid",
+                   "H10 PPC Sugg. Min Bid": "h10_min_bid", "H10 PPC Sugg. Max Bid": "h10_max_bid"}
 # -----------------------------------------------------------------------------
 
 
@@ -46,6 +82,11 @@ def _tenant(df: DataFrame, tenant_id) -> DataFrame:
     return df if tenant_id is None else df.where(F.col("tenant_id") == F.lit(tenant_id))
 
 
+def _money_sum(col: str) -> Column:
+    """Sum of an amount as decimal(18,4): exact, whatever the order of the tasks."""
+    return F.sum(money(F.col(f"`{col}`"), 4)).cast("double")
+
+
 def _sorted(df: DataFrame, ordered: bool, *cols: Column) -> DataFrame:
     return df.orderBy(*cols) if ordered else df
 
@@ -57,13 +98,6 @@ def fba_planning_inventory(t: Tables, tenant_id=None, ordered=False) -> DataFram
     return _sorted(df, ordered, F.col("snapshot_date").desc_nulls_first(), "marketplace", "sku")
 
 
-FBA_COLUMNS = ["asin", "fn_sku", "seller_sku", "marketplace", "date", "last_updated_time", "total_quantity",
-               "fulfillable_quantity", "inbound_working_quantity", "inbound_shipped_quantity",
-               "inbound_receiving_quantity", "reserved_quantity_total_reserved_quantity",
-               "unfulfillable_quantity_total_unfulfillable_quantity",
-               "reserved_quantity_pending_transshipment_quantity", "reserved_quantity_fc_processing_quantity"]
-
-
 def fba_inventory(t: Tables, tenant_id=None, max_age_days: int = 30, ordered=False) -> DataFrame:
     """C02 ``FBA-Inv``: rows whose snapshot is less than 30 days newer than the
     inventory's last update (F05)."""
@@ -73,9 +107,10 @@ def fba_inventory(t: Tables, tenant_id=None, max_age_days: int = 30, ordered=Fal
 
 
 def business_report_parent(t: Tables, tenant_id=None, ordered=False) -> DataFrame:
-    """C03 ``Bus-RP``: traffic percentages as ratios."""
+    """C03 ``Bus-RP``: the report's columns, traffic percentages as ratios."""
     df = _tenant(t["business_reports.detail_page_sales_and_traffic_parent"], tenant_id)
-    df = df.withColumns({c: F.col(c) / F.lit(100.0) for c in BUSINESS_PERCENT_COLUMNS if c in df.columns})
+    df = df.select("tenant_id", *[(F.col(c) / F.lit(100.0)).alias(c) if c in BUSINESS_PERCENT_COLUMNS else F.col(c)
+                                  for c in BUSINESS_COLUMNS])
     return _sorted(df, ordered, "date", "marketplace", "parent_asin")
 
 
@@ -96,8 +131,6 @@ def awd_inbound_detail(t: Tables, tenant_id=None, ordered=False) -> DataFrame:
 
 
 # ---------------------------------------------------------------- advertising spend
-SP_COLS = ["date", "marketplace", "portfolio_name", "product_code", "currency", "total_cost",
-           "total_units_sold_clicks_7d", "total_clicks", "total_impressions", "sales_7d"]
 
 
 def _portfolios(t: Tables) -> DataFrame:
@@ -118,9 +151,9 @@ def sp_spend(t: Tables, marketplace: str, tenant_id=None, with_console: bool | N
              .join(broadcast_if_small(_portfolios(t)), ["tenant_id", "portfolio_id"], "left"))
     api = (j.groupBy("tenant_id", "marketplace", "portfolio_name", "date",
                      F.col("campaign_budget_currency_code").alias("currency"))
-            .agg(F.sum("cost").alias("total_cost"), F.sum("units_sold_clicks_7d").alias("total_units_sold_clicks_7d"),
+            .agg(_money_sum("cost").alias("total_cost"), F.sum("units_sold_clicks_7d").alias("total_units_sold_clicks_7d"),
                  F.sum("clicks").alias("total_clicks"), F.sum("impressions").alias("total_impressions"),
-                 F.sum("sales_7d").alias("sales_7d")))
+                 _money_sum("sales_7d").alias("sales_7d")))
     if marketplace == "US":
         api = api.where(F.col("total_impressions") > 0)
     api = api.withColumn("product_code", product_code("portfolio_name"))
@@ -130,18 +163,14 @@ def sp_spend(t: Tables, marketplace: str, tenant_id=None, with_console: bool | N
         con = _tenant(t["sponsored_products.campaign_console"], tenant_id).where(
             (F.col("marketplace") == marketplace) & (F.col("date") < F.lit(SP_CONSOLE_BEFORE).cast("date")))
         con = (con.groupBy("tenant_id", "marketplace", "portfolio_name", "date", "currency")
-               .agg(F.sum("spend").alias("total_cost"), F.sum("7_day_total_orders").alias("total_units_sold_clicks_7d"),
+               .agg(_money_sum("spend").alias("total_cost"), F.sum("7_day_total_orders").alias("total_units_sold_clicks_7d"),
                     F.sum("clicks").alias("total_clicks"), F.sum("impressions").alias("total_impressions"),
-                    F.sum("7_day_total_sales").alias("sales_7d"))
+                    _money_sum("7_day_total_sales").alias("sales_7d"))
                .withColumn("product_code", product_code("portfolio_name")))
         out = union_distinct(out, con.select(*cols))
     return _sorted(out, ordered, "date", F.col("marketplace").desc(), "portfolio_name")
 
 
-SB_COLS = ["date", "marketplace", "portfolio_name", "product_code", "currency", "total_cost",
-           "attributed_units_ordered_new_to_brand_14d", "total_clicks", "total_impressions", "attributed_sales_14d"]
-
-
 def _campaign_spend(t: Tables, schema: str, tenant_id, statuses, all_code, metrics: dict[str, Column]):
     camp = _tenant(t[f"{schema}.campaign_v2"], tenant_id)
     if statuses:
@@ -160,39 +189,35 @@ def sb_spend(t: Tables, marketplace: str, tenant_id=None, with_console: bool | N
     portfolios; US adds console history up to 2023-06-10; 'ALL' keeps its code."""
     with_console = (marketplace == "US") if with_console is None else with_console
     api = _campaign_spend(t, "sponsored_brands", tenant_id, ["enabled", "paused"], "ALL", {
-        "total_cost": F.sum("cost"),
+        "total_cost": _money_sum("cost"),
         "attributed_units_ordered_new_to_brand_14d": F.sum("attributed_units_ordered_new_to_brand_14d"),
         "total_clicks": F.sum("clicks"), "total_impressions": F.sum("impressions"),
-        "attributed_sales_14d": F.sum("attributed_sales_14d")}).where(F.col("marketplace") == marketplace)
+        "attributed_sales_14d": _money_sum("attributed_sales_14d")}).where(F.col("marketplace") == marketplace)
     cols = ["tenant_id", *SB_COLS]
     out = api.select(*cols)
     if with_console:
         con = _tenant(t["sponsored_brands.campaign_console"], tenant_id).where(
             (F.col("marketplace") == marketplace) & (F.col("date") <= F.lit(SB_SD_CONSOLE_UNTIL).cast("date")))
         con = (con.groupBy("tenant_id", "date", "portfolio_name", "marketplace", "currency")
-               .agg(F.sum("spend").alias("total_cost"),
+               .agg(_money_sum("spend").alias("total_cost"),
                     F.sum("14_day_total_units").alias("attributed_units_ordered_new_to_brand_14d"),
                     F.sum("clicks").alias("total_clicks"), F.sum("impressions").alias("total_impressions"),
-                    F.sum("14_day_total_sales").alias("attributed_sales_14d"))
+                    _money_sum("14_day_total_sales").alias("attributed_sales_14d"))
                .withColumn("product_code", product_code("portfolio_name", all_code="ALL")))
         out = union_distinct(out, con.select(*cols))
     return _sorted(out, ordered, "date", "marketplace", "portfolio_name")
 
 
-SD_COLS = ["date", "marketplace", "portfolio_name", "product_code", "currency", "total_cost",
-           "attributed_units_ordered_7d", "total_clicks", "total_impressions"]
-
-
 def sd_spend(t: Tables, tenant_id=None, ordered=False) -> DataFrame:
     """C08 ``SD``: all marketplaces, API ∪ console history up to 2023-06-10."""
     api = _campaign_spend(t, "sponsored_display", tenant_id, None, None, {
-        "total_cost": F.sum("cost"), "attributed_units_ordered_7d": F.sum("attributed_units_ordered_7d"),
+        "total_cost": _money_sum("cost"), "attributed_units_ordered_7d": F.sum("attributed_units_ordered_7d"),
         "total_clicks": F.sum("clicks"), "total_impressions": F.sum("impressions")})
     cols = ["tenant_id", *SD_COLS]
     con = _tenant(t["sponsored_display.campaign_console"], tenant_id).where(
         F.col("date") <= F.lit(SB_SD_CONSOLE_UNTIL).cast("date"))
     con = (con.groupBy("tenant_id", "date", "portfolio_name", "marketplace", "currency")
-           .agg(F.sum("spend").alias("total_cost"), F.sum("14_day_total_units").alias("attributed_units_ordered_7d"),
+           .agg(_money_sum("spend").alias("total_cost"), F.sum("14_day_total_units").alias("attributed_units_ordered_7d"),
                 F.sum("clicks").alias("total_clicks"), F.sum("impressions").alias("total_impressions"))
            .withColumn("product_code", product_code("portfolio_name")))
     out = union_distinct(api.select(*cols), con.select(*cols))
@@ -253,9 +278,6 @@ def orders_summary(t: Tables, tenant_id=None, ordered=False) -> DataFrame:
 
 
 # ---------------------------------------------------------------- shipments
-SHIPMENT_COLS = ["tenant_id", "origin country", "destination country", "shipment name", "shipment id", "created",
-                 "last updated", "fulfillment center", "skus", "quantity shipped", "quantity received",
-                 "shipment status", "ship from", "reference id", "inbound plan id"]
 
 
 def shipments(t: Tables, tenant_id=None, ordered=False) -> DataFrame:
@@ -303,12 +325,6 @@ def shipments(t: Tables, tenant_id=None, ordered=False) -> DataFrame:
 
 
 # ---------------------------------------------------------------- fees
-FEE_COLS = ["date", "sku", "fnsku", "asin", "amazon_store", "product_name", "product_group", "brand", "fulfilled_by",
-            "your_price", "sales_price", "longest_side", "median_side", "shortest_side", "length_and_girth",
-            "unit_of_dimension", "item_package_weight", "unit_of_weight", "product_size_tier", "currency",
-            "estimated_fee_total", "estimated_referral_fee_per_unit", "estimated_variable_closing_fee",
-            "estimated_order_handling_fee_per_order", "estimated_pick_pack_fee_per_unit",
-            "estimated_weight_handling_fee_per_unit", "expected_fulfillment_fee_per_unit", "referral_fee_%"]
 
 
 def fee_preview(t: Tables, tenant_id=None, ordered=False) -> DataFrame:
@@ -326,7 +342,8 @@ def fee_preview(t: Tables, tenant_id=None, ordered=False) -> DataFrame:
 
 
 # ---------------------------------------------------------------- keywords / search queries
-def keyword_opportunity(t: Tables, country: str, min_score: float = 3.0, legacy_int_share: bool = False) -> DataFrame:
+def keyword_opportunity(t: Tables, country: str, min_score: float = 3.0, legacy_int_share: bool = False,
+                        ordered=False) -> DataFrame:
     """Latest-week search-query funnel per (category, query) ⟗ latest keyword
     tool rows per (category, keyword), with impression share, CTR and CVR."""
     sqp = t["search_query_performance"]
@@ -342,29 +359,48 @@ def keyword_opportunity(t: Tables, country: str, min_score: float = 3.0, legacy_
     cer = t["cerebro_amazon"].withColumn("__d", F.to_date("created"))
     cer = latest_snapshot(cer, "__d").where((F.col("country") == country) &
                                             (F.col("Competitor Performance Score") > min_score))
-    b = cer.select("category", F.col("Keyword Phrase").alias("keyword_phrase"),
-                   F.col("Search Volume").alias("cerebro_search_volume"), F.col("Position (Rank)").alias("position_rank"),
-                   F.col("Relative Rank").alias("relative_rank"),
-                   F.col("Competitor Performance Score").alias("competitor_performance_score"),
-                   F.col("`H10 PPC Sugg. Bid`").alias("h10_sugg_bid"))
-    j = full_join_coalesced(a, b, ["category", "keyword_phrase"])
+    b = cer.select(F.col("category").alias("category2"), F.col("Keyword Phrase").alias("__phrase"),
+                   *[F.col(f"`{c}`").alias(n) for c, n in CEREBRO_COLUMNS.items()])
+    # the funnel's category stays as it is (the bulk sheet is merged on it), the tool's is category2
+    j = a.join(b, (F.col("category") == F.col("category2")) & (F.col("keyword_phrase") == F.col("__phrase")), "full")
+    j = j.withColumn("keyword_phrase", F.coalesce("keyword_phrase", "__phrase")).drop("__phrase")
     share = (F.try_divide(F.col("impressions").cast("bigint"), F.col("search_query_volume").cast("bigint")).cast("bigint")
              if legacy_int_share else ratio("impressions", "search_query_volume"))
-    return j.withColumns({"impression_share": share, "click_through_rate": ratio("clicks", "impressions"),
-                          "conversion_rate": ratio("purchases", "clicks", 0.0)})
+    j = j.withColumns({"impression_share": share, "click_through_rate": ratio("clicks", "impressions"),
+                       "conversion_rate": ratio("purchases", "clicks", 0.0)})
+    out = j.select("category", "category2", "keyword_phrase", "search_query_volume", "cerebro_search_volume",
+                   "total_purchases", "impressions", "impression_share", "clicks", "click_through_rate", "purchases",
+                   "conversion_rate", *list(CEREBRO_COLUMNS.values())[1:])
+    return _sorted(out, ordered, F.col("category").asc_nulls_last(),
+                   F.col("competitor_performance_score").desc_nulls_first(),
+                   F.col("search_query_volume").desc_nulls_first())
+
+
+def search_query_totals(t: Tables, country: str | None = None, ordered=False) -> DataFrame:
+    """Volume and purchases per week and search query, ordered by the average
+    score, which is not part of the result (A06)."""
+    df = t["search_query_performance_brand_view"]
+    if country:
+        df = df.where(F.col("country") == country)
+    out = df.groupBy("reporting_date", "search_query").agg(
+        F.sum("search_query_volume").alias("search_query_volume"),
+        F.sum("purchases_total_count").alias("purchases_total_count"),
+        F.sum("purchases_brand_count").alias("purchases_brand_count"), F.avg("search_query_score").alias("__score"))
+    return _sorted(out, ordered, F.col("__score").asc_nulls_last(), "reporting_date", "search_query").drop("__score")
 
 
-def search_query_trend(t: Tables, queries=None, since: str | None = None, country: str | None = None) -> DataFrame:
-    """Weekly volume per search query as a crosstab (A10) over the chosen
-    queries, ordered by average score (A06, hidden aggregate)."""
+def search_query_trend(t: Tables, weeks, queries=None, country: str | None = None) -> DataFrame:
+    """Weekly volume per search query as a crosstab (A10): one column per week of
+    ``weeks`` (the caller names them, so no job runs to find them), over the chosen
+    queries or all."""
     df = t["search_query_performance_brand_view"]
     if queries:
         df = df.where(F.col("search_query").isin(list(queries)))
-    if since:
-        df = df.where(F.col("reporting_date") > F.lit(since).cast("date"))
     if country:
         df = df.where(F.col("country") == country)
-    return df.groupBy("search_query").pivot("reporting_date").agg(F.max("search_query_volume"))
+    days = [str(w) for w in weeks]
+    return (df.withColumn("__week", F.col("reporting_date").cast("string")).where(F.col("__week").isin(days))
+            .groupBy("search_query").pivot("__week", days).agg(F.max("search_query_volume")))
 
 
 def active_listings(t: Tables) -> DataFrame:

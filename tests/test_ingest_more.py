@@ -302,11 +302,12 @@ def test_inventory_marts_and_keywords(spark):
         f"tenant_id int, asin string, fn_sku string, seller_sku string, marketplace string, date date, "
         f"last_updated_time timestamp, {fba_cols}")
     assert [r["asin"] for r in marts.fba_inventory({"inventory.fba": fba}).collect()] == ["A1"]
-    bus = spark.createDataFrame([(1, "US", D(2024, 1, 1), "P1", 55.0)],
-                                "tenant_id int, marketplace string, date date, parent_asin string, "
-                                "traffic_by_asin_buy_box_percentage double")
+    values = {"date": D(2024, 1, 1), "parent_asin": "P1", "marketplace": "US"}
+    bus = spark.createDataFrame([(1, *[values.get(c, 55.0) for c in marts.BUSINESS_COLUMNS], "x")],
+                                ["tenant_id", *marts.BUSINESS_COLUMNS, "not_in_the_report"])
     r = marts.business_report_parent({"business_reports.detail_page_sales_and_traffic_parent": bus}).first()
-    assert r["traffic_by_asin_buy_box_percentage"] == 0.55
+    assert r["traffic_by_asin_buy_box_percentage"] == 0.55 and r["sales_by_asin_units_ordered"] == 55.0
+    assert len(r) == 1 + len(marts.BUSINESS_COLUMNS) and "not_in_the_report" not in r.asDict()
     sqp = spark.createDataFrame([
         ("US", "B0A", D(2024, 1, 6), "shoes", 100, 9, 50, 5, 2),
         ("US", "B0B", D(2024, 1, 6), "shoes", 120, 9, 10, 0, 0),
@@ -315,12 +316,14 @@ def test_inventory_marts_and_keywords(spark):
         "`Search Funnel - Purchases: Total Count` long, `Search Funnel - Impressions: ASIN Count` long, "
         "`Search Funnel - Clicks: ASIN Count` long, `Search Funnel - Purchases: ASIN Count` long")
     prod = spark.createDataFrame([("B0A", "Bar"), ("B0B", "Bar")], "asin string, category string")
-    cer = spark.createDataFrame([("US", "Bar", "shoes", 500, 3, 2, 4.0, 1.1, TS(2024, 1, 7, 3)),
-                                 ("US", "Bar", "boots", 50, 9, 9, 5.0, 0.5, TS(2024, 1, 7, 9)),
-                                 ("US", "Bar", "low", 50, 9, 9, 2.0, 0.5, TS(2024, 1, 7, 9))],
+    cer = spark.createDataFrame([("US", "Bar", "shoes", 500, 3, 2, 4.0, 1.1, TS(2024, 1, 7, 3), 1.0, 2, 0.9, 1.3),
+                                 ("US", "Bar", "boots", 50, 9, 9, 5.0, 0.5, TS(2024, 1, 7, 9), 1.0, 2, 0.9, 1.3),
+                                 ("US", "Bar", "low", 50, 9, 9, 2.0, 0.5, TS(2024, 1, 7, 9), 1.0, 2, 0.9, 1.3)],
                                 "country string, category string, `Keyword Phrase` string, `Search Volume` int, "
                                 "`Position (Rank)` int, `Relative Rank` int, `Competitor Performance Score` double, "
-                                "`H10 PPC Sugg. Bid` double, created timestamp")
+                                "`H10 PPC Sugg. Bid` double, created timestamp, `Competitor Rank (avg)` double, "
+                                "`Ranking Competitors (count)` int, `H10 PPC Sugg. Min Bid` double, "
+                                "`H10 PPC Sugg. Max Bid` double")
     ko = {r["keyword_phrase"]: r for r in marts.keyword_opportunity(
         {"search_query_performance": sqp, "product_amazon": prod, "cerebro_amazon": cer}, "US").collect()}
     assert set(ko) == {"shoes", "boots"}
@@ -328,11 +331,16 @@ def test_inventory_marts_and_keywords(spark):
     assert (s["search_query_volume"], s["impressions"], s["clicks"], s["cerebro_search_volume"]) == (120, 60, 5, 500)
     assert s["impression_share"] == 0.5 and s["conversion_rate"] == 0.4
     assert ko["boots"]["conversion_rate"] == 0.0
-    trend = marts.search_query_trend({"search_query_performance_brand_view": spark.createDataFrame(
-        [("q", D(2023, 5, 13), 5, 1.0, "US"), ("q", D(2023, 5, 20), 7, 1.0, "US")],
+    assert (ko["boots"]["category"], ko["boots"]["category2"], s["h10_max_bid"]) == (None, "Bar", 1.3)
+    brand = {"search_query_performance_brand_view": spark.createDataFrame(
+        [("q", D(2023, 5, 13), 5, 2.0, "US", 1, 1), ("q", D(2023, 5, 20), 7, 1.0, "US", 2, 1), ("r", D(2023, 5, 20), 1, 0.5, "US", 1, 0)],
         "search_query string, reporting_date date, search_query_volume long, search_query_score double, "
-        "country string")}).collect()
-    assert len(trend) == 1 and len(trend[0]) == 3
+        "country string, purchases_total_count long, purchases_brand_count long")}
+    trend = marts.search_query_trend(brand, [D(2023, 5, 13), D(2023, 5, 20)], ["q"]).collect()
+    assert [tuple(x) for x in trend] == [("q", 5, 7)]
+    totals = marts.search_query_totals(brand, ordered=True).collect()
+    assert [(x["search_query"], x["search_query_volume"], x["purchases_total_count"]) for x in totals] == [
+        ("r", 1, 1), ("q", 7, 2), ("q", 5, 1)]
 
 
 def test_sqp_api_and_active_asins(spark):
