@@ -104,21 +104,33 @@ def with_children(parent: DataFrame, child: DataFrame, keys: Sequence[str],
     in ``parent LEFT JOIN child`` the many-rows side (child) is the padded one.
     So this is written as ``child ⋈ parent`` (inner: both sides splittable) plus
     the parents without children (anti join on distinct child keys), padded with
-    NULL child columns.  Same rows as the left join."""
+    NULL child columns.  Same rows as the left join.  Both branches filter out NULL
+    keys first, so they shuffle the very same parent rows and Spark reuses that
+    exchange; parents with a NULL key have no children and need no shuffle."""
     child_keys = list(child_keys or keys)
-    cond = [parent[a] == child[b] for a, b in zip(keys, child_keys)]
-    matched = parent.join(child, cond, "inner")
-    lonely = missing_children(parent, child, keys, child_keys)
+
+    def known(df: DataFrame, cols) -> Column:
+        cond = F.lit(True)
+        for c in cols:
+            cond = cond & df[c].isNotNull()
+        return cond
+
+    p, c = parent.where(known(parent, keys)), child.where(known(child, child_keys))
+    matched = p.join(c, [p[a] == c[b] for a, b in zip(keys, child_keys)], "inner")
+    lonely = missing_children(p, c, keys, child_keys)
+    no_key = parent.where(~known(parent, keys))
     pad = [F.lit(None).cast(f.dataType).alias(f.name) for f in child.schema.fields]
-    return matched.unionByName(lonely.select("*", *pad))
+    return matched.unionByName(lonely.select("*", *pad)).unionByName(no_key.select("*", *pad))
 
 
 def not_in(df: DataFrame, col: str, other: DataFrame, other_col: str) -> DataFrame:
     """SQL ``col NOT IN (SELECT other_col …)`` with its NULL rules: a NULL in
     ``other`` empties the result; a NULL ``col`` is never kept.  The NULL check is
-    a scalar subquery; the membership test a left anti join."""
-    o = other.select(F.col(other_col).alias("__v")).distinct()
+    a scalar subquery over the plain column (one boolean per task); the membership
+    test a left anti join."""
+    o = other.select(F.col(other_col).alias("__v"))
     has_null = o.select(F.max(F.col("__v").isNull())).scalar()
+    o = o.where(F.col("__v").isNotNull()).distinct()
     kept = df.where(F.col(col).isNotNull()).join(o, F.col(col) == F.col("__v"), "left_anti")
     return kept.where(~F.coalesce(has_null, F.lit(False)))
 

@@ -18,9 +18,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.operators.dedupe import total_order
+from marketlake.operators.joins import estimated_bytes
 from marketlake.session import checkpoint_dir
 
 
+TARGET_BYTES = 128 * 1024 * 1024     # of the optimizer's estimate, per range partition
+
+
+def range_partitions(df: DataFrame) -> int:
+    """Range partitions for the input's size: the session's shuffle partitions, or more where the
+    estimated bytes per partition would pass ``TARGET_BYTES``."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = estimated_bytes(df)
+    return least if size is None else max(least, -(-size // TARGET_BYTES))
+
+
 def _segments(df: DataFrame, group: Sequence[str], order, ties=None, partitions: int | None = None,
               materialize: bool = True) -> DataFrame:
     """Range-partition on (group, order), sort each partition, tag rows with
@@ -33,7 +45,7 @@ def _segments(df: DataFrame, group: Sequence[str], order, ties=None, partitions:
     folder.  That cuts the lineage, and the ids can no longer differ between the
     two reads, not even after an executor is lost."""
     sort = [F.col(g).asc_nulls_first() for g in group] + total_order(df, group, order, ties)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or range_partitions(df)
     ranged = df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
     # position inside the (sorted) partition: the id's low 33 bits
     tagged = (ranged.withColumn("__pid", F.spark_partition_id())
@@ -62,11 +74,11 @@ def ordinal(df: DataFrame, group: Sequence[str], order, name: str = "rn", ties=N
 
 
 def request_batches(df: DataFrame, group: Sequence[str], order, item: Column, size: int = 20,
-                    batch_col: str = "batch_no", items_col: str = "items") -> DataFrame:
+                    batch_col: str = "batch_no", items_col: str = "items", partitions: int | None = None) -> DataFrame:
     """W06 + N09: split each group into batches of ``size`` items in ``order`` and
     build one request per batch: an ordered array of ``item`` structs.
     A batch holds at most ``size`` items, so ``collect_list`` is bounded."""
-    numbered = ordinal(df, group, order, "__rn")
+    numbered = ordinal(df, group, order, "__rn", partitions=partitions)
     numbered = numbered.withColumn(batch_col, F.floor((F.col("__rn") - 1) / F.lit(size)).cast("bigint"))
     packed = numbered.groupBy(*group, batch_col).agg(
         F.array_sort(F.collect_list(F.struct(F.col("__rn").alias("pos"), item.alias("item")))).alias("__l"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlake.operators.joins import broadcast_if_small
+
 # --- fixed values that must equal the reference's -----------------------------
 # Selling-partner marketplaces: (marketplace_name, endpoint, marketplace_id, region).
 _EU = "https://sellingpartnerapi-eu.amazon.com"
@@ -46,9 +48,10 @@ def marketplaces(spark: SparkSession) -> DataFrame:
 
 def tenant_lookup(facts: DataFrame, tenants: DataFrame, company_col: str = "company",
                   out: str = "tenant_id") -> DataFrame:
-    """Company name → tenant id (the inverse direction is the same join)."""
+    """Company name → tenant id (the inverse direction is the same join; broadcast
+    only where the estimate proves the tenant table small)."""
     t = tenants.select(F.col("company").alias("__company"), F.col("tenant_id").alias(out))
-    return facts.join(F.broadcast(t), F.col(company_col) == F.col("__company"), "left").drop("__company")
+    return facts.join(broadcast_if_small(t), F.col(company_col) == F.col("__company"), "left").drop("__company")
 
 
 def table_columns(spark: SparkSession, table: str) -> list[str]:
