@@ -186,10 +186,20 @@ def weekly_windows(spark, d):
     return _weekly(b, "s", "e").select("o_orderpriority", "week_start", "week_end")
 
 
-@register("infer_types", """
-select * from (values ('c_custkey', 'bigint'), ('c_name', 'string'), ('c_nationkey', 'bigint'),
-                      ('c_acctbal', 'double'), ('c_mktsegment', 'string'), ('first_order', 'date'),
-                      ('is_big', 'boolean')) t(column_name, inferred_type)
+_KIND = """case when bool_and(regexp_matches({0}, '^[+-]?[0-9]+$')) then 'bigint'
+     when bool_and(try_cast({0} as double) is not null) then 'double'
+     when bool_and(lower({0}) in ('true', 'false')) then 'boolean'
+     when bool_and(date_trunc('day', try_cast({0} as timestamp)) = try_cast({0} as timestamp)) then 'date'
+     else 'string' end"""
+
+
+@register("infer_types", f"""
+with x as (select cast(c_custkey as varchar) as c_custkey, c_name, cast(c_nationkey as varchar) as c_nationkey,
+                  cast(c_acctbal as varchar) as c_acctbal, c_mktsegment,
+                  cast((select min(o_orderdate) from orders where o_custkey = c.c_custkey) as varchar) as first_order,
+                  case when c_acctbal > 5000 then 'true' else 'false' end as is_big from customer c)
+{" union all ".join(f"select '{c}' as column_name, {_KIND.format(c)} as inferred_type from x" for c in (
+    "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment", "first_order", "is_big"))}
 """)
 def infer_types(spark, d):
     """Column types inferred from text values (one aggregate job over the data)."""
