@@ -47,11 +47,6 @@ def duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
                        (F.sum("n") - F.count(F.lit(1))).alias("duplicates"))
 
 
-def watermark(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
-    """Global (or per-group) MAX, e.g. for high-water marks."""
-    return df.groupBy(*by).agg(F.max(col).alias(col))
-
-
 def any_rows(df: DataFrame, n: int) -> DataFrame:
     """``LIMIT n`` sample, any rows (a feature limit: peeking at a table)."""
     return df.limit(n)

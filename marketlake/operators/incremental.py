@@ -35,7 +35,7 @@ def after_watermark(batch: DataFrame, current: DataFrame, by: Sequence[str], ts:
 
 
 def newer_than_max(batch: DataFrame, current: DataFrame, ts: str, current_ts: str | None = None) -> DataFrame:
-    """Rows newer than the table's global max (a scalar subquery)."""
+    """Rows newer than the table's global max (a scalar subquery)."""
     mx = current.select(F.max(current_ts or ts)).scalar()
     return batch.where(mx.isNull() | (F.col(ts) > mx))
 

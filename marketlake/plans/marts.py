@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from marketlake.functions._util import ts_lit
 
-from marketlake.functions import contains_all, local_date, money, product_code, ratio, within_age
+from marketlake.functions import contains_all, local_date, money, price_fallback, product_code, ratio, within_age
 from marketlake.functions.nested import json_nonempty
 from marketlake.operators.dedupe import latest_per_key, latest_snapshot, latest_values
 from marketlake.operators.joins import broadcast_if_small, with_children
@@ -254,8 +254,7 @@ def orders_mart(t: Tables, marketplace: str, tenant_id=None, since: str = ORDERS
         "tenant_id", "amazon_order_id", "purchase_date", "order_status", "sales_channel", "seller_sku", "asin",
         "quantity_ordered",
         F.when(cur_missing & not_repl, F.col("__cur")).otherwise(F.col("item_price_currency_code")).alias("currency"),
-        F.when(F.col("item_price_amount").isNull() & not_repl, F.col("__amt") * F.col("quantity_ordered"))
-         .otherwise(F.col("item_price_amount")).alias("item_price_amount"),
+        price_fallback("item_price_amount", "__amt", "quantity_ordered", not_repl).alias("item_price_amount"),
         "item_tax_amount", "shipping_address_country_code", "is_replacement_order",
         F.when(~F.col("order_status").isin("Pending", "Canceled") & F.col("item_price_amount").isNull() & not_repl,
                F.lit("Y")).otherwise(F.col("replaced_order_id")).alias("Vine / replaced_order_id"))

@@ -18,7 +18,7 @@ from marketlake.sources import files
 PER_FILE = 2000
 
 
-def _land(df: DataFrame, name: str, text, **options) -> str:
+def _land(df: DataFrame, name: str, text, **options: str) -> str:
     """One text file per value of ``file``: its rows' ``record`` values folded by ``text``."""
     path = scratch_path(df.sparkSession, name)
     one = df.groupBy("file").agg(text(F.collect_list("record")).alias("value"))
@@ -27,8 +27,10 @@ def _land(df: DataFrame, name: str, text, **options) -> str:
 
 
 _ORDERS_SQL = "select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority from orders"
-_SCHEMA = T.StructType.fromDDL("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
-                               "o_orderpriority STRING")
+_SCHEMA = T.StructType([
+    T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
+    T.StructField("o_orderstatus", T.StringType()), T.StructField("o_totalprice", T.DoubleType()),
+    T.StructField("o_orderpriority", T.StringType())])
 
 
 def _orders(spark, d):

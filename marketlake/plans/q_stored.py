@@ -8,9 +8,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from marketlake.operators.aggregates import sum_metrics
+from marketlake.operators.joins import left_join_exploded as _left_join_exploded
+from marketlake.operators.joins import left_join_latest as _left_join_latest
 from marketlake.plans import ingest, marts
 from marketlake.plans.registry import register
 from marketlake.plans.tables import Tables
+from marketlake.session import scratch_path
+from marketlake.sources.catalog import route
+from marketlake.sources.dimensions import register_view, tenant_lookup as _tenant_lookup
+from marketlake.sources.files import REPORT_NAME, name_parts
+from marketlake.sources.tables import read_table, sql
 
 
 def _day(c):
@@ -414,3 +422,105 @@ def placement_history(spark, d):
         F.col("Clicks").alias("clicks"), F.lit(2.0).alias("cost"))
     out = ingest.placement_history([base], _bulk(t), console, [("1996-12-12", "1998-04-02")])
     return out.select("date", "campaign_id", "placement_classification", "campaign_status")
+
+
+# ---------------------------------------------------------------- operators behind the marts
+@register("left_join_latest", """
+with latest as (select * from (select o_custkey, o_orderkey, o_totalprice, row_number() over (
+                    partition by o_custkey order by o_orderdate desc nulls first, o_orderkey desc) as rn from orders) x where rn = 1)
+select c.c_custkey, c.c_name, l.o_orderkey, l.o_totalprice from customer c left join latest l on c.c_custkey = l.o_custkey
+""")
+def left_join_latest(spark, d):
+    """Customers with their latest order (one row per customer)."""
+    t = Tables(spark, d)
+    out = _left_join_latest(t.customer, t.orders, ["o_custkey"], ["o_orderdate desc", "o_orderkey desc"], ties=[],
+                            fact_keys=["c_custkey"])
+    return out.select("c_custkey", "c_name", "o_orderkey", "o_totalprice")
+
+
+@register("left_join_exploded", """
+with plans as (select o_custkey as plan, o_orderkey as shipment from orders where o_orderstatus <> 'P')
+select l.l_orderkey, l.l_linenumber, p.plan from lineitem l left join plans p on l.l_orderkey = p.shipment
+""")
+def left_join_exploded(spark, d):
+    """Items left joined to the shipments exploded out of each plan's list."""
+    t = Tables(spark, d)
+    plans = t.orders.where(F.col("o_orderstatus") != "P").select(
+        F.col("o_custkey").alias("plan"), F.array(F.struct(F.col("o_orderkey").alias("shipmentId"))).alias("shipments"))
+    out = _left_join_exploded(t.lineitem.select("l_orderkey", "l_linenumber"), plans, "shipments", "shipmentId",
+                              "shipment", "l_orderkey")
+    return out.select("l_orderkey", "l_linenumber", "plan")
+
+
+@register("sums_having", """
+select l_suppkey, l_returnflag, cast(sum(l_linenumber) as bigint) as lines, max(l_shipdate) as last_ship from lineitem
+group by 1, 2 having count(*) > 20
+""")
+def sums_having(spark, d):
+    """A01 + A02: grouped sums of several metrics with a HAVING."""
+    return sum_metrics(Tables(spark, d).lineitem, ["l_suppkey", "l_returnflag"], {
+        "lines": F.sum("l_linenumber"), "last_ship": F.max("l_shipdate"), "__n": F.count(F.lit(1))},
+        F.col("__n") > 20).drop("__n")
+
+
+@register("route_reports", """
+select o_orderkey, case o_orderpriority when '1-URGENT' then 'sponsored_products.search_term'
+       when '2-HIGH' then 'sponsored_brands.campaign' when '3-MEDIUM' then 'sponsored_display.targeting_matched_asin' end as table_name
+from orders
+""")
+def route_reports(spark, d):
+    """S11 + S10: the target table of each landed report by its file name; unknown reports have none."""
+    names = F.create_map(*[F.lit(x) for x in (
+        "1-URGENT", "SPONSORED_PRODUCTS (a-US) spSearchTerm ['searchTerm'] 2024-01-01.json.gz",
+        "2-HIGH", "SPONSORED_BRANDS (a-US) sbCampaigns ['campaign'] 2024-01-01.json.gz",
+        "3-MEDIUM", "SPONSORED_DISPLAY (a-US) sdTargeting ['targeting', 'matchedTarget'] 2024-01-01.json.gz")])
+    o = Tables(spark, d).orders
+    named = o.select("o_orderkey", F.coalesce(F.try_element_at(names, F.col("o_orderpriority")), F.lit("other.csv")).alias("f"))
+    parts = name_parts(F.col("f"), REPORT_NAME, ["ad_product", "_country", "report_type", "group_by"])
+    return route(named.withColumns(parts), spark).select("o_orderkey", "table_name")
+
+
+@register("tenant_lookup", """
+select o.o_orderkey, c.c_nationkey as tenant_id from orders o left join customer c on o.o_custkey = c.c_custkey
+""")
+def tenant_lookup(spark, d):
+    """Company name → tenant id."""
+    t = Tables(spark, d)
+    tenants = t.customer.select(F.col("c_custkey").cast("string").alias("company"), F.col("c_nationkey").alias("tenant_id"))
+    facts = t.orders.select("o_orderkey", F.col("o_custkey").cast("string").alias("company"))
+    return _tenant_lookup(facts, tenants).select("o_orderkey", "tenant_id")
+
+
+@register("tenant_sql", """
+select c_custkey, c_acctbal from customer where c_nationkey = 3 and c_mktsegment = 'BUILDING'
+""")
+def tenant_sql(spark, d):
+    """S08 + S17 + P17 + F01: a stored table scanned with its filter, named as a view, queried with
+    bound parameters."""
+    path = scratch_path(spark, "customer-table")
+    Tables(spark, d).customer.write.parquet(path)
+    view = f"customers_{abs(hash(path))}"
+    register_view(read_table(spark, path, ["c_custkey", "c_acctbal", "c_mktsegment", "c_nationkey"], "c_mktsegment = 'BUILDING'"), view)
+    return sql(spark, f"select c_custkey, c_acctbal from {view} where c_nationkey = :tenant", tenant=3)
+
+
+@register("mart_planning_inventory", """
+select 2 as tenant_id, date '2024-01-01' + p_size as snapshot_date, p_type as marketplace, cast(p_partkey as varchar) as sku, p_size as available
+from part where p_size % 4 = 2
+""")
+def mart_planning_inventory(spark, d):
+    """C01 ``marts.fba_planning_inventory`` for one tenant."""
+    p = Tables(spark, d).part
+    df = p.select((F.col("p_size") % 4).alias("tenant_id"), F.date_add(F.lit("2024-01-01").cast("date"), F.col("p_size")).alias("snapshot_date"),
+                  F.col("p_type").alias("marketplace"), F.col("p_partkey").cast("string").alias("sku"), F.col("p_size").alias("available"))
+    return marts.fba_planning_inventory({"inventory.fba_planning_inventory": df}, tenant_id=2, ordered=True)
+
+
+@register("mart_awd_inventory", """
+select 1 as tenant_id, cast(o_orderdate as date) as date, cast(o_orderkey as varchar) as sku, o_totalprice as on_hand from orders
+""")
+def mart_awd_inventory(spark, d):
+    """C13 ``marts.awd_inventory``."""
+    o = Tables(spark, d).orders.select(F.lit(1).alias("tenant_id"), F.to_date("o_orderdate").alias("date"),
+                                       F.col("o_orderkey").cast("string").alias("sku"), F.col("o_totalprice").alias("on_hand"))
+    return marts.awd_inventory({"awd.inventory": o}, tenant_id=1)

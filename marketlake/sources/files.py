@@ -127,7 +127,9 @@ def _lines(spark: SparkSession, path: str, glob: str | None, encoding: str, recu
     first_split = F.col("_metadata.file_block_start") == 0
     return (_reader(spark, None, glob, recursive).text(path)
             .select(source_file().alias("source_file"), F.regexp_replace(text, "^\ufeff", "").alias("line"),
-                    F.when(first_split, F.monotonically_increasing_id()).alias("place"))
+                    F.when(first_split, F.monotonically_increasing_id()).alias("place"),
+                    F.struct(F.col("_metadata.file_block_start").alias("split"),
+                             F.monotonically_increasing_id().alias("place")).alias("line_no"))
             .where(F.trim("line") != ""))
 
 
@@ -139,14 +141,16 @@ def _heads(lines: DataFrame) -> DataFrame:
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType | None = None, glob: str | None = None,
-                   sep: str = ",", encoding: str = "UTF-8", bad: str = "fail", recursive: bool = True) -> DataFrame:
+                   sep: str = ",", encoding: str = "UTF-8", bad: str = "fail", recursive: bool = True,
+                   line_numbers: bool = False) -> DataFrame:
     """Text with one header line per file; columns are matched by the names in each file's own header,
     so files may order them differently, have more, or lack some (NULL).
 
     Without a schema the columns are those of all headers (distinct names reach the driver), as
     strings.  With one, values are cast; empty text is NULL; a value that does not cast raises, or
     is NULL with its column named in ``_rejected`` (``bad="keep"``).  A name that a header repeats
-    means its first column.
+    means its first column.  ``line_numbers`` adds ``line_no``, which orders the lines of a file
+    (its split, then the place in it), for rules that keep a first or last line.
     """
     lines = _lines(spark, path, glob, encoding, recursive)
     heads = _heads(lines).select("source_file", "first", F.transform(
@@ -157,7 +161,7 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | None =
         schema = T.StructType([T.StructField(r["name"], T.StringType()) for r in names])
     rows = (lines.join(broadcast_if_small(heads), "source_file")
             .where(F.col("place").isNull() | (F.col("place") != F.col("first")))
-            .select("source_file", "header", _cells(F.col("line"), sep).alias("cells")))
+            .select("source_file", "header", "line_no", _cells(F.col("line"), sep).alias("cells")))
 
     def text_of(name: str) -> Column:
         at = F.array_position("header", F.lit(name)).cast("int")
@@ -172,13 +176,7 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | None =
             failed.append(F.when(text.isNotNull() & value.isNull(), F.lit(f.name)))
     more = [F.array_compact(F.array(*failed)).alias(REJECTED) if failed
             else F.array().cast("array<string>").alias(REJECTED)] if bad == "keep" else []
-    return rows.select(*out, "source_file", *more)
-
-
-def with_line_numbers(lines: DataFrame) -> DataFrame:
-    """``line_no`` of delimited text that was read whole (one split per file): the order of a file's
-    lines, for rules that keep a first or last line.  Increasing inside a file, not dense."""
-    return lines.withColumn("line_no", F.monotonically_increasing_id())
+    return rows.select(*out, "source_file", *(["line_no"] if line_numbers else []), *more)
 
 
 def read_dated_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, glob: str = "*.csv",

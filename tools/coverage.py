@@ -1,5 +1,9 @@
-"""Write COVERAGE.md: every SURVEY §2 inventory ID → the functions and registered
-queries whose docstrings name it."""
+"""Write COVERAGE.md: every SURVEY §2 inventory ID → the functions and registered queries whose
+docstrings name it.
+
+A function counts only if a registered query or a test calls it, directly or through other
+functions; those that only a test reaches are marked.  Prints functions that nothing calls.
+"""
 from __future__ import annotations
 
 import ast
@@ -25,34 +29,72 @@ def survey_ids() -> list[tuple[str, str]]:
     return out
 
 
-def code_refs() -> dict[str, set[str]]:
-    refs: dict[str, set[str]] = {}
+def names_in(node: ast.AST) -> set[str]:
+    """Identifiers that a piece of code refers to."""
+    found = set()
+    for n in ast.walk(node):
+        if isinstance(n, ast.Name):
+            found.add(n.id)
+        elif isinstance(n, ast.Attribute):
+            found.add(n.attr)
+        elif isinstance(n, ast.alias) and n.asname:
+            found.add(n.name.rsplit(".", 1)[-1])
+    return found
+
+
+def reached(start: set[str], functions: dict[str, set[str]]) -> set[str]:
+    seen, todo = set(), {n for n in start if n in functions}
+    while todo:
+        seen |= todo
+        todo = {m for n in todo for m in functions[n] if m in functions} - seen
+    return seen
+
+
+def code_refs() -> tuple[dict[str, set[str]], list[str]]:
     from marketlake.plans import registry
     registry.load_all()
     query_of = {fn.__name__: name for name, fn in registry.QUERIES.items()}
+    functions: dict[str, set[str]] = {}
+    docs: list[tuple[str, str, str]] = []
+    from_queries: set[str] = set()
     for dirpath, _, files in os.walk(os.path.join(ROOT, "marketlake")):
-        for f in files:
-            if not f.endswith(".py"):
-                continue
+        if f"{os.sep}llm" in dirpath:
+            continue
+        for f in sorted(x for x in files if x.endswith(".py")):
             path = os.path.join(dirpath, f)
             rel = os.path.relpath(path, ROOT)
             tree = ast.parse(open(path).read())
+            is_query = rel.startswith("marketlake/plans/q_")
+            if is_query:
+                from_queries |= names_in(tree)
             for node in ast.walk(tree):
                 if isinstance(node, (ast.FunctionDef, ast.ClassDef)):
-                    doc = ast.get_docstring(node) or ""
-                    label = f"`{rel}:{node.name}`"
-                    if rel.startswith("marketlake/plans/q_") and node.name in query_of:
-                        label = f"query `{query_of[node.name]}`"
-                    for i in set(ID.findall(doc)):
-                        refs.setdefault(i, set()).add(label)
-    return refs
+                    if not is_query:
+                        functions.setdefault(node.name, set()).update(names_in(node) - {node.name})
+                    label = f"query `{query_of[node.name]}`" if is_query and node.name in query_of else f"`{rel}:{node.name}`"
+                    docs.append((node.name if not is_query else "", label, ast.get_docstring(node) or ""))
+    from_tests: set[str] = set()
+    for f in os.listdir(os.path.join(ROOT, "tests")):
+        if f.endswith(".py"):
+            from_tests |= names_in(ast.parse(open(os.path.join(ROOT, "tests", f)).read()))
+    by_query, by_test = reached(from_queries, functions), reached(from_tests, functions)
+    refs: dict[str, set[str]] = {}
+    for name, label, doc in docs:
+        if name and name not in by_query | by_test:
+            continue
+        mark = "" if not name or name in by_query else " (test)"
+        for i in set(ID.findall(doc)):
+            refs.setdefault(i, set()).add(label + mark)
+    dead = sorted(n for n in functions if n not in by_query | by_test and not n.startswith("__"))
+    return refs, dead
 
 
 def main():
-    refs = code_refs()
+    refs, dead = code_refs()
     lines = ["# COVERAGE: SURVEY §2 inventory → code", "",
-             "Generated by `python tools/coverage.py` from docstrings. \"query\" = registered in",
-             "`__spark_entry__.queries()` with a DuckDB oracle.", "",
+             "Generated by `python tools/coverage.py` from docstrings of functions that a registered query or a",
+             "test calls (\"(test)\": only a test does). \"query\" = registered in `__spark_entry__.queries()` with a",
+             "DuckDB oracle.", "",
              "| ID | operator | implemented in |", "| --- | --- | --- |"]
     missing = []
     for i, name in survey_ids():
@@ -61,7 +103,7 @@ def main():
             missing.append(i)
         lines.append(f"| {i} | {name} | {'; '.join(where) if where else '—'} |")
     open(os.path.join(ROOT, "COVERAGE.md"), "w").write("\n".join(lines) + "\n")
-    print("ids", len(survey_ids()), "missing", missing)
+    print("ids", len(survey_ids()), "missing", missing, "dead", dead)
 
 
 if __name__ == "__main__":
