@@ -29,4 +29,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from marketlake.plans import q_marts, q_rows, q_shape, q_calendar, q_tables, q_more, q_stored, q_files  # noqa: F401
+    from marketlake.plans import q_marts, q_rows, q_shape, q_calendar, q_tables, q_more, q_stored, q_files, q_ingest  # noqa: F401
