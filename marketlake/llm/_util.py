@@ -65,11 +65,12 @@ def salted_lookup(rows: DataFrame, lookup: DataFrame, key: list[str], spread: Co
     """Join ``rows`` to ``lookup`` (one short row per key) when one key may hold a third of the rows.
 
     The rows of a key are dealt to ``salts`` pieces by the hash of ``spread``, and the lookup rows are
-    repeated once per piece.
+    repeated once per piece.  The join is a sort-merge join: repeated rows compress so well that the
+    measured shuffle size would pass for small and invite a broadcast many times the threshold.
     """
     dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return dealt.join(repeated, [*key, "_salt"], how).drop("_salt")
+    return dealt.join(repeated.hint("merge"), [*key, "_salt"], how).drop("_salt")
 
 
 def by_size(texts: list[str | None], limit: int) -> Iterator[list[str | None]]:

@@ -83,7 +83,8 @@ def _grouped(df: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFram
                       _salt(JOIN_SALTS).alias("salt"), *([ROW] if carry else []))
     grouped = F.col("group_size").isNotNull()
     keep = F.when(grouped, F.col("keep_id")).otherwise(F.col("doc_id"))
-    return (rows.join(copies, ["text_sha256", "salt"], "left")
+    # a sort-merge join: the repeated rows compress so well that they would pass for small
+    return (rows.join(copies.hint("merge"), ["text_sha256", "salt"], "left")
             .select("doc_id", keep.alias("keep_id"),
                     F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
                     F.col("doc_id").eqNullSafe(keep).alias("kept"), "text_sha256", "salt",

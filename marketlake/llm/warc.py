@@ -180,7 +180,8 @@ def classify(df: DataFrame, id_col: str = "page_id", url_col: str = "url", paylo
              .filter("copies > 1").select("payload_digest", "first_id")
              .select("*", F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1))).alias("salt")))
     revisit = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
-    return (rows.join(first, ["payload_digest", "salt"], "left")
+    # a sort-merge join: the repeated rows compress so well that they would pass for small
+    return (rows.join(first.hint("merge"), ["payload_digest", "salt"], "left")
             .select("page_id", "url", F.when(~revisit, F.col("payload")).alias("payload"), "payload_bytes",
                     "payload_digest", F.when(revisit, "revisit").otherwise("response").alias("record_type"),
                     F.when(revisit, F.col("first_id")).alias("refers_to")))
