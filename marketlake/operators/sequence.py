@@ -22,6 +22,7 @@ from marketlake.operators.joins import estimated_bytes
 from marketlake.session import checkpoint_dir
 
 
+UNKNOWN_BYTES = 1 << 60              # Spark's estimate where it knows nothing is of this order
 TARGET_BYTES = 128 * 1024 * 1024     # of the optimizer's estimate, per range partition
 
 
@@ -30,7 +31,9 @@ def range_partitions(df: DataFrame) -> int:
     estimated bytes per partition would pass ``TARGET_BYTES``."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     size = estimated_bytes(df)
-    return least if size is None else max(least, -(-size // TARGET_BYTES))
+    if size is None or size >= UNKNOWN_BYTES:
+        return least
+    return max(least, -(-size // TARGET_BYTES))
 
 
 def _segments(df: DataFrame, group: Sequence[str], order, ties=None, partitions: int | None = None,

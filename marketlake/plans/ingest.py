@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from marketlake import functions as mf
 from marketlake.functions._util import ts_lit
 from marketlake.operators.dedupe import assert_unique, dedupe, duplicate_rows, latest_snapshot
-from marketlake.operators.incremental import after_watermark
+from marketlake.operators.incremental import DEFAULT_WATERMARK
 from marketlake.operators.joins import broadcast_if_small, cleaned_key_join, map_lookup, missing_children
 from marketlake.operators.names import drop_where, normalise_names, rename, select_until, strip_prefix
 from marketlake.operators.sequence import carry_down, request_batches
@@ -82,7 +82,10 @@ def orders_batch(order_pages: DataFrame, current: DataFrame | None, tenant_id: i
     df = df.withColumns({c: F.to_timestamp(c) for c in ("purchase_date", "last_update_date") if c in df.columns})
     if current is None:
         return df
-    return after_watermark(df, current, ["tenant_id", "marketplace"], "last_update_date")
+    # one group: its mark is one scalar, no join
+    mine = current.where((F.col("tenant_id") == F.lit(tenant_id)) & (F.col("marketplace") == F.lit(marketplace)))
+    mark = mine.select(F.max("last_update_date")).scalar()
+    return df.where(F.col("last_update_date") > F.coalesce(mark, F.lit(DEFAULT_WATERMARK).cast("timestamp")))
 
 
 def order_items_batch(item_pages: DataFrame, tenant_id: int, marketplace: str) -> DataFrame:

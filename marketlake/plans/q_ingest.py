@@ -15,6 +15,8 @@ from marketlake.plans import ingest, marts
 from marketlake.plans.q_stored import _bulk
 from marketlake.plans.registry import register
 from marketlake.plans.tables import Tables
+from marketlake.session import scratch_path
+from marketlake.sinks.tables import load
 
 AT = dt.datetime(2024, 1, 3)
 
@@ -153,7 +155,7 @@ select 1 as tenant_id, date '2024-01-03' as date, cast(o_custkey as varchar) as
 from orders cross join (values ('A'), ('B')) v(sku)
 """)
 def awd_detail(spark, d):
-    """C23 → C12: AWD shipments ingested (``ingest.awd_shipments``), then the mart over them."""
+    """C23 → C12: AWD shipments ingested (``ingest.awd_shipments``) and stored, then the mart over the table."""
     o = Tables(spark, d).orders
 
     def part(sku, n):
@@ -163,7 +165,9 @@ def awd_detail(spark, d):
         _text("o_orderkey").alias("shipmentId"), _text("o_custkey").alias("orderId"), F.col("o_orderstatus").alias("shipmentStatus"),
         F.lit("2024-01-01T00:00:00Z").alias("createdAt"), F.lit("2024-01-02T00:00:00Z").alias("updatedAt"),
         F.array(part("A", 2), part("B", 5)).alias("shipmentSkuQuantities"))).alias("shipments"))
-    return marts.awd_inbound_detail({"awd.inbound_shipments": ingest.awd_shipments(pages, 1, AT.date())})
+    path = scratch_path(spark, "awd-shipments")
+    load(ingest.awd_shipments(pages, 1, AT.date()), path, "replace")
+    return marts.awd_inbound_detail({"awd.inbound_shipments": spark.read.parquet(path)})
 
 
 @register("inbound_plan_shipments", """
@@ -342,7 +346,7 @@ def mart_shipments(spark, d):
 
     def awd(day, status):
         return t.customer.select(
-            one, F.lit(day).cast("date").alias("date"), _text("c_custkey").alias("order_id"),
+            F.when(F.col("c_custkey") >= 0, 1).alias("tenant_id"), F.lit(day).cast("date").alias("date"), _text("c_custkey").alias("order_id"),
             F.concat(F.lit("A"), _text("c_custkey")).alias("shipment_id"), F.lit(status).alias("shipment_status"),
             F.lit("o").alias("origin_address_name"), F.lit("CN").alias("origin_address_country_code"),
             F.lit("AWD").alias("destination_address_name"), F.lit("US").alias("destination_address_country_code"),

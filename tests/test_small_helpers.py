@@ -14,13 +14,13 @@ from marketlake.sources import catalog, dimensions
 D, TS = dt.date, dt.datetime
 
 
-def test_schema_introspection(spark):
+def test_schema_introspection(spark, tmp_path):
     df = spark.createDataFrame([(1, "a")], "k int, v string")
     diff = schema_diff(T.StructType.fromDDL("k BIGINT, w STRING"), df)
     assert (diff["missing"], diff["extra"], list(diff["type_mismatch"])) == (["w"], ["v"], ["k"])
-    spark.sql("create database if not exists introspect")
-    df.write.mode("overwrite").saveAsTable("introspect.facts")
-    df.write.mode("overwrite").saveAsTable("introspect.facts_console")
+    spark.sql(f"create database introspect location '{tmp_path}/db'")
+    df.write.option("path", f"{tmp_path}/facts").saveAsTable("introspect.facts")
+    df.write.option("path", f"{tmp_path}/console").saveAsTable("introspect.facts_console")
     try:
         assert dimensions.table_columns(spark, "introspect.facts") == ["k", "v"]
         got = {(r["table_name"], r["column_name"]) for r in dimensions.schema_columns(spark, "introspect").collect()}
