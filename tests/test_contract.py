@@ -51,3 +51,24 @@ def test_every_query_has_an_oracle_and_no_pairwise_joins(spark):
         plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
         for bad in ("BroadcastNestedLoopJoin", "CartesianProduct"):
             assert bad not in plan, (name, bad)
+
+
+def test_one_to_many_join_reuses_the_parent_exchange(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")       # the shape at scale: both sides shuffle
+    try:
+        df = E.queries()["orders_summary"](spark, SF)
+        df.collect()
+        assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, old)
+
+
+def test_queries_import_without_a_session():
+    """The registry is readable before any session exists."""
+    import subprocess
+    import sys
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True)
+    assert int(out.stdout.split()[-1]) >= 100
