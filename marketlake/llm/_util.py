@@ -60,6 +60,13 @@ def hash_order(col: Column, seed: int) -> Column:
 JOIN_SALTS = 16
 
 
+def smallest_hashes(n: int, count: int) -> str:
+    """A bound on ``hash_order`` that about four times ``count`` of ``n`` ids fall below (all ids if
+    there are fewer), so that the smallest ``count`` can be picked from few rows of each task."""
+    share = min(1.0, 4 * count / n) if n else 1.0
+    return "f" * 32 if share == 1.0 else format(int(share * 0xFFFFFFFF), "08x") + "f" * 24
+
+
 def salted_lookup(rows: DataFrame, lookup: DataFrame, key: list[str], spread: Column, how: str = "inner",
                   salts: int = JOIN_SALTS) -> DataFrame:
     """Join ``rows`` to ``lookup`` (one short row per key) when one key may hold a third of the rows.

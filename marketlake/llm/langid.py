@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from marketlake.llm._util import ROW, by_size, hash_order, pick, release_memory
+from marketlake.llm._util import ROW, by_size, hash_order, pick, release_memory, smallest_hashes
 from marketlake.llm._words import WordSums, flat, gram_hashes
 
 ORDER = 4
@@ -179,18 +179,25 @@ def learnable(id_col: Column) -> Column:
 
 
 def draw(rows: DataFrame, by: str, count: int, seed: int = 3) -> DataFrame:
-    """The ``count`` rows per value of ``by`` with the smallest seeded hash of doc_id: two passes,
-    a narrow one for the limit and one that fetches the rows below it."""
+    """At most ``count`` rows per value of ``by``, those with the smallest seeded hash of doc_id.
+
+    Distinct ids are counted per value first, so that the ranking and the fetch see a bounded number
+    of rows, however many rows a value has."""
     hashed = rows.withColumn("h", hash_order(F.col("doc_id"), seed))
-    rank = F.row_number().over(Window.partitionBy(by).orderBy("h"))
-    limit = (hashed.select(by, "h").withColumn("rank", rank).filter(F.col("rank") <= count)
-             .groupBy(by).agg(F.max("h").alias("limit")).limit(MAX_LANGUAGES + 1).collect())
-    if len(limit) > MAX_LANGUAGES:
+    sizes = (hashed.groupBy(by).agg(F.approx_count_distinct("h").alias("n")).limit(MAX_LANGUAGES + 1).collect())
+    if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} values of {by}")
-    bound = F.lit(None).cast("string")
-    if limit:
-        bound = F.element_at(F.create_map(*[F.lit(x) for r in limit for x in (r[by], r["limit"])]), F.col(by))
-    return hashed.filter(F.col("h") <= bound).dropDuplicates([by, "h"])
+    if not sizes:
+        return hashed.limit(0)
+
+    def below(limits: dict[str, str]) -> Column:
+        return F.col("h") <= F.element_at(F.create_map(*[F.lit(x) for pair in limits.items() for x in pair]), F.col(by))
+
+    few = hashed.filter(below({r[by]: smallest_hashes(r["n"], count) for r in sizes}))
+    rank = F.row_number().over(Window.partitionBy(by).orderBy("h"))
+    last = (few.select(by, "h").distinct().withColumn("rank", rank).filter(F.col("rank") <= count)
+            .groupBy(by).agg(F.max("h").alias("limit")).collect())
+    return few.filter(below({r[by]: r["limit"] for r in last} or {"": ""})).dropDuplicates([by, "h"])
 
 
 def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",

@@ -46,7 +46,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm._util import ROW, by_size, hash_order, pick, release_memory
+from marketlake.llm._util import ROW, by_size, hash_order, pick, release_memory, smallest_hashes
 from marketlake.llm._words import WordSums, flat, gram_hashes, word_hash, words
 
 BITS = 18
@@ -195,8 +195,12 @@ def learnable(id_col: Column) -> Column:
 
 
 def _smallest(ids: DataFrame, count: int, role: int) -> DataFrame:
-    """The ``count`` ids with the smallest hash (a top-k, merged from each task's own)."""
-    return ids.orderBy(hash_order(F.col("doc_id"), 5), "doc_id").limit(count).select("doc_id", F.lit(role).alias("role"))
+    """At most ``count`` ids, those with the smallest hash: a top-k over the few ids below a bound that
+    the number of distinct ids gives."""
+    h = hash_order(F.col("doc_id"), 5)
+    n = ids.agg(F.approx_count_distinct("doc_id")).first()[0]
+    few = ids.filter(h <= smallest_hashes(n, count)).select("doc_id").distinct()
+    return few.orderBy(h, "doc_id").limit(count).select("doc_id", F.lit(role).alias("role"))
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -214,7 +218,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return Model(None, prior=prior)
     wanted = (_smallest(marks.filter("toxic = 1").select("doc_id"), SAMPLE_TOXIC, TOXIC)
               .union(_smallest(marks.filter("toxic = 0").select("doc_id"), SAMPLE_CLEAN, CLEAN))
-              .union(_smallest(texts.select("doc_id").distinct(), SAMPLE_UNLABELLED, UNLABELLED)))
+              .union(_smallest(texts.select("doc_id"), SAMPLE_UNLABELLED, UNLABELLED)))
     # bounded by the three sample sizes
     sample = texts.join(F.broadcast(wanted), "doc_id").dropDuplicates(["doc_id", "role"])
 
