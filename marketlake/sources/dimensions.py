@@ -61,9 +61,10 @@ def table_columns(spark: SparkSession, table: str) -> list[str]:
 
 def schema_columns(spark: SparkSession, database: str, exclude_like: str = "_console") -> DataFrame:
     """Distinct column names over the tables of a database whose name does not
-    contain ``exclude_like`` (metadata only)."""
+    contain ``exclude_like`` (metadata only; the session's temporary views, which every
+    listing shows, are left out)."""
     rows = [(t.name, c.name, c.dataType) for t in spark.catalog.listTables(database)
-            if exclude_like not in t.name for c in spark.catalog.listColumns(t.name, database)]
+            if not t.isTemporary and exclude_like not in t.name for c in spark.catalog.listColumns(t.name, database)]
     return spark.createDataFrame(rows, "table_name string, column_name string, data_type string")
 
 

@@ -21,11 +21,13 @@ def test_schema_introspection(spark, tmp_path):
     spark.sql(f"create database introspect location '{tmp_path}/db'")
     df.write.option("path", f"{tmp_path}/facts").saveAsTable("introspect.facts")
     df.write.option("path", f"{tmp_path}/console").saveAsTable("introspect.facts_console")
+    df.createOrReplaceTempView("some_view")
     try:
         assert dimensions.table_columns(spark, "introspect.facts") == ["k", "v"]
         got = {(r["table_name"], r["column_name"]) for r in dimensions.schema_columns(spark, "introspect").collect()}
         assert got == {("facts", "k"), ("facts", "v")}
     finally:
+        spark.catalog.dropTempView("some_view")
         spark.sql("drop database introspect cascade")
 
 
