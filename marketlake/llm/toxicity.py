@@ -27,22 +27,26 @@ is fitted on labelled clean texts and on positives that were not learned from
 
 **Bounds.**  The sample holds at most ``SAMPLE_TOXIC`` positives, ``SAMPLE_UNLABELLED``
 unlabelled and ``SAMPLE_CLEAN`` labelled clean texts (the smallest of a seeded hash
-of the id; texts of more than ``SAMPLE_CHARS`` characters are not drawn).  Scoring
-reads every whole text.
+of the id, among the ids that have a text; the length of a text does not matter).
+Whole texts become counts of their words before they meet in the learning task, so
+its memory follows the distinct words of each text.  Scoring reads every whole text.
 
 Null texts and texts without words have raw score 0.  Ids with several label rows
 count as toxic if one says so; null labels are no labels.  Without positives, or
-without clean labelled texts, nothing can be learned: every score is the prior (0
-without labels).
+without clean labelled texts, nothing can be learned: a warning says so, and every
+score is the prior (0 without labels).
 """
 
 from __future__ import annotations
 
+import warnings
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,7 +58,6 @@ GRAMS = (3, 4, 5)
 SAMPLE_TOXIC = 1500
 SAMPLE_UNLABELLED = 2500
 SAMPLE_CLEAN = 1200
-SAMPLE_CHARS = 8_000
 STEPS = 120
 RATE = 300.0                # step size; with the momentum, and the decay of weights
 MOMENTUM = 0.9
@@ -142,16 +145,24 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
 
 def fit(texts: list[str], roles: np.ndarray, prior: float, steps: int = STEPS) -> Model:
     """nnPU training on (text, role) rows; CLEAN and every CALIBRATION-th TOXIC row calibrate."""
-    cut = [words(t) for t in texts]
-    vocabulary: dict[str, int] = {}
-    number = np.array([vocabulary.setdefault(w, len(vocabulary)) for c in cut for w in c], dtype=np.int64)
-    n_words, n_texts = max(len(vocabulary), 1), len(texts)
-    size = np.array([len(c) for c in cut])
-    doc = np.repeat(np.arange(n_texts), size)
-    pair, amount = np.unique(doc * n_words + number, return_counts=True)
-    doc, number = pair // n_words, pair % n_words
+    cut = [Counter(words(t)) for t in texts]
+    return fit_counts(pa.array([[*c] for c in cut], pa.list_(pa.string())),
+                      pa.array([[*c.values()] for c in cut], pa.list_(pa.int32())), roles, prior, steps)
+
+
+def fit_counts(items: pa.ListArray, amounts: pa.ListArray, roles: np.ndarray, prior: float,
+               steps: int = STEPS) -> Model:
+    """``fit`` on each text's distinct words and how often it has them."""
+    n_texts = len(items)
+    doc = np.repeat(np.arange(n_texts), items.value_lengths().to_numpy(zero_copy_only=False))
+    coded = items.flatten().dictionary_encode()
+    vocabulary, number = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+    amount = amounts.flatten().to_numpy().astype(np.float64)
+    order = np.lexsort((number, doc))
+    number, amount = number[order], amount[order]
+    size = np.bincount(doc, weights=amount, minlength=n_texts)
     share = amount / np.maximum(size, 1)[doc]
-    cell, owner = features([*vocabulary])
+    cell, owner = features(vocabulary)
     seen = np.bincount(cell, weights=np.bincount(number, minlength=len(vocabulary))[owner], minlength=1 << BITS)
     pace = (seen >= RARE) / np.sqrt(seen + SPREAD)
     toxic = np.flatnonzero(roles == TOXIC)
@@ -177,7 +188,7 @@ def fit(texts: list[str], roles: np.ndarray, prior: float, steps: int = STEPS) -
         bias_speed = MOMENTUM * bias_speed - 0.2 * d_g.sum()
         weights, bias = weights + speed, bias + bias_speed
     model = Model((weights * pace).astype(np.float32), prior=prior)
-    degree = word_degrees(model.weights, [*vocabulary])
+    degree = word_degrees(model.weights, vocabulary)
     raw = np.bincount(doc, weights=share * degree[number], minlength=n_texts)
     known = roles == CLEAN
     marked = aside if aside.any() else roles == TOXIC
@@ -203,38 +214,59 @@ def _smallest(ids: DataFrame, count: int, role: int) -> DataFrame:
     return few.orderBy(h, "doc_id").limit(count).select("doc_id", F.lit(role).alias("role"))
 
 
+def _word_counts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    """Distinct words of each text, in the order of their first place, and how often it has them."""
+    for texts in batches:
+        counted = [Counter(words(t)) for t in texts]
+        yield pd.DataFrame({"words": [[*c] for c in counted], "amounts": [[*c.values()] for c in counted]})
+    release_memory()
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           toxic_col: str = "toxic", where: Column | None = None) -> Model:
-    """Learn from the rows that ``where`` (on doc_id) admits."""
+    """Learn from the rows of documents with a text that ``where`` (on doc_id) admits."""
     where = F.lit(True) if where is None else where
     marks = (pick(labels, doc_id=id_col, toxic=toxic_col).filter(where)
              .filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     texts = pick(docs, doc_id=id_col, text=text_col).filter(where)
-    texts = texts.filter(F.col("doc_id").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
+    texts = texts.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     counts = marks.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("toxic") == 1).cast("int")).alias("p")).first()
     prior = (counts["p"] or 0) / counts["n"] if counts["n"] else 0.0
-    if not 0 < prior < 1:
+
+    def nothing(missing: str) -> Model:
+        warnings.warn(f"toxicity: no {missing} to learn from; every score is the prior, {prior:.4f}", stacklevel=3)
         return Model(None, prior=prior)
-    wanted = (_smallest(marks.filter("toxic = 1").select("doc_id"), SAMPLE_TOXIC, TOXIC)
-              .union(_smallest(marks.filter("toxic = 0").select("doc_id"), SAMPLE_CLEAN, CLEAN))
+
+    if not 0 < prior < 1:
+        return nothing("clean labels" if prior else "toxic labels")
+    usable = marks.join(texts.select("doc_id").distinct(), "doc_id", "left_semi")
+    wanted = (_smallest(usable.filter("toxic = 1").select("doc_id"), SAMPLE_TOXIC, TOXIC)
+              .union(_smallest(usable.filter("toxic = 0").select("doc_id"), SAMPLE_CLEAN, CLEAN))
               .union(_smallest(texts.select("doc_id"), SAMPLE_UNLABELLED, UNLABELLED)))
+    count_words = F.pandas_udf(_word_counts, "words array<string>, amounts array<int>")
     # bounded by the three sample sizes
-    sample = texts.join(F.broadcast(wanted), "doc_id").dropDuplicates(["doc_id", "role"])
-
-    def learn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["role", "doc_id"])
-        roles = pdf["role"].to_numpy()
-        if not {TOXIC, CLEAN, UNLABELLED} <= set(roles.tolist()):
-            return pd.DataFrame(columns=["weights", "slope", "shift"])
-        m = fit(pdf["text"].tolist(), roles, prior)
+    sample = (texts.join(F.broadcast(wanted), "doc_id").dropDuplicates(["doc_id", "role"])
+              .select("doc_id", "role", count_words("text").alias("w")).select("doc_id", "role", "w.*"))
+
+    def learn(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("role", "ascending"), ("doc_id", "ascending")]).combine_chunks()
+        roles = rows["role"].to_numpy()
+        has = [int((roles == r).sum()) for r in (TOXIC, CLEAN)]
+        weights, slope, shift = None, 0.0, 0.0
+        if all(has):
+            items, amounts = (pa.concat_arrays(rows[c].chunks) for c in ("words", "amounts"))
+            m = fit_counts(items, amounts, roles, prior)
+            weights, slope, shift = m.weights.tobytes(), m.slope, m.shift
+            del items, amounts
+        del rows
         release_memory()
-        return pd.DataFrame({"weights": [m.weights.tobytes()], "slope": [m.slope], "shift": [m.shift]})
+        return pa.table({"weights": pa.array([weights], pa.binary()), "slope": pa.array([slope], pa.float64()),
+                         "shift": pa.array([shift], pa.float64()), "toxic": pa.array(has[:1], pa.int32())})
 
-    got = (sample.groupBy().applyInPandas(
-        learn, "weights binary, slope double, shift double").collect())
-    if not got:
-        return Model(None, prior=prior)
+    got = sample.groupBy().applyInArrow(learn, "weights binary, slope double, shift double, toxic int").collect()
+    if not got or got[0]["weights"] is None:
+        return nothing("clean labelled texts" if got and got[0]["toxic"] else "toxic labelled texts")
     m = got[0]
     return Model(np.frombuffer(m["weights"], dtype=np.float32), m["slope"], m["shift"], prior)
 

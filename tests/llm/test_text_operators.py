@@ -178,6 +178,28 @@ def test_toxicity_without_labels(spark):
     assert {(r.score, r.predicted) for r in toxicity.score(docs, model).collect()} == {(0.0, 0)}
 
 
+def test_toxicity_learns_from_long_texts(spark):
+    """Every toxic text is a long one, and labels without a document or a text take no one's place."""
+    rows, labels, truth = toxic_rows(300, 4)
+    filler = " ".join(sorted({w for r in rows for w in r[1].split() if not truth[r[0]]})[:250])
+    rows = [(i, t + f" {filler}" * 20 + " scumbag vilefool" * 120 if truth[i] else t, *r) for i, t, *r in rows]
+    assert min(len(r[1]) for r in rows if truth[r[0]]) > 20_000
+    lost = [(1000 + i, 1, 1) for i in range(3000)] + [(5000 + i, 1, 0) for i in range(3000)]
+    docs = spark.createDataFrame(rows + [(1000 + i, None, "en", "s", 0) for i in range(1500)], SCHEMA)
+    marks = spark.createDataFrame(labels + lost, "doc_id long, quality int, toxic int")
+    model = toxicity.train(docs, marks)
+    assert model.weights is not None
+    got = toxicity.score(spark.createDataFrame(rows, SCHEMA), model).collect()
+    assert np.mean([r.predicted == truth[r.doc_id] for r in got]) > 0.95
+
+
+def test_toxicity_warns_when_a_role_is_empty(spark):
+    docs = spark.createDataFrame([(i, "some words", "en", "s", 1) for i in range(20)], SCHEMA)
+    marks = spark.createDataFrame([(i, 1, 0) for i in range(20)] + [(90, 1, 1)], "doc_id long, quality int, toxic int")
+    with pytest.warns(UserWarning, match="no toxic labelled texts"):
+        assert toxicity.train(docs, marks).weights is None
+
+
 def test_non_negative_risk_is_corrected():
     """With as many weights as words and few texts the plain PU risk runs below zero; the corrected
     training must still rank the positives first."""
