@@ -17,10 +17,13 @@ softmax of the negative cross-entropies over at most ``EVIDENCE`` characters.
 models) gives each language the ``REJECT_QUANTILE`` of its cross-entropies;
 ``rejected`` marks texts above it.
 
-**Learning** uses at most ``SAMPLE_DOCS`` documents per language (the smallest of a
-seeded hash of the id; documents of more than ``SAMPLE_CHARS`` characters are not
-drawn) and at most ``MAX_LANGUAGES`` languages (checked).  One task counts one
-language's sample.  Prediction reads every whole text.
+**Learning** uses at most ``SAMPLE_DOCS`` documents per language, in the order of
+length class and then a seeded hash of the id: texts of up to ``SAMPLE_CHARS``
+characters, then of up to twice as many, and so on.  The sample ends before the
+text that would bring it over ``SAMPLE_DOCS * SAMPLE_CHARS`` characters, but the
+first text is always taken, whole, so every language that has a text with a letter
+gets a model.  There are at most ``MAX_LANGUAGES`` languages (checked).  One task
+counts one language's sample.  Prediction reads every whole text.
 
 Null texts and texts without a letter are ``und`` with score 0.  Rows with a null
 language or id are not learned from.  Without any row to learn from, all are
@@ -49,6 +52,7 @@ SAMPLE_CHARS = 20_000
 CALIBRATION = 5             # one in so many sampled documents calibrates
 REJECT_QUANTILE = 0.995
 MAX_LANGUAGES = 500
+MAX_CLASSES = 18            # length classes: Spark's longest string has fewer than 2 ** 31 characters
 EVIDENCE = 40
 RUN_CHARS = 2_000_000       # characters of texts that are in work at once
 UNDETERMINED = "und"
@@ -179,25 +183,41 @@ def learnable(id_col: Column) -> Column:
 
 
 def draw(rows: DataFrame, by: str, count: int, seed: int = 3) -> DataFrame:
-    """At most ``count`` rows per value of ``by``, those with the smallest seeded hash of doc_id.
-
-    Distinct ids are counted per value first, so that the ranking and the fetch see a bounded number
-    of rows, however many rows a value has."""
-    hashed = rows.withColumn("h", hash_order(F.col("doc_id"), seed))
-    sizes = (hashed.groupBy(by).agg(F.approx_count_distinct("h").alias("n")).limit(MAX_LANGUAGES + 1).collect())
-    if len(sizes) > MAX_LANGUAGES:
+    """At most ``count`` rows per value of ``by``, and ``count * SAMPLE_CHARS`` characters unless the first
+    text alone has more: those with the smallest ``h``, which is the length class of ``text`` (0: up to
+    ``SAMPLE_CHARS`` characters, 1: up to twice as many, ...) before a seeded hash of doc_id.
+
+    Distinct ids are counted per value and class first, so that the ranking and the fetch see a bounded
+    number of rows, however many rows a value has."""
+    size = F.length("text")
+    # classes by doublings, counted with whole numbers
+    kind = F.lit(0)
+    for k in range(MAX_CLASSES - 1):
+        kind = kind + (size > SAMPLE_CHARS * 2 ** k).cast("int")
+    hashed = (rows.withColumn("size", size).withColumn("class", F.lpad(kind.cast("string"), 2, "0"))
+              .withColumn("h", F.concat("class", hash_order(F.col("doc_id"), seed))))
+    sizes = (hashed.groupBy(by, "class").agg(F.approx_count_distinct("h").alias("n"))
+             .limit(MAX_LANGUAGES * MAX_CLASSES + 1).collect())
+    if len({r[by] for r in sizes}) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} values of {by}")
     if not sizes:
         return hashed.limit(0)
 
-    def below(limits: dict[str, str]) -> Column:
-        return F.col("h") <= F.element_at(F.create_map(*[F.lit(x) for pair in limits.items() for x in pair]), F.col(by))
-
-    few = hashed.filter(below({r[by]: smallest_hashes(r["n"], count) for r in sizes}))
-    rank = F.row_number().over(Window.partitionBy(by).orderBy("h"))
-    last = (few.select(by, "h").distinct().withColumn("rank", rank).filter(F.col("rank") <= count)
+    def below(limits: dict[str, str], key: Column) -> Column:
+        return F.col("h") <= F.try_element_at(F.create_map(*[F.lit(x) for pair in limits.items() for x in pair]), key)
+
+    bounds, found = {}, {}
+    for r in sorted(sizes, key=lambda r: r["class"]):
+        if found.get(r[by], 0) < 2 * count:     # twice, for the counts are approximate
+            bounds[r["class"] + r[by]] = r["class"] + smallest_hashes(r["n"], count)
+        found[r[by]] = found.get(r[by], 0) + r["n"]
+    few = hashed.filter(below(bounds, F.concat(F.col("class"), F.col(by))))
+    order = Window.partitionBy(by).orderBy("h")
+    last = (few.groupBy(by, "h").agg(F.max("size").cast("long").alias("size"))
+            .withColumn("rank", F.row_number().over(order)).withColumn("held", F.sum("size").over(order))
+            .filter((F.col("rank") <= count) & ((F.col("rank") == 1) | (F.col("held") <= count * SAMPLE_CHARS)))
             .groupBy(by).agg(F.max("h").alias("limit")).collect())
-    return few.filter(below({r[by]: r["limit"] for r in last} or {"": ""})).dropDuplicates([by, "h"])
+    return few.filter(below({r[by]: r["limit"] for r in last} or {"": ""}, F.col(by))).dropDuplicates([by, "h"])
 
 
 def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -206,7 +226,7 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     ``where`` may use doc_id, text and lang."""
     rows = pick(df, doc_id=id_col, text=text_col, lang=lang_col)
     rows = rows.filter((F.lit(True) if where is None else where) & F.col("lang").isNotNull()
-                       & F.col("doc_id").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
+                       & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}"))
     sample = draw(rows, "lang", SAMPLE_DOCS).select("lang", "h", "text")
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:

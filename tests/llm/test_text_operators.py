@@ -101,6 +101,26 @@ def test_langid_held_out_accuracy_and_odd_rows(spark):
     assert langid.predict(noise, model, reject=True).first().lang_pred == "und"
 
 
+def test_langid_learns_a_language_of_long_texts_only(spark):
+    """``bb`` has only texts over SAMPLE_CHARS; the others have short ones."""
+    rows = [(i, t * (1 + 25_000 // len(t)) if lang == "bb" else t, lang, s, n)
+            for i, t, lang, s, n in language_rows(60, 7)]
+    assert min(len(r[1]) for r in rows if r[2] == "bb") > langid.SAMPLE_CHARS
+    df = spark.createDataFrame(rows, SCHEMA)
+    model = langid.train(df)
+    assert model.languages == sorted({r[2] for r in rows})
+    assert all(r.lang_pred == rows[r.doc_id][2] for r in langid.predict(df, model).collect())
+
+
+def test_langid_draws_short_texts_first_and_ends_at_the_bound(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE_CHARS", 10)
+    sizes = {"a": [300], "b": [5] * 6 + [25] * 4, "c": [15, 40, 160], "d": [3] * 9}
+    rows = [(f"{lang}{k}", "x" * n, lang) for lang, ns in sizes.items() for k, n in enumerate(ns)]
+    drawn = langid.draw(spark.createDataFrame(rows, "doc_id string, text string, lang string"), "lang", 8).collect()
+    got = {lang: sorted(len(r.text) for r in drawn if r.lang == lang) for lang in sizes}
+    assert got == {"a": [300], "b": [5] * 6 + [25] * 2, "c": [15, 40], "d": [3] * 8}
+
+
 def test_kneser_ney_probabilities_sum_to_one():
     counts = {"abab": 3, "abc": 2, "cab": 1}
     model = langid.estimate(["x"], [langid.count_grams(counts)])
