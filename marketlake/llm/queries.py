@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import (embedding_dedup, exact_dedup, langid, license_scan, minhash_dedup, mixing,
+from marketlake.llm import (embedding_dedup, exact_dedup, langid, license_scan, merkle, minhash_dedup, mixing,
                             sentencepiece_bpe, toxicity, url_filters, warc)
 from marketlake.llm._util import pick
 
@@ -166,3 +166,67 @@ def piece_model_path() -> str:
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = pick(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text")
     return sentencepiece_bpe.digests(sentencepiece_bpe.encode_decode(docs, piece_model_path()))
+
+
+def _tampered(text: Column) -> Column:
+    """Where 5 divides the id's CRC-32, the text with A-Z in lower case."""
+    lowered = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, lowered).otherwise(text)
+
+
+@register
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    signed = merkle.manifest(table(spark, sf_dir, "documents"), claim={"text": _tampered(F.col("f_text"))})
+    folded = signed.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+                           merkle.fold(F.col("claimed"), F.col("proof")).alias("folded_root"))
+    return folded.select("*", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def _merkle_sql(levels: int = 8, top_levels: int = 6) -> str:
+    """The manifest of up to 16 ** levels rows a source and 16 ** top_levels sources, level by level."""
+    def tree(name: str, height: int) -> list[str]:
+        out = []
+        for j in range(height):
+            out.append(f"""{name}s{j} AS (SELECT k, i, n, coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING
+  AND 1 PRECEDING), '') AS l, coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {name}{j} WINDOW w AS (PARTITION BY k, i // 16 ORDER BY i))""")
+            out.append(f"""{name}{j + 1} AS (SELECT k, i // 16 AS i, CASE WHEN n = 1 THEN 1 ELSE (n + 15) // 16 END AS n,
+  CASE WHEN n = 1 THEN min(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h FROM {name}{j} GROUP BY k, i // 16, n)""")
+        return out
+
+    def climb(rows: str, name: str, height: int) -> list[str]:
+        return [f"""{rows}{j + 1} AS (SELECT p.* EXCLUDE (i, acc, proof), p.i // 16 AS i,
+  CASE WHEN s.n = 1 THEN p.acc ELSE sha256(s.l || p.acc || s.r) END AS acc,
+  CASE WHEN s.n = 1 THEN p.proof ELSE p.proof || s.l || s.r END AS proof
+  FROM {rows}{j} p JOIN {name}s{j} s ON p.k = s.k AND p.i = s.i)""" for j in range(height)]
+
+    def field(x: str) -> str:
+        return f"CASE WHEN {x} IS NULL THEN '-' ELSE strlen(CAST({x} AS VARCHAR)) || ':' || CAST({x} AS VARCHAR) END"
+
+    head = " || ".join(field(x) for x in ("doc_id", "source", "lang", "n_chars"))
+    parts = [
+        # the table of CRC-32: eight shifts of every byte
+        """c0 AS (SELECT range AS b, list_reduce([range] || [0, 0, 0, 0, 0, 0, 0, 0],
+  lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS v FROM range(256))""",
+        "c1 AS (SELECT list(v ORDER BY b) AS t FROM c0)",
+        """c2 AS (SELECT d.*, xor(list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+  lambda c: CAST(ascii(c) AS BIGINT)), lambda x, y: xor(x >> 8, c1.t[(xor(x, y) & 255) + 1])), 4294967295) AS crc
+  FROM documents d, c1)""",
+        """c3 AS (SELECT *, CASE WHEN crc % 5 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz') ELSE text END AS other FROM c2)""",
+        f"c4 AS (SELECT doc_id, source, sha256({head} || {field('text')}) AS leaf, sha256({head} || {field('other')}) AS claimed FROM c3)",
+        """c5 AS (SELECT *, coalesce('=' || source, '') AS k, count(*) OVER (PARTITION BY source) AS n,
+  row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, claimed) - 1 AS i FROM c4)""",
+        "a0 AS (SELECT k, i, n, leaf AS h FROM c5)", *tree("a", levels),
+        f"b0 AS (SELECT '' AS k, row_number() OVER (ORDER BY k) - 1 AS i, count(*) OVER () AS n, h, k AS g FROM a{levels})",
+        *tree("b", top_levels),
+        "p0 AS (SELECT doc_id, leaf, k, i, claimed AS acc, '' AS proof FROM c5)", *climb("p", "a", levels),
+        f"""q0 AS (SELECT p.doc_id, p.leaf, b0.h AS subroot, b0.k, b0.i, p.acc, p.proof
+  FROM p{levels} p JOIN b0 ON p.k = b0.g)""", *climb("q", "b", top_levels)]
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT q.doc_id, q.leaf, q.subroot, b.h AS root, sha256(q.proof) AS proof_sha256, q.acc AS folded_root, q.acc = b.h AS verified
+FROM q{top_levels} q, b{top_levels} b
+"""
+
+
+ORACLES["op13_merkle_manifest"] = _merkle_sql()
