@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.llm import (embedding_dedup, exact_dedup, langid, license_scan, merkle, minhash_dedup, mixing,
-                            sentencepiece_bpe, toxicity, url_filters, warc)
+                            periodic_runs, sentencepiece_bpe, toxicity, url_filters, warc)
 from marketlake.llm._util import pick
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -168,6 +168,37 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.digests(sentencepiece_bpe.encode_decode(docs, piece_model_path()))
 
 
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id, text; where 10 divides h, the id's CRC-32, the words from a on repeat p words."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    split = pick(docs, doc_id="doc_id", text="text").select("doc_id", "text", F.when(
+        h % 10 == 0, F.regexp_extract_all("text", F.lit(mixing.WORD), F.lit(0))).alias("words"))
+    n = F.size("words")
+    a = (g % n).cast("int")
+    p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))).cast("int")
+    turns = F.floor((n - a) / p).cast("int") + 1
+    tail = F.slice(F.flatten(F.array_repeat(F.slice("words", a + 1, p), turns)), F.lit(1), n - a)
+    changed = F.array_join(F.concat(F.slice("words", F.lit(1), a), tail), " ")
+    return split.select("doc_id", F.when(n > 0, changed).otherwise(F.col("text")).alias("text"))
+
+
+@register
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(_with_planted_runs(table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("short"))))
+    lines = F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    rows = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("best"),
+                        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return rows.select("doc_id", "n_runs", (-F.col("best.back")).alias("start"), F.col("best.length").alias("length"),
+                       (-F.col("best.short")).alias("period"),
+                       F.expr("1000 * best.length div -best.short").alias("exponent_milli"),
+                       "runs_sha256", "collapsed_sha256")
+
+
 def _tampered(text: Column) -> Column:
     """Where 5 divides the id's CRC-32, the text with A-Z in lower case."""
     lowered = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
