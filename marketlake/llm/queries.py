@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.llm import (embedding_dedup, exact_dedup, langid, license_scan, merkle, minhash_dedup, mixing,
-                            periodic_runs, sentencepiece_bpe, toxicity, url_filters, warc)
+                            periodic_runs, sentencepiece_bpe, suffix_dedup, toxicity, url_filters, warc)
 from marketlake.llm._util import pick
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -168,6 +168,36 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.digests(sentencepiece_bpe.encode_decode(docs, piece_model_path()))
 
 
+@register
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# text in hexadecimal, so that a window is a plain substring
+ORACLES["op11_suffix_dedup"] = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT rid, doc_id, p, substr(x, CAST(2 * p + 1 AS BIGINT), 100) AS s
+      FROM (SELECT rid, doc_id, x, unnest(range(CAST(length(x) // 2 - 49 AS BIGINT))) AS p FROM d WHERE length(x) >= 100)),
+m AS (SELECT rid, p FROM (SELECT rid, doc_id, p, min(doc_id) OVER (PARTITION BY s) AS least FROM w)
+      WHERE least < coalesce(doc_id, 9223372036854775807)),
+g AS (SELECT rid, p, CASE WHEN p <= lag(p) OVER o + 50 THEN 0 ELSE 1 END AS new FROM m WINDOW o AS (PARTITION BY rid ORDER BY p)),
+i AS (SELECT rid, p, sum(new) OVER (PARTITION BY rid ORDER BY p) AS k FROM g),
+r AS (SELECT rid, k, min(p) AS a, max(p) + 50 AS b FROM i GROUP BY rid, k),
+e AS (SELECT rid, count(*) AS n_spans, sum(b - a) AS n_removed, list(a ORDER BY a) AS starts, list(b ORDER BY a) AS ends
+      FROM r GROUP BY rid),
+k AS (SELECT d.rid, d.doc_id, d.t, d.x, e.n_spans, e.n_removed, e.starts || [length(d.x) // 2] AS starts, [0] || e.ends AS ends
+      FROM d LEFT JOIN e ON d.rid = e.rid)
+SELECT doc_id, CAST(strlen(t) AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       CASE WHEN n_spans IS NULL THEN sha256(t) ELSE sha256(unhex(array_to_string(list_transform(range(1, len(starts) + 1),
+         lambda j: substr(x, CAST(2 * ends[j] + 1 AS BIGINT), CAST(2 * (starts[j] - ends[j]) AS BIGINT))), ''))) END AS kept_sha256
+FROM k
+"""
+
+
 def _with_planted_runs(docs: DataFrame) -> DataFrame:
     """doc_id, text; where 10 divides h, the id's CRC-32, the words from a on repeat p words."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
