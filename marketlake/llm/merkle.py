@@ -139,10 +139,10 @@ def extract(levels: Sequence[DataFrame], above: DataFrame, carried: Sequence[str
     paths: DataFrame | None = None
     for k in range(len(levels) - 1, -1, -1):
         level, extra = levels[k], carried if k == 0 else ()
-        ends = level.filter("n = 1").join(above, "key").select("key", "idx", "digest", *extra, "subroot", "root", "proof")
+        ends = level.filter("n = 1").join(above.hint("merge"), "key").select("key", "idx", "digest", *extra, "subroot", "root", "proof")
         if paths is not None:
             parents = paths.select("key", F.col("idx").alias("block"), "subroot", "root", "proof")
-            rows = _subtrees(level, *extra).join(parents, ["key", "block"])
+            rows = _subtrees(level, *extra).join(parents.hint("merge"), ["key", "block"])
             inner = rows.select("key", "subroot", "root", F.explode(F.transform("nodes", lambda x: F.struct(
                 x.alias("node"), F.concat(_segment(x), F.col("proof")).alias("proof")))).alias("x"))
             ends = ends.unionByName(inner.select("key", "x.node.*", "subroot", "root", "x.proof"))
@@ -165,7 +165,8 @@ def manifest(df: DataFrame, group_col: str = "source", id_col: str = "doc_id",
     own = leaf(*[F.col(f"f_{f}") for f in fields])
     rows = src.select(F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("key"),
                       "doc_id", own.alias("digest"), (leaf(*other) if claim else own).alias("claimed"))
-    leaves = materialise(_numbered(rows, ["doc_id", "digest", "claimed"]), "merkle-level")
+    # texts are read once; placing the leaves samples and sorts a narrow table
+    leaves = materialise(_numbered(materialise(rows, "merkle-leaves"), ["doc_id", "digest", "claimed"]), "merkle-level")
     levels = grow(leaves)
     subroots = materialise(tops(levels), "merkle-tops").select(F.lit("").alias("key"), F.col("key").alias("tree"), "digest")
     top = grow(materialise(_numbered(subroots, ["tree"]), "merkle-level"))
