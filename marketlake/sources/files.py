@@ -6,12 +6,14 @@ inside the plan, so tenant / marketplace / date tags cost a projection.
 
 Scale notes: whole-file formats (multi-line JSON, gzip) are not splittable, so
 one file = one task; land many medium files rather than few huge ones, and
-repartition after the read when files are skewed in size.  CSV/TSV/JSON-lines
-are split by ``spark.sql.files.maxPartitionBytes``.
+repartition after the read when files are skewed in size.  JSON lines and text
+without quotes are split by ``spark.sql.files.maxPartitionBytes``; so is quoted text
+that is read with ``multi_line=False``, which says that no cell holds a line break.
 """
 
 from __future__ import annotations
 
+import csv
 import re
 from collections.abc import Mapping, Sequence
 
@@ -111,72 +113,152 @@ def read_json_reports(spark: SparkSession, path: str, schema: T.StructType, glob
 
 
 # ---------------------------------------------------------------- delimited text, by header
-def _cells(line: Column, sep: str) -> Column:
-    """The fields of a line, however many: quoted fields may hold separators and doubled quotes."""
-    s = re.escape(sep)
-    raw = F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(rf'{s}("(?:[^"]|"")*"|[^{s}]*)'), 1)
-    return F.transform(raw, lambda x: F.when(
-        (F.length(x) >= 2) & x.startswith('"') & x.endswith('"'),
-        F.replace(F.substr(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))).otherwise(x))
-
-
-def _lines(spark: SparkSession, path: str, glob: str | None, encoding: str, recursive: bool = True) -> DataFrame:
-    """source_file, line, place: the place orders the lines of a file's first split, so a file's
-    first line is told by its position and not by what it says."""
-    text = F.decode(F.col("value").cast("binary"), encoding) if encoding.upper() != "UTF-8" else F.col("value")
-    first_split = F.col("_metadata.file_block_start") == 0
-    return (_reader(spark, None, glob, recursive).text(path)
-            .select(source_file().alias("source_file"), F.regexp_replace(text, "^\ufeff", "").alias("line"),
-                    F.when(first_split, F.monotonically_increasing_id()).alias("place"),
-                    F.struct(F.col("_metadata.file_block_start").alias("split"),
-                             F.monotonically_increasing_id().alias("place")).alias("line_no"))
-            .where(F.trim("line") != ""))
-
-
-def _heads(lines: DataFrame) -> DataFrame:
-    """source_file, first (place), line of each file's first line: one row per file."""
-    return (lines.where("place is not null").groupBy("source_file")
-            .agg(F.min(F.struct("place", "line")).alias("h"))
-            .select("source_file", F.col("h.place").alias("first"), F.col("h.line").alias("head")))
+HEAD_ROWS = 64          # rows of a split that are read to find its first lines
+TOO_MANY = "_cells"     # named in ``_rejected`` for a row with more cells than its header
+
+
+def _first_lines(spark: SparkSession, path: str, glob: str | None, encoding: str, count: int,
+                 recursive: bool = True) -> list[tuple[str, list[str]]]:
+    """(file, its first ``count`` lines with text) of every file that has so many, by name.
+
+    Every split is a task of its own that stops after its first batch of rows, so the files are
+    not read through.  Lines end where Spark's text source ends them; a header is one line.
+    """
+    import pyarrow as pa
+
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.openCostInBytes", own.conf.get("spark.sql.files.maxPartitionBytes"))  # one split a task
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(HEAD_ROWS))
+
+    def first(batches):
+        lines: list[str] = []
+        for batch in batches:
+            if batch.num_rows and batch.column(1)[0].as_py() != 0:
+                return
+            for value in batch.column(2):
+                line = value.as_py().decode(encoding).removeprefix("\ufeff")
+                if line.strip():
+                    lines.append(line.rstrip("\r"))
+                if len(lines) == count:
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(0, 1), pa.array([lines])],
+                                                     ["source_file", "lines"])
+                    return
+
+    raw = _reader(own, None, glob, recursive).text(path)
+    rows = raw.select(source_file().alias("f"), F.col("_metadata.file_block_start").alias("at"),
+                      F.col("value").cast("binary").alias("v")).mapInArrow(first, "source_file string, lines array<string>")
+    return sorted((r["source_file"], list(r["lines"])) for r in rows.collect())
+
+
+def _by_header(heads: Sequence[tuple[str, list[str]]], line: int) -> dict[str, list[str]]:
+    """Files by the text of their header line."""
+    groups: dict[str, list[str]] = {}
+    for file, lines in heads:
+        groups.setdefault(lines[line], []).append(file)
+    return groups
+
+
+def _escaped(path: str) -> str:
+    """A path as a pattern that means itself."""
+    return re.sub(r"([\\\[\]{}*?^])", r"\\\1", path)
+
+
+def _names(head: str, sep: str, quote: str | None) -> list[str]:
+    """The names in a header line, as they are in the file, without white space around them."""
+    kind = {"quotechar": quote, "doublequote": True} if quote else {"quoting": csv.QUOTE_NONE}
+    return [x.strip() for x in next(csv.reader([head], delimiter=sep, **kind))]
+
+
+def _rows(spark: SparkSession, files: Sequence[str], width: int, sep: str, quote: str | None, encoding: str,
+          multi_line: bool) -> DataFrame:
+    """The records after the first line of ``files``: cells c0, c1, ... as text (empty: NULL), source_file,
+    line_no and whether a record has text beyond ``width`` cells.  Short records end in NULLs."""
+    def text(n: int) -> list[T.StructField]:
+        return [T.StructField(f"c{i}", T.StringType()) for i in range(n)]
+
+    options = {"sep": sep, "quote": quote or "", "escape": quote or "\\", "encoding": encoding}
+    df = (spark.read.schema(T.StructType([*text(width), T.StructField(CORRUPT, T.StringType())]))
+          .options(**options, header=True, multiLine=multi_line, columnNameOfCorruptRecord=CORRUPT)
+          .csv([_escaped(f) for f in files]))
+    # Spark keeps a record with too few or too many cells; only of the latter has it lost text
+    beyond = F.from_csv(CORRUPT, T.StructType(text(2 * width + 8)).simpleString().removeprefix("struct<").removesuffix(">")
+                        .replace(":", " "), options)
+    extra = F.coalesce(*[beyond[f"c{i}"] for i in range(width, 2 * width + 8)])
+    # (Spark answers no query that reads the corrupt text alone, hence the first cell)
+    many = F.col(CORRUPT).isNotNull() & F.coalesce(F.length(F.concat(F.coalesce("c0", F.lit("")), extra)) >= 0, F.lit(False))
+    return df.select(*[F.nullif(F.col(f"c{i}"), F.lit("")).alias(f"c{i}") for i in range(width)],
+                     source_file().alias("source_file"), many.alias("many"),
+                     F.struct(F.col("_metadata.file_block_start").alias("split"),
+                              F.monotonically_increasing_id().alias("place")).alias("line_no"))
+
+
+def _checked(rows: DataFrame, bad: str) -> DataFrame:
+    """Rows without one that has too many cells (which raises), unless they are kept."""
+    if bad == "keep":
+        return rows
+    message = F.concat(F.lit("a record has more cells than the header of "), "source_file")
+    return rows.where(F.when(F.col("many"), F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType | None = None, glob: str | None = None,
                    sep: str = ",", encoding: str = "UTF-8", bad: str = "fail", recursive: bool = True,
-                   line_numbers: bool = False) -> DataFrame:
+                   line_numbers: bool = False, quote: str | None = '"', multi_line: bool | None = None) -> DataFrame:
     """Text with one header line per file; columns are matched by the names in each file's own header,
     so files may order them differently, have more, or lack some (NULL).
 
-    Without a schema the columns are those of all headers (distinct names reach the driver), as
-    strings.  With one, values are cast; empty text is NULL; a value that does not cast raises, or
-    is NULL with its column named in ``_rejected`` (``bad="keep"``).  A name that a header repeats
-    means its first column.  ``line_numbers`` adds ``line_no``, which orders the lines of a file
-    (its split, then the place in it), for rules that keep a first or last line.
+    Files are grouped by header, and Spark's own CSV source reads every group; distinct headers and
+    the names of their files reach the driver, as they do for any read.  ``quote=None`` is for formats
+    without quoting.  A quoted cell may hold line breaks (``multi_line``, the default with quotes;
+    such files are not split).
+
+    Without a schema the columns are those of all headers, as strings.  With one, values are cast;
+    empty text is NULL; a value that does not cast raises, or is NULL with its column named in
+    ``_rejected`` (``bad="keep"``).  A record with fewer cells than the header ends in NULLs; one with
+    text in a cell beyond them raises, or is a reject (``_cells`` in ``_rejected``).  A name that a header repeats means
+    its first column.  ``line_numbers`` adds ``line_no``, which orders the records of a file.
     """
-    lines = _lines(spark, path, glob, encoding, recursive)
-    heads = _heads(lines).select("source_file", "first", F.transform(
-        _cells(F.col("head"), sep), lambda x: F.trim(x)).alias("header"))
+    heads = _by_header(_first_lines(spark, path, glob, encoding, 1, recursive), 0)
+    groups = [(_names(head, sep, quote), files) for head, files in heads.items()]
     if schema is None:
-        names = heads.select(F.posexplode("header").alias("at", "name")).where("name != ''") \
-            .groupBy("name").agg(F.min("at").alias("at")).orderBy("at", "name").collect()
-        schema = T.StructType([T.StructField(r["name"], T.StringType()) for r in names])
-    rows = (lines.join(broadcast_if_small(heads), "source_file")
-            .where(F.col("place").isNull() | (F.col("place") != F.col("first")))
-            .select("source_file", "header", "line_no", _cells(F.col("line"), sep).alias("cells")))
-
-    def text_of(name: str) -> Column:
-        at = F.array_position("header", F.lit(name)).cast("int")
-        return F.nullif(F.when(at > 0, F.try_element_at("cells", at)), F.lit(""))
-
-    out, failed = [], []
+        first: dict[str, int] = {}
+        for names, _ in groups:
+            for at, name in enumerate(names):
+                if name:
+                    first[name] = min(at, first.get(name, at))
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in sorted(first, key=lambda n: (first[n], n))])
+    out = _no_rows(spark, schema, line_numbers, bad)
+    for names, files in groups:
+        rows = _checked(_rows(spark, files, len(names), sep, quote, encoding,
+                              bool(quote) if multi_line is None else multi_line), bad)
+        out = out.unionByName(_typed(rows, names, schema, line_numbers, bad))
+    return out
+
+
+def _no_rows(spark: SparkSession, schema: T.StructType, line_numbers: bool, bad: str) -> DataFrame:
+    fields = [*schema.fields, T.StructField("source_file", T.StringType())]
+    if line_numbers:
+        fields.append(T.StructField("line_no", T.StructType.fromDDL("split long, place long")))
+    if bad == "keep":
+        fields.append(T.StructField(REJECTED, T.ArrayType(T.StringType())))
+    return spark.createDataFrame([], T.StructType(fields))
+
+
+def _typed(rows: DataFrame, names: Sequence[str], schema: T.StructType, line_numbers: bool, bad: str) -> DataFrame:
+    """Cells by name, cast to the schema's types."""
+    out, failed = [], [F.when(F.col("many"), F.lit(TOO_MANY))]
     for f in schema.fields:
-        text, plain = text_of(f.name), isinstance(f.dataType, T.StringType)
-        value = text if plain else F.trim(text).cast(f.dataType) if bad == "fail" else F.trim(text).try_cast(f.dataType)
+        if f.name not in names:
+            out.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        text = F.col(f"c{names.index(f.name)}")
+        if isinstance(f.dataType, T.StringType):
+            out.append(text.alias(f.name))
+            continue
+        value = F.trim(text).cast(f.dataType) if bad == "fail" else F.trim(text).try_cast(f.dataType)
         out.append(value.alias(f.name))
-        if not plain:
-            failed.append(F.when(text.isNotNull() & value.isNull(), F.lit(f.name)))
-    more = [F.array_compact(F.array(*failed)).alias(REJECTED) if failed
-            else F.array().cast("array<string>").alias(REJECTED)] if bad == "keep" else []
-    return rows.select(*out, "source_file", *(["line_no"] if line_numbers else []), *more)
+        failed.append(F.when(text.isNotNull() & value.isNull(), F.lit(f.name)))
+    return rows.select(*out, "source_file", *(["line_no"] if line_numbers else []),
+                       *([F.array_compact(F.array(*failed)).alias(REJECTED)] if bad == "keep" else []))
 
 
 def read_dated_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, glob: str = "*.csv",
@@ -195,29 +277,40 @@ def read_two_header_csv(spark: SparkSession, path: str, columns: Sequence[str],
     """CSV whose line 1 is ``key=["value"],…`` metadata and line 2 the header.
 
     Both lines are known by their position in the file, whatever they or the data
-    say.  The metadata is one row per file (values stripped of non-word
-    characters, X13), joined back on the file path (broadcast only when the
-    estimate proves it small).  ``meta_keys`` maps an output column to a
-    case-insensitive key regex; ``columns`` names the cells in order.
+    say; a data record that repeats the header stays.  The metadata is one row per
+    file (values stripped of non-word characters, X13), joined back on the file path
+    (broadcast only when the estimate proves it small).  ``meta_keys`` maps an output
+    column to a case-insensitive key regex; ``columns`` names the cells in order.
     """
     meta_keys = dict(meta_keys or {"asin": "ASIN", "reporting_range": "Reporting Range"})
-    lines = _lines(spark, path, glob, "UTF-8")
+    heads = _first_lines(spark, path, glob, "UTF-8", 2)
     # metadata values hold quotes inside a cell, so its keys are found in the whole line
-    meta = _heads(lines).select("source_file", "first", *[
-        F.nullif(strip_non_word(F.regexp_extract("head", rf"(?i){key}[^=,]*=\[([^\]]*)\]", 1)), F.lit("")).alias(n)
-        for n, key in meta_keys.items()])
-    data = lines.join(broadcast_if_small(meta), "source_file").where(
-        F.col("place").isNull() | (F.col("place") > F.col("first") + 1))
-    cells = data.select("source_file", *meta_keys, _cells(F.col("line"), ",").alias("cells"))
-    return cells.select("source_file", *[F.nullif(F.try_element_at("cells", F.lit(i + 1)), F.lit("")).alias(c)
-                                         for i, c in enumerate(columns)], *meta_keys)
+    meta = spark.createDataFrame([(file, lines[0]) for file, lines in heads], "source_file string, head string").select(
+        "source_file", *[F.nullif(strip_non_word(F.regexp_extract("head", rf"(?i){key}[^=,]*=\[([^\]]*)\]", 1)), F.lit(""))
+                         .alias(n) for n, key in meta_keys.items()])
+    out = spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in ("source_file", *columns)]))
+    for head, names_of in _by_header(heads, 1).items():
+        names = _names(head, ",", '"')
+        cells = [(F.col(f"c{i}") if i < len(names) else F.lit(None).cast("string")).alias(c)
+                 for i, c in enumerate(columns)]
+        # Spark leaves out the first line; of the records that say what the header says one per file goes
+        rows = _checked(_rows(spark, names_of, len(names), ",", '"', "UTF-8", True), "fail")
+        header = F.lit(True)
+        for i, name in enumerate(names):
+            header = header & F.trim(f"c{i}").eqNullSafe(F.lit(name or None))
+        again = (rows.where(header).groupBy("source_file").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                 .select("source_file", *[F.lit(name or None).cast("string").alias(f"c{i}") for i, name in enumerate(names)],
+                         F.explode(F.sequence(F.lit(2), F.col("n")))))
+        out = out.union(rows.where(~header).select("source_file", *cells)).union(again.select("source_file", *cells))
+    return out.join(broadcast_if_small(meta), "source_file").select("source_file", *columns, *meta_keys)
 
 
 def read_tsv(spark: SparkSession, path: str, schema: T.StructType | None = None, glob: str = "*.txt",
-             encoding: str = "UTF-8", bad: str = "fail") -> DataFrame:
+             encoding: str = "UTF-8", bad: str = "fail", quote: str | None = None) -> DataFrame:
     """Tab-separated reports, columns matched by header.  Without a schema
-    every column is a string; with one, values are typed on read."""
-    return read_delimited(spark, path, schema, glob, "\t", encoding, bad)
+    every column is a string; with one, values are typed on read.  The reports do not
+    quote: a quotation mark is text, unless ``quote`` names it."""
+    return read_delimited(spark, path, schema, glob, "\t", encoding, bad, quote=quote)
 
 
 def read_latin1_tsv(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
@@ -252,7 +345,7 @@ def read_any(spark: SparkSession, path: str, schema: T.StructType | None = None,
     if ext == "json":
         return _reader(spark, schema, None, recursive=False, multiLine=True, mode="FAILFAST", **options).json(path)
     if ext in ("tsv", "txt"):
-        return read_delimited(spark, path, schema, None, "\t", recursive=False, **options).drop("source_file")
+        return read_delimited(spark, path, schema, None, "\t", recursive=False, **{"quote": None, **options}).drop("source_file")
     if ext == "csv":
         return read_delimited(spark, path, schema, None, recursive=False, **options).drop("source_file")
     if ext == "parquet":

@@ -139,7 +139,7 @@ def test_columns_by_header(spark, tmp_path):
     (tmp_path / "1.txt").write_text("a\tb\n1\tx\n2\t\n")
     (tmp_path / "2.txt").write_text("\ufeffb\textra\ta\n\"y \"\"q\"\"\"\tz\t3\n")
     (tmp_path / "3.txt").write_text("b\nonly\n")
-    got = fs.read_tsv(spark, str(tmp_path), T.StructType.fromDDL("a INT, b STRING"))
+    got = fs.read_tsv(spark, str(tmp_path), T.StructType.fromDDL("a INT, b STRING"), quote='"')
     assert sorted(((r.a, r.b) for r in got.collect()), key=str) == [(1, "x"), (2, None), (3, 'y "q"'), (None, "only")]
     assert sorted(fs.read_tsv(spark, str(tmp_path)).columns) == ["a", "b", "extra", "source_file"]
     (tmp_path / "4.txt").write_text("a\tb\n=[\tx\n")
@@ -180,3 +180,61 @@ def test_every_report_has_declared_types(spark):
     table, metrics = c.lookup("SPONSORED_PRODUCTS", "spSearchTerm", "['searchTerm']")
     assert table == "search_term" and "searchTerm" in c.expand(metrics) and "sales30d" in c.expand(metrics)
     assert c.lookup_v2("SPONSORED_BRANDS", "campaigns")[0] == "campaign_v2"
+
+
+def _read(fn, spark, path, *args, **kw):
+    return sorted((tuple(r) for r in fn(spark, str(path), *args, **kw).drop("source_file").collect()), key=str)
+
+
+def test_cells_that_a_line_parser_loses(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('a,b\n1,"A" size,\n2,"two\nlines, ""quoted"""\n3,plain\n4\n'.replace('size,', 'size'))
+    assert _read(fs.read_delimited, spark, tmp_path, glob="*.csv") == [
+        ("1", '"A" size'), ("2", 'two\nlines, "quoted"'), ("3", "plain"), ("4", None)]
+    (tmp_path / "b.txt").write_text('a\tb\tc\n1\t"10 in\t5"\n2\tx\\\ty\n')
+    assert _read(fs.read_tsv, spark, tmp_path) == [("1", '"10 in', '5"'), ("2", "x\\", "y")]
+    (tmp_path / "c.tsv").write_bytes("b\ta\n\xa3 5\t1\n".encode("latin-1"))
+    assert _read(fs.read_tsv, spark, tmp_path, glob="*.tsv", encoding="ISO-8859-1") == [("\xa3 5", "1")]
+
+
+def test_a_record_with_too_many_cells(spark, tmp_path):
+    import pytest
+    (tmp_path / "1.csv").write_text("a,b\n1,x\n2,y,lost\n3,,,lost\n4,z,\n5\n")
+    schema = T.StructType.fromDDL("a INT, b STRING")
+    with pytest.raises(Exception, match="more cells than the header"):
+        fs.read_delimited(spark, str(tmp_path), schema).collect()
+    with pytest.raises(Exception, match="more cells than the header"):
+        fs.read_delimited(spark, str(tmp_path), schema).count()
+    kept = fs.read_delimited(spark, str(tmp_path), schema, bad="keep")
+    assert sorted((r.a, r._rejected) for r in fs.rejects(kept).collect()) == [(2, ["_cells"]), (3, ["_cells"])]
+    assert sorted((r.a, r.b) for r in fs.accepted(kept).collect()) == [(1, "x"), (4, "z"), (5, None)]
+
+
+def test_headers_in_any_order_and_odd_file_names(spark, tmp_path):
+    (tmp_path / "R ['x'] (a-US) {1}.csv").write_text("a,b,a\n1,2,3\n")
+    (tmp_path / "50% b+c.csv").write_text("\ufeff\n\nb,new,a\n4,5,6\n")
+    (tmp_path / "same*.csv").write_text("a,b,a\n7,8,9\n")
+    (tmp_path / "empty.csv").write_text("")
+    df = fs.read_delimited(spark, str(tmp_path), glob="*.csv")
+    assert df.columns == ["a", "b", "new", "source_file"]
+    assert sorted((r.a, r.b, r.new, os.path.basename(r.source_file)) for r in df.collect()) == [
+        ("1", "2", None, "R ['x'] (a-US) {1}.csv"), ("6", "4", "5", "50% b+c.csv"), ("7", "8", None, "same*.csv")]
+    assert df.inputFiles() and fs.read_delimited(spark, str(tmp_path), glob="empty.csv").count() == 0
+
+
+def test_only_first_lines_are_read_for_headers(spark, tmp_path):
+    (tmp_path / "big.csv").write_text("a,b\n" + "1,2\n" * 200_000)
+    (tmp_path / "other.csv").write_text("x\n1\n")
+    heads = fs._first_lines(spark, str(tmp_path), "*.csv", "UTF-8", 1)
+    assert [(os.path.basename(f), lines) for f, lines in heads] == [("big.csv", ["a,b"]), ("other.csv", ["x"])]
+    numbered = fs.read_delimited(spark, str(tmp_path), glob="big.csv", line_numbers=True)
+    assert numbered.select("line_no").distinct().count() == 200_000
+
+
+def test_two_headers_with_line_breaks_and_repeated_headers(spark, tmp_path):
+    meta = 'ASIN or Product=["B0"],Reporting Range=["Weekly"]\n'
+    (tmp_path / "1.csv").write_text(meta + "Date,Query\nDate,Query\nDate,Query\n1,\"two\nlines\"\n2\n")
+    (tmp_path / "2.csv").write_text(meta.replace("B0", "B1") + "Date,Query,More\n3,q,m\n")
+    got = fs.read_two_header_csv(spark, str(tmp_path), ["Date", "Query"]).drop("source_file")
+    assert sorted((tuple(r) for r in got.collect()), key=str) == sorted([
+        ("Date", "Query", "B0", "Weekly"), ("Date", "Query", "B0", "Weekly"), ("1", "two\nlines", "B0", "Weekly"),
+        ("2", None, "B0", "Weekly"), ("3", "q", "B1", "Weekly")], key=str)
