@@ -16,7 +16,7 @@ from marketlake.operators.incremental import after_watermark
 from marketlake.plans.registry import register
 from marketlake.plans.tables import Tables, ts
 from marketlake.sinks.keyed import KeyedTable, fix_values, insert_ignore as _insert_ignore, merge_frames
-from marketlake.sinks.tables import append_once as _append_once
+from marketlake.sinks.tables import append_once as _append_once, export_daily as _export_daily, export_mart as _export_mart
 from marketlake.session import scratch_path
 from marketlake.streaming.file_upsert import stream_upsert as _stream_upsert
 
@@ -128,6 +128,68 @@ def keyed_upsert(spark, d):
                       (F.col("updated_at") < F.lit("2024-01-02").cast("timestamp")).alias("untouched"))
 
 
+@register("keyed_insert_ignore", """
+with first as (select o_orderkey, o_custkey, o_orderstatus from orders where o_orderdate < timestamp '1997-01-01 00:00:00'),
+     second as (select o_orderkey, o_custkey, 'N' as o_orderstatus from orders where o_orderdate >= timestamp '1996-01-01 00:00:00')
+select *, true as stored from first
+union all select *, false from second where o_orderkey not in (select o_orderkey from first)
+""")
+def keyed_insert_ignore(spark, d):
+    """K03 on a stored table in key buckets: a batch that overlaps the stored keys by a year adds only new
+    keys, and no stored file is rewritten."""
+    o = Tables(spark, d).orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    table = KeyedTable(spark, scratch_path(spark, "keyed-insert"), ["o_orderkey"])
+    table.upsert(o.where(F.col("o_orderdate") < ts("1997-01-01 00:00:00")).drop("o_orderdate"), as_of=dt.datetime(2024, 1, 1))
+    second = o.where(F.col("o_orderdate") >= ts("1996-01-01 00:00:00")).drop("o_orderdate")
+    table.insert_ignore(second.withColumn("o_orderstatus", F.lit("N")), as_of=dt.datetime(2024, 1, 2))
+    return table.read().select("o_orderkey", "o_custkey", "o_orderstatus",
+                               (F.col("created_at") < F.lit("2024-01-02").cast("timestamp")).alias("stored"))
+
+
+@register("stored_fix", """
+select o_orderkey, o_orderdate,
+       case when o_orderpriority = '5-LOW' and o_orderstatus = 'F' then '5-LOWEST' else o_orderpriority end as o_orderpriority
+from orders
+""")
+def stored_fix(spark, d):
+    """K14 on a stored table: only partitions with a row to change are rewritten."""
+    table = KeyedTable(spark, scratch_path(spark, "keyed-fix"), ["o_orderkey"], audit=False)
+    table.append(Tables(spark, d).orders.select("o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority"))
+    table.fix_values("o_orderpriority", "5-LOW", "5-LOWEST", F.col("o_orderstatus") == "F")
+    return table.read().select("o_orderkey", "o_orderdate", "o_orderpriority")
+
+
+@register("export_mart", """
+select n_name as tenant, c_custkey, c_name, case when n_name = 'FRANCE' then -c_acctbal else c_acctbal end as c_acctbal
+from customer join nation on c_nationkey = n_nationkey
+""")
+def export_mart(spark, d):
+    """One output per tenant; then one tenant's output is exported again, and the others stay."""
+    t = Tables(spark, d)
+    mart = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("n_name").alias("tenant"), "c_custkey", "c_name", "c_acctbal")
+    path = scratch_path(spark, "export-mart")
+    _export_mart(mart, path, partition_by=["tenant"])
+    _export_mart(mart.where("tenant = 'FRANCE'").withColumn("c_acctbal", -F.col("c_acctbal")), path, partition_by=["tenant"])
+    return spark.read.parquet(path).select("tenant", "c_custkey", "c_name", "c_acctbal")
+
+
+@register("export_daily", """
+select cast(o_orderdate as date) as day, o_orderkey, cast(o_totalprice as double) as o_totalprice
+from orders where o_orderdate >= timestamp '1997-12-01 00:00:00'
+""")
+def export_daily(spark, d):
+    """CSV per day; a second export restates days that exist, which stay as they are, and adds later ones."""
+    o = Tables(spark, d).orders.where(F.col("o_orderdate") >= ts("1997-12-01 00:00:00")).select(
+        F.to_date("o_orderdate").alias("day"), "o_orderkey", "o_totalprice")
+    path = scratch_path(spark, "export-daily")
+    _export_daily(o.where("day < date'1998-03-01'"), path, "day")
+    restated = o.withColumn("o_totalprice", F.when(F.col("day") < F.lit("1998-03-01").cast("date"), -1.0).otherwise(F.col("o_totalprice")))
+    _export_daily(restated.where("day >= date'1998-01-01'"), path, "day")
+    out = spark.read.option("header", True).schema("o_orderkey BIGINT, o_totalprice DOUBLE, day DATE").csv(path)
+    return out.select("day", "o_orderkey", "o_totalprice")
+
+
 @register("in_place_fix", """
 select o_orderkey, o_orderstatus,
        case when o_orderpriority = '5-LOW' and o_orderstatus = 'F' then '5-LOWEST' else o_orderpriority end

@@ -13,7 +13,6 @@ class Folder:
     def __init__(self, spark: SparkSession, path: str):
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self.path = path.rstrip("/")
-        self.inner_path = self._path(self.path).toUri().getPath()
         self._fs = self._path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
 
     def _at(self, name: str = ""):
@@ -42,24 +41,10 @@ class Folder:
         if not self._fs.rename(aside, self._at(name)):
             raise OSError(f"cannot write {self.path}/{name}")
 
-    def data_files(self, name: str = "") -> list[str]:
-        """Data files below ``name``, relative to the folder; hidden ones are left out."""
-        root = self._fs.makeQualified(self._at()).toString().rstrip("/") + "/"
-        found, it = [], self._fs.listFiles(self._at(name), True)
-        while it.hasNext():
-            rel = it.next().getPath().toString().removeprefix(root)
-            inner = rel.removeprefix(f"{name}/") if name else rel
-            if not any(p.startswith(("_", ".")) for p in inner.split("/")):
-                found.append(rel)
-        return sorted(found)
-
-    def move(self, source: str, target: str) -> None:
-        """Rename; a source that is gone was moved before."""
-        if not self.exists(source):
-            return
-        self._fs.mkdirs(self._at(target).getParent())
-        if self.exists(target) or not self._fs.rename(self._at(source), self._at(target)):
-            raise OSError(f"cannot move {source} to {target} in {self.path}")
+    def folders(self) -> list[str]:
+        """Names of the folders directly below, without hidden ones."""
+        found = (x for x in self._fs.listStatus(self._at()) if x.isDirectory())
+        return sorted(n for n in (x.getPath().getName() for x in found) if not n.startswith(("_", ".")))
 
     def delete(self, name: str) -> None:
         self._fs.delete(self._at(name), True)

@@ -1,31 +1,30 @@
 """Keyed tables on Parquet: upsert, insert-ignore, audit columns.
 
-There is no MERGE-capable catalog in a plain Spark session, so a merge is:
+A table is partitioned by columns of its key, or else by a hidden **key bucket**,
+``pmod(xxhash64(keys), buckets)``, which every write derives from the key.  So a batch
+names the partitions it can meet, however the table is laid out, and there is no
+MERGE-capable catalog in a plain Spark session to do better.  A merge is:
 
-1. the batch is cleaned, checked and written once beside the table; everything
-   below reads that copy;
+1. the batch is cleaned, checked and written once; everything below reads that copy;
 2. the distinct partition values the batch touches (the one small ``collect`` in
-   operator code: one row per touched partition, e.g. per day);
-3. ``kept = current ⋉̸ batch`` on the key (left anti join) over those partitions only;
+   operator code: one row per touched partition, e.g. per day or bucket);
+3. ``kept = current ⋉̸ batch`` on the key (left anti join), a scan of those partitions only;
 4. ``new = batch`` with ``created_at`` carried over from the stored row;
-5. ``kept ∪ new`` is written to a stage inside the table's folder (hidden from
-   readers), and a marker that names the stage and the files it replaces is put
-   down.  Only then the replaced files are deleted and the staged ones moved in,
-   by renames.
-
-A write that dies before the marker leaves the old table untouched.  One that dies
-after it is finished by the next ``read`` or write, which finds the marker;
-repeating the swap does no harm.  Stage and batch copy are removed at the end.
-
-The stored schema is kept with the table, so partition values come back in their
-own type (``007`` stays text).  Partition columns must be part of the key, so a row
-never moves partitions.  A table that is not partitioned is rewritten by every
-upsert.  Single writer per table is assumed.
+5. ``kept ∪ new`` is written beside the table, whole, and then replaces the touched
+   partitions by Spark's dynamic partition overwrite.
+
+A write that dies before step 5 is complete leaves the old table.  One that dies while
+partitions are being replaced is done again from the complete copy by the next ``read``
+or write; doing it twice does no harm.
+
+Inserts that ignore conflicts only append what is new, after the same pruned anti join.
+The stored schema and the number of buckets are kept with the table, so partition values
+come back in their own type (``007`` stays text).  Partition columns must be part of the
+key, so a row never moves partitions.  Single writer per table is assumed.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,11 +36,13 @@ from marketlake.functions._util import ts_lit
 from marketlake.operators.dedupe import assert_unique, dedupe
 from marketlake.operators.names import normalise_names
 from marketlake.operators.shape import percent_text_columns, text_to_bool
+from marketlake.session import scratch_path
 from marketlake.sinks._files import Folder
-from marketlake.sinks.tables import PENDING, finish_swap
-from marketlake.sources.files import source_file
+from marketlake.sinks.tables import replace_from_stage, staged_path
 
 AUDIT = ("created_at", "updated_at")
+BUCKET = "__bucket"
+BUCKETS = 32        # of a table without partition columns, unless the caller says otherwise
 
 
 def merge_frames(current: DataFrame, batch: DataFrame, keys: Sequence[str], missing: str = "null",
@@ -102,58 +103,85 @@ def clean_batch(batch: DataFrame, schema: T.StructType | None = None) -> DataFra
 
 
 class KeyedTable:
-    """A Parquet table with a primary key, optionally partitioned (by a key column)."""
+    """A Parquet table with a primary key, partitioned by columns of the key or by key buckets.
+
+    ``buckets`` counts when the table is created: a bucket is what an upsert rewrites at
+    least, so it should be a few hundred megabytes at the size the table will have.
+    """
 
     SCHEMA = "_schema.json"
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str],
-                 partition_cols: Sequence[str] = (), audit: bool = True):
+                 partition_cols: Sequence[str] = (), audit: bool = True, buckets: int = BUCKETS):
         self.spark, self.path = spark, path.rstrip("/")
         self.keys, self.partition_cols, self.audit = list(keys), list(partition_cols), audit
         if not set(self.partition_cols) <= set(self.keys):
             raise ValueError("partition columns must be part of the key")
         self._folder = Folder(spark, self.path)
+        self._new_buckets = 0 if self.partition_cols else max(1, buckets)
 
     # -- reading -----------------------------------------------------------
     def exists(self) -> bool:
         return self._folder.exists(self.SCHEMA)
 
     def schema(self) -> T.StructType:
-        return T.StructType.fromJson(self._folder.read_json(self.SCHEMA))
+        return T.StructType.fromJson(self._folder.read_json(self.SCHEMA)["schema"])
 
     def read(self) -> DataFrame:
-        """The table in its stored types; finishes a swap that was cut short."""
+        """The table in its stored types; completes a replacement that was cut short."""
+        return self._stored().drop(BUCKET)
+
+    # -- layout ------------------------------------------------------------
+    def buckets(self) -> int:
+        return self._folder.read_json(self.SCHEMA)["buckets"] if self.exists() else self._new_buckets
+
+    def _parts(self) -> list[str]:
+        return self.partition_cols or [BUCKET]
+
+    def _placed(self, rows: DataFrame) -> DataFrame:
+        """Rows with their bucket, where the table has buckets."""
+        if self.partition_cols:
+            return rows
+        return rows.withColumn(BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets())).cast("int"))
+
+    def _full_schema(self) -> T.StructType:
+        hidden = [] if self.partition_cols else [T.StructField(BUCKET, T.IntegerType())]
+        return T.StructType([*self.schema().fields, *hidden])
+
+    def _stored(self) -> DataFrame:
         self._finish()
-        return self.spark.read.schema(self.schema()).parquet(self.path)
+        return self.spark.read.schema(self._full_schema()).parquet(self.path)
 
     # -- writing -----------------------------------------------------------
     def _finish(self) -> None:
-        finish_swap(self.spark, self.path)
+        if self.exists():
+            replace_from_stage(self.spark, self.path, self._full_schema(), self._parts())
 
-    def _write(self, df: DataFrame, name: str) -> None:
-        w = df.write
-        if self.partition_cols:
-            w = w.partitionBy(*self.partition_cols)
-        w.parquet(f"{self.path}/{name}")
-
-    def _swap(self, rows: DataFrame, replaced: Sequence[str]) -> None:
-        """Stage ``rows``, then put them in place of the ``replaced`` files."""
-        stage = f"_stage-{uuid.uuid4().hex}"
-        self._write(rows, stage)
-        staged = [n.removeprefix(f"{stage}/") for n in self._folder.data_files(stage)]
-        self._folder.write_json(PENDING, {"stage": stage, "staged": staged, "replaced": list(replaced)})
+    def _write(self, rows: DataFrame, path: str, mode: str) -> None:
+        """Rows by partition; large partitions are split over tasks, small ones are one file."""
+        parts = self._parts()
+        (self._placed(rows).hint("rebalance", *parts).write.mode(mode).option("partitionOverwriteMode", "static")
+         .partitionBy(*parts).parquet(path))
+
+    def _replace(self, rows: DataFrame) -> None:
+        """Put ``rows`` in the place of the partitions that they are in."""
+        self._write(rows.select(*self.schema().names), staged_path(self.path), "overwrite")
         self._finish()
 
     def _create(self, rows: DataFrame) -> None:
-        self._folder.write_json(self.SCHEMA, rows.schema.jsonValue())
-        self._swap(rows, [])
-
-    def _written_batch(self, batch: DataFrame, order_by) -> tuple[DataFrame, DataFrame, str]:
-        """(rows, rejected rows with a NULL key, name of the copy): cleaned, distinct, one per key."""
+        # the table is there once its schema is: what a failed attempt left goes (not a stream's checkpoint)
+        for name in self._folder.folders() if self._folder.exists() else []:
+            self._folder.delete(name)
+        self._write(rows, self.path, "append")
+        self._folder.write_json(self.SCHEMA, {"schema": rows.schema.jsonValue(), "buckets": self._new_buckets})
+
+    def _written_batch(self, batch: DataFrame, order_by) -> tuple[DataFrame, DataFrame]:
+        """(rows, rejected rows with a NULL key): cleaned, distinct, one per key, from a written copy in the
+        shared scratch folder."""
         stored = self.schema() if self.exists() else None
-        name = f"_batch-{uuid.uuid4().hex}"
-        clean_batch(batch, stored).distinct().write.parquet(f"{self.path}/{name}")
-        copy = self.spark.read.parquet(f"{self.path}/{name}")
+        path = scratch_path(self.spark, "keyed-batch")
+        clean_batch(batch, stored).distinct().write.parquet(path)
+        copy = self.spark.read.parquet(path)
         no_key = F.lit(False)
         for k in self.keys:
             no_key = no_key | F.col(k).isNull()
@@ -161,42 +189,27 @@ class KeyedTable:
         if order_by is not None:
             good = dedupe(good, self.keys, order_by, keep="first")
         else:
-            try:
-                assert_unique(good, self.keys)
-            except ValueError:
-                self._folder.delete(name)
-                raise
-        # rejects outlive the copy, as a bounded-by-the-batch table of their own only if there are any
-        if bad.isEmpty():
-            return good, self.spark.createDataFrame([], copy.schema), name
-        kept = f"_rejects-{uuid.uuid4().hex}"
-        bad.write.parquet(f"{self.path}/{kept}")
-        return good, self.spark.read.schema(copy.schema).parquet(f"{self.path}/{kept}"), name
-
-    def _touched(self, batch: DataFrame) -> tuple[DataFrame, list[str]]:
-        """Stored rows of the partitions that the batch touches, and their files."""
-        current = self.read()
-        if not self.partition_cols:
-            return current, self._folder.data_files()
-        hit = batch.select(*self.partition_cols).distinct()
-        vals = [r.asDict() for r in hit.collect()]
-        cond = F.lit(False)
-        if len(self.partition_cols) == 1:  # one IN list: static partition pruning
-            k = self.partition_cols[0]
-            cond = F.col(k).isin([v[k] for v in vals]) if vals else cond
-        else:
-            for v in vals:
-                c = F.lit(True)
-                for k, x in v.items():
-                    c = c & (F.col(k) == F.lit(x))
-                cond = cond | c
-        touched = current.where(cond)
-        return touched, sorted(self._files_of(touched))
-
-    def _files_of(self, rows: DataFrame) -> dict[str, str]:
-        """The table's files that hold any of the rows: name inside the table -> full path."""
-        paths = [r[0] for r in rows.select(source_file().alias("f")).distinct().collect()]
-        return {p.split(self._folder.inner_path + "/", 1)[1]: p for p in paths}
+            assert_unique(good, self.keys)
+        return good, bad
+
+    def _where_in(self, rows: DataFrame, found: DataFrame) -> DataFrame:
+        """Rows of the partitions that ``found`` has rows in: a filter on partition columns, so only these are
+        listed and read."""
+        parts = self._parts()
+        values = [tuple(r) for r in found.select(*parts).distinct().collect()]
+        if len(parts) == 1:
+            return rows.where(F.col(parts[0]).isin([v[0] for v in values]) if values else F.lit(False))
+        hit = F.lit(False)
+        for v in values:
+            same = F.lit(True)
+            for k, x in zip(parts, v, strict=True):
+                same = same & (F.col(k) == F.lit(x))
+            hit = hit | same
+        return rows.where(hit)
+
+    def _touched(self, batch: DataFrame) -> DataFrame:
+        """Stored rows of the partitions that the batch touches."""
+        return self._where_in(self._stored(), self._placed(batch)).drop(BUCKET)
 
     def _stamp(self, df: DataFrame, as_of) -> DataFrame:
         if not self.audit:
@@ -207,48 +220,49 @@ class KeyedTable:
     def upsert(self, batch: DataFrame, as_of=None, missing: str = "null", order_by=None) -> DataFrame:
         """K01 (+K10).  Returns the rejected rows (NULL key) as a DataFrame."""
         self._finish()
-        good, bad, copy = self._written_batch(batch, order_by)
+        good, bad = self._written_batch(batch, order_by)
         if not self.exists():
             self._create(self._stamp(good, as_of))
         else:
-            current, files = self._touched(good)
-            merged = merge_frames(current, good, self.keys, missing=missing, as_of=as_of, audit=self.audit)
-            self._swap(merged.select(*self.schema().names), files)
-        self._folder.delete(copy)
+            self._replace(merge_frames(self._touched(good), good, self.keys, missing=missing, as_of=as_of,
+                                       audit=self.audit))
         return bad
 
     def insert_ignore(self, batch: DataFrame, as_of=None) -> DataFrame:
-        """K03; K04 is ``insert_ignore(dedupe(batch, keys, order))``."""
+        """K03; K04 is ``insert_ignore(dedupe(batch, keys, order))``.  Stored files are not rewritten."""
         self._finish()
         if not self.exists():
             return self.upsert(batch, as_of, order_by=self.keys)
-        good, bad, copy = self._written_batch(batch, self.keys)
-        current, _ = self._touched(good)
-        fresh = self._stamp(good.join(current.select(*self.keys), self.keys, "left_anti"), as_of)
-        self._swap(fresh.select(*self.schema().names), [])
-        self._folder.delete(copy)
+        good, bad = self._written_batch(batch, self.keys)
+        fresh = good.join(self._touched(good).select(*self.keys), self.keys, "left_anti")
+        self._add(self._stamp(fresh, as_of))
         return bad
 
+    def _add(self, rows: DataFrame) -> None:
+        """Append rows; stored columns that they lack are NULL."""
+        stored = self.schema()
+        cols = [F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                for f in stored.fields]
+        self._write(rows.select(*cols), self.path, "append")
+
     def append(self, batch: DataFrame) -> None:
         """Plain insert when the table has no key conflicts to resolve."""
         self._finish()
         rows = clean_batch(batch, self.schema() if self.exists() else None)
         if self.exists():
-            self._swap(rows.select(*self.schema().names), [])
+            self._write(rows.select(*self.schema().names), self.path, "append")
         else:
             self._create(rows)
 
     def fix_values(self, col: str, old, new, where=None) -> None:
-        """K14 on the stored table: only files that hold a row to change are rewritten."""
-        current = self.read()
+        """K14 on the stored table: only partitions that hold a row to change are rewritten."""
+        current = self._stored()
         hit = F.col(col) == F.lit(old)
         if where is not None:
             hit = hit & where
-        files = self._files_of(current.where(hit))
-        if not files:
-            return
-        rows = current.where(source_file().isin(sorted(files.values())))
-        self._swap(fix_values(rows, col, old, new, where).select(*self.schema().names), sorted(files))
+        rows = self._where_in(current, current.where(hit))
+        if not rows.isEmpty():
+            self._replace(fix_values(rows.drop(BUCKET), col, old, new, where))
 
 
 def fix_values(df: DataFrame, col: str, old, new, where=None) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +13,6 @@ from marketlake.functions._util import ts_lit
 from marketlake.operators.dedupe import latest_per_key
 from marketlake.sinks._files import Folder
 
-PENDING = "_pending.json"
-
 
 def _exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -23,9 +20,9 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def load(df: DataFrame, path: str, mode: str = "append", partition_by: Sequence[str] = ()) -> None:
-    """``if_exists = append | replace`` (replace = overwrite)."""
+    """``if_exists = append | replace`` (replace: the whole table, whatever partitions it has)."""
     mode = {"replace": "overwrite"}.get(mode, mode)
-    w = df.write.mode(mode)
+    w = df.write.mode(mode).option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -69,33 +66,38 @@ def append_once(df: DataFrame, path: str, stamp_col: str, as_of: dt.datetime,
     return True
 
 
+def staged_path(path: str) -> str:
+    """Where the rows that are to replace (a part of) the table at ``path`` are written first."""
+    return path.rstrip("/") + "__next"
+
+
+def replace_from_stage(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                       partition_by: Sequence[str] = ()) -> bool:
+    """Overwrite the table at ``path`` with its complete stage, if there is one; partitioned tables only
+    the partitions that the stage has.  The stage goes last, so this can be repeated after a failure."""
+    stage = Folder(spark, staged_path(path))
+    if not stage.exists("_SUCCESS"):
+        return False
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    w = reader.parquet(stage.path).write.mode("overwrite")
+    if partition_by:
+        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+    w.parquet(path)
+    stage.delete("")
+    return True
+
+
 def rewrite_deduped(spark: SparkSession, path: str, keys: Sequence[str], order,
                     partition_by: Sequence[str] = ()) -> None:
     """``CREATE OR REPLACE TABLE AS … row_number() = 1`` on a Parquet path.
-    The de-duplicated copy is staged inside the table's folder and swapped in by
-    renames behind a marker; a swap that is cut short is finished by the next call
-    (``finish_swap``)."""
-    finish_swap(spark, path)
-    folder, stage = Folder(spark, path), f"_stage-{uuid.uuid4().hex}"
-    old = folder.data_files()
-    load(latest_per_key(spark.read.parquet(path), keys, order), f"{path.rstrip('/')}/{stage}", "overwrite", partition_by)
-    staged = [n.removeprefix(f"{stage}/") for n in folder.data_files(stage)]
-    folder.write_json(PENDING, {"stage": stage, "staged": staged, "replaced": old})
-    finish_swap(spark, path)
-
-
-def finish_swap(spark: SparkSession, path: str) -> None:
-    """Finish a swap whose marker is there (deleting and moving again does no harm)."""
-    folder = Folder(spark, path)
-    if not folder.exists(PENDING):
-        return
-    todo = folder.read_json(PENDING)
-    for name in todo["replaced"]:
-        folder.delete(name)
-    for name in todo["staged"]:
-        folder.move(f"{todo['stage']}/{name}", name)
-    folder.delete(PENDING)
-    folder.delete(todo["stage"])
+    The de-duplicated copy is complete beside the table before it replaces it; a
+    replacement that was cut short is done again by the next call."""
+    replace_from_stage(spark, path)
+    rows = latest_per_key(spark.read.parquet(path), keys, order)
+    load(rows, staged_path(path), "overwrite", partition_by)
+    w = spark.read.parquet(staged_path(path)).write.mode("overwrite")
+    (w.partitionBy(*partition_by) if partition_by else w).option("partitionOverwriteMode", "static").parquet(path)
+    Folder(spark, staged_path(path)).delete("")
 
 
 def create_empty(spark: SparkSession, schema: T.StructType, path: str | None = None,
@@ -126,13 +128,14 @@ def with_default(df: DataFrame, col: str, value, dtype: str = "int") -> DataFram
 
 
 def export_mart(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ("tenant_id",)) -> None:
-    """One output per tenant (folder per tenant_id), Parquet or CSV with header."""
-    w = df.write.mode("overwrite").format(fmt)
+    """One output per tenant (folder per tenant_id), Parquet or CSV with header.  An export replaces
+    the outputs of the tenants that it holds; those of others stay."""
+    parts = [c for c in partition_by if c in df.columns]
+    w = (df.hint("rebalance", *parts) if parts else df).write.mode("overwrite").format(fmt)
     if fmt == "csv":
         w = w.option("header", True)
-    parts = [c for c in partition_by if c in df.columns]
     if parts:
-        w = w.partitionBy(*parts)
+        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
     w.save(path)
 
 
@@ -140,12 +143,11 @@ def export_daily(df: DataFrame, path: str, date_col: str = "date", fmt: str = "c
     """One folder per day; days that already have one are skipped (their rows
     are anti-joined away; the list of days is the folder's listing)."""
     folder = Folder(df.sparkSession, path)
-    done = {p.split("/", 1)[0].split("=", 1)[1] for p in folder.data_files() if p.startswith(f"{date_col}=")} \
-        if folder.exists() else set()
+    done = [n.split("=", 1)[1] for n in folder.folders() if n.startswith(f"{date_col}=")] if folder.exists() else []
     if done:
-        days = df.sparkSession.createDataFrame([(d,) for d in sorted(done)], "__day string")
+        days = df.sparkSession.createDataFrame([(d,) for d in done], "__day string")
         df = df.join(days, F.col(date_col).cast("string") == F.col("__day"), "left_anti")
-    w = df.write.mode("append").format(fmt)
+    w = df.hint("rebalance", date_col).write.mode("append").format(fmt)     # a file or a few per day
     if fmt == "csv":
         w = w.option("header", True)
     w.partitionBy(date_col).save(path)

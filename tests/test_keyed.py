@@ -1,5 +1,6 @@
 """Upsert laws (K01, K03, K10) on a persisted keyed table."""
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -85,26 +86,71 @@ def test_text_keys_keep_their_type_and_cleaning(spark):
         t.upsert(spark.createDataFrame([("8", "junk")], "code string, rate string"))
 
 
-def test_cut_swap_is_finished_or_never_begun(spark, monkeypatch):
-    from marketlake.sinks import tables
+def _dies(*_, **__):
+    raise OSError("killed")
+
+
+@pytest.mark.parametrize("partition_cols", [["d"], []])
+def test_cut_replacement_is_finished_or_never_begun(spark, monkeypatch, partition_cols):
+    from marketlake.sinks import keyed, tables
     path = scratch_path(spark, "t-cut")
-    t = KeyedTable(spark, path, ["d", "k"], ["d"], audit=False)
+    t = KeyedTable(spark, path, ["d", "k"], partition_cols, audit=False)
     t.upsert(batch(spark, [(D1, "a", 1, "x"), (D2, "b", 2, "y")]))
     old = snap(spark, path)
-    # dies before the marker: the old table stays
+    # dies before the copy is complete: the old table stays
     with monkeypatch.context() as m:
-        m.setattr(type(t._folder), "write_json", lambda *a: (_ for _ in ()).throw(OSError("killed")))
+        m.setattr(KeyedTable, "_replace", _dies)
         with pytest.raises(OSError):
             t.upsert(batch(spark, [(D1, "a", 9, "new")]))
     assert snap(spark, path) == old == sorted(tuple(r) for r in t.read().select("d", "k", "v", "note").collect())
-    # dies between delete and move: the next read finishes it
+    # dies with the copy complete, before or after the partitions are replaced: the next read does it again
+    new = [(D1, "a", 9, "new"), (D2, "b", 2, "y")]
+    with monkeypatch.context() as m:
+        m.setattr(keyed, "replace_from_stage", lambda *a: None)
+        t.upsert(batch(spark, [(D1, "a", 9, "new")]))
+    assert snap(spark, path) == old and t._folder.exists() and tables.Folder(spark, tables.staged_path(path)).exists()
+    assert sorted(tuple(r) for r in t.read().select("d", "k", "v", "note").collect()) == new
     with monkeypatch.context() as m:
-        m.setattr(type(t._folder), "move", lambda *a: (_ for _ in ()).throw(OSError("killed")))
+        m.setattr(tables.Folder, "delete", _dies)
         with pytest.raises(OSError):
-            t.upsert(batch(spark, [(D1, "a", 9, "new")]))
-    got = sorted(tuple(r) for r in t.read().select("d", "k", "v", "note").collect())
-    assert got == [(D1, "a", 9, "new"), (D2, "b", 2, "y")]
-    assert not t._folder.exists(tables.PENDING)
+            t.upsert(batch(spark, [(D1, "a", 10, "newer")]))
+    assert sorted(tuple(r) for r in t.read().select("d", "k", "v", "note").collect()) == [(D1, "a", 10, "newer"), new[1]]
+    assert not tables.Folder(spark, tables.staged_path(path)).exists()
+
+
+def _files(path):
+    """Data files with their times of change."""
+    import os
+    return {os.path.join(at, n): os.stat(os.path.join(at, n)).st_mtime_ns
+            for at, _, names in os.walk(path) for n in names if n.endswith(".parquet")}
+
+
+def test_an_upsert_rewrites_only_touched_buckets(spark):
+    path = scratch_path(spark, "t-buckets")
+    t = KeyedTable(spark, path, ["k"], audit=False, buckets=16)
+    rows = spark.range(1000).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"), F.lit("n").alias("note"))
+    t.upsert(rows)
+    before = _files(path)
+    assert len({f.split("__bucket=")[1].split("/")[0] for f in before}) == 16
+    t.upsert(rows.where("k in ('7', '11')").withColumn("v", -F.col("v")).union(
+        spark.createDataFrame([("new", 5, "n")], "k string, v long, note string")))
+    after = _files(path)
+    changed = {f.split("__bucket=")[1].split("/")[0] for f, _ in set(before.items()) ^ set(after.items())}
+    assert 1 <= len(changed) <= 3
+    got = {r.k: r.v for r in t.read().collect()}
+    assert got == {**{str(i): i for i in range(1000)}, "7": -7, "11": -11, "new": 5}
+    # inserts that ignore conflicts leave every stored file as it is
+    t.insert_ignore(spark.createDataFrame([("7", 1, "n"), ("other", 6, "n")], "k string, v long, note string"))
+    assert set(after.items()) <= set(_files(path).items()) and {r.k: r.v for r in t.read().collect()} == {**got, "other": 6}
+    assert t.read().columns == ["k", "v", "note"]
+
+
+def test_upserts_read_only_touched_buckets(spark):
+    t = KeyedTable(spark, scratch_path(spark, "t-pruned"), ["k"], audit=False, buckets=64)
+    t.upsert(spark.range(500).select(F.col("id").alias("k"), F.lit("x").alias("v")))
+    plan = t._touched(spark.createDataFrame([(3, "y")], "k long, v string"))
+    scan = plan._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*__bucket#\d+ = \d+", scan)
 
 
 def test_untouched_partitions_and_stages(spark):
@@ -116,5 +162,6 @@ def test_untouched_partitions_and_stages(spark):
     t.upsert(batch(spark, [(D1, "c", 1, "x")]))
     t.fix_values("v", 1, 100, F.col("k") == "c")
     assert sorted(os.listdir(f"{path}/d=2024-01-02")) == before
-    assert {x for x in os.listdir(path) if x.startswith("_")} == {"_schema.json"}
+    assert {x for x in os.listdir(path) if x.startswith("_")} == {"_schema.json", "_SUCCESS"}
+    assert not os.path.exists(f"{path}__next")
     assert snap(spark, path) == [(D1, "a", 1, "x"), (D1, "c", 100, "x"), (D2, "b", 2, "y")]

@@ -33,6 +33,12 @@ def test_create_defaults_exports(spark, tmp_path):
     out = str(tmp_path / "mart")
     tb.export_mart(tb.with_default(df, "tenant_id", 1), out, "csv")
     assert sorted(x for x in os.listdir(out) if x.startswith("tenant_id=")) == ["tenant_id=1", "tenant_id=3"]
+    # tenants one after the other, and one again
+    alone = spark.createDataFrame([(1, "new"), (5, "z")], "tenant_id int, v string")
+    for tenant in (5, 1):
+        tb.export_mart(alone.where(F.col("tenant_id") == tenant), out, "csv")
+    got = spark.read.option("header", True).csv(out)
+    assert sorted((r.tenant_id, r.v) for r in got.collect()) == [(1, "new"), (3, "y"), (5, "z")]
     daily = str(tmp_path / "daily")
     d1 = spark.createDataFrame([(dt.date(2024, 1, 1), 1), (dt.date(2024, 1, 2), 2)], "date date, x int")
     tb.export_daily(d1, daily, fmt="parquet")
