@@ -36,6 +36,21 @@ def last_where(arr, pred, value) -> Column:
     return value(F.try_element_at(kept, F.lit(-1)))
 
 
+def last_matches(arr, picks) -> Column:
+    """A struct with ``value(x)`` of the last element with ``pred(x)`` true, for every
+    ``name: (pred, value)`` in ``picks`` (NULL when none, and for a NULL array), in one pass over the
+    array, however many names there are.  Take its fields in a later projection, so the pass is not
+    repeated per field."""
+    a = as_col(arr)
+    never = F.lit(False)        # gives a NULL its type
+    zero = F.struct(*[F.when(never, value(F.try_element_at(a, F.lit(1)))).alias(n) for n, (_, value) in picks.items()])
+
+    def step(acc: Column, x: Column) -> Column:
+        return F.struct(*[F.when(pred(x), value(x)).otherwise(acc[n]).alias(n) for n, (pred, value) in picks.items()])
+
+    return F.aggregate(a, zero, step)
+
+
 def first_of(arr) -> Column:
     """1-based first element, NULL for empty or NULL arrays."""
     return F.try_element_at(as_col(arr), F.lit(1))

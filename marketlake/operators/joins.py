@@ -67,19 +67,89 @@ def left_join_exploded(fact: DataFrame, child: DataFrame, array_col: str, elemen
     return fact.join(exploded, fact[on] == exploded[key], "left")
 
 
-def full_join_coalesced(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _known(df: DataFrame, cols: Sequence[str]) -> Column:
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & df[c].isNotNull()
+    return cond
+
+
+def _nulls(df: DataFrame) -> list[Column]:
+    return [F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields]
+
+
+def _outer_parts(left: DataFrame, right: DataFrame, left_on: Sequence[str], right_on: Sequence[str],
+                 null_equal: bool) -> DataFrame:
+    """``left FULL JOIN right`` as matches ∪ left rows without one ∪ right rows without one.
+
+    AQE splits a skewed partition of an inner join on both sides, of an outer join on none that is
+    padded, and of a full join not at all.  The side that only decides whether there is a match is
+    reduced to its distinct keys, map-side first.  A side's rows are shuffled by the same exchange
+    for its matches and its rest, which Spark reuses."""
+    def same(l: DataFrame, r: DataFrame, a: Sequence[str], b: Sequence[str]) -> list[Column]:
+        return [l[x].eqNullSafe(r[y]) if null_equal else l[x] == r[y] for x, y in zip(a, b, strict=True)]
+
+    def without(side: DataFrame, on: Sequence[str], other: DataFrame, other_on: Sequence[str]) -> DataFrame:
+        keys = other.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(other_on)]).distinct()
+        return side.join(keys, same(side, keys, on, keys.columns), "left_anti")
+
+    matched = left.join(right, same(left, right, left_on, right_on), "inner")
+    alone = without(left, left_on, right, right_on).select("*", *_nulls(right))
+    rest = without(right, right_on, left, left_on).select(*_nulls(left), "*")
+    return matched.union(alone).union(rest)
+
+
+def full_join_coalesced(left: DataFrame, right: DataFrame, keys: Sequence[str], unique_keys: bool = False) -> DataFrame:
     """Full outer join on ``keys`` with the keys coalesced into one column.
-    ``join(on=list)`` already coalesces USING columns."""
-    return left.join(right, list(keys), "full")
+
+    Any key may hold a third of the rows of either side (see ``_outer_parts``); rows with a NULL key
+    match nothing and are not shuffled.  ``unique_keys`` says that both sides have one row per key:
+    then one plain full join, with an exchange per side, is all it takes."""
+    keys = list(keys)
+    if unique_keys:
+        return left.join(right, keys, "full")
+    if _share_columns(left, right):     # two frames of one origin: the join could not tell their columns apart
+        names = right.columns
+        right = right.toDF(*[f"__r{i}" for i in range(len(names))])
+        out = _outer_keys(left, right, keys, [f"__r{names.index(k)}" for k in keys])
+    else:
+        names, out = right.columns, _outer_keys(left, right, keys, keys)
+    at = {c: i for i, c in enumerate(left.columns)}
+    other = {c: len(at) + i for i, c in enumerate(names)}
+    flat = out.toDF(*[f"__p{i}" for i in range(len(out.columns))])
+    return flat.select(*[F.coalesce(F.col(f"__p{at[k]}"), F.col(f"__p{other[k]}")).alias(k) for k in keys],
+                       *[F.col(f"__p{i}").alias(c) for c, i in at.items() if c not in keys],
+                       *[F.col(f"__p{i}").alias(c) for c, i in other.items() if c not in keys])
+
+
+def _outer_keys(left: DataFrame, right: DataFrame, left_on: Sequence[str], right_on: Sequence[str]) -> DataFrame:
+    """Full join on plain equality; rows with a NULL key match nothing and are not shuffled."""
+    known, known_right = _known(left, left_on), _known(right, right_on)
+    return (_outer_parts(left.where(known), right.where(known_right), left_on, right_on, False)
+            .union(left.where(~known).select("*", *_nulls(right)))
+            .union(right.where(~known_right).select(*_nulls(left), "*")))
+
+
+def _share_columns(left: DataFrame, right: DataFrame) -> bool:
+    def ids(df: DataFrame) -> set[int]:
+        out = df._jdf.queryExecution().analyzed().output()
+        return {out.apply(i).exprId().id() for i in range(out.size())}
+
+    return bool(ids(left) & ids(right))
 
 
 def outer_merge(left: DataFrame, right: DataFrame, left_on: Sequence[str], right_on: Sequence[str],
                 null_equal: bool = True) -> DataFrame:
     """Full outer merge on differently named keys; ``null_equal`` reproduces
-    pandas, which matches NULL keys to NULL keys."""
-    cond = [(left[a].eqNullSafe(right[b]) if null_equal else left[a] == right[b])
-            for a, b in zip(left_on, right_on)]
-    return left.join(right, cond, "full")
+    pandas, which matches NULL keys to NULL keys.
+
+    Rows with a NULL among their keys are a branch of their own, so they meet only each other
+    (``null_equal``) or nothing; the others join on plain equality (see ``_outer_parts``)."""
+    if not null_equal:
+        return _outer_keys(left, right, left_on, right_on)
+    known, known_right = _known(left, left_on), _known(right, right_on)
+    return (_outer_parts(left.where(known), right.where(known_right), left_on, right_on, False)
+            .union(_outer_parts(left.where(~known), right.where(~known_right), left_on, right_on, True)))
 
 
 def missing_children(parent: DataFrame, child: DataFrame, keys: Sequence[str],
@@ -108,18 +178,11 @@ def with_children(parent: DataFrame, child: DataFrame, keys: Sequence[str],
     keys first, so they shuffle the very same parent rows and Spark reuses that
     exchange; parents with a NULL key have no children and need no shuffle."""
     child_keys = list(child_keys or keys)
-
-    def known(df: DataFrame, cols) -> Column:
-        cond = F.lit(True)
-        for c in cols:
-            cond = cond & df[c].isNotNull()
-        return cond
-
-    p, c = parent.where(known(parent, keys)), child.where(known(child, child_keys))
+    p, c = parent.where(_known(parent, keys)), child.where(_known(child, child_keys))
     matched = p.join(c, [p[a] == c[b] for a, b in zip(keys, child_keys)], "inner")
     lonely = missing_children(p, c, keys, child_keys)
-    no_key = parent.where(~known(parent, keys))
-    pad = [F.lit(None).cast(f.dataType).alias(f.name) for f in child.schema.fields]
+    no_key = parent.where(~_known(parent, keys))
+    pad = _nulls(child)
     return matched.unionByName(lonely.select("*", *pad)).unionByName(no_key.select("*", *pad))
 
 

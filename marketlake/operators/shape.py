@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlake.functions.nested import last_with
+from marketlake.functions.nested import last_matches
 from marketlake.functions.text import NULL_TOKENS
 
 
@@ -54,17 +54,23 @@ def explode_records(df: DataFrame, record_path: str, keep: Sequence[str] = (), o
 def last_of_list(df: DataFrame, cols: Sequence[str] | None = None, sep: str = "_") -> DataFrame:
     """For each array-of-struct column, add ``col_field`` = that field of the
     last element that has it (non-NULL); the list column itself is dropped."""
+    def has(name: str):
+        return lambda x: x[name].isNotNull(), lambda x: x[name]
+
     out: list[Column] = []
-    for f in df.schema.fields:
+    lasts: dict[str, Column] = {}
+    for i, f in enumerate(df.schema.fields):
         dt = f.dataType
         take = (cols is None or f.name in cols) and isinstance(dt, T.ArrayType) \
             and isinstance(dt.elementType, T.StructType)
         if not take:
             out.append(F.col(_q(f.name)))
             continue
-        for sub in dt.elementType.fields:
-            out.append(last_with(F.col(_q(f.name)), sub.name).alias(f"{f.name}{sep}{sub.name}"))
-    return df.select(*out)
+        # one pass over each list for all of its fields
+        names = [sub.name for sub in dt.elementType.fields]
+        lasts[f"__last{i}"] = last_matches(F.col(_q(f.name)), {f"v{k}": has(n) for k, n in enumerate(names)})
+        out += [F.col(f"__last{i}")[f"v{k}"].alias(f"{f.name}{sep}{n}") for k, n in enumerate(names)]
+    return df.withColumns(lasts).select(*out) if lasts else df.select(*out)
 
 
 def reposition(df: DataFrame, positions: Mapping[str, int]) -> DataFrame:

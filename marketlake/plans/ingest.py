@@ -216,9 +216,9 @@ def fee_estimates(responses: DataFrame, recorded_at) -> DataFrame:
     def fee_is(t):  # one-argument lambda: a second argument would be the element index
         return lambda f: f["FeeType"] == t
 
-    cols = {n: mf.last_where(fees, fee_is(t), lambda f: f["FinalFee"]["Amount"]) for n, t in FEE_TYPES.items()}
+    picks = {n: (fee_is(t), lambda f: f["FinalFee"]["Amount"]) for n, t in FEE_TYPES.items()}
     ok = F.col("Status") == "Success"
-    return responses.select(
+    return responses.withColumn("__fees", mf.last_matches(fees, picks)).select(
         *[c for c in ("tenant_id", "marketplace") if c in responses.columns],
         F.col("FeesEstimateIdentifier.IdValue").alias("sku"),
         F.col("FeesEstimateIdentifier.PriceToEstimateFees.ListingPrice.Amount").alias("price_to_estimate_fees_amount"),
@@ -226,7 +226,7 @@ def fee_estimates(responses: DataFrame, recorded_at) -> DataFrame:
          .alias("price_to_estimate_fees_currency_code"),
         F.when(ok, F.col("FeesEstimate.TimeOfFeesEstimation")).alias("fees_estimated_at"),
         F.when(ok, F.col("FeesEstimate.TotalFeesEstimate.Amount")).alias("est_total_fees"),
-        *[F.when(ok, c).alias(n) for n, c in cols.items()],
+        *[F.when(ok, F.col("__fees")[n]).alias(n) for n in picks],
         F.when(~ok, F.col("Error.Code")).alias("error_code"), F.when(~ok, F.col("Error.Message")).alias("error_message"),
         ts_lit(recorded_at).alias("recorded_at"))
 

@@ -246,7 +246,7 @@ def keyword_opportunity(spark, d):
         F.count(F.lit(1)).cast("bigint").alias("clicks"), F.sum(money("value")).cast("double").alias("click_value"))
     p = e.where(F.col("event_type") == "purchase").groupBy("user_id").agg(
         F.count(F.lit(1)).cast("bigint").alias("purchases"))
-    j = full_join_coalesced(full_join_coalesced(v, c, ["user_id"]), p, ["user_id"])
+    j = full_join_coalesced(full_join_coalesced(v, c, ["user_id"], True), p, ["user_id"], unique_keys=True)
     return j.select("user_id", "impressions", "last_view", "clicks", "click_value", "purchases",
                     ratio("clicks", "impressions").alias("ctr"), ratio("purchases", "clicks", 0.0).alias("cvr"))
 

@@ -239,6 +239,23 @@ def insert_distinct_on(spark, d):
     return _ido(cur, b, ["o_orderkey"], ["o_orderkey"])
 
 
+@register("full_join_hot_key", """
+with l as (select o_orderkey, case when o_orderpriority = '5-LOW' then null when o_orderkey % 3 = 0 then 1 else o_custkey end as custkey,
+                  o_totalprice from orders),
+r as (select nullif(c_custkey, 7) as custkey, c_name from customer where c_custkey % 5 <> 0 or c_custkey = 5)
+select coalesce(l.custkey, r.custkey) as custkey, o_orderkey, o_totalprice, c_name from l full join r on l.custkey = r.custkey
+""")
+def full_join_hot_key(spark, d):
+    """Full outer join in which one key has a third of one side's rows, and both sides have NULL keys."""
+    from marketlake.operators.joins import full_join_coalesced
+    t = Tables(spark, d)
+    key = F.when(F.col("o_orderpriority") == "5-LOW", F.lit(None)).when(F.col("o_orderkey") % 3 == 0, 1).otherwise(F.col("o_custkey"))
+    left = t.orders.select("o_orderkey", key.cast("bigint").alias("custkey"), "o_totalprice")
+    right = t.customer.where("c_custkey % 5 <> 0 or c_custkey = 5").select(
+        F.nullif("c_custkey", F.lit(7)).cast("bigint").alias("custkey"), "c_name")
+    return full_join_coalesced(left, right, ["custkey"])
+
+
 @register("null_safe_outer_merge", """
 with l as (select c_nationkey as nation, nullif(c_mktsegment, 'BUILDING') as segment,
                   cast(count(*) as bigint) as customers

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marketlake.functions import first_of, json_path as _json_path, last_where
+from marketlake.functions import first_of, json_path as _json_path, last_matches
 from marketlake.operators import dedupe as dd
 from marketlake.operators.joins import missing_children as _missing, not_in, orphans as _orphans
 from marketlake.operators.sequence import carry_down, request_batches as _batches
@@ -244,9 +244,11 @@ def fee_detail_pivot(spark, d):
     x = li.select("l_orderkey", "l_linenumber", "l_discount", fees.alias("fees"))
 
     def of(t):
-        return last_where("fees", lambda f: (f["FeeType"] == t) & f["Amount"].isNotNull(), lambda f: f["Amount"])
-    return x.select("l_orderkey", "l_linenumber", of("ReferralFee").alias("est_referral_fee"),
-                    of("FBAFees").alias("est_fba_fee"), of("PerItemFee").alias("est_per_item_fee"),
+        return lambda f: (f["FeeType"] == t) & f["Amount"].isNotNull(), lambda f: f["Amount"]
+
+    names = {"est_referral_fee": of("ReferralFee"), "est_fba_fee": of("FBAFees"), "est_per_item_fee": of("PerItemFee")}
+    x = x.withColumn("last", last_matches("fees", names))
+    return x.select("l_orderkey", "l_linenumber", *[F.col(f"last.{n}").alias(n) for n in names],
                     F.when(F.col("l_discount") > 0.05, "DISCOUNT").otherwise("OK").alias("status"))
 
 

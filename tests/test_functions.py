@@ -95,3 +95,17 @@ def test_nested(spark):
     assert df.select(mf.json_path("j", "$[0].Price.ListingPrice.CurrencyCode")).first()[0] == "USD"
     df = spark.createDataFrame([([(1,), (None,), (5,)],)], "a array<struct<quantity:int>>")
     assert df.select(mf.sum_ints("a", "quantity")).first()[0] == 6
+
+
+def test_last_matches_is_one_pass(spark):
+    """Every name's last match, a match with a NULL value included; the list is folded once."""
+    ddl = "id int, l array<struct<t: string, v: int>>"
+    df = spark.createDataFrame([(1, [("a", 1), ("b", 2), ("a", None)]), (2, []), (3, None), (4, [None, ("b", 5)])], ddl)
+    picks = {n: (lambda x, n=n: x["t"] == n, lambda x: x["v"]) for n in ("a", "b", "c")}
+    picks["any"] = (lambda x: x["v"].isNotNull(), lambda x: x["v"])
+    out = df.withColumn("s", mf.last_matches("l", picks)).select("id", *[F.col(f"s.{n}").alias(n) for n in picks])
+    assert sorted((tuple(r) for r in out.collect())) == [(1, None, 2, None, 2), (2, None, None, None, None),
+                                                         (3, None, None, None, None), (4, None, 5, None, 5)]
+    from marketlake.operators.shape import last_of_list
+    plan = last_of_list(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(") == 1

@@ -100,6 +100,66 @@ def test_outer_merge_null_equal(spark):
     assert jn.outer_merge(a, b, ["k"], ["k2"], null_equal=False).count() == 2
 
 
+def _many(spark, seed, names):
+    import random
+    rng = random.Random(seed)
+    data = [(rng.choice([None, "hot", "hot", *"abcdef"]), rng.choice([None, 1, 2]), i) for i in range(60)]
+    return data, spark.createDataFrame(data, f"{names[0]} string, {names[1]} int, {names[2]} int")
+
+
+def test_full_joins_equal_pandas(spark):
+    import pandas as pd
+    a, left = _many(spark, 1, ["k", "n", "x"])
+    b, right = _many(spark, 2, ["k", "n", "y"])
+    pa_, pb = (pd.DataFrame(v, columns=c).astype(object) for v, c in ((a, ["k", "n", "x"]), (b, ["k", "n", "y"])))
+
+    def clean(frame):
+        return sorted((tuple(None if pd.isna(v) else v for v in r) for r in frame.itertuples(index=False)), key=str)
+
+    for keys in (["k"], ["k", "n"]):
+        l2, r2 = left.drop("n") if keys == ["k"] else left, right.drop("n") if keys == ["k"] else right
+        p1, p2 = (pa_.drop(columns="n"), pb.drop(columns="n")) if keys == ["k"] else (pa_, pb)
+        named = r2.toDF(*[f"{c}2" if c in keys else c for c in r2.columns])
+        want = p1.merge(p2.rename(columns={c: f"{c}2" for c in keys}), how="outer", left_on=keys, right_on=[f"{c}2" for c in keys])
+        got = jn.outer_merge(l2, named, keys, [f"{c}2" for c in keys])
+        assert sorted((tuple(r) for r in got.collect()), key=str) == clean(want[got.columns])
+        # SQL: NULL keys match nothing
+        plain = jn.full_join_coalesced(l2, r2, keys)
+        assert plain.columns == [*keys, "x", "y"]
+        expect = l2.join(r2, keys, "full").select(*plain.columns)
+        assert sorted((tuple(r) for r in plain.collect()), key=str) == sorted((tuple(r) for r in expect.collect()), key=str)
+        off = jn.outer_merge(l2, named, keys, named.columns[:len(keys)], null_equal=False)
+        assert sorted(str((r.x, r.y)) for r in off.collect()) == sorted(str((r.x, r.y)) for r in expect.collect())
+
+
+def test_full_join_of_a_frame_with_itself(spark):
+    df = spark.createDataFrame([(1, 10), (2, 20), (None, 30)], "k int, x int")
+    got = jn.full_join_coalesced(df.where("x <> 20"), df.where("x <> 10").withColumnRenamed("x", "y"), ["k"])
+    assert sorted((tuple(r) for r in got.collect()), key=str) == [(1, 10, None), (2, None, 20), (None, 30, None), (None, None, 30)]
+
+
+def test_full_join_reuses_exchanges_and_spreads_a_hot_key(spark, tmp_path):
+    """Each side's rows are shuffled once, and no join of the plan is a full one."""
+    left = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"), F.col("id").alias("x"))
+    right = spark.range(0, 30_000, 2).select(F.col("id").alias("k"), F.col("id").alias("y"))
+    left.write.parquet(str(tmp_path / "l")), right.write.parquet(str(tmp_path / "r"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "16k")
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        out = jn.full_join_coalesced(spark.read.parquet(str(tmp_path / "l")), spark.read.parquet(str(tmp_path / "r")), ["k"])
+        assert out.count() == 30_000 + 15_000 - out.where("x is not null and y is not null").select("y").distinct().count()
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        plan = plan[:plan.index("== Initial Plan ==")]
+        assert "FullOuter" not in plan and plan.count("ReusedExchange") >= 2 and "skew=true" in plan
+    finally:
+        for k in ("autoBroadcastJoinThreshold", "adaptive.skewJoin.skewedPartitionThresholdInBytes",
+                  "adaptive.skewJoin.skewedPartitionFactor", "adaptive.advisoryPartitionSizeInBytes"):
+            spark.conf.unset(f"spark.sql.{k}")
+
+
 def test_union_ops(spark):
     a = spark.createDataFrame([(1, "x"), (1, "x")], "a int, b string")
     b = spark.createDataFrame([(1, "x"), (2, "y")], "a int, b string")
