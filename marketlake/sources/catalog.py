@@ -1,15 +1,15 @@
-"""Report catalog (S11), primary keys (§1.4) and declared column types.
-
-The catalog maps ``ad product → report type → groupBy`` to a target table and its
-metrics: every report of the reporting API's version 3 and, under its own report
-names, of version 2.  A report is a list of metric families; families are written
-with braces (``sales{1d,7d}`` stands for ``sales1d, sales7d``).  Types are declared
-per metric: a metric that no type family lists is an error, never a guess.
+"""Report catalog (S11), primary keys (§1.4) and the type rule of report metrics.
+
+The catalog maps ``ad product → report type → groupBy`` to a target table: every report of the
+reporting API's version 3 and, under its own report names, of version 2.  Which metrics a report
+has is not written down here: that is what was asked for when it was requested, so it is a
+parameter (``report_schema(metrics)``) or is read from the landed reports (``landed_metrics``).
+A metric's type follows from its name by ``TYPE_RULES``; a name that no rule knows is an error,
+never a guess.
 """
 
 from __future__ import annotations
 
-import itertools
 import re
 from collections.abc import Sequence
 
@@ -19,192 +19,70 @@ from pyspark.sql import types as T
 
 from marketlake.operators.names import normalise_name
 
-
-def expand(families: str) -> list[str]:
-    """``"a{,X}{1d,7d}, b"`` → ``["a1d", "a7d", "aX1d", "aX7d", "b"]``, without repeats."""
-    out: list[str] = []
-    for item in re.split(r",\s*(?![^{]*})", families.strip()):
-        parts = [p.split(",") for p in re.split(r"[{}]", item.strip())]
-        out += ["".join(x).replace(" ", "") for x in itertools.product(*parts)]
-    return list(dict.fromkeys(n for n in out if n))
-
-
-# --- fixed values: metric families of the public reporting APIs -------------------------------------
-_PERIOD = "date, startDate, endDate"
-_CAMPAIGN = "campaign{Name,Id,Status}"
-_BUDGET = "campaignBudget{Amount,CurrencyCode,Type}"
-_AD_GROUP = "adGroup{Name,Id}"
-_TRAFFIC = "impressions, clicks, cost"
-_CLICK_RATES = "costPerClick, clickThroughRate"
-_READ = "kindleEditionNormalizedPages{Read,Royalties}14d"
-# Sponsored Products: conversions in four attribution windows
-_SP_CONVERSIONS = ("{purchases,purchasesSameSku,unitsSoldClicks,sales,attributedSalesSameSku,unitsSoldSameSku}"
-                   "{1d,7d,14d,30d}, " + _READ)
-_SP_OTHER = "{salesOtherSku,unitsSoldOtherSku}7d, {acos,roas}Clicks{7d,14d}"
-_SP_RULE_BUDGET = "campaignRuleBasedBudgetAmount, campaignApplicableBudgetRule{Id,Name}"
-_SP_CAMPAIGN = f"{_CAMPAIGN}, {_BUDGET}, {_SP_RULE_BUDGET}, {_TRAFFIC}, spend, {_CLICK_RATES}, {_SP_CONVERSIONS}, " \
-               f"{_PERIOD}, campaignBiddingStrategy"
-_SP_KEYWORD = f"{_TRAFFIC}, {_CLICK_RATES}, {_SP_CONVERSIONS}, {_SP_OTHER}, keyword{{Id,,Bid,Type}}, {_BUDGET}, " \
-              f"{_PERIOD}, portfolioId, {_CAMPAIGN}, {_AD_GROUP}, matchType, targeting, adKeywordStatus"
-# Sponsored Brands and Display: brand metrics, all and by click
-_CART = "addToCart{,Clicks,Rate}, eCPAddToCart"
-_BRANDED = "brandedSearches{,Clicks}"
-_PAGE_VIEWS = "detailPageViews{,Clicks}"
-_SB_NEW = ("newToBrand{DetailPageViewRate,DetailPageViews,DetailPageViewsClicks,ECPDetailPageView}, "
-           "newToBrandPurchases{,Clicks,Percentage,Rate}, newToBrand{Sales,UnitsSold}{,Clicks,Percentage}")
-_SB_SALES = "{purchases,sales}{,Clicks,Promoted}"
-_SB_UNITS = "unitsSold{,Clicks}"
-_VIDEO = "video{Complete,FirstQuartile,Midpoint,ThirdQuartile}Views, videoUnmutes, viewabilityRate"
-_VIDEO_5S = "video5SecondView{Rate,s}"
-_SB_CORE = f"{_CART}, {_BRANDED}, {_BUDGET}, {_CAMPAIGN}, {_TRAFFIC}, costType, {_PAGE_VIEWS}, {_SB_NEW}, {_SB_SALES}, " \
-           f"{_PERIOD}"
-_SB_VIDEO = f"{_SB_UNITS}, {_VIDEO_5S}, {_VIDEO}"
-_SD_CORE = f"{_CART}, addToCartViews, {_BRANDED}, brandedSearchesViews, brandedSearchRate, eCPBrandSearch, " \
-           f"campaignBudgetCurrencyCode, campaign{{Name,Id}}, {_TRAFFIC}, impressionsViews, {_PAGE_VIEWS}, " \
-           "newToBrand{Purchases,UnitsSold}{,Clicks}, newToBrandSalesClicks, " \
-           f"{{purchases,sales}}{{,Clicks,PromotedClicks}}, {_SB_UNITS}, {_PERIOD}"
-_SD_VIDEO = f"{_VIDEO}, viewClickThroughRate"
-_SD_NEW = "newToBrandDetailPageView{Clicks,Rate,s,Views}, newToBrandECPDetailPageView"
-_SD_REACH = "cumulativeReach, impressionsFrequencyAverage"
-_SD_SETTINGS = "campaignBudgetAmount, campaignStatus, costType"
-_INVALID = f"campaign{{Name,Status}}, clicks, {_PERIOD}, gross{{ClickThroughs,Impressions}}, impressions, " \
-           "invalid{ClickThroughRate,ClickThroughs,ImpressionRate,Impressions}"
-
-CATALOG: dict[str, dict[str, dict[str, tuple[str, str]]]] = {
-    "SPONSORED_PRODUCTS": {
-        "spCampaigns": {
-            "['campaign']": ("campaign", f"{_SP_CAMPAIGN}, topOfSearchImpressionShare"),
-            "['campaign', 'adGroup']": ("campaign_adgroup", f"{_SP_CAMPAIGN}, {_AD_GROUP}, adStatus"),
-            "['campaign', 'campaignPlacement']": ("campaign_placement", f"{_SP_CAMPAIGN}, placementClassification"),
-        },
-        "spTargeting": {"['targeting']": ("targeting", f"{_SP_KEYWORD}, topOfSearchImpressionShare")},
-        "spSearchTerm": {"['searchTerm']": ("search_term", f"{_SP_KEYWORD}, searchTerm")},
-        "spAdvertisedProduct": {"['advertiser']": (
-            "advertised_product", f"{_PERIOD}, {_CAMPAIGN}, {_AD_GROUP}, adId, portfolioId, {_TRAFFIC}, {_CLICK_RATES}, "
-                                  f"spend, {_BUDGET}, advertised{{Asin,Sku}}, {_SP_CONVERSIONS}, {_SP_OTHER}")},
-        "spPurchasedProduct": {"['asin']": (
-            "purchased_product", f"{_PERIOD}, portfolioId, campaign{{Name,Id}}, {_AD_GROUP}, keyword{{Id,,Type}}, "
-                                 "advertised{Asin,Sku}, purchasedAsin, campaignBudgetCurrencyCode, matchType, "
-                                 "{unitsSoldClicks,sales,purchases,unitsSoldOtherSku,salesOtherSku,purchasesOtherSku}"
-                                 f"{{1d,7d,14d,30d}}, {_READ}")},
-        "spGrossAndInvalids": {"['campaign']": ("gross_and_invalid_traffic", _INVALID)},
-    },
-    "SPONSORED_BRANDS": {
-        "sbCampaigns": {"['campaign']": (
-            "campaign", f"{_SB_CORE}, {_SB_VIDEO}, viewableImpressions, viewClickThroughRate, topOfSearchImpressionShare")},
-        "sbAdGroup": {"['adGroup']": ("adgroup", f"{_SB_CORE}, {_SB_VIDEO}, {_AD_GROUP}, adStatus")},
-        "sbCampaignPlacement": {"['campaignPlacement']": (
-            "campaign_placement", f"{_SB_CORE}, {_SB_VIDEO}, viewableImpressions, viewClickThroughRate, "
-                                  "placementClassification")},
-        "sbTargeting": {"['targeting']": (
-            "targeting", f"{_SB_CORE}, {_AD_GROUP}, keyword{{Bid,Id,Text,Type}}, adKeywordStatus, matchType, "
-                         "targeting{Expression,Id,Text,Type}, topOfSearchImpressionShare")},
-        "sbSearchTerm": {"['searchTerm']": (
-            "search_term", f"{_AD_GROUP}, {_BUDGET}, {_CAMPAIGN}, {_TRAFFIC}, costType, {_PERIOD}, keyword{{Bid,Id,Text}}, "
-                           f"matchType, {{purchases,sales}}{{,Clicks}}, searchTerm, unitsSold, {_VIDEO_5S}, {_VIDEO}, "
-                           "viewableImpressions, viewClickThroughRate, adKeywordStatus")},
-        "sbAds": {"['ads']": ("ad", f"{_SB_CORE}, {_SB_VIDEO}, {_AD_GROUP}, adId, viewableImpressions")},
-        "sbPurchasedProduct": {"['purchasedAsin']": (
-            "purchased_product", f"campaign{{Name,Id}}, {_AD_GROUP}, {_PERIOD}, campaignBudgetCurrencyCode, attributionType, "
-                                 "purchasedAsin, product{Name,Category}, {sales,orders,unitsSold}14d, "
-                                 "newToBrand{Sales,Purchases,UnitsSold}{,Percentage}14d")},
-        "sbGrossAndInvalids": {"['campaign']": ("gross_and_invalid_traffic", _INVALID)},
-    },
-    "SPONSORED_DISPLAY": {
-        "sdCampaigns": {
-            "['campaign']": ("campaign", f"{_SD_CORE}, {_SD_VIDEO}, {_SD_SETTINGS}, {_SD_REACH}, {_SD_NEW}, newToBrandSales"),
-            "['campaign', 'matchedTarget']": ("matched_target_campaign",
-                                              f"{_SD_CORE}, {_SD_VIDEO}, {_SD_SETTINGS}, matchedTargetAsin"),
-        },
-        "sdAdGroup": {"['adGroup']": (
-            "adgroup", f"{_SD_CORE}, {_SD_VIDEO}, {_AD_GROUP}, bidOptimization, newToBrandSales, {_SD_REACH}, {_SD_NEW}")},
-        "sdTargeting": {
-            "['targeting']": ("targeting", f"{_SD_CORE}, {_AD_GROUP}, newToBrandSales, targeting{{Expression,Id,Text}}, "
-                                           f"videoCompleteViews, adKeywordStatus, {_SD_NEW}"),
-            "['targeting', 'matchedTarget']": (
-                "targeting_matched_asin", f"{_SD_CORE}, {_AD_GROUP}, newToBrandSales, targeting{{Expression,Id,Text}}, "
-                                          "videoCompleteViews, adKeywordStatus, matchedTargetAsin"),
-        },
-        "sdAdvertisedProduct": {"['advertiser']": (
-            "advertised_product", f"{_SD_CORE}, {_SD_VIDEO}, {_AD_GROUP}, adId, bidOptimization, {_SD_REACH}, {_SD_NEW}, "
-                                  "newToBrandSales, promoted{Asin,Sku}")},
-        "sdGrossAndInvalids": {"['campaign']": ("gross_and_invalid", _INVALID)},
-    },
-}
-
-# Version 2: Brands attribute in one window, Display in four.
-_V2_BASE = "campaign{Id,Name}, clicks, cost, impressions, currency"
-_V2_BUDGET = "campaignBudget{,Type}, campaignStatus"
-_V2_GROUP = "adGroup{Id,Name}"
-_V2_SB = "attributed{Conversions,Sales}14d{,SameSKU}"
-_V2_SB_VIDEO = f"vctr, vtr, {_VIDEO_5S}, video{{Complete,FirstQuartile,Midpoint,ThirdQuartile}}Views, videoUnmutes, " \
-               "viewableImpressions"
-_V2_SB_NEW = "dpv14d, attributedDetailPageViewsClicks14d, attributedOrderRateNewToBrand14d, " \
-             "attributed{Orders,Sales,UnitsOrdered}NewToBrand{,Percentage}14d, attributedBrandedSearches14d"
-_V2_SB_FULL = f"{_V2_BASE}, {_V2_BUDGET}, {_V2_SB}, {_V2_SB_VIDEO}, {_V2_SB_NEW}"
-_V2_KEYWORD = "keyword{Bid,Id,Status,Text}, matchType"
-_V2_TARGET = "targetId, targeting{Expression,Text,Type}"
-_V2_SD = f"{_V2_BASE}, attributed{{Conversions,Sales}}{{14d,1d,30d,7d}}{{,SameSKU}}, attributedUnitsOrdered{{14d,1d,30d,7d}}, " \
-         "attributedDetailPageView14d, attributedOrdersNewToBrand14d, attributedUnitsOrderedNewToBrand14d, " \
-         "viewAttributed{Conversions,DetailPageView,Sales,UnitsOrdered}14d, viewImpressions, " \
-         "viewAttributed{Orders,Sales,UnitsOrdered}NewToBrand14d, {attributed,viewAttributed}BrandedSearches14d"
-_V2_SD_VIDEO = "video{Complete,FirstQuartile,Midpoint,ThirdQuartile}Views, videoUnmutes, vtr, vctr"
-_V2_SD_REACH = "avgImpressionsFrequency, cumulativeReach"
-_V2_SD_CAMPAIGN = f"{_V2_SD}, attributedSalesNewToBrand14d, campaignBudget, campaignStatus, costType"
-
-CATALOG_V2: dict[str, dict[str, tuple[str, str]]] = {
-    "SPONSORED_BRANDS": {
-        "campaigns": ("campaign_v2", f"{_V2_SB_FULL}, topOfSearchImpressionShare"),
-        "campaigns - placement": ("campaign_placement_v2", _V2_SB_FULL),
-        "adGroups": ("adgroup_v2", f"{_V2_SB_FULL}, {_V2_GROUP}"),
-        "targets": ("targeting_v2", f"{_V2_SB_FULL}, {_V2_GROUP}, {_V2_TARGET}, topOfSearchImpressionShare"),
-        "keywords": ("keyword_v2", f"{_V2_SB_FULL}, {_V2_GROUP}, {_V2_KEYWORD}, topOfSearchImpressionShare"),
-        "keywords - query": ("search_term_v2", f"{_V2_GROUP}, attributed{{Conversions,Sales}}14d, {_V2_BUDGET}, {_TRAFFIC}, "
-                                               f"{_V2_KEYWORD}, {_V2_SB_VIDEO}"),
-        "ads": ("ad_v2", f"{_V2_SB_FULL}, {_V2_GROUP}, adId, applicableBudgetRule{{Id,Name}}, campaignRuleBasedBudget"),
-    },
-    "SPONSORED_DISPLAY": {
-        "campaigns": ("campaign_v2", f"{_V2_SD_CAMPAIGN}, {_V2_SD_VIDEO}, {_V2_SD_REACH}"),
-        "adGroups": ("adgroup_v2", f"{_V2_SD}, {_V2_GROUP}, bidOptimization, {_V2_SD_VIDEO}, {_V2_SD_REACH}"),
-        "productAds": ("advertised_product_v2", f"{_V2_SD}, {_V2_GROUP}, adId, asin, sku, attributedSalesNewToBrand14d, "
-                                                f"{_V2_SD_VIDEO}, {_V2_SD_REACH}"),
-        "targets": ("targeting_v2", f"{_V2_SD}, {_V2_GROUP}, {_V2_TARGET}, attributedSalesNewToBrand14d, {_V2_SD_VIDEO}"),
-        "campaigns - matchedTarget": ("matched_target_campaign_v2", _V2_SD_CAMPAIGN),
-        "adGroups - matchedTarget": ("matched_target_adgroup_v2", f"{_V2_SD}, {_V2_GROUP}, bidOptimization"),
-        "targets - matchedTarget": ("matched_target_targeting_v2",
-                                    f"{_V2_SD}, {_V2_GROUP}, {_V2_TARGET}, attributedSalesNewToBrand14d"),
-    },
-}
-
-# Types, declared: every metric above is in exactly one of these families.
-_DATES = _PERIOD
-_IDS = "{campaign,adGroup,ad,keyword,portfolio,targeting,target}Id"
-_COUNTS = ("impressions, impressionsViews, viewImpressions, viewableImpressions, clicks, addToCart{,Clicks,Views}, "
-           "brandedSearches{,Clicks,Views}, detailPageViews{,Clicks}, newToBrandDetailPageView{Clicks,s,sClicks,Views}, "
-           "{purchases,purchasesSameSku,purchasesOtherSku,unitsSoldClicks,unitsSoldSameSku,unitsSoldOtherSku}{1d,7d,14d,30d}, "
-           "purchases{,Clicks,Promoted,PromotedClicks}, unitsSold{,Clicks,14d}, orders14d, "
-           "newToBrand{Purchases,UnitsSold}{,Clicks,14d}, video5SecondViews, "
-           "video{Complete,FirstQuartile,Midpoint,ThirdQuartile}Views, videoUnmutes, cumulativeReach, "
-           "kindleEditionNormalizedPagesRead14d, gross{ClickThroughs,Impressions}, invalid{ClickThroughs,Impressions}, "
-           "{conversions,unitsSold}BrandHalo{,Clicks}, dpv14d, attributedDetailPageViewsClicks14d, "
-           "{a,viewA}ttributed{BrandedSearches,DetailPageView,OrdersNewToBrand,UnitsOrderedNewToBrand}14d, "
-           "attributedConversions{1d,7d,14d,30d}{,SameSKU}, attributedUnitsOrdered{1d,7d,14d,30d}, "
-           "viewAttributed{Conversions,UnitsOrdered}14d")
-_NUMBERS = ("cost, spend, costPerClick, clickThroughRate, {sales,attributedSalesSameSku,salesOtherSku}{1d,7d,14d,30d}, "
-            "sales{,Clicks,Promoted,PromotedClicks}, {acos,roas}Clicks{7d,14d}, keywordBid, campaignBudget{,Amount}, "
-            "campaignRuleBasedBudget{,Amount}, topOfSearchImpressionShare, kindleEditionNormalizedPagesRoyalties14d, "
-            "addToCartRate, eCPAddToCart, eCPBrandSearch, brandedSearchRate, newToBrandDetailPageViewRate, "
-            "newToBrandECPDetailPageView, newToBrandPurchases{Percentage,Rate,Percentage14d}, "
-            "newToBrandSales{,Clicks,Percentage,14d,Percentage14d}, newToBrandUnitsSoldPercentage{,14d}, "
-            "video5SecondViewRate, viewabilityRate, viewClickThroughRate, impressionsFrequencyAverage, "
-            "avgImpressionsFrequency, invalid{ClickThrough,Impression}Rate, salesBrandHalo{,Clicks}, vctr, vtr, "
-            "attributedSales{1d,7d,14d,30d}{,SameSKU}, {a,viewA}ttributedSalesNewToBrand14d, viewAttributedSales14d, "
-            "attributedOrderRateNewToBrand14d, attributed{Orders,Sales,UnitsOrdered}NewToBrandPercentage14d")
-_TEXTS = ("campaign{Name,Status,BiddingStrategy,BudgetType,BudgetCurrencyCode}, campaignApplicableBudgetRule{Id,Name}, "
-          "applicableBudgetRule{Id,Name}, currency, adGroupName, adStatus, adKeywordStatus, keyword{,Text,Type,Status}, "
-          "matchType, targeting{,Expression,Text,Type}, searchTerm, placementClassification, {advertised,promoted}{Asin,Sku}, "
-          "purchasedAsin, matchedTargetAsin, asinBrandHalo, asin, sku, costType, bidOptimization, attributionType, "
-          "product{Name,Category}")
+# --- fixed values: reports and their tables, names of metric kinds, primary keys -------------------
+# version 3: ad product, report type, groupBy, table
+REPORTS: list[tuple[str, str, str, str]] = [
+    ("SPONSORED_PRODUCTS", "spCampaigns", "['campaign']", "campaign"),
+    ("SPONSORED_PRODUCTS", "spCampaigns", "['campaign', 'adGroup']", "campaign_adgroup"),
+    ("SPONSORED_PRODUCTS", "spCampaigns", "['campaign', 'campaignPlacement']", "campaign_placement"),
+    ("SPONSORED_PRODUCTS", "spTargeting", "['targeting']", "targeting"),
+    ("SPONSORED_PRODUCTS", "spSearchTerm", "['searchTerm']", "search_term"),
+    ("SPONSORED_PRODUCTS", "spAdvertisedProduct", "['advertiser']", "advertised_product"),
+    ("SPONSORED_PRODUCTS", "spPurchasedProduct", "['asin']", "purchased_product"),
+    ("SPONSORED_PRODUCTS", "spGrossAndInvalids", "['campaign']", "gross_and_invalid_traffic"),
+    ("SPONSORED_BRANDS", "sbCampaigns", "['campaign']", "campaign"),
+    ("SPONSORED_BRANDS", "sbAdGroup", "['adGroup']", "adgroup"),
+    ("SPONSORED_BRANDS", "sbCampaignPlacement", "['campaignPlacement']", "campaign_placement"),
+    ("SPONSORED_BRANDS", "sbTargeting", "['targeting']", "targeting"),
+    ("SPONSORED_BRANDS", "sbSearchTerm", "['searchTerm']", "search_term"),
+    ("SPONSORED_BRANDS", "sbAds", "['ads']", "ad"),
+    ("SPONSORED_BRANDS", "sbPurchasedProduct", "['purchasedAsin']", "purchased_product"),
+    ("SPONSORED_BRANDS", "sbGrossAndInvalids", "['campaign']", "gross_and_invalid_traffic"),
+    ("SPONSORED_DISPLAY", "sdCampaigns", "['campaign']", "campaign"),
+    ("SPONSORED_DISPLAY", "sdCampaigns", "['campaign', 'matchedTarget']", "matched_target_campaign"),
+    ("SPONSORED_DISPLAY", "sdAdGroup", "['adGroup']", "adgroup"),
+    ("SPONSORED_DISPLAY", "sdTargeting", "['targeting']", "targeting"),
+    ("SPONSORED_DISPLAY", "sdTargeting", "['targeting', 'matchedTarget']", "targeting_matched_asin"),
+    ("SPONSORED_DISPLAY", "sdAdvertisedProduct", "['advertiser']", "advertised_product"),
+    ("SPONSORED_DISPLAY", "sdGrossAndInvalids", "['campaign']", "gross_and_invalid"),
+]
+
+# version 2: ad product, report, table
+REPORTS_V2: list[tuple[str, str, str]] = [
+    ("SPONSORED_BRANDS", "campaigns", "campaign_v2"),
+    ("SPONSORED_BRANDS", "campaigns - placement", "campaign_placement_v2"),
+    ("SPONSORED_BRANDS", "adGroups", "adgroup_v2"),
+    ("SPONSORED_BRANDS", "targets", "targeting_v2"),
+    ("SPONSORED_BRANDS", "keywords", "keyword_v2"),
+    ("SPONSORED_BRANDS", "keywords - query", "search_term_v2"),
+    ("SPONSORED_BRANDS", "ads", "ad_v2"),
+    ("SPONSORED_DISPLAY", "campaigns", "campaign_v2"),
+    ("SPONSORED_DISPLAY", "adGroups", "adgroup_v2"),
+    ("SPONSORED_DISPLAY", "productAds", "advertised_product_v2"),
+    ("SPONSORED_DISPLAY", "targets", "targeting_v2"),
+    ("SPONSORED_DISPLAY", "campaigns - matchedTarget", "matched_target_campaign_v2"),
+    ("SPONSORED_DISPLAY", "adGroups - matchedTarget", "matched_target_adgroup_v2"),
+    ("SPONSORED_DISPLAY", "targets - matchedTarget", "matched_target_targeting_v2"),
+]
+
+# a metric's type by its name; the first rule that matches the whole name counts
+TYPE_RULES: list[tuple[str, T.DataType]] = [
+    (r"date|startDate|endDate", T.DateType()),
+    # names, states and codes
+    (r"currency|keyword|targeting|searchTerm|asin|sku|asinBrandHalo", T.StringType()),
+    (r".*(Name|Status|Strategy|Type|CurrencyCode|Text|Expression|Asin|Sku|Category|Classification|Optimization|RuleId)",
+     T.StringType()),
+    (r"\w+Id", T.LongType()),
+    # money, bids, rates and shares
+    (r"(cost|spend|sales|acos|roas|eCP|vctr|vtr|avg).*", T.DoubleType()),
+    (r".*(Sales|Rate|Percentage|Share|Royalties|Average|ECP).*", T.DoubleType()),
+    (r".*(Budget|Amount|Bid)", T.DoubleType()),
+    # counts of events
+    (r"(impressions|clicks|purchases|unitsSold|orders|conversions|addToCart|brandedSearches|detailPageViews|dpv|"
+     r"cumulativeReach)\w*", T.LongType()),
+    (r"(video|view|gross|invalid|newToBrand|attributed|kindle)\w*(Views?|Impressions|Clicks|ClickThroughs|Purchases|"
+     r"UnitsSold|UnitsOrdered|Orders|Conversions|BrandedSearches|PagesRead|videoUnmutes|Unmutes)\w*", T.LongType()),
+]
 
 # Primary keys of stored tables (drive upsert, de-dup and partitioning).
 KEYS: dict[str, list[str]] = {
@@ -228,23 +106,34 @@ KEYS: dict[str, list[str]] = {
 }
 # -----------------------------------------------------------------------------
 
-_TYPES: dict[str, T.DataType] = {n: t for families, t in (
-    (_DATES, T.DateType()), (_IDS, T.LongType()), (_COUNTS, T.LongType()), (_NUMBERS, T.DoubleType()),
-    (_TEXTS, T.StringType())) for n in expand(families)}
+_DECLARED: dict[str, T.DataType] = {}      # by ``declare_types``
+
+
+def declare_types(types: dict[str, T.DataType]) -> None:
+    """Types of metrics that no rule knows, or that a rule gets wrong."""
+    _DECLARED.update(types)
 
 
 def column_type(name: str) -> T.DataType:
-    """The declared type of a report metric; an undeclared metric is a KeyError."""
-    if name not in _TYPES:
-        raise KeyError(f"no type is declared for metric {name!r}; see register_report(types=...)")
-    return _TYPES[name]
+    """The type of a report metric; a name that no rule knows is a KeyError."""
+    if name in _DECLARED:
+        return _DECLARED[name]
+    for pattern, kind in TYPE_RULES:
+        if re.fullmatch(pattern, name):
+            return kind
+    raise KeyError(f"no type rule knows the metric {name!r}; see declare_types")
+
+
+def metric_names(metrics: str | Sequence[str]) -> list[str]:
+    """Metric names without repeats, from a list or from a text with commas."""
+    names = metrics.split(",") if isinstance(metrics, str) else metrics
+    return list(dict.fromkeys(n.strip() for n in names if n.strip()))
 
 
 def report_schema(metrics: str | Sequence[str], time_unit: str = "DAILY") -> T.StructType:
-    """Raw (camelCase) schema of a report for a time unit."""
+    """Raw (camelCase) schema of a report with these metrics for a time unit."""
     from marketlake.operators.shape import report_columns
-    names = expand(metrics) if isinstance(metrics, str) else list(metrics)
-    names = list(dict.fromkeys(report_columns(names, time_unit)))
+    names = metric_names(report_columns(metric_names(metrics), time_unit))
     return T.StructType([T.StructField(c, column_type(c)) for c in names])
 
 
@@ -256,39 +145,46 @@ def stored_schema(metrics: str | Sequence[str], time_unit: str = "DAILY") -> T.S
     return T.StructType(fields)
 
 
-def register_report(product: str, report_type: str, group_by: str, table: str, metrics: str,
+def register_report(product: str, report_type: str, group_by: str, table: str,
                     types: dict[str, T.DataType] | None = None) -> None:
-    """Add a report; ``types`` declares its metrics that no other report has."""
-    _TYPES.update(types or {})
-    for name in expand(metrics):
-        column_type(name)
-    CATALOG.setdefault(product, {}).setdefault(report_type, {})[group_by] = (table, metrics)
+    """Add a report; ``types`` declares those of its metrics that no rule knows."""
+    declare_types(types or {})
+    REPORTS.append((product, report_type, group_by, table))
 
 
-def lookup(product: str, report_type: str, group_by: str) -> tuple[str, str]:
-    """(table, metrics) of a version 3 report."""
-    return CATALOG[product][report_type][group_by]
+def lookup(product: str, report_type: str, group_by: str) -> str:
+    """Table of a version 3 report."""
+    return next(t for p, r, g, t in reversed(REPORTS) if (p, r, g) == (product, report_type, group_by))
 
 
-def lookup_v2(product: str, report_type: str) -> tuple[str, str]:
-    """(table, metrics) of a version 2 report (one day per file; the day comes from the file name)."""
-    return CATALOG_V2[product][report_type]
+def lookup_v2(product: str, report_type: str) -> str:
+    """Table of a version 2 report (one day per file; the day comes from the file name)."""
+    return next(t for p, r, t in REPORTS_V2 if (p, r) == (product, report_type))
 
 
 def catalog_frame(spark: SparkSession) -> DataFrame:
     """The catalog as a small DataFrame (for routing joins)."""
-    rows = [(p, r, g, f"{_schema_of(p)}.{t}", m) for p, rs in CATALOG.items() for r, gs in rs.items()
-            for g, (t, m) in gs.items()]
-    return spark.createDataFrame(rows, "ad_product string, report_type string, group_by string, "
-                                       "table_name string, metrics string")
-
-
-def _schema_of(product: str) -> str:
-    return product.lower()
+    rows = [(p, r, g, f"{p.lower()}.{t}") for p, r, g, t in REPORTS]
+    return spark.createDataFrame(rows, "ad_product string, report_type string, group_by string, table_name string")
 
 
 def route(files: DataFrame, spark: SparkSession) -> DataFrame:
     """Attach the target table to each row/file by its (product, type, groupBy)
     parsed from the file name (the catalog is tiny and fixed: broadcast)."""
-    cat = F.broadcast(catalog_frame(spark).drop("metrics"))
-    return files.join(cat, ["ad_product", "report_type", "group_by"], "left")
+    return files.join(F.broadcast(catalog_frame(spark)), ["ad_product", "report_type", "group_by"], "left")
+
+
+def landed_metrics(spark: SparkSession, path: str, glob: str = "*.json.gz") -> DataFrame:
+    """Table and metrics of every kind of report below ``path``, from the reports themselves:
+    ad_product, report_type, group_by, table_name, metrics (sorted names that any record has).
+
+    Every file is a JSON array of records; names are reduced map-side, so what is shuffled is one
+    row per file and name at most."""
+    from marketlake.sources.files import REPORT_NAME, _reader, name_parts, source_file
+    text = _reader(spark, None, glob, wholetext=True).text(path).select(source_file().alias("f"), "value")
+    records = text.select("f", F.explode(F.from_json("value", "array<map<string,string>>")).alias("r"))
+    parts = name_parts(F.col("f"), REPORT_NAME, ["ad_product", "_country", "report_type", "group_by"])
+    names = records.select(*[parts[n].alias(n) for n in ("ad_product", "report_type", "group_by")],
+                           F.explode(F.map_keys("r")).alias("metric")).distinct()
+    kinds = names.groupBy("ad_product", "report_type", "group_by").agg(F.sort_array(F.collect_list("metric")).alias("metrics"))
+    return route(kinds, spark).select("ad_product", "report_type", "group_by", "table_name", "metrics")

@@ -39,10 +39,11 @@ def test_samples_and_top_n(spark):
 
 def test_register_report_declares_its_types():
     with pytest.raises(KeyError):
-        catalog.register_report("X", "xReport", "['x']", "x", "date, brandNewMetric")
-    catalog.register_report("X", "xReport", "['x']", "x", "date, brandNewMetric", {"brandNewMetric": T.LongType()})
-    assert catalog.lookup("X", "xReport", "['x']")[0] == "x"
-    del catalog.CATALOG["X"]
+        catalog.report_schema("date, brandNewMetric")
+    catalog.register_report("X", "xReport", "['x']", "x", {"brandNewMetric": T.LongType()})
+    assert catalog.lookup("X", "xReport", "['x']") == "x"
+    assert catalog.report_schema("date, brandNewMetric").names == ["date", "brandNewMetric"]
+    catalog.REPORTS.pop(), catalog._DECLARED.clear()
 
 
 def test_worklist_listings_and_prices(spark):

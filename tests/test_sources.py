@@ -164,22 +164,51 @@ def test_two_header_lines_go_by_position(spark, tmp_path):
     assert {(r["asin"], r["reporting_range"]) for r in got} == {("B0AAA", "Weekly")}
 
 
-def test_every_report_has_declared_types(spark):
+def test_types_follow_from_metric_names():
     from marketlake.sources import catalog as c
-    reports = [m for rs in c.CATALOG.values() for gs in rs.values() for _, m in gs.values()]
-    reports += [m for rs in c.CATALOG_V2.values() for _, m in rs.values()]
-    assert len(reports) == 37
-    for metrics in reports:
-        names = c.expand(metrics)
-        assert len(names) == len(set(names)) and report_schema(names, "DAILY").names
-    for name in ("costType", "bidOptimization", "campaignApplicableBudgetRuleId"):
-        assert column_type(name) == T.StringType()
-    for name in ("viewableImpressions", "grossImpressions", "addToCartClicks", "cumulativeReach",
-                 "kindleEditionNormalizedPagesRead14d"):
-        assert column_type(name) == T.LongType()
-    table, metrics = c.lookup("SPONSORED_PRODUCTS", "spSearchTerm", "['searchTerm']")
-    assert table == "search_term" and "searchTerm" in c.expand(metrics) and "sales30d" in c.expand(metrics)
-    assert c.lookup_v2("SPONSORED_BRANDS", "campaigns")[0] == "campaign_v2"
+    kinds = {
+        T.DateType(): "date, startDate, endDate",
+        T.StringType(): "campaignName, campaignStatus, campaignBiddingStrategy, campaignBudgetType, campaignBudgetCurrencyCode, "
+                        "campaignApplicableBudgetRuleId, currency, keyword, keywordText, matchType, targeting, "
+                        "targetingExpression, searchTerm, placementClassification, advertisedAsin, promotedSku, asin, sku, "
+                        "costType, bidOptimization, attributionType, productCategory, asinBrandHalo",
+        T.LongType(): "campaignId, adId, keywordId, targetId, impressions, impressionsViews, viewImpressions, "
+                      "viewableImpressions, clicks, addToCartClicks, brandedSearchesViews, detailPageViewsClicks, "
+                      "newToBrandDetailPageViews, newToBrandDetailPageViewClicks, purchases1d, purchasesSameSku7d, "
+                      "purchasesPromotedClicks, unitsSoldClicks14d, unitsSoldOtherSku30d, orders14d, newToBrandPurchases14d, "
+                      "newToBrandUnitsSoldClicks, video5SecondViews, videoCompleteViews, videoUnmutes, cumulativeReach, "
+                      "kindleEditionNormalizedPagesRead14d, grossClickThroughs, invalidImpressions, "
+                      "conversionsBrandHaloClicks, unitsSoldBrandHalo, dpv14d, attributedDetailPageViewsClicks14d, "
+                      "viewAttributedBrandedSearches14d, attributedConversions14dSameSKU, attributedUnitsOrdered1d, "
+                      "viewAttributedConversions14d, attributedOrdersNewToBrand14d, attributedUnitsOrderedNewToBrand14d",
+        T.DoubleType(): "cost, spend, costPerClick, clickThroughRate, sales, sales7d, salesOtherSku7d, salesBrandHalo, "
+                        "attributedSalesSameSku14d, acosClicks7d, roasClicks14d, keywordBid, campaignBudget, "
+                        "campaignBudgetAmount, campaignRuleBasedBudget, topOfSearchImpressionShare, "
+                        "kindleEditionNormalizedPagesRoyalties14d, addToCartRate, eCPAddToCart, eCPBrandSearch, "
+                        "newToBrandECPDetailPageView, newToBrandPurchasesPercentage14d, newToBrandSales14d, "
+                        "video5SecondViewRate, viewabilityRate, impressionsFrequencyAverage, avgImpressionsFrequency, "
+                        "invalidClickThroughRate, vctr, vtr, attributedSales14dSameSKU, viewAttributedSales14d, "
+                        "attributedOrderRateNewToBrand14d, attributedUnitsOrderedNewToBrandPercentage14d"}
+    for kind, names in kinds.items():
+        assert {n: column_type(n) for n in names.split(", ")} == dict.fromkeys(names.split(", "), kind)
+    assert len(c.REPORTS) == len({r[:3] for r in c.REPORTS}) == 23 and len(c.REPORTS_V2) == 14
+    assert c.lookup("SPONSORED_PRODUCTS", "spSearchTerm", "['searchTerm']") == "search_term"
+    assert c.lookup_v2("SPONSORED_BRANDS", "campaigns") == "campaign_v2"
+
+
+def test_metrics_from_landed_reports(spark, tmp_path):
+    from marketlake.sources.catalog import landed_metrics
+    for name, records in {
+            "SPONSORED_PRODUCTS (acme-US) spCampaigns ['campaign'] 2024-01-01.json.gz": [{"date": "2024-01-01", "cost": 1.0}],
+            "SPONSORED_PRODUCTS (acme-CA) spCampaigns ['campaign'] 2024-01-01.json.gz": [{"campaignId": 7}, {"cost": None}],
+            "SPONSORED_DISPLAY (acme-US) sdTargeting ['targeting', 'matchedTarget'] 2024-01-01.json.gz": [{"clicks": 1}],
+            "SPONSORED_DISPLAY (acme-US) sdNew ['x'] 2024-01-01.json.gz": [{"clicks": 1}]}.items():
+        (tmp_path / name).write_bytes(gzip.compress(json.dumps(records).encode()))
+    got = {(r.report_type, r.table_name): r.metrics for r in landed_metrics(spark, str(tmp_path)).collect()}
+    assert got == {("spCampaigns", "sponsored_products.campaign"): ["campaignId", "cost", "date"],
+                   ("sdTargeting", "sponsored_display.targeting_matched_asin"): ["clicks"], ("sdNew", None): ["clicks"]}
+    assert report_schema(got["spCampaigns", "sponsored_products.campaign"]).simpleString() == \
+        "struct<campaignId:bigint,cost:double,date:date>"
 
 
 def _read(fn, spark, path, *args, **kw):
