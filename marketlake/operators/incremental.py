@@ -51,3 +51,30 @@ def read_newer_files(spark: SparkSession, fmt: str, path: str, modified_after: s
     for k, v in options.items():
         r = r.option(k, v)
     return r.load(path)
+
+
+LEDGER = "path string, length long, modified timestamp"
+
+
+def unloaded_files(spark: SparkSession, folder: str, glob: str, ledger: str) -> DataFrame:
+    """G03 + S16: files below ``folder`` that the ledger does not have in this size and of this time: new and
+    changed ones, also those that arrive late with an old time, which a high-water mark would pass by."""
+    from marketlake.sinks.tables import _exists
+    from marketlake.sources.files import list_files
+    found = list_files(spark, folder, glob).select("path", "length", F.col("modificationTime").alias("modified"))
+    if not _exists(spark, ledger):
+        return found
+    return found.join(spark.read.schema(LEDGER).parquet(ledger), ["path", "length", "modified"], "left_anti")
+
+
+def load_unloaded(spark: SparkSession, folder: str, glob: str, ledger: str, read, write) -> list[str]:
+    """Load every file that the ledger lacks: ``write(read(paths))``, then the files are entered.
+
+    A load that dies before the entry is repeated by the next call, so ``write`` should be an upsert (or
+    replace what it wrote).  Returns the loaded files; nothing is read when there are none."""
+    from marketlake.sources.files import escaped
+    new = [tuple(r) for r in unloaded_files(spark, folder, glob, ledger).collect()]
+    if new:
+        write(read([escaped(path) for path, _, _ in new]))
+        spark.createDataFrame(new, LEDGER).coalesce(1).write.mode("append").parquet(ledger)
+    return sorted(path for path, _, _ in new)

@@ -74,6 +74,33 @@ def lookback_plan(spark: SparkSession, as_of: dt.datetime) -> DataFrame:
     return spark.createDataFrame(rows, "scope string, products string, start_date date, end_date date")
 
 
+V2_PRODUCTS = ("SPONSORED_BRANDS", "SPONSORED_DISPLAY")
+
+
+def lookback_plan_v2(spark: SparkSession, as_of: dt.datetime) -> DataFrame:
+    """G08 for version 2 reports (Brands and Display), as ``lookback_plan``: ``(scope, products, start_date,
+    end_date)``.
+
+    1st of the month at 01h: 60→30 days back, then 30→0; 15th at 01h: 30 days; other days at 01h: 7 days;
+    other hours of other days: campaigns for 1 day, one window per product.  Other hours of the 1st and the
+    15th have no window.
+    """
+    today = as_of.date()
+
+    def back(days: int) -> dt.date:
+        return today - dt.timedelta(days=days)
+
+    both = ",".join(V2_PRODUCTS)
+    special = as_of.day in (1, 15)
+    if as_of.hour != 1:
+        rows = [] if special else [("campaigns", p, back(1), today) for p in V2_PRODUCTS]
+    elif as_of.day == 1:
+        rows = [("all_tables", both, back(60), back(30)), ("all_tables", both, back(30), today)]
+    else:
+        rows = [("all_tables", both, back(30 if as_of.day == 15 else 7), today)]
+    return spark.createDataFrame(rows, "scope string, products string, start_date date, end_date date")
+
+
 def weekly_windows(df: DataFrame, start: str, end: str, week_end_day: str = "Saturday") -> DataFrame:
     """Sunday–Saturday weeks covering ``[start, end]``: the first week ends on
     the first ``week_end_day`` on/after ``start``; 7-day steps."""

@@ -213,6 +213,71 @@ def infer_types(spark, d):
     return spark.createDataFrame(rows, "column_name string, inferred_type string")
 
 
+# a column's type by rule: all values of one JSON kind, or codes with leading zeros, or numbers
+_NESTED_KIND = """select '{0}' as column_name, case
+  when bool_and({0} like '{{%' and json_valid({0})) then 'variant'
+  when bool_and({0} like '[%' and json_valid({0})) then case
+    when bool_and(len(try_cast({0} as json[])) = 0) then 'variant'
+    when bool_and(not list_contains([json_type(x) <> 'VARCHAR' for x in try_cast({0} as json[])], true)) then 'array<string>'
+    when bool_and(not list_contains([json_type(x) not in ('UBIGINT', 'BIGINT') for x in try_cast({0} as json[])], true)) then 'array<bigint>'
+    else 'variant' end
+  when bool_or(regexp_matches({0}, '^[+-]?0[0-9]')) then 'string'
+  when bool_and(try_cast({0} as bigint) is not null) then 'bigint'
+  when bool_and(try_cast({0} as timestamp) is not null) then case when bool_or({0} like '%Z') then 'timestamp' else 'date' end
+  else 'string' end as inferred_type from x"""
+_NESTED = ("attributes", "sizes", "words", "no_items", "mixed", "code", "number", "half_json", "zoned")
+
+
+@register("infer_nested_types", f"""
+with x as (select '{{"size": ' || p_size || ', "brand": "' || p_brand || '"}}' as attributes,
+  case when p_size % 3 = 0 then '[]' else '[' || p_size || ', ' || p_partkey || ']' end as sizes,
+  case when p_size % 5 = 0 then '[]' else '["' || p_brand || '"]' end as words, '[]' as no_items,
+  '[' || p_size || ', "' || p_brand || '"]' as mixed, lpad(cast(p_partkey as varchar), 9, '0') as code,
+  cast(p_partkey as varchar) as number, case when p_size = 1 then '[1' else '[1]' end as half_json,
+  '2024-01-' || lpad(cast(1 + p_size % 28 as varchar), 2, '0') || 'T00:00:00Z' as zoned from part)
+{" union all ".join(_NESTED_KIND.format(c) for c in _NESTED)}
+""")
+def infer_nested_types(spark, d):
+    """JSON objects, lists of text, of numbers and of both, codes with leading zeros and zoned midnights."""
+    p = Tables(spark, d).part
+    key, size = F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
+    q = F.lit('"')
+    text = p.select(
+        F.concat(F.lit('{"size": '), size, F.lit(', "brand": "'), "p_brand", F.lit('"}')).alias("attributes"),
+        F.when(F.col("p_size") % 3 == 0, "[]").otherwise(F.concat(F.lit("["), size, F.lit(", "), key, F.lit("]"))).alias("sizes"),
+        F.when(F.col("p_size") % 5 == 0, "[]").otherwise(F.concat(F.lit("["), q, F.col("p_brand"), q, F.lit("]"))).alias("words"),
+        F.lit("[]").alias("no_items"), F.concat(F.lit("["), size, F.lit(', "'), "p_brand", F.lit('"]')).alias("mixed"),
+        F.lpad(key, 9, "0").alias("code"), key.alias("number"),
+        F.when(F.col("p_size") == 1, "[1").otherwise("[1]").alias("half_json"),
+        F.concat(F.lit("2024-01-"), F.lpad((F.col("p_size") % 28 + 1).cast("string"), 2, "0"), F.lit("T00:00:00Z")).alias("zoned"))
+    rows = [(f.name, f.dataType.simpleString()) for f in infer_schema(text).fields]
+    return spark.createDataFrame(rows, "column_name string, inferred_type string")
+
+
+@register("bulk_merge", """
+with o as (select o_orderpriority as category, 'kw' || o_custkey as keyword_phrase, cast(sum(cast(o_totalprice as decimal(18,2))) as double) as volume
+           from orders group by 1, 2),
+b as (select case c_custkey % 5 when 0 then '1-URGENT' when 1 then '2-HIGH' when 2 then '3-MEDIUM' when 3 then '4-NOT SPECIFIED' end as portfolio,
+             'kw' || c_custkey as keyword, c_acctbal from customer where c_custkey % 4 <> 0)
+select category, keyword_phrase, volume, portfolio, keyword, c_acctbal as bid
+from o full join b on category is not distinct from portfolio and keyword_phrase is not distinct from keyword
+""")
+def bulk_merge(spark, d):
+    """F15 + C15's second step (``marts.keyword_opportunity_with_bulk``): keyword rows of a bulk sheet merged in."""
+    from marketlake.plans import marts
+    t = Tables(spark, d)
+    opportunity = t.orders.groupBy(F.col("o_orderpriority").alias("category"),
+                                   F.concat(F.lit("kw"), F.col("o_custkey").cast("string")).alias("keyword_phrase")).agg(
+        F.sum(mf.money("o_totalprice")).cast("double").alias("volume"))
+    names = F.array(*[F.lit(x) for x in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED")])
+    bulk = t.customer.select(
+        F.when(F.col("c_custkey") % 4 != 0, "Keyword").otherwise("Campaign").alias("Entity"),
+        F.try_element_at(names, (F.col("c_custkey") % 5 + 1).cast("int")).alias("Portfolio Name (Informational only)"),
+        F.concat(F.lit("kw"), F.col("c_custkey").cast("string")).alias("Keyword Text"), F.col("c_acctbal").alias("Bid"))
+    out = marts.keyword_opportunity_with_bulk(opportunity, bulk)
+    return out.toDF("category", "keyword_phrase", "volume", "portfolio", "keyword", "bid")
+
+
 @register("insert_distinct_on", """
 with cur as (select * from orders where o_orderdate < timestamp '1998-01-01 00:00:00'),
 bat as (select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority from (

@@ -12,11 +12,12 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from marketlake.functions import money
-from marketlake.operators.incremental import after_watermark
+from marketlake.operators.constraints import VIOLATED, ForeignKey
+from marketlake.operators.incremental import after_watermark, load_unloaded
 from marketlake.plans.registry import register
 from marketlake.plans.tables import Tables, ts
 from marketlake.sinks.keyed import KeyedTable, fix_values, insert_ignore as _insert_ignore, merge_frames
-from marketlake.sinks.tables import append_once as _append_once, export_daily as _export_daily, export_mart as _export_mart
+from marketlake.sinks.tables import add_column_to_tables, append_once as _append_once, export_daily as _export_daily, export_mart as _export_mart
 from marketlake.session import scratch_path
 from marketlake.streaming.file_upsert import stream_upsert as _stream_upsert
 
@@ -189,6 +190,70 @@ def export_daily(spark, d):
     return out.select("day", "o_orderkey", "o_totalprice")
 
 
+@register("foreign_keys_enforced", """
+with x as (select o_orderkey, o_custkey, case when o_orderkey % 11 <> 0 then o_custkey % 30 end as nation from orders),
+buyers as (select c_custkey from customer where c_mktsegment <> 'BUILDING'),
+places as (select n_nationkey from nation where n_regionkey <> 1)
+select o_orderkey, concat_ws(',', case when c_custkey is null then 'orders_customer_fk' end,
+         case when nation is not null and n_nationkey is null then 'orders_nation_fk' end) as violated
+from x left join buyers on o_custkey = c_custkey left join places on nation = n_nationkey
+""")
+def foreign_keys_enforced(spark, d):
+    """J16 at load: orders whose customer or nation is not stored are rejects with the constraints' names; a NULL
+    key violates nothing.  Accepted and rejected rows are read back together."""
+    t = Tables(spark, d)
+    keys = [ForeignKey("orders_customer_fk", ["o_custkey"], t.customer.where("c_mktsegment <> 'BUILDING'"), ["c_custkey"]),
+            ForeignKey("orders_nation_fk", ["nation"], t.nation.where("n_regionkey <> 1"), ["n_nationkey"])]
+    rows = t.orders.select("o_orderkey", "o_custkey", F.when(F.col("o_orderkey") % 11 != 0, F.col("o_custkey") % 30).alias("nation"))
+    table = KeyedTable(spark, scratch_path(spark, "orders-fk"), ["o_orderkey"], audit=False, foreign_keys=keys)
+    rejects = table.upsert(rows)
+    return table.read().select("o_orderkey", F.lit("").alias("violated")).union(
+        rejects.select("o_orderkey", F.array_join(VIOLATED, ",").alias("violated")))
+
+
+@register("ledger_load", """
+select o_orderkey, case when o_orderdate >= timestamp '1997-01-01 00:00:00' then 'late' else o_orderstatus end as o_orderstatus,
+       2 as loads from orders
+""")
+def ledger_load(spark, d):
+    """Files that a ledger does not have are loaded once: a first load, one that finds nothing new, and one
+    that finds only the files that have come since."""
+    land, ledger = scratch_path(spark, "ledger-land"), scratch_path(spark, "ledger")
+    o = Tables(spark, d).orders.select("o_orderkey", "o_orderstatus", "o_orderdate")
+    late = F.col("o_orderdate") >= ts("1997-01-01 00:00:00")
+    table = KeyedTable(spark, scratch_path(spark, "ledger-orders"), ["o_orderkey"], audit=False)
+
+    def load() -> bool:
+        return bool(load_unloaded(spark, land, "*.parquet", ledger, lambda paths: spark.read.parquet(*paths), table.upsert))
+
+    o.where(~late).drop("o_orderdate").write.parquet(f"{land}/first")
+    loads = [load(), load()]
+    o.where(late).drop("o_orderdate").withColumn("o_orderstatus", F.lit("late")).write.parquet(f"{land}/second")
+    loads.append(load())
+    return table.read().withColumn("loads", F.lit(sum(loads)))
+
+
+@register("column_default_all_tables", """
+select 'customer' as table_name, c_custkey as key, 1 as tenant_id from customer
+union all select 'supplier', s_suppkey, 1 from supplier union all select 'part', p_partkey, p_size from part
+""")
+def column_default_all_tables(spark, d):
+    """``tenant_id`` with a default on every table of a schema; a table that has the column keeps its values,
+    and a second run changes nothing."""
+    t = Tables(spark, d)
+    path = scratch_path(spark, "defaults")
+    db = "defaults_" + path.rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{path}'")
+    t.customer.select(F.col("c_custkey").alias("key")).write.saveAsTable(f"{db}.customer")
+    t.supplier.select(F.col("s_suppkey").alias("key")).write.saveAsTable(f"{db}.supplier")
+    t.part.select(F.col("p_partkey").alias("key"), F.col("p_size").alias("tenant_id")).write.saveAsTable(f"{db}.part")
+    for _ in range(2):
+        add_column_to_tables(spark, [db], "tenant_id", "int", 1)
+    tables = [spark.table(f"{db}.{n}").select(F.lit(n).alias("table_name"), "key", F.col("tenant_id").cast("int").alias("tenant_id"))
+              for n in ("customer", "supplier", "part")]
+    return tables[0].union(tables[1]).union(tables[2])
+
+
 @register("in_place_fix", """
 select o_orderkey, o_orderstatus,
        case when o_orderpriority = '5-LOW' and o_orderstatus = 'F' then '5-LOWEST' else o_orderpriority end

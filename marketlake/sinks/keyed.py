@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 
 from marketlake.functions._util import ts_lit
 
+from marketlake.operators.constraints import VIOLATED, ForeignKey, checked
 from marketlake.operators.dedupe import assert_unique, dedupe
 from marketlake.operators.names import normalise_names
 from marketlake.operators.shape import percent_text_columns, text_to_bool
@@ -107,16 +108,19 @@ class KeyedTable:
 
     ``buckets`` counts when the table is created: a bucket is what an upsert rewrites at
     least, so it should be a few hundred megabytes at the size the table will have.
+    Upserts and inserts store only rows that keep all ``foreign_keys`` (J16); the others
+    are among the rejects, with the names of the constraints.
     """
 
     SCHEMA = "_schema.json"
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str],
-                 partition_cols: Sequence[str] = (), audit: bool = True, buckets: int = BUCKETS):
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], partition_cols: Sequence[str] = (),
+                 audit: bool = True, buckets: int = BUCKETS, foreign_keys: Sequence[ForeignKey] = ()):
         self.spark, self.path = spark, path.rstrip("/")
         self.keys, self.partition_cols, self.audit = list(keys), list(partition_cols), audit
         if not set(self.partition_cols) <= set(self.keys):
             raise ValueError("partition columns must be part of the key")
+        self.foreign_keys = list(foreign_keys)
         self._folder = Folder(spark, self.path)
         self._new_buckets = 0 if self.partition_cols else max(1, buckets)
 
@@ -176,16 +180,21 @@ class KeyedTable:
         self._folder.write_json(self.SCHEMA, {"schema": rows.schema.jsonValue(), "buckets": self._new_buckets})
 
     def _written_batch(self, batch: DataFrame, order_by) -> tuple[DataFrame, DataFrame]:
-        """(rows, rejected rows with a NULL key): cleaned, distinct, one per key, from a written copy in the
-        shared scratch folder."""
+        """(rows, rejected rows: a NULL key, a foreign key without parent): cleaned, distinct, one per key, from
+        a written copy in the shared scratch folder."""
         stored = self.schema() if self.exists() else None
         path = scratch_path(self.spark, "keyed-batch")
-        clean_batch(batch, stored).distinct().write.parquet(path)
+        cleaned = clean_batch(batch, stored).distinct()
+        if self.foreign_keys:
+            cleaned = checked(cleaned, self.foreign_keys)
+        cleaned.write.parquet(path)
         copy = self.spark.read.parquet(path)
         no_key = F.lit(False)
         for k in self.keys:
             no_key = no_key | F.col(k).isNull()
-        good, bad = copy.where(~no_key), copy.where(no_key)
+        if self.foreign_keys:
+            no_key = no_key | (F.size(VIOLATED) > 0)
+        good, bad = copy.where(~no_key).drop(VIOLATED), copy.where(no_key)
         if order_by is not None:
             good = dedupe(good, self.keys, order_by, keep="first")
         else:
@@ -218,7 +227,7 @@ class KeyedTable:
         return df.withColumns({"created_at": stamp, "updated_at": stamp})
 
     def upsert(self, batch: DataFrame, as_of=None, missing: str = "null", order_by=None) -> DataFrame:
-        """K01 (+K10).  Returns the rejected rows (NULL key) as a DataFrame."""
+        """K01 (+K10).  Returns the rejected rows (NULL key, or a violated foreign key) as a DataFrame."""
         self._finish()
         good, bad = self._written_batch(batch, order_by)
         if not self.exists():

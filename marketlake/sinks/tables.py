@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -153,48 +153,109 @@ def export_daily(df: DataFrame, path: str, date_col: str = "date", fmt: str = "c
     w.partitionBy(date_col).save(path)
 
 
+# What a text value may stand for: one bit each, in the order in which a column's type is chosen.
+KINDS = ("bigint", "double", "boolean", "date", "timestamp", "object", "array<string>", "array<bigint>", "array")
+
+
+def _kinds_of(value: Column) -> Column:
+    """One bit for every kind that the value parses as (all bits for NULL / blank).
+
+    A cheap pattern test guards every cast: a failed ``try_cast`` / ``try_to_timestamp`` costs an
+    exception per value, which made mostly-text columns ~10x slower to scan."""
+    v = F.trim(value)
+    code = v.rlike(r"^[+-]?0\d")            # a number would lose the zeros
+    t = F.when(v.rlike(r"^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"), F.try_to_timestamp(v))
+    zoned = v.rlike(r"\d(Z|[+-]\d{2}:?\d{2})$") & v.contains(":")
+    nested = F.when(v.rlike(r"^[\[{]"), F.schema_of_variant(F.try_parse_json(v)))
+    empty = nested == "ARRAY<VOID>"
+    ok = {"bigint": F.when(v.rlike(r"^[+-]?\d+$") & ~code, v.try_cast("bigint")).isNotNull(),
+          "double": F.when(v.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$") & ~code, v.try_cast("double")).isNotNull(),
+          "boolean": F.lower(v).isin("true", "false", "0", "1"),
+          # an instant that names its zone keeps it, at midnight, too
+          "date": t.isNotNull() & (t == F.date_trunc("day", t)) & ~zoned,
+          "timestamp": t.isNotNull(),
+          "object": F.startswith(nested, F.lit("OBJECT<")),
+          "array<string>": empty | (nested == "ARRAY<STRING>"),
+          "array<bigint>": empty | (nested == "ARRAY<BIGINT>"),
+          "array": F.startswith(nested, F.lit("ARRAY<"))}
+    bits = F.lit(0)
+    for i, kind in enumerate(KINDS):
+        bits = bits + F.when(ok[kind], F.lit(1 << i)).otherwise(F.lit(0))
+    return F.when(v.isNull() | (v == ""), F.lit((1 << len(KINDS)) - 1)).otherwise(bits)
+
+
+def _type_of(bits: int | None) -> T.DataType:
+    """The type of a column whose values all have these kinds."""
+    every = (1 << len(KINDS)) - 1
+    found = [k for i, k in enumerate(KINDS) if (every if bits is None else bits) & (1 << i)]
+    if not found:
+        return T.StringType()
+    if "array" in found and found[0] not in ("bigint", "double", "boolean", "date", "timestamp", "object"):
+        # lists that are all empty fit either element type, and so say nothing of it
+        return T.VariantType() if found[0] == "array" or "array<bigint>" in found[1:] else T.DataType.fromDDL(found[0])
+    return T.VariantType() if found[0] == "object" else T.DataType.fromDDL(found[0])
+
+
 def infer_schema(df: DataFrame) -> T.StructType:
     """Type inference for text columns from the data, in one aggregate job.
 
     A string column becomes bigint when every non-NULL value casts to an
     integer, double when every value casts to a number, boolean for
-    true/false/0/1 spellings, date when every value is a timestamp at midnight,
-    timestamp when every value parses as one, else it stays string (64-bit
-    integers always; the source picked 32-bit types by size, E17).  Other
-    column types are kept.  All rows are read: types from a sample could be too
-    narrow for the rest.
+    true/false/0/1 spellings, date when every value is a timestamp at midnight
+    without a zone, timestamp when every value parses as one; array<string> or
+    array<bigint> when every value is a JSON list of these, variant when every value
+    is a JSON object, or a list of other things; else it stays string.  Numbers with
+    leading zeros are codes and stay text.  (64-bit integers always; the source
+    picked 32-bit types by size, E17.)  Other column types are kept.  All rows are
+    read: types from a sample could be too narrow for the rest.
     """
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     if not text:
         return df.schema
-    kinds = ["int", "dbl", "bool", "date", "ts"]
-
-    def mask(c):
-        """Per value: one bit per type it parses as (all bits for NULL / blank).
-
-        A cheap pattern test guards every cast: a failed ``try_cast`` /
-        ``try_to_timestamp`` costs an exception per value, which made mostly-text
-        columns ~10x slower to scan."""
-        v = F.trim(F.col(f"`{c}`"))
-        t = F.when(v.rlike(r"^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"), F.try_to_timestamp(v))
-        ok = [F.when(v.rlike(r"^[+-]?\d+$"), v.try_cast("bigint")).isNotNull(),
-              F.when(v.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), v.try_cast("double")).isNotNull(),
-              F.lower(v).isin("true", "false", "0", "1"), t.isNotNull() & (t == F.date_trunc("day", t)),
-              t.isNotNull()]
-        bits = sum((F.when(o, F.lit(1 << i)).otherwise(F.lit(0)) for i, o in enumerate(ok)), F.lit(0))
-        return F.when(v.isNull() | (v == ""), F.lit(31)).otherwise(bits)
-
-    # one bit_and per column: a type survives only if every value parses as it
-    flags = df.agg(*[F.bit_and(mask(c)).alias(f"m{i}") for i, c in enumerate(text)]).first()
-    fields = []
-    for f in df.schema.fields:
-        if f.name not in text:
-            fields.append(f)
+    # one bit_and per column, merged map-side: a kind survives only if every value has it
+    flags = df.agg(*[F.bit_and(_kinds_of(F.col(f"`{c}`"))).alias(f"m{i}") for i, c in enumerate(text)]).first()
+    return T.StructType([T.StructField(f.name, _type_of(flags[f"m{text.index(f.name)}"]), True) if f.name in text else f
+                         for f in df.schema.fields])
+
+
+def with_types(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Text columns in the types that ``infer_schema`` found (blank: NULL); a value that does not fit raises."""
+    out = []
+    for f in schema.fields:
+        c = F.col(f"`{f.name}`")
+        if not isinstance(df.schema[f.name].dataType, T.StringType) or isinstance(f.dataType, T.StringType):
+            out.append(c)
             continue
-        m = flags[f"m{text.index(f.name)}"]
-        m = 31 if m is None else m
-        g = lambda k: bool(m & (1 << kinds.index(k)))
-        t = (T.LongType() if g("int") else T.DoubleType() if g("dbl") else T.BooleanType() if g("bool")
-             else T.DateType() if g("date") else T.TimestampType() if g("ts") else T.StringType())
-        fields.append(T.StructField(f.name, t, True))
-    return T.StructType(fields)
+        v = F.nullif(F.trim(c), F.lit(""))
+        if isinstance(f.dataType, T.VariantType):
+            v = F.parse_json(v)
+        elif isinstance(f.dataType, T.ArrayType):
+            v = F.from_json(v, f.dataType, {"mode": "FAILFAST"})
+        elif isinstance(f.dataType, T.DateType):
+            v = F.to_date(F.to_timestamp(v))
+        elif isinstance(f.dataType, T.TimestampType):
+            v = F.to_timestamp(v)
+        else:
+            v = v.cast(f.dataType)
+        out.append(v.alias(f.name))
+    return df.select(*out)
+
+
+def add_column_to_tables(spark: SparkSession, databases: Sequence[str], col: str, dtype: str, value,
+                         exclude: Sequence[str] = ()) -> list[str]:
+    """``ALTER TABLE … ADD COLUMN col dtype DEFAULT value`` on every table of the schemas that lacks the
+    column.  Stored rows read as ``value``: the default is metadata, no file is rewritten.  Returns the
+    tables that were changed; tables that have the column are left alone, so it can be repeated."""
+    done = []
+    for database in databases:
+        for t in spark.catalog.listTables(database):
+            name = f"{database}.{t.name}"
+            if t.isTemporary or t.tableType == "VIEW" or t.name in exclude:
+                continue
+            if col.lower() in (c.name.lower() for c in spark.catalog.listColumns(name)):
+                continue
+            quoted = ".".join(f"`{x}`" for x in (database, t.name))
+            literal = "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(value, str) else str(value)
+            spark.sql(f"ALTER TABLE {quoted} ADD COLUMNS (`{col}` {dtype} DEFAULT {literal})")
+            done.append(name)
+    return sorted(done)

@@ -158,7 +158,7 @@ def _by_header(heads: Sequence[tuple[str, list[str]]], line: int) -> dict[str, l
     return groups
 
 
-def _escaped(path: str) -> str:
+def escaped(path: str) -> str:
     """A path as a pattern that means itself."""
     return re.sub(r"([\\\[\]{}*?^])", r"\\\1", path)
 
@@ -179,7 +179,7 @@ def _rows(spark: SparkSession, files: Sequence[str], width: int, sep: str, quote
     options = {"sep": sep, "quote": quote or "", "escape": quote or "\\", "encoding": encoding}
     df = (spark.read.schema(T.StructType([*text(width), T.StructField(CORRUPT, T.StringType())]))
           .options(**options, header=True, multiLine=multi_line, columnNameOfCorruptRecord=CORRUPT)
-          .csv([_escaped(f) for f in files]))
+          .csv([escaped(f) for f in files]))
     # Spark keeps a record with too few or too many cells; only of the latter has it lost text
     beyond = F.from_csv(CORRUPT, T.StructType(text(2 * width + 8)).simpleString().removeprefix("struct<").removesuffix(">")
                         .replace(":", " "), options)

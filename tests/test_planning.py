@@ -1,6 +1,6 @@
 import datetime as dt
 
-from marketlake.operators.planning import clamp_retention, date_windows, lookback_plan, weekly_windows
+from marketlake.operators.planning import clamp_retention, date_windows, lookback_plan, lookback_plan_v2, weekly_windows
 
 
 def reference_windows(s, e, max_days=31):
@@ -48,3 +48,16 @@ def test_finance_windows(spark):
     assert sunday["lookback"] == "weekly" and (sunday["posted_before"] - sunday["posted_after"]).days == 730
     other = finance_windows(t, dt.datetime(2024, 3, 11, 3)).first()
     assert other["lookback"] == "daily" and (other["posted_before"] - other["posted_after"]).days == 180
+
+
+def test_lookback_plan_of_version_2(spark):
+    def plan(*at):
+        rows = lookback_plan_v2(spark, dt.datetime(2024, 3, *at)).collect()
+        return [(r.scope, r.products, (dt.date(2024, 3, at[0]) - r.start_date).days,
+                 (dt.date(2024, 3, at[0]) - r.end_date).days) for r in rows]
+
+    both = "SPONSORED_BRANDS,SPONSORED_DISPLAY"
+    assert plan(1, 1) == [("all_tables", both, 60, 30), ("all_tables", both, 30, 0)]
+    assert plan(15, 1) == [("all_tables", both, 30, 0)] and plan(9, 1) == [("all_tables", both, 7, 0)]
+    assert plan(9, 5) == [("campaigns", "SPONSORED_BRANDS", 1, 0), ("campaigns", "SPONSORED_DISPLAY", 1, 0)]
+    assert plan(1, 5) == plan(15, 0) == []

@@ -56,6 +56,48 @@ def test_infer_schema(spark):
                                                              "string"]
 
 
+def test_infer_nested_types_and_codes(spark):
+    columns = {
+        "obj": ['{"a": 1}', None, "{}"], "words": ['["x"]', "[]", '["a", null]'], "ints": ["[1, 2]", "[]", "[null]"],
+        "lists": ["[]", None, "[]"], "mixed": ['[1, "x"]', "[]", "[2]"], "records": ['[{"a": 1}]', "[]", None],
+        "both": ["[1]", '{"a": 1}', None], "broken": ["[1", "[2]", None], "code": ["007", "12", None],
+        "zero": ["0", "-5", "10"], "rate": ["0.5", "1", "00"], "zoned": ["2024-01-01T00:00:00Z", None, "2024-01-02T00:00:00+00:00"],
+        "day": ["2024-01-01", "2024-01-02 00:00:00", None], "nothing": [None, "", None]}
+    df = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"{c} string" for c in columns))
+    s = tb.infer_schema(df)
+    assert {f.name: f.dataType.simpleString() for f in s.fields} == {
+        "obj": "variant", "words": "array<string>", "ints": "array<bigint>", "lists": "variant", "mixed": "variant",
+        "records": "variant", "both": "string", "broken": "string", "code": "string", "zero": "bigint", "rate": "string",
+        "zoned": "timestamp", "day": "date", "nothing": "bigint"}
+    out = tb.with_types(df, s)
+    assert out.schema.simpleString() == s.simpleString()
+    r = out.orderBy("zero").collect()[0]
+    assert (r.words, r.ints, r.day, r.zero, r.both) == ([], [], dt.date(2024, 1, 2), -5, '{"a": 1}')
+    assert out.select(F.variant_get("obj", "$.a", "int").alias("a")).orderBy("a").collect()[-1].a == 1
+
+
+def test_column_default_on_all_tables(spark):
+    import uuid
+    db = f"t_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, db)}'")
+    try:
+        for name, ddl in (("a", "k int"), ("b", "k int, tenant_id int"), ("tenants", "k int")):
+            spark.createDataFrame([(i,) * (2 if "," in ddl else 1) for i in (5, 6)], ddl).write.saveAsTable(f"{db}.{name}")
+        spark.sql(f"CREATE VIEW {db}.v AS SELECT k FROM {db}.a")
+        before = spark.table(f"{db}.a").inputFiles()
+        assert tb.add_column_to_tables(spark, [db], "tenant_id", "int", 1, exclude=["tenants"]) == [f"{db}.a"]
+        assert tb.add_column_to_tables(spark, [db], "tenant_id", "int", 1, exclude=["tenants"]) == []
+        assert sorted(tuple(r) for r in spark.table(f"{db}.a").collect()) == [(5, 1), (6, 1)]
+        assert spark.table(f"{db}.a").inputFiles() == before and spark.table(f"{db}.tenants").columns == ["k"]
+        spark.sql(f"INSERT INTO {db}.a (k) VALUES (7)")
+        spark.sql(f"INSERT INTO {db}.a VALUES (8, 2)")
+        assert sorted(tuple(r) for r in spark.table(f"{db}.a").collect()) == [(5, 1), (6, 1), (7, 1), (8, 2)]
+        assert tb.add_column_to_tables(spark, [db], "note", "string", "it's", exclude=["tenants"]) == [f"{db}.a", f"{db}.b"]
+        assert spark.table(f"{db}.b").select("note").first()[0] == "it's"
+    finally:
+        spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
 def test_stream_upsert_restart(spark, tmp_path):
     land = tmp_path / "land"
     land.mkdir()
