@@ -18,8 +18,9 @@ deleted; null counts as empty.
 
 Every input row is kept in the result.  Of equal texts the row with the most code
 points in the original text stays, then the smallest id (null ids last).  Rows
-that repeat both id and text are indistinguishable, so all of them carry
-``kept = true`` when theirs is the row that stays.  Empty tables give empty
+of one id whose texts are equal and equally long are not told apart by that order,
+so all of them carry ``kept = true`` when theirs is the row that stays;
+``deduplicated`` keeps one of them, by a hash of the text.  Empty tables give empty
 results.
 """
 
@@ -68,39 +69,42 @@ def runs(src: DataFrame) -> DataFrame:
 
 
 def groups(src: DataFrame) -> DataFrame:
-    """One row per text that occurs more than once: text_sha256, group_size, keep_id."""
+    """One row per text that occurs more than once: text_sha256, group_size, keep_id, keep_len."""
     return (runs(src).groupBy("text_sha256")
             .agg(F.sum("copies").alias("group_size"), F.min("best").alias("best"))
             .filter("group_size > 1")
-            .select("text_sha256", "group_size", F.col("best.doc_id").alias("keep_id")))
+            .select("text_sha256", "group_size", F.col("best.doc_id").alias("keep_id"),
+                    (-F.col("best.neg_len")).alias("keep_len")))
 
 
 def _grouped(df: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFrame:
     src = pick(df, carry=carry, doc_id=id_col, text=text_col)
     copies = (groups(src.select("doc_id", "text"))
               .select("*", F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1))).alias("salt")))
-    rows = src.select("doc_id", digest(normalised(F.col("text"))).alias("text_sha256"),
-                      _salt(JOIN_SALTS).alias("salt"), *([ROW] if carry else []))
+    rows = src.select("doc_id", digest(normalised(F.col("text"))).alias("text_sha256"), _salt(JOIN_SALTS).alias("salt"),
+                      F.length(F.coalesce("text", F.lit(""))).alias("len"),
+                      *([F.xxhash64("text").alias("tie"), ROW] if carry else []))
     grouped = F.col("group_size").isNotNull()
     keep = F.when(grouped, F.col("keep_id")).otherwise(F.col("doc_id"))
     # a sort-merge join: the repeated rows compress so well that they would pass for small
     return (rows.join(copies.hint("merge"), ["text_sha256", "salt"], "left")
             .select("doc_id", keep.alias("keep_id"),
                     F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-                    F.col("doc_id").eqNullSafe(keep).alias("kept"), "text_sha256", "salt",
-                    *([ROW] if carry else [])))
+                    (~grouped | F.col("doc_id").eqNullSafe(keep) & (F.col("len") == F.col("keep_len"))).alias("kept"),
+                    "text_sha256", "salt", *(["tie", ROW] if carry else [])))
 
 
 def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      carry: bool = False) -> DataFrame:
     """Every row with keep_id, group_size, kept and text_sha256 (and ``row`` if ``carry``)."""
-    return _grouped(df, id_col, text_col, carry).drop("salt")
+    return _grouped(df, id_col, text_col, carry).drop("salt", "tie")
 
 
 def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, as ``row``; of rows that repeat id and text one.
+    """The rows that stay, as ``row``; of rows that agree in id, text and length the one whose text has
+    the smallest hash.
 
     Such rows already lie together after the join, so dropping them needs no further shuffle.
     """
     return (_grouped(df, id_col, text_col, carry=True).filter("kept")
-            .dropDuplicates(["text_sha256", "salt", "doc_id"]).select(ROW))
+            .groupBy("text_sha256", "salt", "doc_id").agg(F.min_by(ROW, "tie").alias(ROW)).select(ROW))

@@ -22,8 +22,12 @@ length class and then a seeded hash of the id: texts of up to ``SAMPLE_CHARS``
 characters, then of up to twice as many, and so on.  The sample ends before the
 text that would bring it over ``SAMPLE_DOCS * SAMPLE_CHARS`` characters, but the
 first text is always taken, whole, so every language that has a text with a letter
-gets a model.  There are at most ``MAX_LANGUAGES`` languages (checked).  One task
-counts one language's sample.  Prediction reads every whole text.
+gets a model.  The models of all languages are one dense table (n-grams x languages)
+on the driver and in every worker; with many languages the characters of each are
+fewer, so that languages x languages x characters stays within ``MAX_CELLS`` (a
+table of about 1 GB at most).  Of more than ``MAX_LANGUAGES`` values (labels that are
+not clean) those with the most documents are learned, and a warning says so.  One
+task counts one language's sample.  Prediction reads every whole text.
 
 Null texts and texts without a letter are ``und`` with score 0.  Rows with a null
 language or id are not learned from.  Without any row to learn from, all are
@@ -32,6 +36,7 @@ language or id are not learned from.  Without any row to learn from, all are
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -51,7 +56,8 @@ SAMPLE_DOCS = 500
 SAMPLE_CHARS = 20_000
 CALIBRATION = 5             # one in so many sampled documents calibrates
 REJECT_QUANTILE = 0.995
-MAX_LANGUAGES = 500
+MAX_LANGUAGES = 100
+MAX_CELLS = 160_000_000      # languages x languages x characters learned per language
 MAX_CLASSES = 18            # length classes: Spark's longest string has fewer than 2 ** 31 characters
 EVIDENCE = 40
 RUN_CHARS = 2_000_000       # characters of texts that are in work at once
@@ -183,8 +189,8 @@ def learnable(id_col: Column) -> Column:
 
 
 def draw(rows: DataFrame, by: str, count: int, seed: int = 3) -> DataFrame:
-    """At most ``count`` rows per value of ``by``, and ``count * SAMPLE_CHARS`` characters unless the first
-    text alone has more: those with the smallest ``h``, which is the length class of ``text`` (0: up to
+    """(``by``, h, text): at most ``count`` rows per value of ``by``, and ``count * SAMPLE_CHARS`` characters, or
+    the share of ``MAX_CELLS`` if there are many values, unless the first text alone has more: those with the smallest ``h``, which is the length class of ``text`` (0: up to
     ``SAMPLE_CHARS`` characters, 1: up to twice as many, ...) before a seeded hash of doc_id.
 
     Distinct ids are counted per value and class first, so that the ranking and the fetch see a bounded
@@ -196,28 +202,35 @@ def draw(rows: DataFrame, by: str, count: int, seed: int = 3) -> DataFrame:
         kind = kind + (size > SAMPLE_CHARS * 2 ** k).cast("int")
     hashed = (rows.withColumn("size", size).withColumn("class", F.lpad(kind.cast("string"), 2, "0"))
               .withColumn("h", F.concat("class", hash_order(F.col("doc_id"), seed))))
-    sizes = (hashed.groupBy(by, "class").agg(F.approx_count_distinct("h").alias("n"))
-             .limit(MAX_LANGUAGES * MAX_CLASSES + 1).collect())
-    if len({r[by] for r in sizes}) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} values of {by}")
+    sizes = (hashed.groupBy(by, "class").agg(F.approx_count_distinct("h").alias("n")).groupBy(by)
+             .agg(F.sum("n").alias("n"), F.collect_list(F.struct("class", "n")).alias("classes"))
+             .orderBy(F.desc("n"), by).limit(MAX_LANGUAGES + 1).collect())
+    if len(sizes) > MAX_LANGUAGES:
+        warnings.warn(f"langid: more than {MAX_LANGUAGES} values of {by}; those with the most documents are learned",
+                      stacklevel=3)
+        sizes = sizes[:MAX_LANGUAGES]
     if not sizes:
         return hashed.limit(0)
+    chars = min(count * SAMPLE_CHARS, MAX_CELLS // len(sizes) ** 2)
 
     def below(limits: dict[str, str], key: Column) -> Column:
         return F.col("h") <= F.try_element_at(F.create_map(*[F.lit(x) for pair in limits.items() for x in pair]), key)
 
     bounds, found = {}, {}
-    for r in sorted(sizes, key=lambda r: r["class"]):
-        if found.get(r[by], 0) < 2 * count:     # twice, for the counts are approximate
-            bounds[r["class"] + r[by]] = r["class"] + smallest_hashes(r["n"], count)
-        found[r[by]] = found.get(r[by], 0) + r["n"]
+    for r in sizes:
+        for k in sorted(r["classes"], key=lambda k: k["class"]):
+            if found.get(r[by], 0) < 2 * count:     # twice, for the counts are approximate
+                bounds[k["class"] + r[by]] = k["class"] + smallest_hashes(k["n"], count)
+            found[r[by]] = found.get(r[by], 0) + k["n"]
     few = hashed.filter(below(bounds, F.concat(F.col("class"), F.col(by))))
     order = Window.partitionBy(by).orderBy("h")
     last = (few.groupBy(by, "h").agg(F.max("size").cast("long").alias("size"))
             .withColumn("rank", F.row_number().over(order)).withColumn("held", F.sum("size").over(order))
-            .filter((F.col("rank") <= count) & ((F.col("rank") == 1) | (F.col("held") <= count * SAMPLE_CHARS)))
+            .filter((F.col("rank") <= count) & ((F.col("rank") == 1) | (F.col("held") <= chars)))
             .groupBy(by).agg(F.max("h").alias("limit")).collect())
-    return few.filter(below({r[by]: r["limit"] for r in last} or {"": ""}, F.col(by))).dropDuplicates([by, "h"])
+    few = few.filter(below({r[by]: r["limit"] for r in last} or {"": ""}, F.col(by)))
+    # of several texts of one id the first in order, so that reruns learn from the same
+    return few.groupBy(by, "h").agg(F.min("text").alias("text"))
 
 
 def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",

@@ -24,6 +24,7 @@ no detections.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -136,6 +137,155 @@ FAMILIES = (
     ("proprietary", "proprietary and confidential", "proprietary confidential"),
     ("all-rights-reserved", "all rights reserved", "rights reserved"),
 )
+# --- clauses and notices: label, regular expression over words, as the public texts have them -----
+# (a gap of the form (?:\S+ ){0,9} stands for names and years)
+NOTICES = (
+    ("gpl-2.0-or-later", r"under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or (?:at your option )?any later version"),
+    ("gpl-3.0-or-later", r"under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or (?:at your option )?any later version"),
+    ("gpl-2.0-only", r"under the terms of the gnu general public license version 2 (?:only )?as published by the free software foundation"),
+    ("gpl-3.0-only", r"under the terms of the gnu general public license version 3 (?:only )?as published by the free software foundation"),
+    ("lgpl-2.1-or-later", r"under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or (?:at your option )?any later version"),
+    ("lgpl-2.0-or-later", r"under the terms of the gnu library general public license as published by the free software foundation either version 2 of the license or (?:at your option )?any later version"),
+    ("lgpl-3.0-or-later", r"under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or (?:at your option )?any later version"),
+    ("agpl-3.0-or-later", r"under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or (?:at your option )?any later version"),
+    ("gpl", r"you should have received a copy of the gnu general public license along with this program"),
+    ("lgpl", r"you should have received a copy of the gnu (?:lesser|library) general public license along with this library"),
+    ("agpl", r"you should have received a copy of the gnu affero general public license along with this program"),
+    ("gfdl", r"permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license"),
+    ("apache-2.0", r"you may not use this (?:file|software|work) except in compliance with the license"),
+    ("apache-2.0", r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"),
+    ("apache-2.0", r"see the license for the specific language governing permissions and limitations under the license"),
+    ("apache-1.1", r"this product includes software developed by the apache software foundation"),
+    ("mpl-2.0", r"this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("mpl-2.0", r"if a copy of the mpl was not distributed with this file you can obtain one at"),
+    ("mpl-1.1", r"the contents of this file are subject to the mozilla public license version 1 1"),
+    ("mpl-1.0", r"the contents of this file are subject to the mozilla public license version 1 0"),
+    ("npl-1.1", r"the contents of this file are subject to the netscape public license version 1 1"),
+    ("epl", r"this program and the accompanying materials are made available under the terms of the eclipse public license"),
+    ("epl-2.0", r"secondary licenses when the conditions for such availability set forth in the eclipse public license"),
+    ("cpl-1.0", r"this program and the accompanying materials are made available under the terms of the common public license"),
+    ("cddl-1.0", r"the contents of this file are subject to the terms of the common development and distribution license"),
+    ("eupl", r"licensed under the eupl"),
+    ("afl", r"licensed under the academic free license version"),
+    ("osl", r"licensed under the open software license version"),
+    ("bsl-1.0", r"distributed under the boost software license version 1 0"),
+    ("bsd", r"use of this source code is governed by a bsd style license that can be found in the license file"),
+    ("mit", r"use of this source code is governed by an mit style license that can be found in the license file"),
+    ("ofl-1.1", r"this font software is licensed under the sil open font license version 1 1"),
+    ("cc-by-4.0", r"this work is licensed under (?:a|the) creative commons attribution 4 0 international license"),
+    ("cc-by-sa-4.0", r"this work is licensed under (?:a|the) creative commons attribution share ?alike 4 0 international license"),
+    ("cc-by-nc-4.0", r"this work is licensed under (?:a|the) creative commons attribution non ?commercial 4 0 international license"),
+    ("cc-by-nd-4.0", r"this work is licensed under (?:a|the) creative commons attribution no ?derivatives 4 0 international license"),
+    ("cc-by-nc-sa-4.0", r"this work is licensed under (?:a|the) creative commons attribution non ?commercial share ?alike 4 0 international license"),
+    ("cc-by-nc-nd-4.0", r"this work is licensed under (?:a|the) creative commons attribution non ?commercial no ?derivatives 4 0 international license"),
+    ("public-domain", r"this (?:work|file|code|software|program) (?:is|has been) (?:hereby )?(?:released|placed|dedicated) (?:in|into|to) the public domain"),
+    ("proprietary", r"unauthorized copying of this file via any medium is strictly prohibited"),
+    ("proprietary", r"this software is the confidential and proprietary information of"),
+    ("all-rights-reserved", r"no part of this (?:publication|document|book|work) may be reproduced (?:\S+ ){0,20}without (?:the )?prior written permission"),
+)
+
+CLAUSES = (
+    ("mit", r"permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files(?: the software)?"),
+    ("mit", r"to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software"),
+    ("mit", r"the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("mit", r"in no event shall the authors or copyright holders be liable for any claim damages or other liability"),
+    ("x11", r"except as contained in this notice the names? of (?:\S+ ){1,12}shall not be used in advertising or otherwise to promote the sale use or other dealings in this software"),
+    ("json", r"the software shall be used for good not evil"),
+    ("bsd", r"redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
+    ("bsd", r"redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd", r"redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd", r"this software is provided by the (?:copyright holders and contributors|author|regents and contributors) as is and any express or implied warranties"),
+    ("bsd-3-clause", r"neither the names? of (?:\S+ ){1,12}nor the names of (?:its|their|any) contributors may be used to endorse or promote products derived from this software"),
+    ("bsd-3-clause", r"the name of the author may not be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("bsd-3-clause-clear", r"subject to the limitations in the disclaimer below provided that the following conditions are met"),
+    ("bsd-4-clause", r"all advertising materials mentioning features or use of this software must display the following acknowledge?ment"),
+    ("isc", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("isc", r"permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("isc", r"the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness"),
+    ("0bsd", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted the software is provided as is"),
+    ("hpnd", r"permission to use copy modify (?:and )?distribute (?:and sell )?this software and its documentation for any purpose (?:and )?(?:without fee )?is hereby granted without fee"),
+    ("postgresql", r"permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted"),
+    ("zlib", r"in no event will the authors? be held liable for any damages arising from the use of this software"),
+    ("zlib", r"the origin of this software must not be misrepresented you must not claim that you wrote the original software"),
+    ("zlib", r"altered source versions must be plainly marked as such and must not be misrepresented as being the original software"),
+    ("zlib", r"this notice may not be removed or altered from any source distribution"),
+    ("bsl-1.0", r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("bsl-1.0", r"the copyright notices in the software and this entire statement including the above license grant this restriction and the following disclaimer must be included in all copies"),
+    ("unlicense", r"this is free and unencumbered software released into the public domain"),
+    ("unlicense", r"anyone is free to copy modify publish use compile sell or distribute this software"),
+    ("unlicense", r"we make this dedication for the benefit of the public at large and to the detriment of our heirs and successors"),
+    ("apache-2.0", r"license shall mean the terms and conditions for use reproduction and distribution as defined by"),
+    ("apache-2.0", r"each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable"),
+    ("apache-2.0", r"you must cause any modified files to carry prominent notices stating that you changed the files"),
+    ("apache-1.1", r"products derived from this software may not be called apache"),
+    ("gpl", r"this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"),
+    ("gpl", r"everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed"),
+    ("gpl-2.0", r"the licenses for most software are designed to take away your freedom to share and change it"),
+    ("gpl-2.0", r"this license applies to any program or other work which contains a notice placed by the copyright holder"),
+    ("gpl-2.0", r"activities other than copying distribution and modification are not covered by this license"),
+    ("gpl-3.0", r"the gnu general public license is a free copyleft license for software and other kinds of works"),
+    ("gpl-3.0", r"to propagate a work means to do anything with it that without permission would make you directly or secondarily liable"),
+    ("gpl-3.0", r"installation information for a user product means any methods procedures authorization keys or other information"),
+    ("lgpl", r"this library is distributed in the hope that it will be useful but without any warranty"),
+    ("lgpl-2.1", r"a program that contains no derivative of any portion of the library but is designed to work with the library"),
+    ("lgpl-3.0", r"incorporates the terms and conditions of version 3 of the gnu general public license supplemented by the additional permissions"),
+    ("lgpl-3.0", r"a combined work is a work produced by combining or linking an application with the library"),
+    ("agpl-3.0", r"your modified version must prominently offer all users interacting with it remotely through a computer network"),
+    ("agpl-3.0", r"specifically designed to ensure cooperation with the community in the case of network server software"),
+    ("gfdl", r"with no invariant sections no front cover texts and no back cover texts"),
+    ("mpl-2.0", r"covered software is provided under this license on an as is basis without warranty of any kind"),
+    ("mpl-2.0", r"this source code form is incompatible with secondary licenses"),
+    ("mpl-1.1", r"software distributed under the license is distributed on an as is basis without warranty of any kind either express or implied"),
+    ("epl", r"the accompanying program is provided under the terms of this eclipse public license"),
+    ("cpl-1.0", r"the accompanying program is provided under the terms of this common public license"),
+    ("cddl-1.0", r"when distributing covered (?:code|software) include this cddl header in each file"),
+    ("eupl", r"this european union public licence the eupl applies to the work"),
+    ("artistic-1.0", r"the copyright holder maintains some semblance of artistic control over the development of the package"),
+    ("artistic-2.0", r"this license establishes the terms under which a given free software package may be copied modified distributed and or redistributed"),
+    ("wtfpl", r"you just do what the fuck you want to"),
+    ("beerware", r"if we meet some day and you think this stuff is worth it you can buy me a beer"),
+    ("python-2.0", r"psf hereby grants licensee a nonexclusive royalty free world wide license to reproduce analyze test perform and or display publicly"),
+    ("php-3.01", r"this product includes php software freely available from"),
+    ("openssl", r"this product includes software developed by the openssl project for use in the openssl toolkit"),
+    ("openssl", r"this product includes cryptographic software written by eric young"),
+    ("ncsa", r"redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimers"),
+    ("ruby", r"you may make and give away verbatim copies of the source form of the software without restriction"),
+    ("vim", r"there are no restrictions on distributing unmodified copies of vim"),
+    ("ofl-1.1", r"the fonts and derivatives however cannot be released under any other type of license"),
+    ("ofl-1.1", r"reserved font name refers to any names specified as such after the copyright statement"),
+    ("cc0-1.0", r"has dedicated the work to the public domain by waiving all of his or her rights to the work worldwide under copyright law"),
+    ("cc0-1.0", r"affirmer hereby overtly fully permanently irrevocably and unconditionally waives abandons and surrenders all of affirmer s copyright and related rights"),
+    ("cc-by-4.0", r"to be bound by the terms and conditions of this creative commons attribution 4 0 international public license"),
+    ("cc-by-sa-4.0", r"to be bound by the terms and conditions of this creative commons attribution sharealike 4 0 international public license"),
+    ("cc-by-nc-4.0", r"to be bound by the terms and conditions of this creative commons attribution noncommercial 4 0 international public license"),
+    ("cc-by-nd-4.0", r"to be bound by the terms and conditions of this creative commons attribution noderivatives 4 0 international public license"),
+    ("cc-by-nc-sa-4.0", r"to be bound by the terms and conditions of this creative commons attribution noncommercial sharealike 4 0 international public license"),
+    ("cc-by-nc-nd-4.0", r"to be bound by the terms and conditions of this creative commons attribution noncommercial noderivatives 4 0 international public license"),
+    ("cc-by", r"the work as defined below is provided under the terms of this creative commons public license"),
+    ("cc-by-nc", r"noncommercial means not primarily intended for or directed towards commercial advantage or monetary compensation"),
+    ("cc-by-nd", r"you do not have permission under this public license to share adapted material"),
+    ("cc-by-sa", r"the adapter s license you apply must be a creative commons license with the same license elements"),
+    ("odbl-1.0", r"the open database license odbl is a license agreement intended to allow users to freely share modify and use this database"),
+    ("odc-by", r"intended to allow users to freely share modify and use this database subject only to the attribution requirements"),
+    ("ms-pl", r"if you use the software you accept this license if you do not accept the license do not use the software"),
+    ("ms-rl", r"reciprocal grants for any file you distribute that contains code from the software"),
+    ("upl-1.0", r"to any person obtaining a copy of this software associated documentation and or data collectively the software"),
+    ("busl-1.1", r"the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use of the licensed work"),
+    ("sspl-1.0", r"if you make the functionality of the program or a modified version available to third parties as a service"),
+    ("elastic-2.0", r"you may not provide the software to third parties as a hosted or managed service"),
+    ("commons-clause", r"the license does not grant to you the right to sell the software"),
+    ("openrail", r"you agree not to use the model or derivatives of the model"),
+)
+NOTICE_PRIORITY, CLAUSE_PRIORITY = 95, 75
+
+
+def literal_words(regex: str) -> tuple[str, ...]:
+    """The three longest words that every match of an expression without alternatives at the top contains."""
+    plain = re.sub(r"\((?:[^()]|\([^()]*\))*\)(?:[?*+]|\{[^}]*\})?", " ", regex)
+    words = {w for w in plain.split() if w.isalnum()}
+    return tuple(sorted(sorted(words, key=lambda w: (-len(w), w))[:3]))
+
+
 # --- ways in which a license is named: priority, expression, keywords besides the title's ---------
 TERMS = "(?:the )?(?:terms of (?:the )?)?"
 FORMS = (
@@ -149,7 +299,7 @@ BASE_PRIORITY = 40
 
 
 def default_rules() -> tuple[Rule, ...]:
-    """Every family in every form, then the base phrases."""
+    """Every family in every form, notices, clauses, then the base phrases."""
     rules: dict[tuple[str, str], Rule] = {}
     for label, title, title_words in FAMILIES:
         spdx = label.replace("-", " ").replace(".", " ")
@@ -157,8 +307,10 @@ def default_rules() -> tuple[Rule, ...]:
             words = set(keywords.split()) | set(title_words.split() if titled else spdx.split())
             rule = Rule(label, regex.format(spdx=spdx, title=title), tuple(sorted(words)), priority)
             rules.setdefault((rule.label, rule.regex), rule)
+    bodies = [Rule(label, regex, literal_words(regex), priority)
+              for table, priority in ((NOTICES, NOTICE_PRIORITY), (CLAUSES, CLAUSE_PRIORITY)) for label, regex in table]
     base = [Rule(label, phrase, tuple(sorted(phrase.split())), BASE_PRIORITY, True) for phrase, label in BASE_PHRASES]
-    return (*rules.values(), *base)
+    return (*rules.values(), *bodies, *base)
 
 
 # --- expressions ---------------------------------------------------------------------------------

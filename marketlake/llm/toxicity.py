@@ -246,7 +246,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
               .union(_smallest(texts.select("doc_id"), SAMPLE_UNLABELLED, UNLABELLED)))
     count_words = F.pandas_udf(_word_counts, "words array<string>, amounts array<int>")
     # bounded by the three sample sizes
-    sample = (texts.join(F.broadcast(wanted), "doc_id").dropDuplicates(["doc_id", "role"])
+    # of several texts of one id the first in order, so that reruns learn from the same
+    sample = (texts.join(F.broadcast(wanted), "doc_id").groupBy("doc_id", "role").agg(F.min("text").alias("text"))
               .select("doc_id", "role", count_words("text").alias("w")).select("doc_id", "role", "w.*"))
 
     def learn(rows: pa.Table) -> pa.Table:

@@ -66,16 +66,27 @@ def _one_line(text: str | None) -> str:
     return "" if text is None else text.replace("\r", "%0D").replace("\n", "%0A")
 
 
+def _escaped(text: str) -> str:
+    """A header value of one line, from which ``_unescaped`` gets the text back."""
+    return text.replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A")
+
+
+def _unescaped(value: str | None) -> str | None:
+    return None if value is None else value.replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
+
+
 def build_record(page_id: str | None, url: str | None, kind: str, refers_to: str | None, payload: bytes,
                  n_bytes: int, digest: str) -> bytes:
     """A WARC/1.1 response (HTTP block) or revisit (HTTP head only)."""
     block = HTTP_HEAD + payload if kind == "response" else HTTP_HEAD
     head = [("WARC-Type", kind), ("WARC-Record-ID", record_id(page_id)), ("WARC-Date", WARC_DATE),
             ("WARC-Target-URI", _one_line(url)), ("WARC-Payload-Digest", f"sha256:{digest}"),
-            ("X-Page-Id", "" if page_id is None else page_id), ("X-Payload-Length", str(n_bytes))]
+            ("X-Payload-Length", str(n_bytes))]
+    if page_id is not None:
+        head.append(("X-Page-Id", _escaped(page_id)))
     if kind == "revisit":
         head += [("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", record_id(refers_to)),
-                 ("X-Refers-To-Page", refers_to)]
+                 ("X-Refers-To-Page", _escaped(refers_to))]
     head += [("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(block)))]
     lines = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head) + "\r\n"
     return lines.encode() + block + b"\r\n\r\n"
@@ -234,8 +245,8 @@ def read_bundles(bundles: DataFrame, with_payload: bool = False) -> DataFrame:
                     n, digest = int(head["X-Payload-Length"]), head["WARC-Payload-Digest"].removeprefix("sha256:")
                     if kind == "response" and (n, digest) != (len(payload), hashlib.sha256(payload).hexdigest()):
                         raise ValueError(f"record at frame {number}, offset {at} of {name} is damaged")
-                    rows.append((name, number, at, head["X-Page-Id"] or None, head["WARC-Target-URI"], kind,
-                                 head.get("X-Refers-To-Page"), n, digest) + ((payload,) if with_payload else ()))
+                    rows.append((name, number, at, _unescaped(head.get("X-Page-Id")), head["WARC-Target-URI"], kind,
+                                 _unescaped(head.get("X-Refers-To-Page")), n, digest) + ((payload,) if with_payload else ()))
                 yield pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
 
     return bundles.select("bundle", "content").mapInPandas(run, schema)

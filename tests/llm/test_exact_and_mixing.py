@@ -27,7 +27,19 @@ def test_exact_duplicates_match_brute_force(spark, extra):
     by_sha = {hashlib.sha256(k.encode()).hexdigest(): v for k, v in want.items()}
     for r in got:
         assert (r.keep_id, r.group_size) == by_sha[r.text_sha256]
-        assert r.kept == (r.doc_id == r.keep_id)
+        assert not r.kept or r.doc_id == r.keep_id
+
+
+def test_one_id_with_texts_that_differ_in_white_space(spark):
+    rows = [(1, "x  y", None, None, 1), (1, "xy", None, None, 1), (2, "x\ny z", None, None, 1), (2, "xy z ", None, None, 1),
+            (2, "xyz", None, None, 1)]
+    for parts in (1, 3):
+        df = spark.createDataFrame(rows, SCHEMA).repartition(parts)
+        got = exact_dedup.exact_duplicates(df).collect()
+        assert sorted(r.kept for r in got if r.doc_id == 1) == [False, True]
+        texts = sorted(r.text for r in restore(exact_dedup.deduplicated(df), df).collect())
+        assert texts[0] == "x  y" and len(texts) == 2 and texts == sorted(["x  y", texts[1]])
+    assert {texts[1]} <= {"x\ny z", "xy z "}
 
 
 def test_deduplicated_keeps_one_row_of_repeats(spark):

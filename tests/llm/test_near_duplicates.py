@@ -252,3 +252,11 @@ def test_pipeline_empty_table(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_pipeline_mixing_passes_rows_without_words_once(spark):
+    rows = [(i, None if i % 3 == 0 else "  " if i % 3 == 1 else "", None, f"s{i % 4}", 0) for i in range(24)]
+    rows += [(100 + i, f"some words here {i}", None, "big" if i else "small", 1) for i in range(30)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = Counter(r.doc_id for r in corpus_pipeline.mix_sources(spark, df, None).collect())
+    assert all(out[i] == 1 for i in range(24)) and max(out.values()) <= 3

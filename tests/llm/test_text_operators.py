@@ -16,6 +16,52 @@ LICENSED = [
     "All rights reserved. Proprietary and confidential", "gplv3 wtfpl zlib/libpng license",
     "the mit license " * 2000,
 ]
+# whole texts without a title, and what they are
+BODIES = {
+    "mit": """Copyright (c) 2020 A. Person
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy,
+modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the
+Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice
+shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY
+OF ANY KIND. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY.""",
+    "bsd,bsd-3-clause": """Redistribution and use in source and binary forms, with or without modification, are permitted
+provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice,
+this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright
+notice, this list of conditions and the following disclaimer in the documentation. 3. Neither the name of the copyright
+holder nor the names of its contributors may be used to endorse or promote products derived from this software without
+specific prior written permission.""",
+    "bsd,bsd-4-clause": """Redistribution and use in source and binary forms, with or without modification, are permitted
+provided that the following conditions are met: All advertising materials mentioning features or use of this software must
+display the following acknowledgement: This product includes software developed by the university.""",
+    "isc": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED
+"AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS.""",
+    "0bsd": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+granted. THE SOFTWARE IS PROVIDED "AS IS".""",
+    "zlib": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be
+held liable for any damages arising from the use of this software. 1. The origin of this software must not be
+misrepresented; you must not claim that you wrote the original software. 3. This notice may not be removed or altered from
+any source distribution.""",
+    "unlicense": "This is free and unencumbered software released into the public domain.",
+    "apache-2.0": """Licensed to you; you may not use this file except in compliance with the License. Unless required by
+applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS.""",
+    "mpl-2.0": "If a copy of the MPL was not distributed with this file, You can obtain one at https://example.org/.",
+    "bsl-1.0": """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software
+and accompanying documentation covered by this license (the "Software").""",
+}
+
+
+def test_license_bodies_without_titles(spark):
+    rows = [(i, t, None, None, 1) for i, t in enumerate([*BODIES.values(), "Permission is granted to leave the room."])]
+    got = license_scan.summary(license_scan.scan(spark.createDataFrame(rows, SCHEMA))).orderBy("doc_id").collect()
+    assert [r.labels for r in got] == [*BODIES, ""]
+    assert all(r.score >= 0.75 and r.n_base == 0 for r in got[:-1]) and got[-1].score == 0
+    rules = license_scan.default_rules()
+    bodies = license_scan.NOTICES + license_scan.CLAUSES
+    assert len(bodies) == len(set(bodies)) >= 120 and len(rules) >= 480
+    assert all(set(r.keywords) <= set(re.findall("[a-z0-9]+", r.regex)) and r.keywords for r in rules)
 
 
 def brute_scan(text, rules):
@@ -32,7 +78,7 @@ def brute_scan(text, rules):
 
 def test_license_scan_matches_brute_force(spark):
     rules = license_scan.default_rules()
-    texts = LICENSED[:-1] + ODD_TEXTS
+    texts = LICENSED[:-1] + ODD_TEXTS + [*BODIES.values()]
     df = with_extra(spark.createDataFrame([(i % 9 or None, t, None, None, i) for i, t in enumerate(texts)], SCHEMA))
     got = license_scan.summary(license_scan.scan(df)).collect()
     want = []
@@ -279,3 +325,133 @@ def test_round_trip_column(spark, model_path, library):
     for r in got:
         assert r.ids == library.encode(r.text or "") and r.back == library.decode(r.ids)
     assert spark.createDataFrame([], SCHEMA).select(tokenizer.round_trip("text")).collect() == []
+
+
+# --- independent versions of the learned models ----------------------------------------------------
+
+def plain_kneser_ney(counted):
+    """Nats of a word under interpolated Kneser-Ney over characters, with dictionaries only."""
+    import math
+    from collections import Counter, defaultdict
+    order, discount = langid.ORDER, langid.DISCOUNT
+    raw = [Counter() for _ in range(order + 1)]
+    for word, times in counted.items():
+        w = langid.HEAD + word + langid.TAIL
+        for end in range(2, len(w) + 1):
+            for n in range(1, min(order, end) + 1):
+                raw[n][w[end - n:end]] += times
+    amount = {order: raw[order]}
+    for n in range(1, order):
+        left = defaultdict(set)
+        for g in raw[n + 1]:
+            left[g[1:]].add(g)
+        amount[n] = {g: raw[n][g] if n > 1 and g[0] == langid.HEAD else len(left[g]) for g in raw[n]}
+    total, kinds = defaultdict(float), defaultdict(int)
+    for n in range(1, order + 1):
+        for g, c in amount[n].items():
+            total[n, g[:-1]] += c
+            kinds[n, g[:-1]] += c > 0
+
+    def probability(g):
+        n = len(g)
+        if not n:
+            return 1 / langid.ALPHABET
+        held = total.get((n, g[:-1]), 0)
+        if not held:
+            return probability(g[1:])
+        return max(amount[n].get(g, 0) - discount, 0) / held + discount * kinds[n, g[:-1]] / held * probability(g[1:])
+
+    def cost(word):
+        w = langid.HEAD + word + langid.TAIL
+        return -sum(math.log(probability(w[max(0, end - order):end])) for end in range(2, len(w) + 1))
+
+    return cost
+
+
+def test_language_models_equal_plain_kneser_ney():
+    from collections import Counter
+    rng = random.Random(8)
+    letters = ["abcdé ", "cdefgß ", "xyzabк "]
+    corpora = [Counter("".join(rng.choice(x) for _ in range(700)).split()) for x in letters]
+    model = langid.estimate(["l0", "l1", "l2"], [langid.count_grams(dict(c)) for c in corpora])
+    plain = [plain_kneser_ney(c) for c in corpora]
+    texts = ["".join(rng.choice("abcdéefgßxyzкq ") for _ in range(rng.randint(1, 60))) for _ in range(50)] + ["a", "ß", "qqqq"]
+    for text in texts:
+        items = text.split()
+        want = [[cost(w) for cost in plain] + [len(w) + 1] for w in items]
+        assert np.allclose(model.costs(items) if items else np.zeros((0, 4)), np.array(want).reshape(-1, 4), rtol=1e-9)
+        sums = np.array(want).reshape(-1, 4).sum(axis=0)
+        if items:
+            names, score, entropy, _ = model.predict(sums[None, :])
+            per = sums[:3] / sums[3]
+            shares = np.exp(-(per - per.min()) * min(sums[3], langid.EVIDENCE))
+            assert names == [f"l{per.argmin()}"] and entropy[0] == pytest.approx(per.min())
+            assert score[0] == pytest.approx(1 / shares.sum())
+
+
+@pytest.mark.parametrize("corrected", [False, True])
+def test_first_step_follows_the_gradient_of_the_plain_risk(corrected):
+    """Non-negative risk by loops over texts and words, its gradient by differences.  ``corrected``: the
+    estimate of the clean risk is negative, so the step goes against it alone."""
+    import math
+    rng = random.Random(3)
+    common, bad = ["red", "blue", "green", "house"], ["awful", "nasty"]
+    positive = [" ".join(rng.choices(common + bad, k=6)) for _ in range(4)]
+    unlabelled = ["" for _ in range(5)] if corrected else [" ".join(rng.choices(common, k=5)) for _ in range(5)]
+    roles = np.array([toxicity.TOXIC] * 4 + [toxicity.UNLABELLED] * 5)
+    prior = 0.6
+    cells = {w: toxicity.features([w])[0].tolist() for w in common + bad}
+    seen = {}
+    for text in positive + unlabelled:
+        for w in set(text.split()):
+            for c in cells[w]:
+                seen[c] = seen.get(c, 0) + 1
+
+    def sigmoid(x):
+        return 1 / (1 + math.exp(-x))
+
+    def risk(moved):
+        def g(text):
+            ws = text.split()
+            degrees = [sigmoid(toxicity.START + sum(moved.get(c, 0.0) for c in cells[w])) for w in ws]
+            return -2.0 + toxicity.GAIN * (sum(degrees) / len(ws) if ws else 0.0)
+
+        toxic_loss = sum(math.log1p(math.exp(-g(t))) for t in positive) / len(positive)
+        clean = (sum(math.log1p(math.exp(g(t))) for t in unlabelled) / len(unlabelled)
+                 - prior * sum(math.log1p(math.exp(g(t))) for t in positive) / len(positive))
+        return -clean if clean < 0 else prior * toxic_loss + clean, clean
+
+    assert (risk({})[1] < 0) == corrected
+    weights = toxicity.fit(positive + unlabelled, roles, prior, steps=1).weights
+    moved = 0
+    for c in sorted({c for w in common + bad for c in cells[w]}):
+        pace = (seen.get(c, 0) >= toxicity.RARE) / math.sqrt(seen.get(c, 0) + toxicity.SPREAD)
+        slope = (risk({c: 1e-5})[0] - risk({c: -1e-5})[0]) / 2e-5
+        want = max(-toxicity.LIMIT, min(toxicity.LIMIT, -toxicity.RATE * slope * pace ** 2))
+        assert weights[c] == pytest.approx(want, abs=2e-4)
+        moved += want != 0
+    assert moved > 10
+
+
+def test_langid_with_more_labels_than_it_learns(spark):
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choice(["der", "die", "und"] if i % 2 else ["the", "and", "of"]) for _ in range(20)),
+             "de" if i % 2 else "en", "s", 1) for i in range(60)]
+    rows += [(1000 + i, "odd label text", f"label {i}", "s", 1) for i in range(langid.MAX_LANGUAGES + 20)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    with pytest.warns(UserWarning, match="more than"):
+        model = langid.train(df)
+    assert len(model.languages) == langid.MAX_LANGUAGES and {"de", "en"} <= set(model.languages)
+    got = {r.doc_id: r.lang_pred for r in langid.predict(df, model).collect()}
+    assert all(got[i] == ("de" if i % 2 else "en") for i in range(60)) and len(got) == len(rows)
+
+
+def test_repeated_ids_are_learned_from_alike(spark):
+    rows = [(i % 20, f"{'gut und' if i % 2 else 'good and'} word{'abcdefghij'[i % 7]}", "x" if i % 2 else "y", "s", 1) for i in range(200)]
+    labels = [(i, i % 2) for i in range(20)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    a, b = (langid.train(d) for d in (df, df.repartition(5, "text")))
+    assert all(np.array_equal(x.values, y.values) for x, y in zip(a.logs, b.logs))
+    a, b = (toxicity.train(d, marks) for d in (df, df.repartition(5, "text")))
+    assert np.array_equal(a.weights, b.weights)

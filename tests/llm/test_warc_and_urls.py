@@ -5,6 +5,7 @@ import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 import zstandard
 
 from marketlake.llm import url_filters, warc
@@ -119,3 +120,25 @@ def test_index_uses_rarest_token():
 def test_empty_urls(spark):
     df = spark.createDataFrame([], "page_id long, url string")
     assert url_filters.judge(df, url_filters.BASE_RULES).collect() == []
+
+
+PAGE_EXTRA = ("payload", "row", "bundle", "digest", "first_id", "salt", "host", "path", "rule", "verdict", "tokens", "copies", "URL", "frame")
+
+
+def test_text_ids_come_back_whole(spark):
+    ids = ["", None, "a\r\nb: c", "50%", "%0A", "é 日", "x" * 300]
+    rows = [(i, "http://h/", "same body " * 20) for i in ids]
+    back = warc.read_bundles(warc.archive(spark.createDataFrame(rows, "page_id string, url string, html string"))).collect()
+    assert sorted((r.page_id for r in back), key=str) == sorted(ids, key=str)
+    assert {r.refers_to for r in back if r.record_type == "revisit"} == {""}
+
+
+def test_columns_with_clashing_names(spark):
+    rows = [(1, "http://a.example.org/x?y", "body " * 40), (2, "http://b.com/fr/z", "body " * 40), (3, None, None)]
+    plain = spark.createDataFrame(rows, "page_id long, url string, html string")
+    extra = plain.select("*", *[F.lit(f"extra {c}").alias(c) for c in PAGE_EXTRA])
+    want = sorted(tuple(r)[3:] for r in warc.read_bundles(warc.archive(plain)).collect())
+    assert sorted(tuple(r)[3:] for r in warc.read_bundles(warc.archive(extra)).collect()) == want
+    rules = url_filters.BASE_RULES + url_filters.default_patterns()
+    judge = lambda df: sorted(str(tuple(r)) for r in url_filters.judge(df, rules).select("page_id", "host", "path", "rule", "verdict").collect())
+    assert judge(extra) == judge(plain)
