@@ -8,7 +8,8 @@ returns a DataFrame, which is written as Parquet and reread as the next stage's
 2. exact_dedup: of equal texts one row stays; of rows that repeat both id and text, too.
 3. minhash_dedup: one document of each group of near copies stays (five words, 0.8).
    Rows that share the id that stays, with different texts, stay together.
-4. mixing: every row is repeated as often as the mix takes it, or left out.
+4. mixing: every row is repeated as often as the mix takes it, or left out.  Rows without words take
+   nothing from a target, so they pass once.
 5. sentencepiece: ids and digests of every row that is left; the decoded text comes from the ids.
 
 Rows with null ids or null texts pass: a null text counts as empty.  Empty tables
@@ -38,7 +39,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    taken = mixing.mix(docs, carry=True).filter("copies > 0")
+    copies = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.col("copies"))
+    taken = mixing.mix(docs, carry=True).withColumn("copies", copies).filter("copies > 0")
     return restore(taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))), docs)
 
 
