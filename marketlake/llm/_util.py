@@ -7,7 +7,7 @@ import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.session import checkpoint_dir, scratch_path
@@ -52,6 +52,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+ARROW_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m")
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches for the rows that go to Python workers, where the session has Spark's default:
+    a batch is held several times over (in the JVM, in the worker, and as what comes back)."""
+    key, default, ours = ARROW_BYTES
+    if spark.conf.get(key, None) in (default, None, ""):
+        spark.conf.set(key, ours)
+
+
 def hash_order(col: Column, seed: int) -> Column:
     """Seeded pseudo-random order key (32 hex digits) of an id; null has a place of its own."""
     return F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(col.cast("string"), F.lit("null"))))

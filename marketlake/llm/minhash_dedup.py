@@ -17,11 +17,10 @@ arithmetic) and linked classes are joined to components.
 
 **The rest, exactly.**  Two classes of a bucket may be linked with each other but
 not with its centre.  A bucket that still holds several components is open; its
-outsiders are the members outside its largest component.  In each of ``ROUNDS``
-rounds every open bucket takes one of its outsiders as a new centre (by a hash of
-round, bucket and node) and confirms one more star: a round costs at most a row per
-open entry, and an outsider that was a centre is done, linked or not.  Outsiders that
-are left after that are compared with all members of other components, in blocks of
+outsiders are the members outside its largest component.  Every open bucket takes
+``CENTRES`` of its outsiders as new centres (by a hash of bucket and node) and confirms
+their stars: that costs at most ``CENTRES`` rows per open entry, and an outsider that
+was a centre is done, linked or not.  Outsiders that are left after that are compared with all members of other components, in blocks of
 bounded bytes: only outsiders are dealt to chunks, and the others are sent to these
 chunks alone.  So the rows follow a bucket's entries while its outsiders fit one
 block, as they do in families of copies; a bucket of many texts that are all unlike
@@ -64,7 +63,7 @@ BINS = 1 << BIN_BITS
 RUN_CHARS = 1_000_000   # characters of texts that are in work at once
 PIECE_BYTES = 1 << 20   # a longer text is cut into words in pieces
 BLOCK_BYTES = 2 << 20   # of sets: a piece of a star that one task confirms, one side of a block
-ROUNDS = 2              # further stars of open buckets before the search in blocks
+CENTRES = 2             # further stars of open buckets before the search in blocks
 SMALL = 80              # shingles; smaller sets have a second signature
 SEED = 23
 
@@ -309,10 +308,13 @@ def _open_entries(entries: DataFrame, components: DataFrame) -> DataFrame:
         "bucket", "node", "n", "component", (F.col("component") != F.col("main")).alias("outsider"))
 
 
-def _further_centres(open_: DataFrame, turn: int) -> DataFrame:
-    """One outsider of every open bucket: bucket, centre, its component."""
-    pick_ = F.min(F.struct(F.xxhash64(F.lit(turn), "bucket", "node").alias("h"), "node", "component")).alias("c")
-    return (open_.filter("outsider").groupBy("bucket").agg(pick_)
+def _further_centres(open_: DataFrame) -> DataFrame:
+    """Up to ``CENTRES`` outsiders of every open bucket: bucket, centre, own (its component).
+
+    The smallest by hash of every residue class of the hash: minima, so they are taken map-side."""
+    h = F.xxhash64("bucket", "node")
+    least = F.min(F.struct(h.alias("h"), "node", "component")).alias("c")
+    return (open_.filter("outsider").groupBy("bucket", F.pmod(h, F.lit(max(CENTRES, 1))).alias("turn")).agg(least)
             .select("bucket", F.col("c.node").alias("centre"), F.col("c.component").alias("own")))
 
 
@@ -349,19 +351,21 @@ def _components(shared: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     components = connected(links)
     # a bucket's centres need no further search; a pair is its own star
     left = shared.filter((F.col("size") > 2) & (F.col("node") != F.col("hub"))).select("bucket", "node", "n")
-    for turn in range(ROUNDS):
-        open_ = materialise(_open_entries(left, components), "minhash-open")
-        if open_.isEmpty():
-            return components
-        centres = materialise(_further_centres(open_, turn), "minhash-centres")
-        rows = salted_lookup(open_, centres, ["bucket"], F.col("node"))
-        stars = rows.filter(F.col("component") != F.col("own")).select(F.col("centre").alias("hub"), "node", "n").distinct()
-        links = links.union(materialise(_confirm_stars(stars, sets, percent), "minhash-links"))
-        components = connected(links)
-        left = rows.filter(F.col("node") != F.col("centre")).select("bucket", "node", "n")
     open_ = materialise(_open_entries(left, components), "minhash-open")
     if open_.isEmpty():
         return components
+    if CENTRES:
+        centres = materialise(_further_centres(open_), "minhash-centres")
+        lists = centres.groupBy("bucket").agg(F.collect_list(F.struct("centre", "own")).alias("centres"))
+        met = salted_lookup(open_, lists, ["bucket"], F.col("node"))
+        stars = met.select("node", "n", "component", F.explode("centres").alias("c")).filter("component <> c.own").select(
+            F.col("c.centre").alias("hub"), "node", "n").distinct()
+        links = links.union(materialise(_confirm_stars(stars, sets, percent), "minhash-links"))
+        components = connected(links)
+        left = open_.join(centres.select("bucket", F.col("centre").alias("node")), ["bucket", "node"], "left_anti")
+        open_ = materialise(_open_entries(left.select("bucket", "node", "n"), components), "minhash-open")
+        if open_.isEmpty():
+            return components
     return connected(links.union(materialise(_search_blocks(open_, sets, percent), "minhash-links")))
 
 
