@@ -22,10 +22,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.llm import exact_dedup, minhash_dedup, mixing, queries, sentencepiece_bpe, toxicity
-from marketlake.llm._util import materialise, pick, restore
+from marketlake.llm._util import bound_batches, materialise, pick, restore
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     model = toxicity.train(docs, queries.table(spark, sf_dir, "labels"), where=toxicity.learnable(F.col("doc_id")))
     return restore(toxicity.score(docs, model, carry=True).filter("predicted = 0"), docs)
 
@@ -35,6 +36,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return restore(minhash_dedup.near_duplicates(docs, carry=True).filter("kept"), docs)
 
 
@@ -46,6 +48,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids, n_tokens, ids_sha256, decoded_sha256."""
+    bound_batches(spark)
     encoded = sentencepiece_bpe.encode_decode(pick(docs, doc_id="doc_id", text="text"), queries.piece_model_path())
     return sentencepiece_bpe.digests(encoded, with_ids=True)
 
