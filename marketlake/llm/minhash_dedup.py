@@ -362,7 +362,8 @@ def _components(shared: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             F.col("c.centre").alias("hub"), "node", "n").distinct()
         links = links.union(materialise(_confirm_stars(stars, sets, percent), "minhash-links"))
         components = connected(links)
-        left = open_.join(centres.select("bucket", F.col("centre").alias("node")), ["bucket", "node"], "left_anti")
+        done = centres.select("bucket", F.col("centre").alias("node")).hint("merge")
+        left = open_.join(done, ["bucket", "node"], "left_anti")
         open_ = materialise(_open_entries(left.select("bucket", "node", "n"), components), "minhash-open")
         if open_.isEmpty():
             return components

@@ -41,9 +41,9 @@ from marketlake.llm._util import release_memory, runs_of
 
 SPACE = "▁"             # stands for U+0020 in pieces
 MAX_PIECES = 1_000_000      # bound of the vocabulary that is sent to every worker
-CACHE_WORDS = 200_000       # words a worker remembers
+CACHE_WORDS = 100_000       # words a task remembers
 CACHE_CHARS = 64            # longer words are not remembered
-RUN_CHARS = 2_000_000       # characters of texts that are in work at once
+RUN_CHARS = 500_000         # characters of texts that are in work at once
 NONE = np.iinfo(np.int64).max
 ID_SHIFT = 2_200_000        # above every symbol number
 
@@ -299,6 +299,10 @@ class Codec:
                 del cache[w]
         return out
 
+    def forget(self) -> None:
+        """Empty the cache at the end of a task: idle workers would hold it through the next stages."""
+        self._cache = {}
+
     def decode(self, ids: list[int]) -> str:
         if not ids:
             return ""
@@ -347,6 +351,7 @@ class Tokenizer:
         def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             for texts in batches:
                 yield _encode_array(_codec(shared), texts)
+            _codec(shared).forget()
             release_memory()
 
         @F.arrow_udf("string")
@@ -361,6 +366,7 @@ class Tokenizer:
             for texts in batches:
                 ids = _encode_array(codec, texts)
                 yield pa.StructArray.from_arrays([ids, _decode_array(codec, ids)], ["ids", "decoded"])
+            codec.forget()
             release_memory()
 
         self.encode, self.decode, self.round_trip = encode, decode, round_trip
