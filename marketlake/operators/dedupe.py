@@ -52,10 +52,10 @@ def parse_order(order) -> list[tuple[str, bool, bool]]:
     return out
 
 
-def sort_exprs(spec: list[tuple[str, bool, bool]]) -> list[Column]:
+def sort_exprs(spec: list[tuple[str | Column, bool, bool]]) -> list[Column]:
     out = []
     for name, desc, nf in spec:
-        c = F.col(name)
+        c = F.col(name) if isinstance(name, str) else name
         out.append((c.desc_nulls_first() if nf else c.desc_nulls_last()) if desc
                    else (c.asc_nulls_first() if nf else c.asc_nulls_last()))
     return out
@@ -63,7 +63,13 @@ def sort_exprs(spec: list[tuple[str, bool, bool]]) -> list[Column]:
 
 def total_order(df: DataFrame, keys: Sequence[str], order=None, ties: Sequence[str] | None = None,
                 reverse: bool = False) -> list[Column]:
-    """``order`` extended with tie-breakers so the order is total.
+    """``order`` extended with tie-breakers so the order is total (see ``total_spec``)."""
+    return sort_exprs(total_spec(df, keys, order, ties, reverse))
+
+
+def total_spec(df: DataFrame, keys: Sequence[str], order=None, ties: Sequence[str] | None = None,
+               reverse: bool = False) -> list[tuple[str | Column, bool, bool]]:
+    """The total order as ``[(column, descending, nulls_first)]``.
 
     ``ties`` defaults to every other non-key column (ascending), which makes the
     survivor of exact ties deterministic.  Complex-typed columns are left out of
@@ -83,12 +89,8 @@ def total_order(df: DataFrame, keys: Sequence[str], order=None, ties: Sequence[s
     spec += [(t, tie_desc if default_ties else False, not (tie_desc and default_ties)) for t in ties]
     if reverse:
         spec = [(n, not d, not nf) for n, d, nf in spec]
-    out = sort_exprs(spec)
     nested_desc = (tie_desc and default_ties) != reverse
-    for n in nested:
-        j = F.to_json(F.col(n))
-        out.append(j.desc_nulls_last() if nested_desc else j.asc_nulls_first())
-    return out
+    return [*spec, *[(F.to_json(F.col(n)), nested_desc, not nested_desc) for n in nested]]
 
 
 def _pick_by_aggregate(df: DataFrame, keys: Sequence[str], order, ties, reverse: bool,

@@ -1,9 +1,11 @@
 """Skew-safe ordering operators against brute force, with one hot group."""
 import random
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from marketlake.operators.sequence import carry_down, ordinal, request_batches
+from marketlake.operators.dedupe import sort_exprs, total_spec
+from marketlake.operators.sequence import _segments, carry_down, ordinal, request_batches
 
 
 def _data(spark, n=3000):
@@ -23,9 +25,49 @@ def test_ordinal_matches_row_number(spark):
         by.setdefault(g, []).append(i)
     want = {i: k + 1 for g, ids in by.items() for k, i in enumerate(ids)}
     assert got == want
-    hot_parts = (ordinal(df, ["g"], ["o", "id"], partitions=7).where(F.col("g") == "hot")
-                 .select(F.spark_partition_id()).distinct().count())
-    assert hot_parts >= 1
+
+
+def _jobs(spark):
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+
+
+def test_no_job_runs_while_the_query_is_built(spark):
+    _, df = _data(spark, 60)
+    before = _jobs(spark)
+    ordinal(df, ["g"], ["o", "id"], partitions=5)
+    carry_down(df, ["g"], ["id"], F.col("m"), ["o"], partitions=5)
+    assert _jobs(spark) == before
+
+
+def test_segments_spread_a_hot_group_and_follow_the_order(spark):
+    rows, df = _data(spark)
+    order = ["o desc nulls last", "id"]
+    spec = total_spec(df, ["g"], order)
+    seg = _segments(df, ["g"], spec, 16)
+    sizes = {r["__seg"]: r["count"] for r in seg.groupBy("__seg").count().collect()}
+    assert len(sizes) == 16 and max(sizes.values()) <= 3 * len(rows) / 16
+    assert seg.where("g = 'hot'").select("__seg").distinct().count() >= 4
+    by_group = {}
+    for r in seg.orderBy("g", F.col("o").desc_nulls_last(), "id").collect():
+        by_group.setdefault(r["g"], []).append(r["__seg"])
+    assert all(x == sorted(x) for x in by_group.values())
+    # another layout of the same rows gives every row the same segment
+    again = _segments(df.repartition(3, "id"), ["g"], spec, 16)
+    assert sorted(map(str, seg.collect())) == sorted(map(str, again.collect()))
+
+
+def test_ordinal_of_null_groups_nulls_repeats_and_empty_tables(spark):
+    values = (None, 1.0, 1.0, 2.0, float("nan"), -0.0, 0.0)
+    rows = [(g, o, x) for g in (None, "a", "b") for o in values for x in ("p", "p", None)]
+    df = spark.createDataFrame(rows, "g string, o double, x string")
+    w = Window.partitionBy("g").orderBy(F.col("o").desc_nulls_first(), F.col("x").desc_nulls_last())
+    plain = df.withColumn("rn", F.row_number().over(w).cast("bigint"))
+    want = sorted(str((r["g"], r["rn"], r["x"], abs(r["o"] or 0))) for r in plain.collect())
+    for n in (1, 2, 5):
+        got = ordinal(df, ["g"], ["o desc"], partitions=n)
+        assert sorted(str((r["g"], r["rn"], r["x"], abs(r["o"] or 0))) for r in got.collect()) == want
+        assert ordinal(df.limit(0), ["g"], ["o"], partitions=n).count() == 0
+        assert carry_down(df.limit(0), ["g"], ["o"], F.col("x") == "p", ["x"], partitions=n).count() == 0
 
 
 def test_request_batches(spark):
@@ -47,3 +89,18 @@ def test_carry_down_matches_scan(spark):
             last[g] = o
         want[i] = last.get(g)
     assert got == want
+
+
+def test_turned_columns_of_every_type(spark):
+    rows = [(s, d, n, x) for s in (None, "", "a", "ab", "b", "é") for d in (None, "2024-01-01", "2023-12-31")
+            for n in (None, -(1 << 63), 0, (1 << 63) - 1) for x in (None, float("nan"), -1.5, 2.0)]
+    df = spark.createDataFrame(rows, "s string, d string, n bigint, x double").selectExpr(
+        "s", "cast(d as date) d", "cast(d as timestamp) t", "n", "x", "cast(x > 0 as boolean) b", "cast(n % 7 as decimal(20,2)) m")
+    for first in ("n", "n desc"):
+        turn = "" if first.endswith("desc") else " desc"
+        order = [first, *[c + turn for c in ("s", "d", "t", "x", "b", "m")]]
+        w = Window.orderBy(*sort_exprs(total_spec(df, [], order)))
+        want = [r["rn"] for r in df.withColumn("rn", F.row_number().over(w)).orderBy("s", "d", "n", "x").collect()]
+        df1 = df.withColumn("g", F.lit(1))
+        got = ordinal(df1, ["g"], order, partitions=40).orderBy("s", "d", "n", "x").collect()
+        assert [r["rn"] for r in got] == want
