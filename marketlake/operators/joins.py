@@ -56,6 +56,18 @@ def left_join_aggregated(fact: DataFrame, child: DataFrame, keys: Sequence[str],
     return fact.join(child.groupBy(*keys).agg(*aggs), list(keys), "left")
 
 
+def left_join_known(left: DataFrame, right: DataFrame, keys: Sequence[str], spread: Sequence[str]) -> DataFrame:
+    """Left join on ``keys`` when a third of the left rows may have a NULL among them.
+
+    Such rows match nothing, but a plain left join sends them all to one task.  They are spread by a
+    further key, the hash of the left columns ``spread``; it is 0 for all rows with a key, on both sides."""
+    def part(df: DataFrame, of: Sequence[str]) -> DataFrame:
+        known = _known(df, keys)
+        return df.withColumn("__spread", F.when(known, F.lit(0)).otherwise(F.xxhash64(*of)))
+
+    return part(left, spread).join(part(right, keys), [*keys, "__spread"], "left").drop("__spread")
+
+
 def left_join_exploded(fact: DataFrame, child: DataFrame, array_col: str, element_key: str | None,
                        key: str, on: str) -> DataFrame:
     """Explode the child's array (empty arrays drop out, like

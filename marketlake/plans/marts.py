@@ -20,7 +20,7 @@ from marketlake.functions._util import ts_lit
 from marketlake.functions import contains_all, local_date, money, price_fallback, product_code, ratio, within_age
 from marketlake.functions.nested import json_nonempty
 from marketlake.operators.dedupe import latest_per_key, latest_snapshot, latest_values
-from marketlake.operators.joins import broadcast_if_small, with_children
+from marketlake.operators.joins import broadcast_if_small, left_join_known, with_children
 from marketlake.operators.setops import pad_to, union_distinct
 
 Tables = Mapping[str, DataFrame]
@@ -296,8 +296,9 @@ def shipments(t: Tables, tenant_id=None, ordered=False) -> DataFrame:
     plans = plans.select("tenant_id", F.col("s.shipmentId").alias("__plan_shipment"),
                          F.col("inbound_plan_id").alias("inbound plan id"), F.col("date_created_at").alias("created"),
                          F.col("last_updated_at").alias("last updated"))
-    fba = (s.join(items, ["tenant_id", "shipment_id"], "left").join(ps, ["tenant_id", "shipment_id"], "left")
-            .join(plans, ["tenant_id", "__plan_shipment"], "left"))
+    fba = s.join(items, ["tenant_id", "shipment_id"], "left").join(ps, ["tenant_id", "shipment_id"], "left")
+    # shipments without a plan have no key here
+    fba = left_join_known(fba, plans, ["tenant_id", "__plan_shipment"], ["shipment_id"])
     fba = fba.select("tenant_id", F.col("ship_from_address_country_code").alias("origin country"),
                      "destination country", F.col("shipment_name").alias("shipment name"),
                      F.col("shipment_id").alias("shipment id"), "created", "last updated",
