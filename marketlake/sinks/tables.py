@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from marketlake.functions._util import ts_lit
 from marketlake.operators.dedupe import latest_per_key
+from marketlake.operators.joins import estimated_bytes
 from marketlake.sinks._files import Folder
 
 
@@ -153,26 +154,31 @@ def export_daily(df: DataFrame, path: str, date_col: str = "date", fmt: str = "c
     w.partitionBy(date_col).save(path)
 
 
+SPLIT_BYTES = 16 << 20  # of the estimated text: with less for a task, rows are dealt to all cores before they are parsed
 # What a text value may stand for: one bit each, in the order in which a column's type is chosen.
 KINDS = ("bigint", "double", "boolean", "date", "timestamp", "object", "array<string>", "array<bigint>", "array")
 
 
-def _kinds_of(value: Column) -> Column:
-    """One bit for every kind that the value parses as (all bits for NULL / blank).
+def _kinds_of(cells: DataFrame) -> DataFrame:
+    """(at, bits) of text cells (at, value): one bit for every kind that the value parses as (all bits for
+    NULL / blank).
 
     A cheap pattern test guards every cast: a failed ``try_cast`` / ``try_to_timestamp`` costs an
-    exception per value, which made mostly-text columns ~10x slower to scan."""
-    v = F.trim(value)
-    code = v.rlike(r"^[+-]?0\d")            # a number would lose the zeros
-    t = F.when(v.rlike(r"^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"), F.try_to_timestamp(v))
+    exception per value, which made mostly-text columns ~10x slower to scan.  What several kinds look at
+    is a column of its own, so every value is parsed once."""
+    v, t, nested = F.col("v"), F.col("t"), F.col("nested")
+    parsed = cells.select("at", F.trim("value").alias("v"))
+    parsed = parsed.select(
+        "at", "v", v.rlike(r"^[+-]?0\d").alias("code"),           # a number would lose the zeros
+        F.when(v.rlike(r"^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"), F.try_to_timestamp(v)).alias("t"),
+        F.when(v.rlike(r"^[\[{]"), F.schema_of_variant(F.try_parse_json(v))).alias("nested"))
     zoned = v.rlike(r"\d(Z|[+-]\d{2}:?\d{2})$") & v.contains(":")
-    nested = F.when(v.rlike(r"^[\[{]"), F.schema_of_variant(F.try_parse_json(v)))
     empty = nested == "ARRAY<VOID>"
-    ok = {"bigint": F.when(v.rlike(r"^[+-]?\d+$") & ~code, v.try_cast("bigint")).isNotNull(),
-          "double": F.when(v.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$") & ~code, v.try_cast("double")).isNotNull(),
+    ok = {"bigint": F.when(v.rlike(r"^[+-]?\d+$") & ~F.col("code"), v.try_cast("bigint")).isNotNull(),
+          "double": F.when(v.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$") & ~F.col("code"), v.try_cast("double")).isNotNull(),
           "boolean": F.lower(v).isin("true", "false", "0", "1"),
           # an instant that names its zone keeps it, at midnight, too
-          "date": t.isNotNull() & (t == F.date_trunc("day", t)) & ~zoned,
+          "date": F.when(t.isNotNull(), (t == F.date_trunc("day", t)) & ~zoned),
           "timestamp": t.isNotNull(),
           "object": F.startswith(nested, F.lit("OBJECT<")),
           "array<string>": empty | (nested == "ARRAY<STRING>"),
@@ -181,7 +187,15 @@ def _kinds_of(value: Column) -> Column:
     bits = F.lit(0)
     for i, kind in enumerate(KINDS):
         bits = bits + F.when(ok[kind], F.lit(1 << i)).otherwise(F.lit(0))
-    return F.when(v.isNull() | (v == ""), F.lit((1 << len(KINDS)) - 1)).otherwise(bits)
+    return parsed.select("at", F.when(v.isNull() | (v == ""), F.lit((1 << len(KINDS)) - 1)).otherwise(bits).alias("bits"))
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """The rows over all cores, where the input has fewer splits: parsing takes far longer than reading."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = estimated_bytes(df)
+    return df.repartition(4 * cores) if size is not None and size < 4 * cores * SPLIT_BYTES else df
 
 
 def _type_of(bits: int | None) -> T.DataType:
@@ -212,9 +226,12 @@ def infer_schema(df: DataFrame) -> T.StructType:
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     if not text:
         return df.schema
-    # one bit_and per column, merged map-side: a kind survives only if every value has it
-    flags = df.agg(*[F.bit_and(_kinds_of(F.col(f"`{c}`"))).alias(f"m{i}") for i, c in enumerate(text)]).first()
-    return T.StructType([T.StructField(f.name, _type_of(flags[f"m{text.index(f.name)}"]), True) if f.name in text else f
+    # one short expression for the cells of all columns; bit_and per column, merged map-side: a kind
+    # survives only if every value has it
+    cells = _spread(df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(text)])).select(
+        F.posexplode(F.array(*[f"c{i}" for i in range(len(text))])).alias("at", "value"))
+    flags = {r["at"]: r["bits"] for r in _kinds_of(cells).groupBy("at").agg(F.bit_and("bits").alias("bits")).collect()}
+    return T.StructType([T.StructField(f.name, _type_of(flags.get(text.index(f.name))), True) if f.name in text else f
                          for f in df.schema.fields])
 
 
