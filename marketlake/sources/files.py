@@ -114,6 +114,9 @@ def read_json_reports(spark: SparkSession, path: str, schema: T.StructType, glob
 
 # ---------------------------------------------------------------- delimited text, by header
 HEAD_ROWS = 64          # rows of a split that are read to find its first lines
+SMALL_FILE = 1 << 20    # bytes; files up to this are read whole, many to a task, to find theirs
+LINE = re.compile(rb"[^\r\n]+")
+COMPRESSED = r"\.(gz|gzip|bz2|deflate|lz4|snappy|zst|zstd|xz)$"
 TOO_MANY = "_cells"     # named in ``_rejected`` for a row with more cells than its header
 
 
@@ -121,14 +124,28 @@ def _first_lines(spark: SparkSession, path: str, glob: str | None, encoding: str
                  recursive: bool = True) -> list[tuple[str, list[str]]]:
     """(file, its first ``count`` lines with text) of every file that has so many, by name.
 
-    Every split is a task of its own that stops after its first batch of rows, so the files are
-    not read through.  Lines end where Spark's text source ends them; a header is one line.
+    Small files share tasks, so the tasks follow the bytes and not the number of files.  Of larger
+    ones (and compressed ones, whose text may be large) every split is a task of its own that stops after
+    its first batch of rows, so they are not read through.  Lines end where Spark's text source ends
+    them; a header is one line.
     """
     import pyarrow as pa
 
     own = spark.newSession()
-    own.conf.set("spark.sql.files.openCostInBytes", own.conf.get("spark.sql.files.maxPartitionBytes"))  # one split a task
     own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(HEAD_ROWS))
+    known = "source_file string, lines array<string>"
+
+    def text_of(value: bytes) -> list[str]:
+        line = value.decode(encoding).removeprefix("\ufeff")
+        return [line.rstrip("\r")] if line.strip() else []
+
+    def heading(text: bytes) -> list[str]:
+        lines: list[str] = []
+        for m in LINE.finditer(text):
+            lines += text_of(m.group())
+            if len(lines) == count:
+                return lines
+        return []
 
     def first(batches):
         lines: list[str] = []
@@ -136,18 +153,31 @@ def _first_lines(spark: SparkSession, path: str, glob: str | None, encoding: str
             if batch.num_rows and batch.column(1)[0].as_py() != 0:
                 return
             for value in batch.column(2):
-                line = value.as_py().decode(encoding).removeprefix("\ufeff")
-                if line.strip():
-                    lines.append(line.rstrip("\r"))
+                lines += text_of(value.as_py())
                 if len(lines) == count:
                     yield pa.RecordBatch.from_arrays([batch.column(0).slice(0, 1), pa.array([lines])],
                                                      ["source_file", "lines"])
                     return
 
-    raw = _reader(own, None, glob, recursive).text(path)
-    rows = raw.select(source_file().alias("f"), F.col("_metadata.file_block_start").alias("at"),
-                      F.col("value").cast("binary").alias("v")).mapInArrow(first, "source_file string, lines array<string>")
-    return sorted((r["source_file"], list(r["lines"])) for r in rows.collect())
+    def whole(batches):
+        for batch in batches:
+            heads = [heading(x.as_py()) for x in batch.column(2)]
+            some = [i for i, lines in enumerate(heads) if lines]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(some, pa.int64())), pa.array([heads[i] for i in some], pa.list_(pa.string()))],
+                ["source_file", "lines"])
+
+    size, name = F.col("_metadata.file_size"), F.lower("_metadata.file_name")
+    plain = ~name.rlike(COMPRESSED)
+
+    def rows(df: DataFrame, keep: Column, reader) -> list:
+        return df.where(keep).select(source_file().alias("f"), F.col("_metadata.file_block_start").alias("at"),
+                                     F.col("value").cast("binary").alias("v")).mapInArrow(reader, known).collect()
+
+    found = rows(_reader(own, None, glob, recursive).text(path, wholetext=True), (size <= SMALL_FILE) & plain, whole)
+    own.conf.set("spark.sql.files.openCostInBytes", own.conf.get("spark.sql.files.maxPartitionBytes"))  # one split a task
+    found += rows(_reader(own, None, glob, recursive).text(path), (size > SMALL_FILE) | ~plain, first)
+    return sorted((r["source_file"], list(r["lines"])) for r in found)
 
 
 def _by_header(heads: Sequence[tuple[str, list[str]]], line: int) -> dict[str, list[str]]:
