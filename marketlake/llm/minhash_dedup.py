@@ -52,7 +52,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm._components import connected
+from marketlake.llm._components import connected, joined
 from marketlake.llm._util import ROW, materialise, pick, release_memory, runs_of, salted_lookup
 
 WIDTH = 5               # words in a shingle, unless the caller says otherwise
@@ -299,13 +299,17 @@ def _confirm_stars(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame
 
 
 def _open_entries(entries: DataFrame, components: DataFrame) -> DataFrame:
-    """Entries (bucket, node, n) of buckets with several components: with component, and whether an outsider."""
+    """Entries (bucket, node, n) of buckets with several components: with component, whether an outsider, and
+    the pieces of the bucket (parts) and of its outsiders (chunks)."""
     named = entries.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    main = (named.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("members")).groupBy("bucket")
-            .agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("members", "component")).alias("main"))
-            .filter("parts > 1").select("bucket", F.col("main.component").alias("main")))
+    main = (named.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("n"))
+            .groupBy("bucket").agg(F.count(F.lit(1)).alias("components"), F.sum("n").alias("n"),
+                                   F.max(F.struct("members", "component", "n")).alias("main"))
+            .filter("components > 1")
+            .select("bucket", F.col("main.component").alias("main"), _pieces(F.col("n") * 8).alias("parts"),
+                    _pieces((F.col("n") - F.col("main.n")) * 8).alias("chunks")))
     return salted_lookup(named, main, ["bucket"], F.col("node")).select(
-        "bucket", "node", "n", "component", (F.col("component") != F.col("main")).alias("outsider"))
+        "bucket", "node", "n", "component", (F.col("component") != F.col("main")).alias("outsider"), "parts", "chunks")
 
 
 def _further_centres(open_: DataFrame) -> DataFrame:
@@ -320,17 +324,12 @@ def _further_centres(open_: DataFrame) -> DataFrame:
 
 def _dealt_blocks(open_: DataFrame) -> DataFrame:
     """Rows (bucket, i, j, node, component, query) of the blocks in which outsiders meet the members."""
-    sizes = open_.groupBy("bucket").agg(
-        _pieces(F.sum(F.col("n") * 8)).alias("parts"),
-        _pieces(F.sum(F.when(F.col("outsider"), F.col("n") * 8).otherwise(0))).alias("chunks"),
-        F.max("outsider").alias("any")).filter("any")
-    rows = salted_lookup(open_, sizes, ["bucket"], F.col("node"))
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     chunk = F.pmod(F.xxhash64("node", F.lit(1)), F.col("chunks")).cast("int")
-    queries = rows.filter("outsider").select(
+    queries = open_.filter("outsider").select(
         "bucket", chunk.alias("i"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("j"), "node", "component",
         F.lit(True).alias("query"))
-    others = rows.select("bucket", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("i"), part.alias("j"),
+    others = open_.select("bucket", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("i"), part.alias("j"),
                          "node", "component", F.lit(False).alias("query"))
     return queries.union(others)
 
@@ -347,8 +346,7 @@ def _components(shared: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     ``shared``: bucket, node, n, size, hub (the bucket's smallest node).
     """
     stars = shared.filter(F.col("node") != F.col("hub")).select("hub", "node", "n").distinct()
-    links = materialise(_confirm_stars(stars, sets, percent), "minhash-links")
-    components = connected(links)
+    components = connected(_confirm_stars(stars, sets, percent))
     # a bucket's centres need no further search; a pair is its own star
     left = shared.filter((F.col("size") > 2) & (F.col("node") != F.col("hub"))).select("bucket", "node", "n")
     open_ = materialise(_open_entries(left, components), "minhash-open")
@@ -360,14 +358,13 @@ def _components(shared: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         met = salted_lookup(open_, lists, ["bucket"], F.col("node"))
         stars = met.select("node", "n", "component", F.explode("centres").alias("c")).filter("component <> c.own").select(
             F.col("c.centre").alias("hub"), "node", "n").distinct()
-        links = links.union(materialise(_confirm_stars(stars, sets, percent), "minhash-links"))
-        components = connected(links)
+        components = joined(components, materialise(_confirm_stars(stars, sets, percent), "minhash-links"))
         done = centres.select("bucket", F.col("centre").alias("node")).hint("merge")
         left = open_.join(done, ["bucket", "node"], "left_anti")
         open_ = materialise(_open_entries(left.select("bucket", "node", "n"), components), "minhash-open")
         if open_.isEmpty():
             return components
-    return connected(links.union(materialise(_search_blocks(open_, sets, percent), "minhash-links")))
+    return joined(components, materialise(_search_blocks(open_, sets, percent), "minhash-links"))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,

@@ -8,7 +8,8 @@ import pytest
 import corpus_pipeline
 from cases import SCHEMA, odd_rows, sentences, with_extra
 from marketlake.llm import embedding_dedup, minhash_dedup
-from marketlake.llm._components import connected
+from marketlake.llm import _components
+from marketlake.llm._components import connected, joined
 
 
 def union_find(items):
@@ -144,6 +145,32 @@ def test_connected_components(spark):
     assert connected(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_stars_need_no_round(spark, monkeypatch):
+    """CHECK r03, op 9: the last round of every search for components changed nothing."""
+    rounds = []
+    step = _components._large_star
+    monkeypatch.setattr(_components, "_large_star", lambda edges: rounds.append(1) or step(edges))
+    stars = [(h, h + i) for h in (0, 100, 200) for i in range(1, 50)]
+    parts = connected(spark.createDataFrame(stars, "a long, b long"))
+    assert not rounds and {(r.node, r.component) for r in parts.collect()} == {(b, a) for a, b in stars} | {(h, h) for h in (0, 100, 200)}
+    assert not _components._are_stars(spark.createDataFrame([(3, 2), (2, 1)], "u long, v long"))
+    assert not _components._are_stars(spark.createDataFrame([(3, 2), (3, 1)], "u long, v long"))
+    more = joined(parts, spark.createDataFrame([(149, 201), (300, 301)], "a long, b long"))
+    want = {n: 0 for n in range(50)} | {n: 100 for n in [*range(100, 150), *range(200, 250)]} | {300: 300, 301: 300}
+    assert {r.node: r.component for r in more.collect()} == want and rounds
+
+
+def test_blocks_are_dealt_without_a_further_join(spark):
+    """CHECK r03, pipeline: a join of all open entries to find the sizes that the entries can carry."""
+    entries = spark.createDataFrame([(1, b"a", 10), (1, b"b", 10), (1, b"c", 10)], "bucket long, node binary, n long")
+    parts = spark.createDataFrame([(b"a", b"a"), (b"b", b"a")], "node binary, component binary")
+    open_ = minhash_dedup._open_entries(entries, parts).localCheckpoint()
+    plan = minhash_dedup._dealt_blocks(open_)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+    assert sorted((bytes(r.node), r.query) for r in minhash_dedup._dealt_blocks(open_).collect()) == [
+        (b"a", False), (b"b", False), (b"c", False), (b"c", True)]
+
+
 # --- embeddings ----------------------------------------------------------------------------------
 
 VECTORS = "vec_id long, embedding array<float>, label int"
