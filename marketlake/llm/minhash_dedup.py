@@ -279,7 +279,8 @@ def _elements_column(width: int):
                                              ["node", "elements"])
         release_memory()
 
-    return elements
+    # the join's filter on the node must not go below it, or the sets are made twice, by two workers a task
+    return elements.asNondeterministic()
 
 
 def _pieces(bytes_: Column) -> Column:

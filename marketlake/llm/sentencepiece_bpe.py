@@ -2,8 +2,8 @@
 
 The vocabulary comes from a SentencePiece model file (BPE with byte fallback,
 identity normalisation and a dummy prefix); its path is a parameter.  The driver
-reads the file and sends the pieces to the workers (their number is bounded and
-checked), so executors need no file.
+reads the file and makes the tables once; the workers get them as arrays (the number
+of pieces is bounded and checked), so executors need no file and build nothing.
 
 **Words.**  No symbol can span two neighbouring characters that stand together in
 no piece; the text is cut there, which changes no result and leaves short words.
@@ -37,13 +37,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm._util import release_memory, runs_of
+from marketlake.llm._util import by_size, release_memory, runs_of
 
 SPACE = "▁"             # stands for U+0020 in pieces
-MAX_PIECES = 1_000_000      # bound of the vocabulary that is sent to every worker
+MAX_PIECES = 1_000_000      # bound of the vocabulary whose tables are sent to every worker
 CACHE_WORDS = 100_000       # words a task remembers
 CACHE_CHARS = 64            # longer words are not remembered
 RUN_CHARS = 500_000         # characters of texts that are in work at once
+ROUND_CHARS = 100_000       # characters of new words that are merged at once
 NONE = np.iinfo(np.int64).max
 ID_SHIFT = 2_200_000        # above every symbol number
 
@@ -120,17 +121,18 @@ class PairTable:
 
 
 class Codec:
-    """Encoder and decoder of one vocabulary (made once per worker)."""
+    """Encoder and decoder of one vocabulary (made on the driver; the workers get its tables)."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = v = vocabulary
+        v = vocabulary
         normal = {p: i for i, p in enumerate(v.pieces) if i not in v.no_text}
-        n = len(v.pieces)
+        self._n_pieces = n = len(v.pieces)
+        self._byte_ids = v.byte_ids
         # symbols: the pieces' ids, then characters that occur in pieces without being one
         chars = sorted({c for p in normal for c in p})
         symbol = {c: normal.get(c, n + k) for k, c in enumerate(chars)} | normal
         self._unknown_base = n + len(chars)     # + code point: a character that no piece contains
-        self._symbol_of = np.arange(0x110000, dtype=np.int64) + self._unknown_base
+        self._symbol_of = np.arange(0x110000, dtype=np.int32) + np.int32(self._unknown_base)
         self._symbol_of[[ord(c) for c in chars]] = [symbol[c] for c in chars]
         self._char_of = {symbol[c]: c for c in chars if symbol[c] >= n}
         level = {s: r for r, s in enumerate(sorted({v.scores[i] for i in normal.values()}, reverse=True))}
@@ -189,7 +191,7 @@ class Codec:
         return rank, merged
 
     def _symbols(self, text: str) -> np.ndarray:
-        return self._symbol_of[np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)]
+        return self._symbol_of[np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)].astype(np.int64)
 
     def merge_rounds(self, sym: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Final symbols with the number of their word, words in order."""
@@ -266,7 +268,7 @@ class Codec:
         owner = chunk[cut]
         out, segments = self.merge_rounds(sym, segment)
         whose = owner[segments]
-        n = len(self.vocabulary.pieces)
+        n = self._n_pieces
         odd = np.flatnonzero(out >= n)
         if len(odd):
             parts, at = [], 0
@@ -274,7 +276,7 @@ class Codec:
             for k in odd:
                 s = int(out[k])
                 raw = (chr(s - self._unknown_base) if s >= self._unknown_base else self._char_of[s]).encode()
-                ids += [out[at:k], np.array([self.vocabulary.byte_ids[b] for b in raw])]
+                ids += [out[at:k], np.array([self._byte_ids[b] for b in raw])]
                 parts += [whose[at:k], np.full(len(raw), whose[k])]
                 at = k + 1
             out, whose = np.concatenate([*ids, out[at:]]), np.concatenate([*parts, whose[at:]])
@@ -292,7 +294,8 @@ class Codec:
         if len(cache) > CACHE_WORDS:
             cache.clear()
         new = list(set().union(*cut).difference(cache))
-        cache.update(zip(new, self.encode_words(new), strict=True))
+        for some in by_size(new, ROUND_CHARS):
+            cache.update(zip(some, self.encode_words(some), strict=True))
         out = [b"".join(map(cache.__getitem__, words)) for words in cut]
         for w in new:
             if len(w) > CACHE_CHARS:
@@ -311,18 +314,6 @@ class Codec:
         return raw.decode("utf-8", errors="piece-bytes")
 
 
-_CODECS: dict[int, Codec] = {}
-
-
-def _codec(shared) -> Codec:
-    """The worker's codec of a broadcast vocabulary."""
-    key = shared._jbroadcast.id() if getattr(shared, "_jbroadcast", None) else id(shared)
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(shared.value)
-    return _CODECS[key]
-
-
 def _encode_array(codec: Codec, texts: pa.Array) -> pa.ListArray:
     parts: list[bytes] = []
     sizes = [0]
@@ -345,24 +336,24 @@ class Tokenizer:
     """Column functions of one model: ``encode(text)``, ``decode(ids)``, ``round_trip(text)``."""
 
     def __init__(self, spark, path: str):
-        shared = spark.sparkContext.broadcast(Vocabulary.load(path))
+        shared = spark.sparkContext.broadcast(Codec(Vocabulary.load(path)))
 
         @F.arrow_udf("array<int>")
         def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             for texts in batches:
-                yield _encode_array(_codec(shared), texts)
-            _codec(shared).forget()
+                yield _encode_array(shared.value, texts)
+            shared.value.forget()
             release_memory()
 
         @F.arrow_udf("string")
         def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             for ids in batches:
-                yield _decode_array(_codec(shared), ids)
+                yield _decode_array(shared.value, ids)
             release_memory()
 
         @F.arrow_udf("struct<ids:array<int>,decoded:string>")
         def round_trip(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            codec = _codec(shared)
+            codec = shared.value
             for texts in batches:
                 ids = _encode_array(codec, texts)
                 yield pa.StructArray.from_arrays([ids, _decode_array(codec, ids)], ["ids", "decoded"])

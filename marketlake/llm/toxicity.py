@@ -41,7 +41,7 @@ from __future__ import annotations
 
 import warnings
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -71,6 +71,8 @@ FLOOR = 1e-3                # added to raw scores before the logarithm
 CALIBRATION = 5
 THRESHOLD = 0.7
 RUN_CHARS = 2_000_000       # characters of texts that are in work at once
+RUN_WORDS = 20_000          # words whose features are made at once
+RUN_ENTRIES = 1 << 18       # numbers that are summed at once
 TOXIC, UNLABELLED, CLEAN = 1, 0, -1
 
 
@@ -81,21 +83,44 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 # --- features ----------------------------------------------------------------------------------
 
 def features(items: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(cell, word number) of every feature of the words."""
-    code, word, pos = flat(items, "<", ">")
+    """(cell, word number) of every feature: those of all words, then their 3-grams, 4-grams, 5-grams."""
     mask = np.uint64((1 << BITS) - 1)
-    cells = [np.array([word_hash(w) for w in items], dtype=np.uint64) & mask]
-    owners = [np.arange(len(items))]
-    for n in GRAMS:
-        at = np.flatnonzero(pos >= n - 1)
-        cells.append((gram_hashes(code, n)[at] >> np.uint64(20)) & mask)
-        owners.append(word[at])
-    return np.concatenate(cells).astype(np.int64), np.concatenate(owners)
+    size = np.array([len(w) + 2 for w in items], dtype=np.int64)
+    counts = [len(items)] + [int(np.maximum(size - (n - 1), 0).sum()) for n in GRAMS]
+    cell, owner = np.empty(sum(counts), dtype=np.int32), np.empty(sum(counts), dtype=np.int32)
+    free = (np.cumsum(counts) - counts).tolist()    # the next place of each kind
+
+    def put(kind: int, cells: np.ndarray, owners: np.ndarray) -> None:
+        place = slice(free[kind], free[kind] + len(cells))
+        cell[place], owner[place] = cells & mask, owners
+        free[kind] += len(cells)
+
+    for low in range(0, len(items), RUN_WORDS):
+        some = items[low:low + RUN_WORDS]
+        code, word, pos = flat(some, "<", ">")
+        put(0, np.array([word_hash(w) for w in some], dtype=np.uint64), np.arange(low, low + len(some)))
+        for kind, n in enumerate(GRAMS, 1):
+            at = np.flatnonzero(pos >= n - 1)
+            put(kind, gram_hashes(code, n)[at] >> np.uint64(20), word[at] + low)
+    return cell, owner
 
 
 def word_degrees(weights: np.ndarray, items: list[str]) -> np.ndarray:
-    cell, owner = features(items)
-    return _sigmoid(np.bincount(owner, weights=weights[cell], minlength=len(items)) + START)
+    out = np.zeros(len(items))
+    for low in range(0, len(items), RUN_WORDS):
+        cell, owner = features(items[low:low + RUN_WORDS])
+        out[low:low + RUN_WORDS] = np.bincount(owner, weights=weights[cell])
+    return _sigmoid(out + START)
+
+
+def _sums(index: np.ndarray, values: Callable[[slice], np.ndarray], size: int) -> np.ndarray:
+    """``np.bincount`` of the index with the values as weights, added in the same order, but made and
+    added a stretch at a time: learning holds no further arrays as long as the features."""
+    out = np.zeros(size)
+    for low in range(0, len(index), RUN_ENTRIES):
+        part = slice(low, low + RUN_ENTRIES)
+        np.add.at(out, index[part].astype(np.intp), values(part))
+    return out
 
 
 # --- learning ----------------------------------------------------------------------------------
@@ -154,16 +179,19 @@ def fit_counts(items: pa.ListArray, amounts: pa.ListArray, roles: np.ndarray, pr
                steps: int = STEPS) -> Model:
     """``fit`` on each text's distinct words and how often it has them."""
     n_texts = len(items)
-    doc = np.repeat(np.arange(n_texts), items.value_lengths().to_numpy(zero_copy_only=False))
+    doc = np.repeat(np.arange(n_texts, dtype=np.int32), items.value_lengths().to_numpy(zero_copy_only=False))
     coded = items.flatten().dictionary_encode()
-    vocabulary, number = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+    number = coded.indices.to_numpy()
     amount = amounts.flatten().to_numpy().astype(np.float64)
     order = np.lexsort((number, doc))
     number, amount = number[order], amount[order]
     size = np.bincount(doc, weights=amount, minlength=n_texts)
     share = amount / np.maximum(size, 1)[doc]
-    cell, owner = features(vocabulary)
-    seen = np.bincount(cell, weights=np.bincount(number, minlength=len(vocabulary))[owner], minlength=1 << BITS)
+    n_words = len(coded.dictionary)
+    cell, owner = features(coded.dictionary.to_pylist())
+    del coded, order, amount
+    texts_of = np.bincount(number, minlength=n_words)
+    seen = _sums(cell, lambda part: texts_of[owner[part]].astype(np.float64), 1 << BITS)
     pace = (seen >= RARE) / np.sqrt(seen + SPREAD)
     toxic = np.flatnonzero(roles == TOXIC)
     aside = np.zeros(n_texts, dtype=bool)
@@ -173,23 +201,29 @@ def fit_counts(items: pa.ListArray, amounts: pa.ListArray, roles: np.ndarray, pr
     n_p, n_u = max(int(positive.sum()), 1), max(int(unlabelled.sum()), 1)
     weights, bias = np.zeros(1 << BITS), -2.0
     speed, bias_speed = np.zeros_like(weights), 0.0
+
+    def degrees(own: np.ndarray) -> np.ndarray:
+        return _sigmoid(_sums(owner, lambda part: own[cell[part]].astype(np.float64), n_words) + START)
+
+    def raw_scores(degree: np.ndarray) -> np.ndarray:
+        return _sums(doc, lambda part: share[part] * degree[number[part]], n_texts)
+
     for _ in range(steps):
-        degree = _sigmoid(np.bincount(owner, weights=(weights * pace)[cell], minlength=len(vocabulary)) + START)
-        g = GAIN * np.bincount(doc, weights=share * degree[number], minlength=n_texts) + bias
+        degree = degrees(weights * pace)
+        g = GAIN * raw_scores(degree) + bias
         up, down = _sigmoid(g), _sigmoid(-g)        # d l(-g) = up, d l(+g) = -down
         clean_risk = (np.logaddexp(0, g[unlabelled]).sum() / n_u
                       - prior * np.logaddexp(0, g[positive]).sum() / n_p)
         d_clean = np.where(unlabelled, up / n_u, 0) - prior * np.where(positive, up / n_p, 0)
         d_g = -d_clean if clean_risk < 0 else d_clean - prior * np.where(positive, down / n_p, 0)
-        d_word = (GAIN * degree * (1 - degree)
-                  * np.bincount(number, weights=share * d_g[doc], minlength=len(vocabulary)))
-        d_w = np.bincount(cell, weights=d_word[owner], minlength=len(weights)) * pace + DECAY * weights
+        d_degree = _sums(number, lambda part, d=d_g: share[part] * d[doc[part]], n_words)
+        d_word = GAIN * degree * (1 - degree) * d_degree
+        d_w = _sums(cell, lambda part, d=d_word: d[owner[part]], len(weights)) * pace + DECAY * weights
         speed = np.clip(MOMENTUM * speed - RATE * d_w, -LIMIT / np.maximum(pace, 1e-9), LIMIT / np.maximum(pace, 1e-9))
         bias_speed = MOMENTUM * bias_speed - 0.2 * d_g.sum()
         weights, bias = weights + speed, bias + bias_speed
     model = Model((weights * pace).astype(np.float32), prior=prior)
-    degree = word_degrees(model.weights, vocabulary)
-    raw = np.bincount(doc, weights=share * degree[number], minlength=n_texts)
+    raw = raw_scores(degrees(model.weights))
     known = roles == CLEAN
     marked = aside if aside.any() else roles == TOXIC
     known |= marked

@@ -274,6 +274,20 @@ def test_pipeline_stages(spark, tmp_path):
     assert sorted((r.doc_id or -1, r.ids_sha256) for r in whole) == sorted((r.doc_id or -1, r.ids_sha256) for r in last)
 
 
+def test_full_sets_are_made_once_by_one_worker_a_task(spark, tmp_path, capsys):
+    """A filter on the node below the join would make all sets a second time, in a second worker of the task."""
+    rows = [(i, None if i == 3 else f"a b c d e f {i % 4} g") for i in range(12)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    src = spark.read.parquet(f"{tmp_path}/docs")
+    nodes = src.select(minhash_dedup._signature_column(5)("text").alias("s"), "doc_id").select("s.node", "doc_id")
+    wanted = nodes.filter("node is not null").groupBy("node").agg({"doc_id": "min"}).toDF("node", "low_id")
+    wanted.write.parquet(f"{tmp_path}/wanted")
+    sets = minhash_dedup._full_sets(src, spark.read.parquet(f"{tmp_path}/wanted"), 5)
+    sets.explain()
+    assert capsys.readouterr().out.count("ArrowEvalPython") == 1
+    assert sorted(len(r.elements) // 8 for r in sets.collect()) == [4] * 4
+
+
 def test_pipeline_empty_table(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")

@@ -1,4 +1,5 @@
 """License scans, language ID, toxicity and SentencePiece: brute force, the library, held-out accuracy."""
+import pickle
 import random
 import re
 
@@ -279,6 +280,35 @@ def test_non_negative_risk_is_corrected():
     assert degree[0] > degree[1:].max()
 
 
+def learning_sample(n_words, seed=3):
+    rng = random.Random(seed)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=12)) for _ in range(n_words)]
+    texts = [" ".join(vocabulary[at:at + 100]) for at in range(0, n_words, 100)]
+    return texts, np.array([rng.choice([toxicity.TOXIC, toxicity.UNLABELLED, toxicity.CLEAN]) for _ in texts])
+
+
+def test_toxicity_learning_in_stretches_changes_no_weight(monkeypatch):
+    texts, roles = learning_sample(3000)
+    whole = toxicity.fit(texts, roles, 0.2, steps=4)
+    monkeypatch.setattr(toxicity, "RUN_WORDS", 7)
+    monkeypatch.setattr(toxicity, "RUN_ENTRIES", 101)
+    short = toxicity.fit(texts, roles, 0.2, steps=4)
+    assert whole.weights.any() and whole.weights.tobytes() == short.weights.tobytes()
+    assert (whole.slope, whole.shift) == (short.slope, short.shift)
+
+
+def test_toxicity_learning_holds_little_beside_its_features():
+    """The learning task's arrays: 8 bytes a feature, and stretches of bounded size."""
+    import tracemalloc
+    texts, roles = learning_sample(60_000)
+    n_features = 60_000 * (1 + 12 + 11 + 10)
+    tracemalloc.start()
+    toxicity.fit(texts, roles, 0.2, steps=2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * n_features
+
+
 # --- SentencePiece -----------------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
@@ -317,6 +347,18 @@ def test_codec_equals_the_library(model_path, library):
         assert codec.decode(ids) == library.decode(ids)
 
 
+def test_codec_reaches_workers_as_tables(model_path, library, monkeypatch):
+    """Workers unpickle the tables instead of building them, and merge new words a bounded run at a time."""
+    codec = pickle.loads(pickle.dumps(sentencepiece_bpe.Codec(sentencepiece_bpe.Vocabulary.load(model_path))))
+    held = []
+    encode_words = codec.encode_words
+    monkeypatch.setattr(sentencepiece_bpe, "ROUND_CHARS", 300)
+    monkeypatch.setattr(codec, "encode_words", lambda words: held.append(sum(map(len, words))) or encode_words(words))
+    texts = [f"some {i} words, and {i * 7919} more of them" for i in range(400)]
+    assert [np.frombuffer(x, "<i4").tolist() for x in codec.encode(texts)] == library.encode(texts)
+    assert len(held) > 5 and max(held) <= 300
+
+
 def test_round_trip_column(spark, model_path, library):
     df = with_extra(spark.createDataFrame(odd_rows(), SCHEMA))
     tokenizer = sentencepiece_bpe.Tokenizer(spark, model_path)
